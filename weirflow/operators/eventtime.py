@@ -4,8 +4,8 @@ The watermark moves between arrival batches: rows of batch ``b`` see ``wm_in``,
 the batches before it. All values are epoch milliseconds (bigint), with
 ``wm = max_ts - delay - 1``; a window ``[start, end)`` is complete once ``end - 1 <= wm``.
 
-A watermark trace has one row per batch, so it is aggregated from the rows before anything is
-ordered or joined by it.
+A watermark trace has one row per batch. It is aggregated from the rows and written once before
+anything is ordered or joined by it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from weirflow.functions.times import floor_to
 from weirflow.operators.joins import interval_join
 from weirflow.operators.running import running, running_min
-from weirflow.session import broadcast_if_small
+from weirflow.session import broadcast_if_small, materialise
 
 ON_TIME, REFIRED, DROPPED = "on_time", "refired", "dropped"
 
@@ -34,11 +34,13 @@ def _so_far(order: str, *keys: str):
 def watermark_trace(df: DataFrame, batch: str, ts_ms: str, delay_ms: int) -> DataFrame:
     """Per arrival batch: rows, largest event time, watermark before (``wm_in``) and after it."""
     per_batch = df.groupBy(batch).agg(F.count(F.lit(1)).alias("n"), F.max(ts_ms).alias("max_ts_ms"))
-    return per_batch.withColumns(
-        {
-            "wm_in": F.max("max_ts_ms").over(_before(batch)) - delay_ms - 1,
-            "wm_out": F.max("max_ts_ms").over(_so_far(batch)) - delay_ms - 1,
-        }
+    return materialise(
+        per_batch.withColumns(
+            {
+                "wm_in": F.max("max_ts_ms").over(_before(batch)) - delay_ms - 1,
+                "wm_out": F.max("max_ts_ms").over(_so_far(batch)) - delay_ms - 1,
+            }
+        )
     )
 
 
@@ -73,7 +75,7 @@ def joint_watermark(left: DataFrame, right: DataFrame, batch: str, ts_ms: str, d
     per_batch = tagged.groupBy(batch).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
     seen_left, seen_right = F.max("_l").over(_before(batch)), F.max("_r").over(_before(batch))
     both = F.when(seen_left.isNotNull() & seen_right.isNotNull(), F.least(seen_left, seen_right))
-    return per_batch.select(batch, (both - delay_ms - 1).alias("wm_in"))
+    return materialise(per_batch.select(batch, (both - delay_ms - 1).alias("wm_in")))
 
 
 def with_watermark(df: DataFrame, trace: DataFrame, batch: str) -> DataFrame:
@@ -118,8 +120,8 @@ def first_batch_reaching(
         .unionByName(marks.withColumn("_side", F.lit(0)))
         .withColumns({"_all": F.lit(0), "_down": -F.col("_at")})
     )
-    reached = running(line, ["_all"], ["_down", "_side"], [running_min("fire_batch", F.col("_batch"))])
-    return reached.where(F.col("_side") == 1).select(F.col("_at").alias(at_ms), "fire_batch")
+    reached = running(materialise(line), ["_all"], ["_down", "_side"], [running_min("fire_batch", F.col("_batch"))])
+    return materialise(reached.where(F.col("_side") == 1).select(F.col("_at").alias(at_ms), "fire_batch"))
 
 
 def allowed_lateness(
@@ -141,7 +143,7 @@ def allowed_lateness(
     per_arrival = rows.groupBy(*keys, "window_end_ms", "status", batch).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col(value).cast("bigint")).alias("_sum")
     )
-    closing = per_arrival.select((F.col("window_end_ms") - 1).alias("closes_ms"))
+    closing = df.select((floor_to(F.col(ts_ms), size_ms) + size_ms - 1).alias("closes_ms"))
     fired = broadcast_if_small(first_batch_reaching(closing, "closes_ms", trace, batch, size_ms))
     timed = per_arrival.withColumn("closes_ms", F.col("window_end_ms") - 1).join(fired, "closes_ms", "left")
     firing = F.when(F.col("status") == ON_TIME, F.col("fire_batch")).otherwise(F.col(batch).cast("bigint"))
@@ -193,5 +195,5 @@ def interval_join_with_late(
 def event_timers(df: DataFrame, keys: Sequence[str], at_ms: str, trace: DataFrame, batch: str) -> DataFrame:
     """Event-time timers: one per distinct key and time, with the batch in which it fires."""
     timers = df.select(*keys, at_ms).distinct()
-    fired = broadcast_if_small(first_batch_reaching(timers, at_ms, trace, batch))
+    fired = broadcast_if_small(first_batch_reaching(df, at_ms, trace, batch))
     return timers.join(fired, at_ms, "left")

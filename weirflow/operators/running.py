@@ -1,29 +1,29 @@
 """Running folds per key (one output row per input row) that survive hot keys.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. Here a key with more
-than ``slice_rows`` rows is cut into consecutive slices of its own order, each slice is folded in
-its own task, and the folds of the earlier slices are carried in from a table with one row per
-slice. Keys below the limit keep slice 0 and take the plain path. When no key is hot the carry
-tables are empty and AQE removes their joins from the plan.
-
-Bounds: the hot-group table has at most ``rows / slice_rows`` rows and the carry table at most
-``2 * rows / slice_rows`` per level, so both shrink against the data by that factor.
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. So the rows per key are
+counted first (a scan of the key columns, aggregated before the shuffle). If no key has more than
+``slice_rows`` rows the plain window is used. Otherwise the hot keys are cut into consecutive
+slices of their own order, each slice is folded in its own task, and the folds of the earlier
+slices are carried in from a table with one row per slice. The other keys stay whole.
+
+Bounds: at most ``rows / slice_rows`` groups can be hot, and they get at most twice as many
+slices, so the tables of hot groups and of carried folds are smaller than the data by that factor.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import ordinal
+from weirflow.session import materialise
 
 SLICE_ROWS = 2_000_000
-LEVELS = 2
-_HOT = "_hot"
+MAX_LEVELS = 4
 
 
 @dataclass(frozen=True)
@@ -57,114 +57,110 @@ def running_max(name: str, expr: Column, before: bool = False) -> Fold:
     return Fold(name, "max", expr, before)
 
 
-def slice_columns(levels: int = LEVELS) -> list[str]:
-    return [f"_slice{level}" for level in range(levels)]
+@dataclass(frozen=True)
+class Sliced:
+    """Rows with zero or more slice columns that, with the keys, bound the size of a group."""
 
+    df: DataFrame
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    slices: tuple[str, ...] = ()
 
-def slice_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    slice_rows: int = SLICE_ROWS,
-    levels: int = LEVELS,
-) -> DataFrame:
-    """Add slice columns: 0 for ordinary keys, 1..n along ``order`` for hot ones.
+    @property
+    def group(self) -> list[str]:
+        return [*self.keys, *self.slices]
+
+    def frame(self, end: int):
+        ordered = Window.partitionBy(*self.group).orderBy(*self.order)
+        return ordered.rowsBetween(Window.unboundedPreceding, end)
+
+    def hot(self) -> DataFrame:
+        return self.df.where(F.col(self.slices[0]) > 0)
 
-    Level 0 cuts a hot key evenly along the first order column. A slice that is still too large
-    (a burst) is cut again by level 1, along the second order column if it has a single value of
-    the first. Rows with a null key are never cut.
+    def plain(self) -> DataFrame:
+        return self.df.drop(*self.slices)
+
+
+def _hot_groups(df: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame | None:
+    """Groups with more than ``slice_rows`` rows (at most ``rows / slice_rows`` of them), if any."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > slice_rows)
+    hot = materialise(counts)
+    return None if hot.isEmpty() else hot
+
+
+def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS) -> Sliced:
+    """Cut keys with more than ``slice_rows`` rows into slices numbered along ``order``.
+
+    A slice column is 0 for rows that are not cut. The first level cuts a hot key evenly along
+    the first order column. A slice that is still too large (a burst) is cut again, along the
+    last order column where the first has a single value left. Rows with a null key stay whole.
     """
-    first, second = ordinal(df, order[0]), ordinal(df, order[-1])
-    out, group = df, list(keys)
-    for level, name in enumerate(slice_columns(levels)):
-        stats = (
-            out.groupBy(*group)
+    first, last = ordinal(df, order[0]), ordinal(df, order[-1])
+    out = Sliced(df, tuple(keys), tuple(order))
+    for level in range(MAX_LEVELS):
+        rows = out.hot() if out.slices else df
+        hot = _hot_groups(rows, out.group, slice_rows)
+        if hot is None:
+            return out
+        ranges = (
+            rows.join(F.broadcast(hot), out.group)
+            .groupBy(*out.group, "_n")
             .agg(
-                F.count(F.lit(1)).alias("_n"),
-                F.min(first).alias("_lo_a"),
-                F.max(first).alias("_hi_a"),
-                F.min(second).alias("_lo_b"),
-                F.max(second).alias("_hi_b"),
+                F.min(first).alias("_first_lo"),
+                F.max(first).alias("_first_hi"),
+                F.min(last).alias("_last_lo"),
+                F.max(last).alias("_last_hi"),
             )
-            .where(F.col("_n") > slice_rows)
-        )
-        along_first = F.col("_hi_a") > F.col("_lo_a")
-        low = F.when(along_first, F.col("_lo_a")).otherwise(F.col("_lo_b"))
-        span = F.when(along_first, F.col("_hi_a") - F.col("_lo_a")).otherwise(
-            F.col("_hi_b") - F.col("_lo_b")
         )
-        pieces = F.ceil(F.col("_n") / F.lit(slice_rows))
-        # At most rows / slice_rows groups pass the filter above: a proven broadcast bound.
-        hot = F.broadcast(
-            stats.select(
-                *group,
-                along_first.alias("_along_first"),
+        by_first = F.col("_first_hi") > F.col("_first_lo")
+        low = F.when(by_first, F.col("_first_lo")).otherwise(F.col("_last_lo"))
+        high = F.when(by_first, F.col("_first_hi")).otherwise(F.col("_last_hi"))
+        cuts = materialise(
+            ranges.select(
+                *out.group,
+                by_first.alias("_by_first"),
                 low.alias("_low"),
-                F.ceil((span + 1) / pieces).alias("_width"),
+                F.ceil((high - low + 1) / F.ceil(F.col("_n") / slice_rows)).alias("_width"),
             )
         )
-        position = F.when(F.col("_along_first"), first).otherwise(second) - F.col("_low")
-        is_hot = F.col("_width").isNotNull()
-        out = out.join(hot, group, "left").withColumn(
-            name,
-            F.when(is_hot, F.floor(position / F.col("_width")) + 1).otherwise(F.lit(0)).cast("bigint"),
-        )
-        if level == 0:
-            out = out.withColumn(_HOT, is_hot)
-        out = out.drop("_along_first", "_low", "_width")
-        group = group + [name]
+        position = F.when(F.col("_by_first"), first).otherwise(last) - F.col("_low")
+        number = F.coalesce(F.floor(position / F.col("_width")) + 1, F.lit(0)).cast("bigint")
+        name = f"_slice{level}"
+        # As many rows as there are hot groups: bounded as stated above.
+        cut = out.df.join(F.broadcast(cuts), out.group, "left").withColumn(name, number)
+        out = Sliced(cut.drop("_by_first", "_low", "_width"), out.keys, out.order, (*out.slices, name))
     return out
 
 
-def slice_window(keys: Sequence[str], order: Sequence[str], levels: int = LEVELS):
-    return Window.partitionBy(*keys, *slice_columns(levels)).orderBy(*order)
-
-
-def hot_rows(sliced: DataFrame) -> DataFrame:
-    return sliced.where(F.col(_HOT))
-
-
-def drop_slices(sliced: DataFrame, levels: int = LEVELS) -> DataFrame:
-    return sliced.drop(_HOT, *slice_columns(levels))
-
-
-def fold_slices(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Fold], levels: int = LEVELS
-) -> DataFrame:
-    """Running folds over an already sliced table; the slice columns are kept."""
-    slices = slice_columns(levels)
-    group = [*keys, *slices]
-    ordered = slice_window(keys, order, levels)
-    up_to_now = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    up_to_last = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    local = sliced.withColumns(
+def fold(sliced: Sliced, folds: Sequence[Fold]) -> Sliced:
+    """Add one running column per fold."""
+    up_to_now, up_to_last = sliced.frame(Window.currentRow), sliced.frame(-1)
+    local = sliced.df.withColumns(
         {f.name: f.aggregate().over(up_to_last if f.before else up_to_now) for f in folds}
     )
-
-    totals = hot_rows(sliced).groupBy(*group).agg(*[f.aggregate().alias(f"_total_{f.name}") for f in folds])
-    earlier = Window.partitionBy(*keys).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
-    merge_totals = {"sum": F.sum, "min": F.min, "max": F.max}
-    carried = totals.select(
-        *group,
-        *[merge_totals[f.kind](f"_total_{f.name}").over(earlier).alias(f"_carry_{f.name}") for f in folds],
+    if not sliced.slices:
+        return replace(sliced, df=local)
+    totals = sliced.hot().groupBy(*sliced.group).agg(*[f.aggregate().alias(f"_total_{f.name}") for f in folds])
+    earlier = (
+        Window.partitionBy(*sliced.keys).orderBy(*sliced.slices).rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = local.join(carried, group, "left")
-    return joined.withColumns({f.name: f.merge(F.col(f"_carry_{f.name}"), F.col(f.name)) for f in folds}).drop(
-        *[f"_carry_{f.name}" for f in folds]
+    carried = totals.select(
+        *sliced.group,
+        *[
+            replace(f, expr=F.col(f"_total_{f.name}")).aggregate().over(earlier).alias(f"_carry_{f.name}")
+            for f in folds
+        ],
     )
+    joined = local.join(carried, sliced.group, "left")
+    merged = joined.withColumns({f.name: f.merge(F.col(f"_carry_{f.name}"), F.col(f.name)) for f in folds})
+    return replace(sliced, df=merged.drop(*[f"_carry_{f.name}" for f in folds]))
 
 
 def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    folds: Sequence[Fold],
-    slice_rows: int = SLICE_ROWS,
-    levels: int = LEVELS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Fold], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """``df`` with one column per fold, folded per key along ``order`` (must be total)."""
-    sliced = slice_hot_keys(df, keys, order, slice_rows, levels)
-    return drop_slices(fold_slices(sliced, keys, order, folds, levels), levels)
+    return fold(slice_hot_keys(df, keys, order, slice_rows), folds).plain()
 
 
 def merge_top(k: int, arrays: Sequence[Column]) -> Column:
@@ -206,31 +202,31 @@ def running_top(
     k: int,
     name: str = "top",
     slice_rows: int = SLICE_ROWS,
-    levels: int = LEVELS,
 ) -> DataFrame:
     """``df`` with the ``k`` largest values seen so far per key (largest first, duplicates kept)."""
-    slices = slice_columns(levels)
-    group = [*keys, *slices]
-    sliced = slice_hot_keys(df, keys, order, slice_rows, levels)
-    local, rungs = _top_ladder(sliced, F.col(value), k, slice_window(keys, order, levels))
+    sliced = slice_hot_keys(df, keys, order, slice_rows)
+    local, rungs = _top_ladder(sliced.df, F.col(value), k, Window.partitionBy(*sliced.group).orderBy(*order))
     local = local.withColumn(name, _as_array(rungs)).drop(*rungs)
+    if not sliced.slices:
+        return local
 
-    best = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last(), *order)
+    best = Window.partitionBy(*sliced.group).orderBy(F.col(value).desc_nulls_last(), *order)
     kept = (
-        hot_rows(sliced)
-        .select(*group, *order, value)
+        sliced.hot()
+        .select(*sliced.group, *order, value)
         .withColumn("_rank", F.row_number().over(best))
         .where(F.col("_rank") <= k)
     )
     # At most k rows per slice from here on.
-    along = Window.partitionBy(*keys).orderBy(*slices, "_rank")
+    along = Window.partitionBy(*keys).orderBy(*sliced.slices, "_rank")
     ladder, rungs = _top_ladder(kept, F.col(value), k, along)
-    ends = ladder.withColumn("_size", F.max("_rank").over(Window.partitionBy(*group))).where(
+    ends = ladder.withColumn("_size", F.max("_rank").over(Window.partitionBy(*sliced.group))).where(
         F.col("_rank") == F.col("_size")
     )
-    by_slice = Window.partitionBy(*keys).orderBy(*slices)
-    carried = ends.select(*group, F.lag(_as_array(rungs)).over(by_slice).alias("_carry"))
-    out = local.join(carried, group, "left").withColumn(
-        name, F.when(F.col("_carry").isNull(), F.col(name)).otherwise(merge_top(k, [F.col("_carry"), F.col(name)]))
+    by_slice = Window.partitionBy(*keys).orderBy(*sliced.slices)
+    carried = ends.select(*sliced.group, F.lag(_as_array(rungs)).over(by_slice).alias("_carry"))
+    both = merge_top(k, [F.col("_carry"), F.col(name)])
+    out = local.join(carried, sliced.group, "left").withColumn(
+        name, F.when(F.col("_carry").isNull(), F.col(name)).otherwise(both)
     )
-    return drop_slices(out.drop("_carry"), levels)
+    return out.drop("_carry", *sliced.slices)

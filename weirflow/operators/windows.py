@@ -6,6 +6,7 @@ The time-window functions also take streaming inputs (see ``weirflow.streaming.w
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,7 @@ from weirflow.operators.rolling import row_numbers
 from weirflow.operators.running import (
     SLICE_ROWS,
     Fold,
-    drop_slices,
-    fold_slices,
+    fold,
     running,
     running_max,
     running_sum,
@@ -119,10 +119,10 @@ def session_windows(
         {"_at": at, "_until": at + gap.cast("bigint") * MICROS, "_end": F.timestamp_add("SECOND", gap, F.col(ts))}
     )
     sliced = slice_hot_keys(covered, keys, order, slice_rows)
-    reached = fold_slices(sliced, keys, order, [running_max("_reach", F.col("_until"), before=True)])
+    reached = fold(sliced, [running_max("_reach", F.col("_until"), before=True)])
     starts = F.col("_reach").isNull() | (F.col("_at") > F.col("_reach"))
-    flagged = reached.withColumn("_new", starts.cast("bigint"))
-    numbered = drop_slices(fold_slices(flagged, keys, order, [running_sum("session_no", F.col("_new"))]))
+    flagged = replace(reached, df=reached.df.withColumn("_new", starts.cast("bigint")))
+    numbered = fold(flagged, [running_sum("session_no", F.col("_new"))]).plain()
     return numbered.groupBy(*keys, "session_no").agg(
         F.min(ts).alias("session_start"),
         F.max("_end").alias("session_end"),

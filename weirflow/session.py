@@ -20,6 +20,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -51,13 +52,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Mark ``df`` for a broadcast join only after counting it.
+def broadcast_if_small(written: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Mark a narrow table for a broadcast join only after counting it.
 
-    ``df`` should be narrow and already aggregated: it is written once, counted up to
-    ``max_rows + 1`` rows, and hinted only if it fits. Otherwise it is returned without a hint
-    and Spark plans a shuffled join (with AQE skew splitting).
+    ``written`` should come from :func:`materialise`, so that counting it is cheap. Beyond
+    ``max_rows`` rows it is returned without a hint and Spark plans a shuffled join (with AQE
+    skew splitting).
     """
-    written = materialise(df)
     fits = written.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(written) if fits else written
