@@ -22,6 +22,16 @@ def ntz_micros(ts: Column) -> Column:
     return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
+def to_utc_timestamp(ts: Column) -> Column:
+    """The instant of a zone-less timestamp read as UTC (streams need this type for watermarks)."""
+    return F.timestamp_micros(ntz_micros(ts))
+
+
+def to_ntz(ts: Column) -> Column:
+    """Back from an instant to a zone-less UTC timestamp."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+
+
 def ordinal(df: DataFrame, name: str) -> Column:
     """A long that sorts exactly as column ``name`` (timestamp, date or integer) does."""
     kind = df.schema[name].dataType

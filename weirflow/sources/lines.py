@@ -21,10 +21,12 @@ def line_stream(spark: SparkSession, format: str = "text", path: str | None = No
     return stream.select(stream["value"].cast("string").alias("value"))
 
 
-def table_stream(spark: SparkSession, directory: str, file_name: str, max_files: int | None = None) -> DataFrame:
-    """A parquet table of ``directory`` as a stream, with the schema of the stored table."""
-    schema = spark.read.parquet(f"{directory}/{file_name}").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(directory)
+def table_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
+    """A parquet table (one file or a directory of files) as a stream.
+
+    ``max_files`` bounds a micro-batch and with it what a stateful operator sees of one key at once.
+    """
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    # A glob is taken for a file as well as for a directory.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
