@@ -28,15 +28,29 @@ def sensor_stream(spark, sf_dir):
     )
 
 
-def ended(stream):
-    """A watermarked bounded stream whose last windows close."""
-    return windows.monotonous(runs.end_marked(stream, "ts"), "ts")
+def _zoneless(df, *names):
+    return df.withColumns({name: to_ntz(F.col(name)) for name in names})
 
 
 def result(stream, *ntz, mode="append"):
     out = runs.run_available(stream, mode)
-    out = runs.last_batch(out) if mode == "complete" else out.drop("batch_id")
-    return out.withColumns({name: to_ntz(F.col(name)) for name in ntz})
+    return _zoneless(runs.last_batch(out) if mode == "complete" else out.drop("batch_id"), *ntz)
+
+
+def windowed(spark, sf_dir, build, *ntz):
+    """Result of event-time windows over the whole sensor stream, the last ones included."""
+
+    def watermarked(stream):
+        return build(windows.monotonous(stream, "ts"))
+
+    return _zoneless(runs.run_to_end(sensor_stream(spark, sf_dir), "ts", watermarked).drop("batch_id"), *ntz)
+
+
+BOUNDS = ("window_start", "window_end")
+
+
+def _n():
+    return F.count(F.lit(1))
 
 
 @query("stream_word_count", SQL["text_scan_wordcount"])
@@ -47,16 +61,15 @@ def stream_word_count(spark, sf_dir):
 
 @query("stream_tumbling_count", SQL["tumbling_count"])
 def stream_tumbling_count(spark, sf_dir):
-    counted = windows.event_windows(ended(sensor_stream(spark, sf_dir)), KEY, "ts", "1 hour", n=F.count(F.lit(1)))
-    return result(counted, "window_start", "window_end")
+    return windowed(spark, sf_dir, lambda s: windows.event_windows(s, KEY, "ts", "1 hour", n=_n()), *BOUNDS)
 
 
 @query("stream_sliding_count", SQL["sliding_count"])
 def stream_sliding_count(spark, sf_dir):
-    counted = windows.event_windows(
-        ended(sensor_stream(spark, sf_dir)), KEY, "ts", "2 hours", "1 hour", n=F.count(F.lit(1)), sum_vc=F.sum("vc")
-    )
-    return result(counted, "window_start", "window_end")
+    def counted(stream):
+        return windows.event_windows(stream, KEY, "ts", "2 hours", "1 hour", n=_n(), sum_vc=F.sum("vc"))
+
+    return windowed(spark, sf_dir, counted, *BOUNDS)
 
 
 def _session_sql(name: str) -> str:
@@ -65,10 +78,10 @@ def _session_sql(name: str) -> str:
 
 @query("stream_session_fixed", _session_sql("session_fixed"))
 def stream_session_fixed(spark, sf_dir):
-    sessions = windows.event_sessions(
-        ended(sensor_stream(spark, sf_dir)), KEY, "ts", "1 hour", n=F.count(F.lit(1)), sum_vc=F.sum("vc")
-    )
-    return result(sessions, "window_start", "window_end")
+    def sessions(stream):
+        return windows.event_sessions(stream, KEY, "ts", "1 hour", n=_n(), sum_vc=F.sum("vc"))
+
+    return windowed(spark, sf_dir, sessions, *BOUNDS)
 
 
 # A stream ignores a record with an empty gap, which covers no time.
@@ -77,20 +90,20 @@ def stream_session_fixed(spark, sf_dir):
     _session_sql("session_dynamic").replace("vc * 60", "greatest(vc, 1) * 60"),
 )
 def stream_session_dynamic(spark, sf_dir):
-    gap = windows.gap_seconds(F.greatest(F.col("vc"), F.lit(1)) * 60)
-    sessions = windows.event_sessions(
-        ended(sensor_stream(spark, sf_dir)), KEY, "ts", gap, n=F.count(F.lit(1)), sum_vc=F.sum("vc")
-    )
-    return result(sessions, "window_start", "window_end")
+    def sessions(stream):
+        gap = windows.gap_seconds(F.greatest(F.coalesce("vc", F.lit(1)), F.lit(1)) * 60)
+        return windows.event_sessions(stream, KEY, "ts", gap, n=_n(), sum_vc=F.sum("vc"))
+
+    return windowed(spark, sf_dir, sessions, *BOUNDS)
 
 
 @query("stream_top_of_windows", f"SELECT epoch_ms(window_end) AS window_end_ms, vc, n, rank FROM ({SQL['topn_two_stage']})")
 def stream_top_of_windows(spark, sf_dir):
-    counts = windows.event_windows(
-        ended(sensor_stream(spark, sf_dir)), ["vc"], "ts", "2 hours", "1 hour", n=F.count(F.lit(1))
-    )
-    counts = counts.withColumn("window_end_ms", F.unix_millis("window_end"))
-    return result(stateful.top_of_windows(counts, 2))
+    def top(stream):
+        counts = windows.event_windows(stream, ["vc"], "ts", "2 hours", "1 hour", n=_n())
+        return stateful.top_of_windows(counts.withColumn("window_end_ms", F.unix_millis("window_end")), 2)
+
+    return windowed(spark, sf_dir, top)
 
 
 def _sides(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,17 +67,23 @@ def last_batch(written: DataFrame) -> DataFrame:
     return written.where(F.col("batch_id") == last).drop("batch_id")
 
 
-def end_marked(stream: DataFrame, ts: str, folder: str | None = None) -> DataFrame:
-    """A bounded stream followed by one far-future row, so that all its windows close.
+def run_to_end(stream: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame], folder: str | None = None) -> DataFrame:
+    """Run ``build(stream)`` over a bounded stream so that all its windows close.
 
-    The marker moves the watermark past every real row; its own window stays open and is never
-    emitted. Apply before ``withWatermark``. Its other columns are null.
+    After the available input a single far-future row follows in a micro-batch of its own and
+    moves the watermark past every real row. The windows of that row (its columns other than
+    ``ts`` are null) stay open and are never emitted. ``build`` sets the watermark and must not
+    filter that row out, as Spark would then drop it before it reaches the watermark.
     """
     spark = stream.sparkSession
-    folder = folder or f"{run_folder(spark)}/end"
+    folder = folder or run_folder(spark)
     marker = [
         (F.lit("9000-01-01 00:00:00") if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in stream.schema
     ]
-    spark.range(1).select(*marker).write.mode("overwrite").parquet(folder)
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder))
+    end = f"{folder}/end"
+    spark.range(0).select(*marker).write.parquet(end)
+    built = build(stream.unionByName(spark.readStream.schema(stream.schema).parquet(end)))
+    run_available(built, "append", folder)
+    spark.range(1).select(*marker).write.mode("append").parquet(end)
+    return run_available(built, "append", folder)

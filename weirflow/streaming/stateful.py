@@ -206,7 +206,7 @@ class LatenessWindow(_Keyed):
             yield self.result(key, 0, n, total)
             fired = 1
         for row in rows:
-            n, total = n + 1, total + row[self.column]
+            n, total = n + 1, total + (row[self.column] or 0)
         if end <= watermark:
             yield self.result(key, fired, n, total)
             fired += 1
