@@ -230,12 +230,12 @@ def test_user_aggregate_over_many_batches(spark):
     out = rolling.user_aggregate(
         df,
         ["k"],
-        add=lambda rows: {"lo": int(rows["v"].min()), "hi": int(rows["v"].max())},
-        merge=lambda accs: {"lo": int(accs["lo"].min()), "hi": int(accs["hi"].max())},
+        add=lambda groups: groups["v"].agg(lo="min", hi="max"),
+        merge=lambda groups: groups.agg({"lo": "min", "hi": "max"}),
         result=lambda accs: (accs["hi"] - accs["lo"]).astype(str).to_frame("spread"),
         accumulator="lo bigint, hi bigint",
         output="spread string",
-        flush_keys=3,
+        flush_rows=3,
     )
     expected = df.groupBy("k").agg((F.max("v") - F.min("v")).cast("string").alias("spread"))
     assert bag(out) == bag(expected)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,45 +102,53 @@ def grouped(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFra
 def user_aggregate(
     df: DataFrame,
     keys: Sequence[str],
-    add: Callable[[pd.DataFrame], dict],
-    merge: Callable[[pd.DataFrame], dict],
+    add: Callable[[DataFrameGroupBy], pd.DataFrame],
+    merge: Callable[[DataFrameGroupBy], pd.DataFrame],
     result: Callable[[pd.DataFrame], pd.DataFrame],
     accumulator: str,
     output: str,
-    flush_keys: int = 50_000,
+    flush_rows: int = 100_000,
 ) -> DataFrame:
     """Aggregate with a user-defined accumulator (input, accumulator and output types may differ).
 
-    ``add`` folds the rows of one key in an Arrow batch to an accumulator, ``merge`` folds several
-    accumulators of a key to one, ``result`` turns accumulators into output columns. Accumulators
-    are combined inside each input task, so at most a few per key and task are shuffled.
+    ``add`` folds grouped input rows to one accumulator per key, ``merge`` folds grouped
+    accumulators likewise, and ``result`` turns accumulators into output columns; all three work
+    on whole pandas frames. Accumulators are combined inside each input task before the shuffle,
+    so a hot key sends a few per task, and after it they are merged along the sorted keys.
     ``accumulator`` and ``output`` are DDL column lists without the keys.
     """
     keys = list(keys)
     key_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
     def fold(rows: pd.DataFrame, how) -> pd.DataFrame:
-        records = [
-            {**dict(zip(keys, key)), **how(group)} for key, group in rows.groupby(keys, dropna=False, sort=False)
-        ]
-        return pd.DataFrame(records)
+        return how(rows.groupby(keys, dropna=False, sort=False)).reset_index()
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not batch.empty:
+                held.append(fold(batch, add))
+            if sum(map(len, held)) > flush_rows:
+                yield fold(pd.concat(held, ignore_index=True), merge)
+                held = []
+        if held:
+            yield fold(pd.concat(held, ignore_index=True), merge)
+
+    def finish(accumulators: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([accumulators[keys], result(accumulators)], axis=1)
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
         for batch in batches:
             if batch.empty:
                 continue
-            fresh = fold(batch, add)
-            held = fresh if held is None else fold(pd.concat([held, fresh], ignore_index=True), merge)
-            if len(held) > flush_keys:
-                yield held
-                held = None
-        if held is not None:
-            yield held
-
-    def combine(group: pd.DataFrame) -> pd.DataFrame:
-        merged = fold(group, merge)
-        return pd.concat([merged[keys], result(merged)], axis=1)
+            merged = fold(batch if last is None else pd.concat([last, batch], ignore_index=True), merge)
+            # The last key may go on in the next batch.
+            last = merged.iloc[-1:].reset_index(drop=True)
+            yield finish(merged.iloc[:-1])
+        if last is not None:
+            yield finish(last)
 
     partials = df.mapInPandas(partial, f"{key_ddl}, {accumulator}")
-    return partials.groupBy(*keys).applyInPandas(combine, f"{key_ddl}, {output}")
+    placed = partials.repartition(*keys).sortWithinPartitions(*keys)
+    return placed.mapInPandas(combine, f"{key_ddl}, {output}")

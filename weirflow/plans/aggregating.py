@@ -104,8 +104,8 @@ def udaf_sum(spark, sf_dir):
     return rolling.user_aggregate(
         sensor(spark, sf_dir).select("id", "vc"),
         KEY,
-        add=lambda rows: {"acc": int(rows["vc"].sum()), "n": len(rows)},
-        merge=lambda accs: {"acc": int(accs["acc"].sum()), "n": int(accs["n"].sum())},
+        add=lambda groups: groups["vc"].agg(acc="sum", n="size"),
+        merge=lambda groups: groups[["acc", "n"]].sum(),
         result=lambda accs: accs[["acc"]].astype(str).rename(columns={"acc": "total"}).assign(n=accs["n"]),
         accumulator="acc bigint, n bigint",
         output="total string, n bigint",

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from weirflow.session import use_keyed_state_store
+
 
 def _schema(ddl: str) -> T.StructType:
     """Parsed where the query is built: tasks have no session to parse it."""
@@ -254,6 +256,11 @@ class TopOfWindow(_Keyed):
 
 def _apply(stream: DataFrame, keys: Sequence[str], processor: _Keyed, columns: str, time_mode: str = "None") -> DataFrame:
     schema = T.StructType([stream.schema[k] for k in keys] + _schema(columns).fields)
+    return _transform(stream, keys, processor, schema, time_mode)
+
+
+def _transform(stream: DataFrame, keys, processor: _Keyed, schema: T.StructType, time_mode: str) -> DataFrame:
+    use_keyed_state_store(stream.sparkSession)
     processor.names = schema.fieldNames()
     return stream.groupBy(*keys).transformWithState(processor, schema, "append", time_mode)
 
@@ -347,9 +354,7 @@ def late_tagged(stream: DataFrame, keys, at_ms: str) -> DataFrame:
     """Each row with ``late``. The watermark column must be projected away after
     ``withWatermark``, otherwise Spark drops late rows before they can be tagged."""
     schema = T.StructType([*stream.schema.fields, T.StructField("late", T.BooleanType())])
-    processor = LateTagger([], at_ms, stream.columns)
-    processor.names = schema.fieldNames()
-    return stream.groupBy(*keys).transformWithState(processor, schema, "append", "EventTime")
+    return _transform(stream, keys, LateTagger([], at_ms, stream.columns), schema, "EventTime")
 
 
 def allowed_lateness(stream: DataFrame, keys, order, value: str, lateness_ms: int) -> DataFrame:
