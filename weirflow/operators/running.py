@@ -1,13 +1,17 @@
 """Running folds per key (one output row per input row) that survive hot keys.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. So the rows per key are
-counted first (a scan of the key columns, aggregated before the shuffle). If no key has more than
-``slice_rows`` rows the plain window is used. Otherwise the hot keys are cut into consecutive
-slices of their own order, each slice is folded in its own task, and the folds of the earlier
-slices are carried in from a table with one row per slice. The other keys stay whole.
-
-Bounds: at most ``rows / slice_rows`` groups can be hot, and they get at most twice as many
-slices, so the tables of hot groups and of carried folds are smaller than the data by that factor.
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. So hot keys are looked
+for first. If no key has more than ``slice_rows`` rows the plain window is used. Otherwise the hot
+keys are cut into consecutive slices of their own order, each slice is folded in its own task, and
+the folds of the earlier slices are carried in from a table with one row per slice. The other keys
+stay whole.
+
+The search counts a sample of the key columns, so it shuffles almost nothing; only the keys that
+stand out are then counted exactly. The sample decides where the work is cut, never which rows are
+in the result: every row is folded either way.
+
+Bounds: at most ``rows / slice_rows`` keys can be hot, and they get at most twice as many slices,
+so the tables of hot keys and of carried folds are smaller than the data by that factor.
 """
 
 from __future__ import annotations
@@ -20,10 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import ordinal
-from weirflow.session import materialise
+from weirflow.session import broadcast_if_small, materialise
 
 SLICE_ROWS = 2_000_000
 MAX_LEVELS = 4
+# A key at the limit shows up this often in the sample; it stands out from half of that.
+SAMPLED_PER_LIMIT = 100
 
 
 @dataclass(frozen=True)
@@ -81,11 +87,35 @@ class Sliced:
         return self.df.drop(*self.slices)
 
 
-def _hot_groups(df: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame | None:
-    """Groups with more than ``slice_rows`` rows (at most ``rows / slice_rows`` of them), if any."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > slice_rows)
-    hot = materialise(counts)
-    return None if hot.isEmpty() else hot
+def _standing_out(df: DataFrame, keys: Sequence[str], slice_rows: int) -> DataFrame:
+    """Keys that may have more than ``slice_rows`` rows (few others among them)."""
+    fraction = min(1.0, SAMPLED_PER_LIMIT / slice_rows)
+    counts = df.select(*keys).sample(fraction, seed=1).groupBy(*keys).agg(F.count(F.lit(1)).alias("_sampled"))
+    return counts.where(F.col("_sampled") > slice_rows * fraction / 2).drop("_sampled")
+
+
+def _cuts(rows: DataFrame, group: Sequence[str], first: Column, last: Column, slice_rows: int) -> DataFrame:
+    """Per group with more than ``slice_rows`` rows: where its slices start and how wide they are."""
+    ranges = (
+        rows.groupBy(*group)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(first).alias("_first_lo"),
+            F.max(first).alias("_first_hi"),
+            F.min(last).alias("_last_lo"),
+            F.max(last).alias("_last_hi"),
+        )
+        .where(F.col("_n") > slice_rows)
+    )
+    by_first = F.col("_first_hi") > F.col("_first_lo")
+    low = F.when(by_first, F.col("_first_lo")).otherwise(F.col("_last_lo"))
+    high = F.when(by_first, F.col("_first_hi")).otherwise(F.col("_last_hi"))
+    return ranges.select(
+        *group,
+        by_first.alias("_by_first"),
+        low.alias("_low"),
+        F.ceil((high - low + 1) / F.ceil(F.col("_n") / slice_rows)).alias("_width"),
+    )
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS) -> Sliced:
@@ -97,38 +127,21 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], sli
     """
     first, last = ordinal(df, order[0]), ordinal(df, order[-1])
     out = Sliced(df, tuple(keys), tuple(order))
+    suspects = materialise(_standing_out(df, keys, slice_rows))
+    if suspects.isEmpty():
+        return out
+    rows = df.join(broadcast_if_small(suspects), list(keys))
     for level in range(MAX_LEVELS):
-        rows = out.hot() if out.slices else df
-        hot = _hot_groups(rows, out.group, slice_rows)
-        if hot is None:
+        # Few groups from here on, so counting them shuffles only partial counts.
+        cuts = materialise(_cuts(rows, out.group, first, last, slice_rows))
+        if cuts.isEmpty():
             return out
-        ranges = (
-            rows.join(F.broadcast(hot), out.group)
-            .groupBy(*out.group, "_n")
-            .agg(
-                F.min(first).alias("_first_lo"),
-                F.max(first).alias("_first_hi"),
-                F.min(last).alias("_last_lo"),
-                F.max(last).alias("_last_hi"),
-            )
-        )
-        by_first = F.col("_first_hi") > F.col("_first_lo")
-        low = F.when(by_first, F.col("_first_lo")).otherwise(F.col("_last_lo"))
-        high = F.when(by_first, F.col("_first_hi")).otherwise(F.col("_last_hi"))
-        cuts = materialise(
-            ranges.select(
-                *out.group,
-                by_first.alias("_by_first"),
-                low.alias("_low"),
-                F.ceil((high - low + 1) / F.ceil(F.col("_n") / slice_rows)).alias("_width"),
-            )
-        )
         position = F.when(F.col("_by_first"), first).otherwise(last) - F.col("_low")
         number = F.coalesce(F.floor(position / F.col("_width")) + 1, F.lit(0)).cast("bigint")
         name = f"_slice{level}"
-        # As many rows as there are hot groups: bounded as stated above.
-        cut = out.df.join(F.broadcast(cuts), out.group, "left").withColumn(name, number)
+        cut = out.df.join(broadcast_if_small(cuts), out.group, "left").withColumn(name, number)
         out = Sliced(cut.drop("_by_first", "_low", "_width"), out.keys, out.order, (*out.slices, name))
+        rows = out.hot()
     return out
 
 
