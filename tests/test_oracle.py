@@ -10,6 +10,8 @@ from tests.oracle import compare, database
 
 SF = "/root/testdata/sf0.001"
 STREAMS = {"stream_word_count", "stream_session_dynamic", "stream_interval_join", "stream_top3", "stream_text_sink"}
+# These joins may have no pairs or late rows in the smallest tables.
+SPARSE = {"window_join", "interval_join_late_left", "interval_join_late_right"}
 NAMES = [n for n in entry.queries() if not n.startswith("stream_") or n in STREAMS]
 
 
@@ -22,7 +24,7 @@ def con():
 def test_query_matches_sql(spark, con, name):
     problem, rows = compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF)
     assert problem is None
-    assert rows > 0 or name == "window_join"
+    assert rows > 0 or name in SPARSE
 
 
 def test_entry(spark):

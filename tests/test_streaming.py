@@ -151,7 +151,7 @@ def test_stream_joins(spark, tmp_path, kind):
     else:
         left, right = left.withWatermark("lts", "100 seconds"), right.withWatermark("rts", "100 seconds")
         if kind == "interval":
-            out = joins.interval_join(left, right, ["key"], "lts", "rts", "5 seconds", "9 seconds")
+            out = joins.interval_join(left, right, ["key"], "lts", "rts", 5, 9)
             twin = batch_joins.interval_join(a, b, ["key"], "lts", "rts", 5, 9)
         else:
             out = joins.window_join(left, right, ["key"], "lts", "rts", "20 seconds")
@@ -165,7 +165,7 @@ def test_join_inputs_parsed_from_lines(spark, tmp_path):
     right = parse_records(replay_lines(spark, tmp_path / "r", [["a,1,1", "a,11,1"], ["b,2,1", "c,14,1", "d,15,1"]]), RIGHT_EVENT)
     left = left.select("key", F.timestamp_seconds("sec").alias("lts"), "sec").withWatermark("lts", "3 seconds")
     right = right.select("key", F.timestamp_seconds("sec").alias("rts"), F.col("sec").alias("rsec"), "n")
-    pairs = joins.interval_join(left, right.withWatermark("rts", "3 seconds"), ["key"], "lts", "rts", "2 seconds", "2 seconds")
+    pairs = joins.interval_join(left, right.withWatermark("rts", "3 seconds"), ["key"], "lts", "rts", 2, 2)
     assert bag(runs.run_available(pairs), "key", "sec", "rsec") == [("a", 1, 1), ("a", 2, 1), ("b", 3, 2)]
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import ordinal
+from weirflow.functions.times import floor_to, ordinal
 
 MICROS = 1_000_000
 
@@ -38,6 +38,17 @@ def within(left_at: Column, right_at: Column, before_us: int, after_us: int) ->
     return (right_at >= left_at - before_us) & (right_at <= left_at + after_us)
 
 
+def bucket(micros: Column, width: int) -> Column:
+    """Number of the ``width`` microseconds wide bucket that holds ``micros``."""
+    return (floor_to(micros, width) / width).cast("bigint")
+
+
+def buckets_touched(left_at: Column, before_us: int, after_us: int) -> Column:
+    """The one or two buckets, as wide as the interval, that a left row's interval touches."""
+    width = max(before_us + after_us, 1)
+    return F.sequence(bucket(left_at - before_us, width), bucket(left_at + after_us, width))
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -54,18 +65,10 @@ def interval_join(
     right row under exactly one, hence each pair is met once.
     """
     before_us, after_us = round(before_seconds * MICROS), round(after_seconds * MICROS)
-    width = F.lit(max(before_us + after_us, 1))
-
-    def bucket(micros: Column) -> Column:
-        return ((micros - F.pmod(micros, width)) / width).cast("bigint")
-
     a = left.withColumn("_left_at", ordinal(left, left_ts))
-    a = a.withColumn(
-        "_bucket",
-        F.explode(F.sequence(bucket(F.col("_left_at") - before_us), bucket(F.col("_left_at") + after_us))),
-    )
+    a = a.withColumn("_bucket", F.explode(buckets_touched(F.col("_left_at"), before_us, after_us)))
     b = right.withColumn("_right_at", ordinal(right, right_ts))
-    b = b.withColumn("_bucket", bucket(F.col("_right_at")))
+    b = b.withColumn("_bucket", bucket(F.col("_right_at"), max(before_us + after_us, 1)))
     pairs = a.join(b, [*on, "_bucket"], "inner").where(
         within(F.col("_left_at"), F.col("_right_at"), before_us, after_us)
     )

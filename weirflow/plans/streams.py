@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weirflow.functions.times import to_ntz, to_utc_timestamp
 from weirflow.operators import project, route
-from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (their SQL is shared)
+from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
 from weirflow.plans.views import SENSOR_SQL, of_kind, table
 from weirflow.sinks.files import start_text_sink
@@ -118,7 +118,7 @@ def _sides(spark, sf_dir):
 @query("stream_interval_join", SQL["interval_join"])
 def stream_interval_join(spark, sf_dir):
     left, right = _sides(spark, sf_dir)
-    pairs = joins.interval_join(left, right, KEY, "left_ts", "right_ts", "2 hours", "2 hours")
+    pairs = joins.interval_join(left, right, KEY, "left_ts", "right_ts", joining.BOUND_SECONDS, joining.BOUND_SECONDS)
     return result(pairs, "left_ts", "right_ts")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.operators.joins import MICROS, bucket, buckets_touched
+
 
 def _equal(on: Sequence[str]):
     condition = F.col(f"l.{on[0]}") == F.col(f"r.{on[0]}")
@@ -31,17 +33,23 @@ def interval_join(
     on: Sequence[str],
     left_ts: str,
     right_ts: str,
-    before: str,
-    after: str,
+    before_seconds: float,
+    after_seconds: float,
 ) -> DataFrame:
     """Pairs with ``right_ts`` in ``[left_ts - before, left_ts + after]``.
 
-    With watermarks on both sides (``withWatermark``) the bounds let Spark drop old state.
+    With watermarks on both sides (``withWatermark``) the bounds let Spark drop old state. As in
+    the batch form, time buckets in the key spread a hot key over the state partitions.
     """
-    condition = _equal(on) & F.expr(
-        f"r.{right_ts} >= l.{left_ts} - INTERVAL {before} AND r.{right_ts} <= l.{left_ts} + INTERVAL {after}"
+    before_us, after_us = round(before_seconds * MICROS), round(after_seconds * MICROS)
+    touched = buckets_touched(F.unix_micros(left_ts), before_us, after_us)
+    a = left.withColumn("_bucket", F.explode(touched))
+    b = right.withColumn("_bucket", bucket(F.unix_micros(right_ts), max(before_us + after_us, 1)))
+    lag, lead = (f"make_dt_interval(0, 0, 0, {us / MICROS})" for us in (before_us, after_us))
+    condition = _equal([*on, "_bucket"]) & F.expr(
+        f"r.{right_ts} >= l.{left_ts} - {lag} AND r.{right_ts} <= l.{left_ts} + {lead}"
     )
-    return left.alias("l").join(right.alias("r"), condition, "inner").select(*_columns(left, right, on))
+    return a.alias("l").join(b.alias("r"), condition, "inner").select(*_columns(left, right, on))
 
 
 def window_join(

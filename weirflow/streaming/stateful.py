@@ -2,7 +2,8 @@
 
 State lives in Spark's checkpointed store, one entry per key. The rows of a key arrive in any
 order within a micro-batch, so each processor sorts them by the ``order`` columns first; how many
-there can be is set by the size of a micro-batch (``maxFilesPerTrigger`` and the like).
+there can be is set by the size of a micro-batch (``maxFilesPerTrigger`` and the like). Inputs
+have a ``seq`` column that names the record in the output.
 """
 
 from __future__ import annotations
@@ -254,8 +255,18 @@ class TopOfWindow(_Keyed):
         self.best.clear()
 
 
-def _apply(stream: DataFrame, keys: Sequence[str], processor: _Keyed, columns: str, time_mode: str = "None") -> DataFrame:
+def _apply(
+    stream: DataFrame,
+    keys: Sequence[str],
+    processor: _Keyed,
+    columns: str,
+    time_mode: str = "None",
+    reads: Sequence[str] = (),
+) -> DataFrame:
+    """``reads`` names the columns the processor needs; nothing else is sent to it."""
     schema = T.StructType([stream.schema[k] for k in keys] + _schema(columns).fields)
+    if reads:
+        stream = stream.select(*dict.fromkeys([*keys, *processor.order, "seq", *reads]))
     return _transform(stream, keys, processor, schema, time_mode)
 
 
@@ -272,7 +283,7 @@ def jumps(stream: DataFrame, keys, order, value: str, limit: int) -> DataFrame:
         last, now = (held[0] if held else 0), row[value]
         return (now,), ([(row["seq"], now, last)] if abs(now - last) > limit else [])
 
-    return _apply(stream, keys, ValueFold(order, "last int", step), "seq bigint, vc int, prev_vc int")
+    return _apply(stream, keys, ValueFold(order, "last int", step), "seq bigint, vc int, prev_vc int", reads=[value])
 
 
 def running_sum(stream: DataFrame, keys, order, value: str) -> DataFrame:
@@ -280,7 +291,7 @@ def running_sum(stream: DataFrame, keys, order, value: str) -> DataFrame:
         total = (held[0] if held else 0) + row[value]
         return (total,), [(row["seq"], total)]
 
-    return _apply(stream, keys, ValueFold(order, "total bigint", step), "seq bigint, sum_vc bigint")
+    return _apply(stream, keys, ValueFold(order, "total bigint", step), "seq bigint, sum_vc bigint", reads=[value])
 
 
 def running_average(stream: DataFrame, keys, order, value: str) -> DataFrame:
@@ -289,7 +300,8 @@ def running_average(stream: DataFrame, keys, order, value: str) -> DataFrame:
         total, n = total + row[value], n + 1
         return (total, n), [(row["seq"], total / n)]
 
-    return _apply(stream, keys, ValueFold(order, "total bigint, n bigint", step), "seq bigint, avg_vc double")
+    processor = ValueFold(order, "total bigint, n bigint", step)
+    return _apply(stream, keys, processor, "seq bigint, avg_vc double", reads=[value])
 
 
 def reduced(stream: DataFrame, keys, order, schema: str, columns: str, step: Callable) -> DataFrame:
@@ -304,7 +316,7 @@ def record_counter(stream: DataFrame, keys, order) -> DataFrame:
         n = held[0] if held else 0
         return (n + 1,), [(row["seq"], n)]
 
-    return _apply(stream, keys, ValueFold(order, "n bigint", step), "seq bigint, counter bigint")
+    return _apply(stream, keys, ValueFold(order, "n bigint", step), "seq bigint, counter bigint", reads=["seq"])
 
 
 def last_with_ttl(stream: DataFrame, keys, order, value: str, ttl_ms: int) -> DataFrame:
@@ -314,7 +326,7 @@ def last_with_ttl(stream: DataFrame, keys, order, value: str, ttl_ms: int) -> Da
         return (row[value],), [(row["seq"], held[0] if held else 0)]
 
     processor = ValueFold(order, "last int", step, ttl_ms)
-    return _apply(stream, keys, processor, "seq bigint, last_vc int", "ProcessingTime")
+    return _apply(stream, keys, processor, "seq bigint, last_vc int", "ProcessingTime", [value])
 
 
 def global_window(stream: DataFrame, keys, order, value: str, fire_when: Callable[[int], bool]) -> DataFrame:
@@ -325,20 +337,21 @@ def global_window(stream: DataFrame, keys, order, value: str, fire_when: Callabl
         n, total = n + 1, total + row[value]
         return (n, total), ([(row["seq"], n, total)] if fire_when(n) else [])
 
-    return _apply(stream, keys, ValueFold(order, "n bigint, total bigint", step), "seq bigint, n bigint, sum_vc bigint")
+    processor = ValueFold(order, "n bigint, total bigint", step)
+    return _apply(stream, keys, processor, "seq bigint, n bigint, sum_vc bigint", reads=[value])
 
 
 def top_so_far(stream: DataFrame, keys, order, value: str, k: int = 3) -> DataFrame:
-    return _apply(stream, keys, TopList(order, value, k), "seq bigint, top array<int>")
+    return _apply(stream, keys, TopList(order, value, k), "seq bigint, top array<int>", reads=[value])
 
 
 def value_counts_so_far(stream: DataFrame, keys, order, value: str) -> DataFrame:
-    return _apply(stream, keys, CountMap(order, value), "seq bigint, counts map<int,bigint>")
+    return _apply(stream, keys, CountMap(order, value), "seq bigint, counts map<int,bigint>", reads=[value])
 
 
 def count_windows(stream: DataFrame, keys, order, value: str, size: int, slide: int | None = None) -> DataFrame:
     processor = CountWindow(order, value, size, slide)
-    return _apply(stream, keys, processor, "window_no bigint, n bigint, elements array<int>")
+    return _apply(stream, keys, processor, "window_no bigint, n bigint, elements array<int>", reads=[value])
 
 
 def delay_timers(stream: DataFrame, keys, delay_ms: int) -> DataFrame:
