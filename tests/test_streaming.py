@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.replay import add_batch, replay, replay_lines
-from weirflow.operators import eventtime, project, rolling, route, state, topn
+from weirflow.operators import combine, eventtime, partition, project, rolling, route, state, topn
 from weirflow.operators import joins as batch_joins
 from weirflow.operators import windows as batch_windows
 from weirflow.sinks.files import start_text_sink
@@ -169,6 +169,61 @@ def test_join_inputs_parsed_from_lines(spark, tmp_path):
     assert bag(runs.run_available(pairs), "key", "sec", "rsec") == [("a", 1, 1), ("a", 2, 1), ("b", 3, 2)]
 
 
+def test_late_rows_of_a_join_go_to_outputs_of_their_own(spark, tmp_path):
+    rng = random.Random(21)
+
+    def side(offset):
+        batches = [[] for _ in range(6)]
+        for seq in range(60):
+            batches[min(5, seq // 10 + rng.choice([0, 0, 1, 2]))].append((rng.choice("ab"), at(500 + seq), offset + seq))
+        return batches
+
+    left_rows, right_rows = side(0), side(1000)
+    tagged = joins.tagged_inputs(
+        replay(spark, tmp_path / "l", JOIN_LEFT, left_rows),
+        replay(spark, tmp_path / "r", JOIN_RIGHT, right_rows),
+        ["key"], "lts", "rts", "3 seconds", "3 seconds",
+    )
+    routed = route.route(
+        tagged,
+        {"late_left": F.expr("late AND side = 'left'"), "late_right": F.expr("late AND side = 'right'")},
+    )
+    folder = str(tmp_path / "out")
+    start_routed_sink(routed, folder, str(tmp_path / "cp"), ["late_left", "late_right", "main"]).awaitTermination()
+
+    def twin(batches, schema, ts):
+        rows = [(*row, number) for number, batch in enumerate(batches) for row in batch]
+        return spark.createDataFrame(rows, schema + ", batch bigint").withColumn("ts_ms", F.unix_millis(ts))
+
+    pairs, late_left, late_right = eventtime.interval_join_with_late(
+        twin(left_rows, JOIN_LEFT, "lts"), twin(right_rows, JOIN_RIGHT, "rts"),
+        ["key"], "lts", "rts", 2, 2, "batch", "ts_ms", 3_000,
+    )
+    late = spark.read.parquet(f"{folder}/late_left")
+    assert bag(late, "left.lseq") == bag(late_left, "lseq") and late.count() > 0
+    assert bag(spark.read.parquet(f"{folder}/late_right"), "right.rseq") == bag(late_right, "rseq")
+    schema = spark.read.parquet(f"{folder}/main").drop("batch_id").schema
+    on_time = spark.readStream.schema(schema).parquet(f"{folder}/main")
+    a, b = (on_time.where(F.col("side") == name).select(f"{name}.*") for name in ("left", "right"))
+    joined = runs.run_available(joins.interval_join(a, b, ["key"], "lts", "rts", 2, 2))
+    assert bag(joined, "lseq", "rseq") == bag(pairs, "lseq", "rseq") and pairs.count() > 0
+
+
+def test_union_of_streams(spark, tmp_path):
+    a = replay_lines(spark, tmp_path / "a", [["1", "2"], ["3"]]).select(F.col("value").cast("int").alias("v"))
+    b = replay_lines(spark, tmp_path / "b", [["1"], ["2"]]).select(F.col("value").cast("int").alias("v"))
+    assert bag(runs.run_available(combine.union_all(a, b)), "v") == [(1,), (1,), (2,), (2,), (3,)]
+
+
+def test_empty_partitions_do_not_hold_windows_back(spark, tmp_path):
+    """One partition gets all rows, the other none; windows still close."""
+    batches = [[("k", at(t), t, t)] for t in (1, 3, 11, 25)]
+    stream = replay(spark, tmp_path / "in", SCHEMA, batches)
+    routed = partition.route_by_rule(stream, 2, F.col("seq"))
+    out = runs.run_available(windows.event_windows(windows.monotonous(routed, "ts"), KEY, "ts", "10 seconds", n=F.count("*")))
+    assert bag(out, "n") == [(1,), (2,)]
+
+
 def _pairs():
     listed = F.transform(F.array_sort(F.collect_list(F.struct("_rn", "vc"))), lambda x: x["vc"])
     return {

@@ -25,6 +25,15 @@ def rebalance(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a source that has fewer splits than there are cores; leave any other as it is.
+
+    For heavy work per row on a few files. A large table has enough splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return rebalance(df, cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shuffle_rows(df: DataFrame, partitions: int, seed: int = 0) -> DataFrame:
     """Random redistribution (seeded, so that a retried task places its rows again alike)."""
     return df.repartition(partitions, F.rand(seed))

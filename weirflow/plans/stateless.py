@@ -38,8 +38,8 @@ def generate_numbers(spark, sf_dir):
     SELECT word, count(*) AS n FROM words GROUP BY word""",
 )
 def text_scan_wordcount(spark, sf_dir):
-    lines = project.split_lines(table(spark, sf_dir, "documents"), "text")
-    return project.word_count(lines)
+    texts = partition.spread(table(spark, sf_dir, "documents").select("text"))
+    return project.word_count(project.split_lines(texts, "text"))
 
 
 def _reading_lines(spark, sf_dir):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.operators.joins import MICROS, bucket, buckets_touched
+from weirflow.streaming.stateful import late_tagged
 
 
 def _equal(on: Sequence[str]):
@@ -67,3 +68,25 @@ def window_join(
 
     a, b = side(left, left_ts), side(right, right_ts)
     return connect_join(a, b, ["window", *on])
+
+
+def tagged_inputs(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, left_delay: str, right_delay: str
+) -> DataFrame:
+    """Both inputs of an interval join as one stream, each row tagged ``side`` and ``late``.
+
+    The watermark is the lesser of the two inputs' (Spark's policy for several watermarks), and a
+    row below it on arrival is late. Route the rows by ``side`` and ``late`` to outputs of their
+    own (:func:`weirflow.sinks.routed.start_routed_sink`) and join the ones on time. The rows of
+    each side are in the struct column ``left`` or ``right``.
+    """
+
+    def side(df: DataFrame, ts: str, delay: str, name: str) -> DataFrame:
+        row = F.struct(*df.columns)
+        marked = df.withWatermark(ts, delay).withColumns({"_row": row, "_ms": F.unix_millis(ts)})
+        return marked.select(*on, F.lit(name).alias("side"), F.col("_ms").alias("ts_ms"), F.col("_row").alias(name))
+
+    both = side(left, left_ts, left_delay, "left").unionByName(
+        side(right, right_ts, right_delay, "right"), allowMissingColumns=True
+    )
+    return late_tagged(both, on, "ts_ms")
