@@ -217,6 +217,29 @@ def test_window_elements_go_on_over_pages(spark):
     }
 
 
+def test_process_windows_sees_each_window_once_in_order(spark):
+    rows = [(f"k{i % 3}" if i % 5 else None, i, i) for i in range(200)]
+    df = sensors(spark, rows).withColumn("ts", event_time(F.col("ts")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+
+    def listed(pieces):
+        pieces = list(pieces)
+        head = pieces[0][["id", "window_start"]].iloc[:1]
+        values = [int(v) for piece in pieces for v in piece["vc"]]
+        yield head.assign(values=",".join(map(str, values)), pieces=len(pieces))
+
+    schema = "id string, window_start timestamp, values string, pieces bigint"
+    try:
+        out = windows.process_windows(df, ["id"], "ts", "50 seconds", listed, schema, order=["ts", "seq"])
+        got = {(r["id"], int(r["window_start"].timestamp())): r["values"] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {}
+    for key, at, vc in rows:
+        expected.setdefault((key, at - at % 50), []).append(str(vc))
+    assert got == {k: ",".join(v) for k, v in expected.items()}
+
+
 def test_sessions_that_touch_merge(spark):
     rows = [("k", 0, 1), ("k", 5, 1), ("k", 11, 1)]
     df = sensors(spark, rows).withColumn("ts", event_time(F.col("ts")))

@@ -10,8 +10,8 @@ The search counts a sample of the key columns, so it shuffles almost nothing; on
 stand out are then counted exactly. The sample decides where the work is cut, never which rows are
 in the result: every row is folded either way.
 
-Bounds: at most ``rows / slice_rows`` keys can be hot, and they get at most twice as many slices,
-so the tables of hot keys and of carried folds are smaller than the data by that factor.
+Bounds: at most ``rows / slice_rows`` keys can be hot, and they get at most three times as many
+slices, so the tables of hot keys and of carried folds are smaller than the data by that factor.
 """
 
 from __future__ import annotations
@@ -114,7 +114,8 @@ def _cuts(rows: DataFrame, group: Sequence[str], first: Column, last: Column, sl
         *group,
         by_first.alias("_by_first"),
         low.alias("_low"),
-        F.ceil((high - low + 1) / F.ceil(F.col("_n") / slice_rows)).alias("_width"),
+        # Half full on average, so that uneven arrival rarely makes a slice too large.
+        F.ceil((high - low + 1) / F.ceil(2 * F.col("_n") / slice_rows)).alias("_width"),
     )
 
 

@@ -5,9 +5,11 @@ The time-window functions also take streaming inputs (see ``weirflow.streaming.w
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
+from itertools import groupby
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,17 +86,50 @@ def window_elements(
     return paged.join(counts, group, "inner")
 
 
-def process_windows(df: DataFrame, keys: Sequence[str], ts: str, size: str, fn: Callable, schema: str) -> DataFrame:
+def _one_by_one(
+    batches: Iterator[pd.DataFrame], group: Sequence[str], fn: Callable, rows_out: int = 10_000
+) -> Iterator[pd.DataFrame]:
+    """Call ``fn`` with the pieces of each group of sorted batches; give its frames out in larger ones."""
+
+    def pieces():
+        for batch in batches:
+            for key, piece in batch.groupby(group, dropna=False, sort=False):
+                yield tuple(None if pd.isna(part) else part for part in key), piece
+
+    held, size = [], 0
+    for _, run in groupby(pieces(), key=lambda pair: pair[0]):
+        for frame in fn(piece for _, piece in run):
+            held.append(frame)
+            size += len(frame)
+            if size >= rows_out:
+                yield pd.concat(held, ignore_index=True)
+                held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def process_windows(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size: str,
+    fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: str,
+    order: Sequence[str] = (),
+) -> DataFrame:
     """Opaque logic per key and window, for what no aggregate can express.
 
-    ``fn`` takes an iterator of pandas frames (the window's rows in batches, with
-    ``window_start``/``window_end`` columns) and yields frames, so it can work in bounded memory.
-    One window of one key is still one task: prefer :func:`time_windows` or
+    ``fn`` takes an iterator of pandas frames (the window's rows along ``order``, with
+    ``window_start``/``window_end`` columns, in pieces no larger than an Arrow batch) and yields
+    frames, so a large window passes through in bounded memory. One window of one key is still
+    read by one task: prefer :func:`time_windows` or
     :func:`weirflow.operators.rolling.user_aggregate` where a key may be hot.
     """
     window = F.window(ts, size)
     placed = df.withColumns({"window_start": window["start"], "window_end": window["end"]})
-    return placed.groupBy(*keys, "window_start", "window_end").applyInPandas(fn, schema)
+    group = [*keys, "window_start", "window_end"]
+    arranged = placed.repartition(*group).sortWithinPartitions(*group, *order)
+    return arranged.mapInPandas(lambda batches: _one_by_one(batches, group, fn), schema)
 
 
 def session_windows(
