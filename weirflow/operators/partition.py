@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,16 @@ def route_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 
 
+def sorted_runs(df: DataFrame, group: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Rows of a group next to each other, for Python work along them.
+
+    The number of partitions is given, because AQE would join small ones although the work per
+    row is heavy.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *group).sortWithinPartitions(*group, *order)
+
+
 def route_by_rule(df: DataFrame, partitions: int, rule: Column) -> DataFrame:
     """Rows to the partition number that ``rule`` computes (taken modulo ``partitions``)."""
     return df.repartitionById(partitions, F.pmod(rule, F.lit(partitions)).cast("int"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import ordinal
+from weirflow.operators.partition import sorted_runs
 from weirflow.operators.running import SLICE_ROWS, Fold, running, running_max, running_min, running_sum
 
 
@@ -150,5 +151,4 @@ def user_aggregate(
             yield finish(last)
 
     partials = df.mapInPandas(partial, f"{key_ddl}, {accumulator}")
-    placed = partials.repartition(*keys).sortWithinPartitions(*keys)
-    return placed.mapInPandas(combine, f"{key_ddl}, {output}")
+    return sorted_runs(partials, keys).mapInPandas(combine, f"{key_ddl}, {output}")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import ordinal
+from weirflow.operators.partition import sorted_runs
 from weirflow.operators.rolling import row_numbers
 from weirflow.operators.running import (
     SLICE_ROWS,
@@ -128,8 +129,7 @@ def process_windows(
     window = F.window(ts, size)
     placed = df.withColumns({"window_start": window["start"], "window_end": window["end"]})
     group = [*keys, "window_start", "window_end"]
-    arranged = placed.repartition(*group).sortWithinPartitions(*group, *order)
-    return arranged.mapInPandas(lambda batches: _one_by_one(batches, group, fn), schema)
+    return sorted_runs(placed, group, order).mapInPandas(lambda batches: _one_by_one(batches, group, fn), schema)
 
 
 def session_windows(

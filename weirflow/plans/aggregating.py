@@ -261,18 +261,17 @@ _RANGE_SQL = f"""WITH {SENSOR_SQL} SELECT id, {window_sql(bucket_sql('ts', DAY),
     count(*) AS n FROM sensor GROUP BY ALL"""
 
 
-def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spread and count of one window, read batch by batch."""
-    low, high, count, head = None, None, 0, None
-    for rows in batches:
-        if rows.empty:
-            continue
-        head = rows[["id", "window_start", "window_end"]].iloc[:1] if head is None else head
-        low = rows["vc"].min() if low is None else min(low, rows["vc"].min())
-        high = rows["vc"].max() if high is None else max(high, rows["vc"].max())
-        count += len(rows)
-    if head is not None:
-        yield head.assign(spread=int(high - low), n=count)
+def _spread(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spread and count of one window, read piece by piece."""
+    head, lows, highs, count = None, [], [], 0
+    for rows in pieces:
+        if head is None:
+            head = {name: rows[name].array[:1] for name in ("id", "window_start", "window_end")}
+        values = rows["vc"].to_numpy()
+        lows.append(values.min())
+        highs.append(values.max())
+        count += len(values)
+    yield pd.DataFrame({**head, "spread": [int(max(highs) - min(lows))], "n": [count]})
 
 
 @query("window_process", _RANGE_SQL)
