@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import simhash
+from weirflow.llm import contamination, simhash
 from weirflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,12 +15,57 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
 
 def _query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@_query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in each document."""
+    found = contamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contamination.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+SQL["op2_decontaminate"] = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, len(g) AS size, array_to_string(g, ' ') AS gram FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(1, len(w) - 12) + 1), lambda k: w[k:k + 12])) AS g
+    FROM item WHERE len(w) > 0)
+), grams AS (
+  SELECT r, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS gram
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS pos
+        FROM doc, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), hits AS (
+  SELECT r, pos, g.size AS size, item_id FROM grams g JOIN windows USING (gram)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(pos, pos + size)) AS p FROM hits) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
