@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, simhash
+from weirflow.llm import contamination, packing, simhash
 from weirflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,19 @@ FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
 
+def tokenizer_path() -> str:
+    """Where the public tokenizer files have the byte-level vocabulary of 50,257 ids."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of each document in packed sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
