@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, packing, simhash
-from weirflow.llm.common import table
+from weirflow.llm import contamination, packing, simhash, token_files
+from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's ids as read back from the written segments."""
+    files = stored(token_files.segments(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return token_files.read(files)
+
+
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
