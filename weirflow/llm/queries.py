@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, packing, simhash, token_files
+from weirflow.llm import contamination, language, packing, simhash, token_files
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    aside = language.held_out(F.col("doc_id"))
+    found = language.identify(docs, docs.where(~aside))
+    return found.select("doc_id", aside.alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's ids as read back from the written segments."""
