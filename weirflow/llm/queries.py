@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, packing, simhash, token_files
+from weirflow.llm import contamination, language, line_dedup, packing, simhash, token_files
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,50 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+@_query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, those taken out, and a digest of the text that is left."""
+    found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+SQL["op1_line_dedup"] = r"""
+WITH line AS (
+  SELECT doc_id, pos, raw, trim(regexp_replace(raw, '[ \t-\r]+', ' ', 'g')) AS norm
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM documents)
+), firsts AS (
+  SELECT norm, min(doc_id * 1000000 + pos) AS place, length(norm) AS n FROM line WHERE norm <> '' GROUP BY norm
+), variant AS (
+  SELECT norm, place, k, n - 1 AS size, hash(norm[1:k - 1] || norm[k + 1:]) AS v
+  FROM (SELECT *, unnest(range(1, n + 1)) AS k FROM firsts WHERE n >= 17)
+), pairs AS (
+  SELECT a.norm AS a, b.norm AS b, a.place AS pa, b.place AS pb FROM variant a JOIN variant b ON a.v = b.v AND a.k = b.k AND a.size = b.size AND a.place > b.place
+  UNION ALL
+  SELECT f.norm, v.norm, f.place, v.place FROM firsts f JOIN variant v ON hash(f.norm) = v.v AND f.n = v.size WHERE f.n >= 17
+), linked AS (
+  SELECT * FROM pairs WHERE levenshtein(a, b) <= 1
+), near AS (
+  SELECT a AS norm FROM linked WHERE pb < pa UNION SELECT b FROM linked WHERE pa < pb
+), kept AS (
+  SELECT doc_id, pos, raw, norm = '' OR (norm NOT IN (SELECT norm FROM near) AND place = doc_id * 1000000 + pos) AS stays
+  FROM line LEFT JOIN firsts USING (norm)
+), texts AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (stays), '') AS kept
+  FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM documents d LEFT JOIN texts USING (doc_id)
+"""
+
+
 @_query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in each document."""
