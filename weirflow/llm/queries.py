@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, line_dedup, packing, simhash, token_files
+from weirflow.llm import contamination, language, line_dedup, packing, quality, simhash, token_files
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,72 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and adaptive thresholds for each document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+_SLACK_SQL = " ".join(f"WHEN '{rate}' THEN {slack}" for rate, slack in quality.SLACK.items())
+
+
+def _fences_sql(keys: str) -> str:
+    """Quartile fences of the sketches merged over all but ``keys``."""
+    return f"""(SELECT {keys} rate, rows, q1 - far AS low, q3 + far AS high FROM (
+      SELECT *, greatest({quality.SPREAD} * (q3 - q1), CASE rate {_SLACK_SQL} END) AS far FROM (
+        SELECT {keys} rate, max(rows) AS rows, min(bucket) FILTER (4 * up_to >= rows) AS q1,
+               min(bucket) FILTER (4 * up_to >= 3 * rows) AS q3
+        FROM (SELECT {keys} rate, bucket, sum(n) OVER (PARTITION BY {keys} rate ORDER BY bucket) AS up_to,
+                     sum(n) OVER (PARTITION BY {keys} rate) AS rows
+              FROM (SELECT {keys} rate, bucket, sum(n) AS n FROM sketch GROUP BY {keys} rate, bucket))
+        GROUP BY {keys} rate)))"""
+
+
+SQL["op5_quality"] = rf"""
+WITH doc AS (
+  SELECT doc_id, lang, source, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines,
+         length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) AS n_symbols
+  FROM documents
+), win AS (
+  SELECT doc_id, pos, w[pos:pos + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS pos FROM doc WHERE len(w) > 2)
+), twice AS (
+  SELECT doc_id, unnest(list(pos)) AS pos FROM win GROUP BY doc_id, g HAVING count(*) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS p FROM twice) GROUP BY doc_id
+), measured AS (
+  SELECT d.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM doc d LEFT JOIN covered USING (doc_id)
+), rated AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         n_symbols * 10000 // nullif(word_chars, 0) AS symbols, n_dup_lines * 10000 // nullif(n_lines, 0) AS dup_lines,
+         n_repeat_words * 10000 // nullif(n_words, 0) AS repeats, word_chars * 100 // nullif(n_words, 0) AS word_length
+  FROM measured
+), value AS (
+  SELECT lang, source, rate, v FROM rated UNPIVOT (v FOR rate IN (symbols, dup_lines, repeats, word_length)) WHERE NOT base_failed
+), sketch AS (
+  SELECT lang, source, rate, (v >> drop) << drop AS bucket, count(*) AS n
+  FROM (SELECT *, greatest(length(bin(v)) - 6, 0) AS drop FROM value) GROUP BY ALL
+), fence AS (
+  SELECT own.lang, own.source, own.rate,
+         CASE WHEN own.rows >= {quality.MIN_ROWS} THEN own.low WHEN l.rows >= {quality.MIN_ROWS} THEN l.low ELSE a.low END AS low,
+         CASE WHEN own.rows >= {quality.MIN_ROWS} THEN own.high WHEN l.rows >= {quality.MIN_ROWS} THEN l.high ELSE a.high END AS high
+  FROM {_fences_sql("lang, source,")} own
+  JOIN {_fences_sql("lang,")} l ON own.lang IS NOT DISTINCT FROM l.lang AND own.rate = l.rate
+  JOIN {_fences_sql("")} a ON own.rate = a.rate
+), outside AS (
+  SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, rate, v FROM rated
+      UNPIVOT (v FOR rate IN (symbols, dup_lines, repeats, word_length)) WHERE NOT base_failed) r
+  JOIN fence f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source AND r.rate = f.rate
+  WHERE v > high OR (r.rate = 'word_length' AND v < low)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept
+FROM rated
+"""
+
+
 @_query
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document, learned from those that are not held out."""
