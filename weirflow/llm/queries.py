@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, line_dedup, packing, quality, simhash, token_files
+from weirflow.llm import contamination, language, line_dedup, packing, quality, simhash, token_files, url_rules
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +205,39 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(files)
 
 
+URL_RULES = [
+    url_rules.Rule(url_rules.BLOCK, "net", "/"),
+    url_rules.Rule(url_rules.ALLOW, "example.net", "/en/"),
+    url_rules.Rule(url_rules.BLOCK, "example.com", "/de/"),
+    url_rules.Rule(url_rules.ALLOW, "org", "/fr/"),
+]
+# Words in a host that speak for advertising, gambling, adult pages or link farms.
+HOST_WORDS = ["ads-", "adult", "bets", "casino", "pills", "spam"]
+
+
+@_query
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's url."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES, [f"*{word}*/**" for word in HOST_WORDS])
+
+
+_FITS_SQL = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}'"
+    for r in sorted(URL_RULES, key=lambda r: -len(r.name))
+)
+_VERDICT_SQL = " ".join(f"WHEN '{r.name}' THEN '{r.verdict}'" for r in URL_RULES)
+SQL["op9_url_rules"] = rf"""
+WITH part AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), ruled AS (SELECT *, CASE {_FITS_SQL} END AS rule FROM part)
+SELECT page_id, host, path, rule, CASE rule {_VERDICT_SQL} ELSE
+         CASE WHEN {" OR ".join(f"contains(host, '{word}')" for word in HOST_WORDS)} THEN 'block' ELSE 'allow' END END AS verdict
+FROM ruled
+"""
+
+
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
