@@ -56,7 +56,7 @@ class Automaton:
             table[allowed, state // 64] |= np.uint64(1 << state % 64)
 
         no_slash = np.flatnonzero(np.arange(256) != ord("/"))
-        for at, (literals, stars) in zip(first.tolist(), parsed, strict=True):
+        for at, (literals, stars) in zip(first[:-1].tolist(), parsed, strict=True):
             self.start[at // 64] |= np.uint64(1 << at % 64)
             for k, literal in enumerate(literals):
                 put(moves, at + k + 1, no_slash if literal is None else slice(literal, literal + 1))
