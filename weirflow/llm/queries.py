@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, line_dedup, packing, quality, simhash, token_files, url_rules
+from weirflow.llm import contamination, language, line_dedup, packing, quality, simhash, suffix_dedup, token_files, url_rules
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +38,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op1_line_dedup"] = r"""
 WITH line AS (
-  SELECT doc_id, pos, raw, trim(regexp_replace(raw, '[ \t-\r]+', ' ', 'g')) AS norm
+  SELECT doc_id, pos, raw, trim(raw) AS norm
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
         FROM documents)
 ), firsts AS (
@@ -198,6 +198,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", aside.alias("held_out"), "lang_pred", "score")
 
 
+@_query
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 200 bytes that occur elsewhere."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's ids as read back from the written segments."""
