@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, line_dedup, packing, quality, simhash, suffix_dedup, token_files, url_rules
+from weirflow.llm import contamination, language, line_dedup, packing, passage_dedup, quality, simhash, suffix_dedup, token_files, url_rules
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,13 @@ FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
 
+@_query
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of each document that occur in others too, and those that go."""
+    found = passage_dedup.remove_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_paragraphs", "n_repeated_words", "n_removed_words", F.size("removed").alias("n_removed"), "first_doc_ids")
+
+
 def tokenizer_path() -> str:
     """Where the public tokenizer files have the byte-level vocabulary of 50,257 ids."""
     import public_tokenizers
