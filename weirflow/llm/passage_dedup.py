@@ -5,9 +5,10 @@ least within ``reach`` words on both sides in its line. Such places move with th
 alike wherever it stands, also in the middle of a line. Paragraphs of fewer than ``MIN_WORDS`` words are not
 compared.
 
-* Bands. Two paragraphs have a band in common with the chance of their Jaccard similarity over five-word
-  shingles, as each of the four bands is one MinHash: at 0.8 all but 0.2 % of pairs meet. Unrelated texts
-  share next to no five-word shingles, so longer bands would only cost recall or rows.
+* Bands. Two paragraphs share a MinHash with the chance of their Jaccard similarity over five-word shingles.
+  First all paragraphs meet on four single MinHashes: pairs at 0.8 meet but for 0.2 %, and most paragraphs
+  meet nobody, because unrelated texts share next to no five-word shingles. Those that met somebody meet
+  again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
 * Of the paragraphs that meet on a band, the smallest is compared with the others by exact Jaccard. Those
   that are not similar to it meet again without it, until no two are left that were not compared or joined:
   a group is never expanded to all pairs, and no similar pair that meets is lost.
@@ -35,9 +36,10 @@ SIMILARITY = 0.8
 SHINGLE = 5
 MIN_WORDS = 8
 REACH = 6
-PASSAGE_WORDS = 20
+PASSAGE_WORDS = 14
 GAP_WORDS = 8
-_BANDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+ROWS, BANDS = 6, 20
+_FIRST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -67,7 +69,7 @@ def paragraphs(text: bytes, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]
     """``(rows of first word, words, first byte, end byte, MinHashes), plain text``; only paragraphs of MIN_WORDS words."""
     plain = text.translate(_TO_WORDS)
     start, stop, words = _words(plain)
-    empty = np.zeros((0, 4 + len(_BANDS)), np.int64), plain
+    empty = np.zeros((0, 4 + len(_FIRST)), np.int64), plain
     if len(words) < MIN_WORDS:
         return empty
     breaks = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x0A)
@@ -90,7 +92,7 @@ def paragraphs(text: bytes, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]
     shingles = _grams(words, SHINGLE)
     spans = np.column_stack([first, end - SHINGLE + 1]).ravel()
     spans = spans[:-1] if spans[-1] >= len(shingles) else spans
-    bands = [np.minimum.reduceat(_mixed(shingles ^ b), spans)[::2] for b in _BANDS]
+    bands = [np.minimum.reduceat(_mixed(shingles ^ b), spans)[::2] for b in _FIRST]
     columns = [first, end - first, start[first], stop[end - 1], *[b.view(np.int64) for b in bands]]
     return np.column_stack(columns), plain
 
@@ -107,7 +109,7 @@ def _listed(docs: DataFrame, with_bands: bool) -> DataFrame:
         for batch in batches:
             ids, tables, owner = [], [], []
             for k, text in enumerate(utf8(batch, "text")):
-                rows, plain = paragraphs(text) if text else (np.zeros((0, 4 + len(_BANDS)), np.int64), b"")
+                rows, plain = paragraphs(text) if text else (np.zeros((0, 4 + len(_FIRST)), np.int64), b"")
                 ids += [xxhash.xxh64_intdigest(plain[a:b]) for a, b in rows[:, 2:4].tolist()]
                 tables.append(rows)
                 owner.append(np.full(len(rows), k))
@@ -115,7 +117,7 @@ def _listed(docs: DataFrame, with_bands: bool) -> DataFrame:
             named = pa.array(np.array(ids, np.uint64).view(np.int64))
             if with_bands:
                 bands = np.ascontiguousarray(table[:, 4:])
-                lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, len(_BANDS), dtype=np.int32), pa.array(bands.ravel()))
+                lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, len(_FIRST), dtype=np.int32), pa.array(bands.ravel()))
                 yield pa.RecordBatch.from_arrays([named, lists], schema.names)
             else:
                 take = pa.array(who)
@@ -126,15 +128,27 @@ def _listed(docs: DataFrame, with_bands: bool) -> DataFrame:
 
 
 def _meeting(docs: DataFrame) -> DataFrame:
-    """``(band, id)`` of all paragraphs that meet a different one on a band."""
+    """The ids of all paragraphs that meet a different one on a single MinHash."""
     keyed = _listed(docs, True).select("id", F.posexplode("bands").alias("k", "h")).select("id", F.xxhash64("h", "k").alias("band"))
     group = Window.partitionBy("band")
-    both = keyed.select("band", "id", F.min("id").over(group).alias("low"), F.max("id").over(group).alias("high"))
-    return both.where("low != high").select("band", "id").distinct()
+    both = keyed.select("id", F.min("id").over(group).alias("low"), F.max("id").over(group).alias("high"))
+    return stored(both.where("low != high").select("id").distinct())
+
+
+_ROW_SEEDS = _mixed(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64))
+
+
+def _banded(shingles: np.ndarray) -> np.ndarray:
+    """The bands of a set of shingles, each a hash of its MinHashes."""
+    least = np.min(_mixed(shingles[None, :] ^ _ROW_SEEDS[:, None]), axis=1).reshape(BANDS, ROWS)
+    out = np.arange(BANDS, dtype=np.uint64)
+    for k in range(ROWS):
+        out = _mixed(out * np.uint64(0x2545F4914F6CDD1D) + least[:, k])
+    return out.view(np.int64)
 
 
 def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(id, shingles)``: the hashes of the five-word shingles of the wanted paragraphs."""
+    """``(id, shingles, bands)``: hashes of the five-word shingles of the wanted paragraphs, and their bands."""
     one = units.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "text_hash", "start", "stop")).alias("o"))
     per_text = one.groupBy("o.doc_id", "o.text_hash").agg(F.collect_list(F.struct("id", "o.start", "o.stop")).alias("spans"))
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.hash("d.text") == F.col("s.text_hash"))
@@ -147,27 +161,36 @@ def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame
         .select("c.id", "c.bytes")
     )
 
-    @F.arrow_udf("array<bigint>")
-    def shingles(pieces: pa.Array) -> pa.Array:
-        out = [np.unique(_grams(_words(x.translate(_TO_WORDS))[2], SHINGLE)).view(np.int64) for x in pieces.to_pylist()]
-        ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))
+    @F.arrow_udf("struct<shingles:array<bigint>,bands:array<bigint>>")
+    def signed(pieces: pa.Array) -> pa.Array:
+        sets = [np.unique(_grams(_words(x.translate(_TO_WORDS))[2], SHINGLE)) for x in pieces.to_pylist()]
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        bands = np.concatenate([_banded(x) for x in sets]) if sets else np.zeros(0, np.int64)
+        lists = [
+            pa.ListArray.from_arrays(ends, pa.array(flat)),
+            pa.ListArray.from_arrays(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32), pa.array(bands)),
+        ]
+        return pa.StructArray.from_arrays(lists, ["shingles", "bands"])
 
-    return cuts.select("id", shingles("bytes").alias("shingles")).dropDuplicates(["id"])
+    found = cuts.select("id", signed("bytes").alias("s")).dropDuplicates(["id"])
+    return found.select("id", "s.shingles", "s.bands")
 
 
 def _similar(docs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: similar paragraphs that connect each class."""
-    meeting = stored(_meeting(docs))
-    contents = stored(_contents(docs, units, meeting.select("id").distinct()))
+    contents = stored(_contents(docs, units, _meeting(docs)))
+    banded = contents.select("id", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    meeting = stored(banded.join(shared, "band", "left_semi"))
     theirs = contents.select(F.col("id").alias("centre"), F.col("shingles").alias("others"))
     edges = None
     while True:
         centres = meeting.groupBy("band").agg(F.min("id").alias("centre"))
         compared = meeting.join(centres, "band").where("id != centre")
-        shared = F.size(F.array_intersect("shingles", "others"))
+        common = F.size(F.array_intersect("shingles", "others"))
         pairs = compared.select("id", "centre").distinct().join(contents, "id").join(theirs, "centre")
-        jaccard = shared / (F.size("shingles") + F.size("others") - shared)
+        jaccard = common / (F.size("shingles") + F.size("others") - common)
         judged = stored(pairs.select("id", "centre", (jaccard >= similarity).alias("similar")))
         found = judged.where("similar").select(F.col("id").alias("a"), F.col("centre").alias("b"))
         edges = found if edges is None else edges.union(found)
