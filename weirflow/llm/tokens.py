@@ -1,9 +1,10 @@
-"""Token ids of whole texts by a public tokenizer file, with a cache of word pieces.
+"""Token ids of whole texts by a public tokenizer file, with a cache of words.
 
 A byte-level tokenizer splits a text before every space that is followed by another character than white
-space, and never merges across such a place. So words are encoded once per task, with the space before them, and looked
-up afterwards. A text with any other white space than single spaces and single line ends between words is
-encoded whole, and so is one that holds the string of a special token.
+space, and never merges across such a place. So words are encoded once per task, with the space before them,
+and looked up afterwards. A text with any other white space than single spaces and single line ends between
+words is encoded whole, and so is one that holds the string of a special token, and every text where the
+tokenizer is not byte-level.
 """
 
 from __future__ import annotations
@@ -15,7 +16,26 @@ import numpy as np
 
 ID_BYTES = 4
 CACHED_WORDS = 1_000_000
-WORDS_AT_ONCE = 5_000
+
+
+class _Words(dict):
+    """The ids of words that stand behind ``before``, learned as they are asked for."""
+
+    def __init__(self, of: Encoder, before: str):
+        self.of, self.before, self.prefix = of, before, of.written(before)
+
+    def __missing__(self, word: str) -> bytes:
+        of = self.of
+        if word[:1] == "\n":  # a piece of its own, and the word behind it has no space before it
+            ids = of.line_end + of.first[word[1:]]
+        elif word.isalpha():  # one piece: the model takes it without a search for pieces
+            ids = of.piece(self.prefix + word if word.isascii() else of.written(self.before + word))
+        elif word[-1:] in of.marks and word[-2:-1].isalpha():  # a mark between a letter and white space
+            ids = self[word[:-1]] + of.marks[word[-1]]
+        else:
+            ids = of.plain([self.before + word])[0]
+        self[word] = ids
+        return ids
 
 
 class Encoder:
@@ -24,83 +44,53 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line_end = self._plain(["\n"])[0]
-        self.line_end_id = int.from_bytes(self.line_end[:ID_BYTES], "little")
-        self.marks = dict(zip(".,", self._plain([".", ","]), strict=True))
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        splits = self.tokenizer.pre_tokenizer
+        self.by_word = self.tokenizer.normalizer is None and isinstance(splits, ByteLevel) and not splits.add_prefix_space
+        self.model = self.tokenizer.model
+        self.character = _byte_characters()
+        self.id_bytes = [k.to_bytes(ID_BYTES, "little") for k in range(self.tokenizer.get_vocab_size())]
+        self.line_end, *marks = self.plain(["\n", ".", ","])
+        self.marks = dict(zip(".,", marks, strict=True))
+        self.first, self.later = _Words(self, ""), _Words(self, " ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a null or empty text."""
-        pieces: list[list[str] | None] = []
-        firsts, laters = set(), set()
-        for text in texts:
-            parts = self._pieces(text) if text else []
-            pieces.append(parts)
-            if parts:
-                firsts.add(parts[0])
-                laters.update(parts[1:])
         if len(self.first) + len(self.later) > CACHED_WORDS:
             self.first.clear()
             self.later.clear()
-        self._learn(self.first, firsts, "")
-        self._learn(self.later, laters, " ")
-        first, later = self.first, self.later
-        out = []
-        for text, parts in zip(texts, pieces, strict=True):
-            if parts is None:
-                out.append(self._plain([text])[0])
-            elif not parts:
-                out.append(b"")
-            else:
-                out.append(first[parts[0]] + b"".join([later[p] for p in parts[1:]]))
-        return out
-
-    def _pieces(self, text: str) -> list[str] | None:
-        """Words, each with the line end before it; None where the text has to be encoded whole."""
-        if any(token in text for token in self.special):
-            return None
-        if " ".join(text.split()) != text.replace("\n", " "):
-            return None
-        return text.replace("\n", " \n").split(" ")
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [self._encode(text) if text else b"" for text in texts]
+
+    def _encode(self, text: str) -> bytes:
+        words = text.split()
+        between = " ".join(words) == text.replace("\n", " ")  # nothing but single spaces and line ends
+        if not (self.by_word and between) or any(token in text for token in self.special):
+            return self.plain([text])[0]
+        if "\n" in text:
+            words = text.replace("\n", " \n").split(" ")
+        return self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:]))
+
+    def plain(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _learn(self, known: dict[str, bytes], wanted: set[str], before: str) -> None:
-        new = [w for w in wanted if w not in known]
-        whole, marked, starts = [], [], []
-        for w in new:
-            if w[0] == "\n":
-                starts.append(w)
-            elif w[-1] in self.marks and len(w) > 1 and w[-2].isalpha():
-                marked.append(w)
-            else:
-                whole.append(w)
-        for low in range(0, len(whole), WORDS_AT_ONCE):
-            some = whole[low : low + WORDS_AT_ONCE]
-            known.update(zip(some, self._words(some, before), strict=True))
-        if marked:
-            # A full stop or comma after a letter and before white space is a piece of its own.
-            self._learn(known, {w[:-1] for w in marked}, before)
-            known.update((w, known[w[:-1]] + self.marks[w[-1]]) for w in marked)
-        if starts:
-            # A line end is a piece of its own; the word after it is one without a space before it.
-            self._learn(self.first, {w[1:] for w in starts}, "")
-            known.update((w, self.line_end + self.first[w[1:]]) for w in starts)
-
-    def _words(self, words: list[str], before: str) -> list[bytes]:
-        """The ids of each word: all are encoded as one text of lines, which is cut at its line ends."""
-        ids = np.array(self.tokenizer.encode("\n".join([before + w for w in words]), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == self.line_end_id)
-        if len(ends) != len(words) - 1:
-            return self._plain([before + w for w in words])
-        raw, cuts = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
-        return [raw[ID_BYTES * (a + 1) : ID_BYTES * b] for a, b in zip(cuts, cuts[1:])]
+    def written(self, piece: str) -> str:
+        """The piece as byte-level vocabularies write it; ASCII letters stay what they are."""
+        return piece.encode().decode("latin-1").translate(self.character)
+
+    def piece(self, written: str) -> bytes:
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[t.id] for t in self.model.tokenize(written)])
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes with: bytes that print, then the others from 256 on."""
+    printed = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 @functools.cache
