@@ -1,7 +1,7 @@
 """Line dedup across documents by a deletion-neighbourhood join; DataFrame functions only.
 
 Two lines are the same if they are equal or at most one character apart (an insertion, a deletion or a
-replacement), with runs of white space read as one space and ends trimmed. Of all such lines the earliest
+replacement), without the spaces at their ends. Of all such lines the earliest
 occurrence stays: an occurrence goes if its line occurs earlier, or if a line within the bound has an
 earlier first occurrence.
 
@@ -25,22 +25,24 @@ from weirflow.llm.common import stored
 
 # Lines below this length have no near copies, only equal ones: one character of a few is not a slip.
 NEAR_FROM = 17
-_SPACE = r"[ \t-\r]+"
 # Lines of 17 and 16 characters have blocks of equal size, and so on: both ends of an insertion share keys.
-_STEP, _BLOCK = 16, 128
-_SIZES = f"""array_distinct(transform(array(_n, _n - 1), m -> named_struct(
-    'b', greatest(2, cast((m div {_STEP} * {_STEP} + {_BLOCK - 1}) div {_BLOCK} as int)),
-    'q', cast(m div {_STEP} * {_STEP} div greatest(2, (m div {_STEP} * {_STEP} + {_BLOCK - 1}) div {_BLOCK}) as int))))"""
-_KEYS = """flatten(transform(_sizes, s -> transform(sequence(0, s.b - 1), k -> named_struct(
-    'key', xxhash64(k, s.q, substring(_norm, 1, k * s.q),
-                    substring(_norm, _n - (s.b - 1 - k) * s.q + 1, (s.b - 1 - k) * s.q)),
-    'start', k * s.q + 1, 'size', _n - (s.b - 1) * s.q))))"""
+# Blocks are about as long as _BLOCK, longer where a line would have more than _MOST of them.
+_STEP, _BLOCK, _MOST = 16, 128, 16
+_ROUNDED = f"(m div {_STEP} * {_STEP})"
+_COUNT = f"cast(least({_MOST}, greatest(2, ({_ROUNDED} + {_BLOCK - 1}) div {_BLOCK})) as int)"
+_SIZES = f"array_distinct(transform(array(_n, _n - 1), m -> named_struct('b', {_COUNT}, 'q', cast({_ROUNDED} div {_COUNT} as int))))"
+_KEY = """xxhash64(k, s.q, substring(_norm, 1, k * s.q),
+                  substring(_norm, _n - (s.b - 1 - k) * s.q + 1, (s.b - 1 - k) * s.q))"""
+_KEYS = f"flatten(transform(_sizes, s -> transform(sequence(0, s.b - 1), k -> {_KEY})))"
+_SPANS = f"""flatten(transform(_sizes, s -> transform(sequence(0, s.b - 1), k -> named_struct(
+    'key', {_KEY}, 'start', k * s.q + 1, 'size', _n - (s.b - 1) * s.q))))"""
 _WITHOUT = "concat(substring(_span, 1, i - 1), substring(_span, i + 1))"
+_NONE = "cast(array() as array<struct<kind: string, v: bigint>>)"
 _VARIANTS = f"""concat(
-    transform(sequence(1, _at.size), i -> named_struct('kind', 'replaced', 'v', xxhash64(_at.key, i, {_WITHOUT}))),
-    transform(array_distinct(transform(sequence(1, _at.size), i -> xxhash64(_at.key, -1, {_WITHOUT}))),
-              x -> named_struct('kind', 'longer', 'v', x)),
-    array(named_struct('kind', 'shorter', 'v', xxhash64(_at.key, -1, _span))))"""
+    if(_equal, transform(sequence(1, _at.size), i -> named_struct('kind', 'replaced', 'v', xxhash64(_at.key, i, {_WITHOUT}))), {_NONE}),
+    if(_shorter, transform(array_distinct(transform(sequence(1, _at.size), i -> xxhash64(_at.key, -1, {_WITHOUT}))),
+                           x -> named_struct('kind', 'longer', 'v', x)), {_NONE}),
+    if(_longer, array(named_struct('kind', 'shorter', 'v', xxhash64(_at.key, -1, _span))), {_NONE}))"""
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -48,15 +50,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     split = docs.where("text is not null").select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"), F.posexplode(F.split("text", "\n", -1)).alias("_line", "_raw")
     )
-    normal = split.select("_id", "_text", "_line", F.trim(F.regexp_replace("_raw", _SPACE, " ")).alias("_norm"))
+    normal = split.select("_id", "_text", "_line", F.trim("_raw").alias("_norm"))
     return normal.where("_norm != ''").select("*", F.xxhash64("_norm").alias("_h"), F.hash("_norm").alias("_g"))
 
 
-def _keyed(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``_keys``: the block keys of lines that may have near copies, with their spans."""
+def _sized(lines: DataFrame) -> DataFrame:
+    """``lines`` with their lengths and the numbers and lengths of blocks; none for lines without near copies."""
     sized = lines.withColumn("_n", F.char_length("_norm"))
-    sized = sized.withColumn("_sizes", F.when(F.col("_n") >= NEAR_FROM, F.expr(_SIZES)).otherwise(F.array()))
-    return sized.withColumn("_keys", F.expr(_KEYS))
+    return sized.withColumn("_sizes", F.when(F.col("_n") >= NEAR_FROM, F.expr(_SIZES)).otherwise(F.array()))
 
 
 def _near_copies(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -66,15 +67,24 @@ def _near_copies(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFr
         keyed.groupBy("_key").agg(F.min("_h").alias("low"), F.max("_h").alias("high")).where("low != high").select("_key")
     )
     wanted = stored(keyed.join(crowded, "_key", "left_semi").groupBy("_h").agg(F.collect_set("_key").alias("_shared")))
-    texts = _keyed(_lines(docs).join(wanted, "_h").select("_h", "_g", "_norm", "_shared")).dropDuplicates(["_h", "_g"])
+    # The same join at every size: few wanted lines would be broadcast, and many not.
+    texts = _sized(_lines(docs).join(wanted.hint("merge"), "_h").select("_h", "_g", "_norm", "_shared")).dropDuplicates(["_h", "_g"])
     ranked = stored(
         texts.join(firsts.select("_h", "_g", "_first"), ["_h", "_g"]).select(
-            F.struct("_first", "_h", "_g").alias("_me"), "_norm", "_shared", "_keys"
+            F.struct("_first", "_h", "_g").alias("_me"), "_norm", "_n", F.expr(f"filter({_SPANS}, x -> array_contains(_shared, x.key))").alias("_spans")
         )
     )
-    spans = ranked.select("_me", "_norm", F.explode(F.expr("filter(_keys, x -> array_contains(_shared, x.key))")).alias("_at"))
-    spans = spans.select("_me", "_at", F.expr("substring(_norm, _at.start, _at.size)").alias("_span"))
-    members = spans.select("_me", F.explode(F.expr(_VARIANTS)).alias("_e")).select("_me", "_e.kind", "_e.v")
+    # Of the lines that share a key, only those of equal length or one character more or less can be near.
+    spans = ranked.select("_me", "_norm", "_n", F.explode("_spans").alias("_at"))
+    around = spans.select(F.col("_at.key").alias("_key"), "_n", F.explode(F.array(F.lit(0), F.lit(-1), F.lit(1))).alias("_d"))
+    lengths = around.groupBy("_key", (F.col("_n") + F.col("_d")).alias("_n")).agg(
+        (F.count(F.when(F.col("_d") == 0, 1)) > 1).alias("_equal"),
+        (F.count(F.when(F.col("_d") == 1, 1)) > 0).alias("_shorter"),
+        (F.count(F.when(F.col("_d") == -1, 1)) > 0).alias("_longer"),
+    )
+    near = spans.withColumn("_key", F.col("_at.key")).join(lengths.where("_equal or _shorter or _longer"), ["_key", "_n"])
+    near = near.select("_me", "_at", "_equal", "_shorter", "_longer", F.expr("substring(_norm, _at.start, _at.size)").alias("_span"))
+    members = near.select("_me", F.explode(F.expr(_VARIANTS)).alias("_e")).select("_me", "_e.kind", "_e.v")
     group = Window.partitionBy("v")
 
     def earliest(kind: str) -> Column:
@@ -104,8 +114,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     line. A text that loses all its lines becomes empty. Rows that repeat both doc_id and text are one
     document: they lose the same lines. Every row of ``docs`` is kept, with all its columns.
     """
-    keyed = _keyed(_lines(docs)).select("_id", "_text", "_line", "_h", "_g", F.expr("transform(_keys, k -> k.key)").alias("_keys"))
-    lines = stored(keyed)
+    lines = stored(_sized(_lines(docs)).select("_id", "_text", "_line", "_h", "_g", F.expr(_KEYS).alias("_keys")))
     place = F.struct("_id", "_text", "_line")
     firsts = stored(lines.groupBy("_h", "_g").agg(F.min(place).alias("_first"), F.count("*").alias("_count")))
     near = stored(_near_copies(docs, lines, firsts)).withColumn("_near", F.lit(True))
