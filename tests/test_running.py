@@ -182,8 +182,34 @@ def test_setting_in_force(spark, slice_rows):
         assert got[seq] == (max(known)[2] if known else None)
 
 
-def test_null_keys_stay_whole(spark):
+def test_null_keys_are_cut(spark):
     rows = [(None if i % 2 else "k", i, i, 1) for i in range(100)]
-    out = running(table(spark, rows), KEY, ORDER, [running_sum("n", F.lit(1)), running_max("m", F.col("seq"))], 10)
+    df = table(spark, rows)
+    out = running(df, KEY, ORDER, [running_sum("n", F.lit(1)), running_max("m", F.col("seq"))], 10)
     got = {r["seq"]: (r["n"], r["m"]) for r in out.collect()}
     assert got == {i: (i // 2 + 1, i) for i in range(100)}
+    assert largest_slice(df, ORDER) <= 10
+
+
+def largest_slice(df, order, slice_rows=10):
+    sliced = slice_hot_keys(df, KEY, order, slice_rows)
+    return sliced.df.groupBy(*sliced.group).count().agg(F.max("count")).first()[0]
+
+
+def test_three_order_columns(spark):
+    rows = [("k", 7, (i * 37) % 10, i, 1) for i in range(100)]
+    df = spark.createDataFrame(rows, "id string, at bigint, part bigint, seq bigint, vc int")
+    out = running(df, KEY, ["at", "part", "seq"], [running_sum("n", F.lit(1))], 10)
+    ranks = {row[3]: n for n, row in enumerate(sorted(rows, key=lambda r: r[1:4]), 1)}
+    assert {r["seq"]: r["n"] for r in out.collect()} == ranks
+    assert largest_slice(df, ["at", "part", "seq"]) <= 10
+
+
+@pytest.mark.parametrize("times", ["exponential", "burst", "nulls"])
+def test_slices_stay_within_the_limit(spark, times):
+    at = {"exponential": lambda i: 2 ** (i // 8), "burst": lambda i: 5 if i < 200 else i, "nulls": lambda i: None if i < 150 else i}[times]
+    rows = [("k", at(i), i, 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "id string, at bigint, seq bigint, vc int")
+    out = running(df, KEY, ORDER, [running_sum("n", F.lit(1))], 20)
+    assert {r["seq"]: r["n"] for r in out.collect()} == {i: i + 1 for i in range(400)}
+    assert largest_slice(df, ORDER, 20) <= 20

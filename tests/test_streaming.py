@@ -12,7 +12,7 @@ from weirflow.operators import combine, eventtime, partition, project, rolling,
 from weirflow.operators import joins as batch_joins
 from weirflow.operators import windows as batch_windows
 from weirflow.sinks.files import start_text_sink
-from weirflow.sinks.routed import start_routed_sink
+from weirflow.sinks.routed import routed_output, start_routed_sink
 from weirflow.sources.generate import number_batches, number_stream
 from weirflow.sources.lines import line_stream
 from weirflow.sources.records import LEFT_EVENT, RIGHT_EVENT, parse_records
@@ -189,7 +189,7 @@ def test_late_rows_of_a_join_go_to_outputs_of_their_own(spark, tmp_path):
         {"late_left": F.expr("late AND side = 'left'"), "late_right": F.expr("late AND side = 'right'")},
     )
     folder = str(tmp_path / "out")
-    start_routed_sink(routed, folder, str(tmp_path / "cp"), ["late_left", "late_right", "main"]).awaitTermination()
+    start_routed_sink(routed, folder, str(tmp_path / "cp")).awaitTermination()
 
     def twin(batches, schema, ts):
         rows = [(*row, number) for number, batch in enumerate(batches) for row in batch]
@@ -199,11 +199,10 @@ def test_late_rows_of_a_join_go_to_outputs_of_their_own(spark, tmp_path):
         twin(left_rows, JOIN_LEFT, "lts"), twin(right_rows, JOIN_RIGHT, "rts"),
         ["key"], "lts", "rts", 2, 2, "batch", "ts_ms", 3_000,
     )
-    late = spark.read.parquet(f"{folder}/late_left")
+    late = routed_output(spark, routed, folder, "late_left")
     assert bag(late, "left.lseq") == bag(late_left, "lseq") and late.count() > 0
-    assert bag(spark.read.parquet(f"{folder}/late_right"), "right.rseq") == bag(late_right, "rseq")
-    schema = spark.read.parquet(f"{folder}/main").drop("batch_id").schema
-    on_time = spark.readStream.schema(schema).parquet(f"{folder}/main")
+    assert bag(routed_output(spark, routed, folder, "late_right"), "right.rseq") == bag(late_right, "rseq")
+    on_time = spark.readStream.schema(routed.schema).parquet(folder).where("tag = 'main'").drop("tag")
     a, b = (on_time.where(F.col("side") == name).select(f"{name}.*") for name in ("left", "right"))
     joined = runs.run_available(joins.interval_join(a, b, ["key"], "lts", "rts", 2, 2))
     assert bag(joined, "lseq", "rseq") == bag(pairs, "lseq", "rseq") and pairs.count() > 0
@@ -275,11 +274,10 @@ def test_keyed_state_goes_on_over_batches(spark, tmp_path, name):
     assert bag(out, *columns) == bag(twin(table(spark, batches)), *columns)
 
 
-def test_map_state_emits_the_whole_map(spark, tmp_path):
+def test_map_state_emits_the_changed_entry(spark, tmp_path):
     batches = [[("k", at(1), 5, 0), ("k", at(2), 6, 1)], [("k", at(3), 5, 2), ("j", at(4), 5, 3)]]
     out = runs.run_available(stateful.value_counts_so_far(replay(spark, tmp_path / "in", SCHEMA, batches), KEY, ORDER, "vc"))
-    got = {r["seq"]: r["counts"] for r in out.collect()}
-    assert got == {0: {5: 1}, 1: {5: 1, 6: 1}, 2: {5: 2, 6: 1}, 3: {5: 1}}
+    assert bag(out, "id", "seq", "vc", "n") == [("j", 3, 5, 1), ("k", 0, 5, 1), ("k", 1, 6, 1), ("k", 2, 5, 2)]
 
 
 def test_general_reduce(spark, tmp_path):
@@ -443,14 +441,14 @@ def test_routed_outputs_in_one_pass(spark, tmp_path):
     condition, message = route.above("vc", 10)
     routed = route.route(stream.withColumn("message", message), {"warn": condition})
     folder = tmp_path / "out"
-    start_routed_sink(routed, str(folder), str(tmp_path / "cp"), ["warn", "main"]).awaitTermination()
-    warn, main = spark.read.parquet(str(folder / "warn")), spark.read.parquet(str(folder / "main"))
+    start_routed_sink(routed, str(folder), str(tmp_path / "cp")).awaitTermination()
+    warn, main = (routed_output(spark, routed, str(folder), tag) for tag in ("warn", "main"))
     rows = table(spark, batches)
     assert bag(warn, "seq") == bag(rows.where("vc > 10"), "seq")
     assert bag(main, "seq") == bag(rows.where("vc <= 10"), "seq")
     # The same batches again, as after a lost commit: nothing is doubled.
-    start_routed_sink(routed, str(folder), str(tmp_path / "cp2"), ["warn", "main"]).awaitTermination()
-    assert spark.read.parquet(str(folder / "warn")).count() == rows.where("vc > 10").count()
+    start_routed_sink(routed, str(folder), str(tmp_path / "cp2")).awaitTermination()
+    assert routed_output(spark, routed, str(folder), "warn").count() == rows.where("vc > 10").count()
 
 
 def test_text_sink_buckets_and_rolls(spark, tmp_path):

@@ -46,6 +46,12 @@ def ordinal(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: {kind.simpleString()} has no exact ordinal")
 
 
+def widened(df: DataFrame, name: str) -> Column:
+    """A numeric column as a sum needs it: integers as bigint, decimals and floats as they are."""
+    whole = isinstance(df.schema[name].dataType, (T.ByteType, T.ShortType, T.IntegerType))
+    return F.col(name).cast("bigint") if whole else F.col(name)
+
+
 def bound_text(ts: Column) -> Column:
     """A window bound as text with milliseconds."""
     return F.date_format(ts, BOUND_FORMAT)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import floor_to
+from weirflow.functions.times import floor_to, widened
 from weirflow.operators.joins import interval_join
 from weirflow.operators.running import running, running_min
 from weirflow.session import broadcast_if_small, materialise
@@ -141,7 +141,7 @@ def allowed_lateness(
     """
     rows = late_split(df, trace, batch, ts_ms, size_ms, lateness_ms).where(F.col("status") != DROPPED)
     per_arrival = rows.groupBy(*keys, "window_end_ms", "status", batch).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(value).cast("bigint")).alias("_sum")
+        F.count(F.lit(1)).alias("_n"), F.sum(widened(df, value)).alias("_sum")
     )
     closing = df.select((floor_to(F.col(ts_ms), size_ms) + size_ms - 1).alias("closes_ms"))
     fired = broadcast_if_small(first_batch_reaching(closing, "closes_ms", trace, batch, size_ms))

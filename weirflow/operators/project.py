@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirflow.functions.scalars import words
 
@@ -49,6 +50,26 @@ def word_count(lines: DataFrame) -> DataFrame:
     return tokenise(lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def flat_map_with(df: DataFrame, fn: Callable[[dict], list[tuple]], schema: str) -> DataFrame:
+    """Opaque one-to-many map: ``fn`` gives the output rows of one input row, batch by batch in Arrow.
+
+    Values reach ``fn`` as Python values, so whole numbers beside nulls stay whole.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kind = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [out for row in batch.to_pylist() for out in fn(row)]
+            columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return df.mapInArrow(task, kind)
+
+
 def map_with_lifecycle(
     df: DataFrame,
     open_task: Callable[[int], object],

@@ -8,8 +8,9 @@ import pandas as pd
 from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weirflow.functions.times import ordinal
+from weirflow.functions.times import ordinal, widened
 from weirflow.operators.partition import sorted_runs
 from weirflow.operators.running import SLICE_ROWS, Fold, running, running_max, running_min, running_sum
 
@@ -27,7 +28,7 @@ def rolling_sum(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Running sum per key as ``sum_<value>``; columns in ``first_of`` keep the key's first record."""
-    folds = [running_sum(f"sum_{value}", F.col(value).cast("bigint"))]
+    folds = [running_sum(f"sum_{value}", widened(df, value))]
     if first_of:
         folds.append(running_min("_first", _first_record(df, order, first_of)))
     out = running(df, keys, order, folds, slice_rows)
@@ -69,23 +70,27 @@ def rolling_extreme_by(
     largest: bool = True,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Running maxBy/minBy: the whole record that holds the extreme; the earliest wins a tie."""
+    """Running maxBy/minBy: the whole record that holds the extreme; the earliest wins a tie.
+
+    A null value is no extreme: its record is never the best.
+    """
     age = [ordinal(df, c) for c in order]
     ranked = F.struct(
         F.col(value).alias("_v"), *[(-a if largest else a).alias(f"_o{i}") for i, a in enumerate(age)], *record
     )
     make = running_max if largest else running_min
-    out = running(df, keys, order, [make("_best", ranked)], slice_rows)
+    out = running(df, keys, order, [make("_best", F.when(F.col(value).isNotNull(), ranked))], slice_rows)
     return out.withColumns({f"best_{c}": F.col(f"_best.{c}") for c in record}).drop("_best")
 
 
 def rolling_average(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Running average per key, from an exact sum and count."""
-    folds = [running_sum("_sum", F.col(value).cast("bigint")), running_sum("_n", F.lit(1).cast("bigint"))]
+    """Running average per key over the values that are not null, from a sum and a count."""
+    counted = F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("bigint")
+    folds = [running_sum("_sum", widened(df, value)), running_sum("_n", counted)]
     out = running(df, keys, order, folds, slice_rows)
-    return out.withColumn(f"avg_{value}", F.col("_sum") / F.col("_n")).drop("_sum", "_n")
+    return out.withColumn(f"avg_{value}", F.col("_sum") / F.when(F.col("_n") > 0, F.col("_n"))).drop("_sum", "_n")
 
 
 def row_numbers(
@@ -100,6 +105,24 @@ def grouped(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFra
     return df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
 
 
+def _exact_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Keys without nulls, and a flag for each: pandas would turn whole numbers beside a null into floats."""
+
+    def default(kind: T.DataType) -> Column:
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return F.lit("1970-01-01").cast(kind)
+        return F.lit("").cast(kind) if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
+
+    flags = {f"_null_{k}": F.col(k).isNull() for k in keys}
+    filled = {k: F.coalesce(k, default(df.schema[k].dataType)) for k in keys}
+    return df.withColumns(flags).withColumns(filled), [*keys, *flags]
+
+
+def _as_asked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    restored = df.withColumns({k: F.when(~F.col(f"_null_{k}"), F.col(k)) for k in keys})
+    return restored.drop(*[f"_null_{k}" for k in keys])
+
+
 def user_aggregate(
     df: DataFrame,
     keys: Sequence[str],
@@ -118,7 +141,7 @@ def user_aggregate(
     so a hot key sends a few per task, and after it they are merged along the sorted keys.
     ``accumulator`` and ``output`` are DDL column lists without the keys.
     """
-    keys = list(keys)
+    asked, df, keys = list(keys), *_exact_keys(df, keys)
     key_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
     def fold(rows: pd.DataFrame, how) -> pd.DataFrame:
@@ -151,4 +174,5 @@ def user_aggregate(
             yield finish(last)
 
     partials = df.mapInPandas(partial, f"{key_ddl}, {accumulator}")
-    return sorted_runs(partials, keys).mapInPandas(combine, f"{key_ddl}, {output}")
+    combined = sorted_runs(partials, keys).mapInPandas(combine, f"{key_ddl}, {output}")
+    return _as_asked(combined, asked)

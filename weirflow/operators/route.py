@@ -25,6 +25,15 @@ def split(df: DataFrame, **conditions: Column) -> dict[str, DataFrame]:
     return {name: df.where(condition) for name, condition in conditions.items()}
 
 
+def beside_main(df: DataFrame, tags: dict[str, Column], column: str = "tag") -> DataFrame:
+    """Each row once as ``main``, and once more for each tag whose condition it meets, in one pass.
+
+    For streams: the main output stays whole beside its side outputs.
+    """
+    met = [F.when(condition, F.lit(tag)) for tag, condition in tags.items()]
+    return df.withColumn(column, F.explode(F.array_compact(F.array(F.lit(MAIN), *met))))
+
+
 def with_alerts(df: DataFrame, condition: Column, message: Column) -> tuple[DataFrame, DataFrame]:
     """The untouched input, and a message for each row that meets ``condition``."""
     return df, df.where(condition).withColumn("message", message)

@@ -10,8 +10,8 @@ The search counts a sample of the key columns, so it shuffles almost nothing; on
 stand out are then counted exactly. The sample decides where the work is cut, never which rows are
 in the result: every row is folded either way.
 
-Bounds: at most ``rows / slice_rows`` keys can be hot, and they get at most three times as many
-slices, so the tables of hot keys and of carried folds are smaller than the data by that factor.
+Bounds: at most ``rows / slice_rows`` keys can be hot, and cuts lie at quantiles, so the tables of hot
+keys and of carried folds are smaller than the data by about that factor.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from weirflow.functions.times import ordinal
 from weirflow.session import broadcast_if_small, materialise
 
 SLICE_ROWS = 2_000_000
-MAX_LEVELS = 4
+# Into so many parts at most a slice is cut at once.
+PARTS = 64
 # A key at the limit shows up this often in the sample; it stands out from half of that.
 SAMPLED_PER_LIMIT = 100
 
@@ -94,56 +95,64 @@ def _standing_out(df: DataFrame, keys: Sequence[str], slice_rows: int) -> DataFr
     return counts.where(F.col("_sampled") > slice_rows * fraction / 2).drop("_sampled")
 
 
-def _cuts(rows: DataFrame, group: Sequence[str], first: Column, last: Column, slice_rows: int) -> DataFrame:
-    """Per group with more than ``slice_rows`` rows: where its slices start and how wide they are."""
-    ranges = (
-        rows.groupBy(*group)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(first).alias("_first_lo"),
-            F.max(first).alias("_first_hi"),
-            F.min(last).alias("_last_lo"),
-            F.max(last).alias("_last_hi"),
-        )
-        .where(F.col("_n") > slice_rows)
-    )
-    by_first = F.col("_first_hi") > F.col("_first_lo")
-    low = F.when(by_first, F.col("_first_lo")).otherwise(F.col("_last_lo"))
-    high = F.when(by_first, F.col("_first_hi")).otherwise(F.col("_last_hi"))
-    return ranges.select(
-        *group,
-        by_first.alias("_by_first"),
-        low.alias("_low"),
-        # Half full on average, so that uneven arrival rarely makes a slice too large.
-        F.ceil((high - low + 1) / F.ceil(2 * F.col("_n") / slice_rows)).alias("_width"),
-    )
+def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which a null key meets a null key; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return left.join(broadcast_if_small(renamed), same, how).drop(*[f"_on_{c}" for c in on])
+
+
+def _cuts(rows: DataFrame, group: Sequence[str], places: Sequence[Column], slice_rows: int) -> DataFrame:
+    """Per group with more than ``slice_rows`` rows: which order column to cut along, and where.
+
+    That is the first one that has more than one value left in the group; the cuts are quantiles.
+    """
+    steps = F.array(*[F.lit(k / PARTS) for k in range(1, PARTS)])
+    measured = []
+    for i, place in enumerate(places):
+        varies = (F.min(place) < F.max(place)) | (F.count(place).between(1, F.count(F.lit(1)) - 1))
+        measured += [varies.alias(f"_varies{i}"), F.percentile_approx(place, steps, 10_000).alias(f"_at{i}")]
+    sized = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *measured).where(F.col("_n") > slice_rows)
+    along, bounds = F.lit(None).cast("int"), F.lit(None).cast("array<bigint>")
+    for i in reversed(range(len(places))):
+        chosen = F.coalesce(f"_varies{i}", F.lit(False))
+        along, bounds = F.when(chosen, i).otherwise(along), F.when(chosen, F.col(f"_at{i}")).otherwise(bounds)
+    # Only as many parts as the group needs: half full on average.
+    needed = F.least(F.lit(PARTS), F.ceil(2 * F.col("_n") / slice_rows))
+    stride = F.greatest(F.lit(1), F.floor(F.lit(PARTS) / needed)).cast("int")
+    thinned = F.filter(bounds, lambda _, k: (k + 1) % stride == 0)
+    cut = sized.select(*group, along.alias("_along"), F.array_distinct(thinned).alias("_bounds"))
+    return cut.where("_along is not null")
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS) -> Sliced:
     """Cut keys with more than ``slice_rows`` rows into slices numbered along ``order``.
 
-    A slice column is 0 for rows that are not cut. The first level cuts a hot key evenly along
-    the first order column. A slice that is still too large (a burst) is cut again, along the
-    last order column where the first has a single value left. Rows with a null key stay whole.
+    A slice column is 0 for rows that are not cut. Each level cuts the slices that are still too large at
+    quantiles of the first order column that varies in them, until none is too large: only rows that are
+    equal in the whole order stay together. Null keys are cut like others.
     """
-    first, last = ordinal(df, order[0]), ordinal(df, order[-1])
+    places = [ordinal(df, c) for c in order]
     out = Sliced(df, tuple(keys), tuple(order))
     suspects = materialise(_standing_out(df, keys, slice_rows))
     if suspects.isEmpty():
         return out
-    rows = df.join(broadcast_if_small(suspects), list(keys))
-    for level in range(MAX_LEVELS):
+    rows = null_safe(df, suspects, list(keys))
+    while True:
         # Few groups from here on, so counting them shuffles only partial counts.
-        cuts = materialise(_cuts(rows, out.group, first, last, slice_rows))
+        cuts = materialise(_cuts(rows, out.group, places, slice_rows))
         if cuts.isEmpty():
             return out
-        position = F.when(F.col("_by_first"), first).otherwise(last) - F.col("_low")
-        number = F.coalesce(F.floor(position / F.col("_width")) + 1, F.lit(0)).cast("bigint")
-        name = f"_slice{level}"
-        cut = out.df.join(broadcast_if_small(cuts), out.group, "left").withColumn(name, number)
-        out = Sliced(cut.drop("_by_first", "_low", "_width"), out.keys, out.order, (*out.slices, name))
+        position = F.lit(None).cast("bigint")
+        for i, place in enumerate(places):
+            position = F.when(F.col("_along") == i, place).otherwise(position)
+        # A value that is a bound itself gets a number of its own; nulls come first.
+        below = F.size(F.filter("_bounds", lambda b: b < position)) + F.size(F.filter("_bounds", lambda b: b <= position))
+        number = F.when(F.col("_along").isNull(), 0).when(position.isNull(), 1).otherwise(below + 2).cast("bigint")
+        name = f"_slice{len(out.slices)}"
+        cut = null_safe(out.df, cuts, out.group, "left").withColumn(name, number)
+        out = Sliced(cut.drop("_along", "_bounds"), out.keys, out.order, (*out.slices, name))
         rows = out.hot()
-    return out
 
 
 def fold(sliced: Sliced, folds: Sequence[Fold]) -> Sliced:
@@ -165,7 +174,7 @@ def fold(sliced: Sliced, folds: Sequence[Fold]) -> Sliced:
             for f in folds
         ],
     )
-    joined = local.join(carried, sliced.group, "left")
+    joined = null_safe(local, carried, sliced.group, "left")
     merged = joined.withColumns({f.name: f.merge(F.col(f"_carry_{f.name}"), F.col(f.name)) for f in folds})
     return replace(sliced, df=merged.drop(*[f"_carry_{f.name}" for f in folds]))
 
@@ -240,7 +249,7 @@ def running_top(
     by_slice = Window.partitionBy(*keys).orderBy(*sliced.slices)
     carried = ends.select(*sliced.group, F.lag(_as_array(rungs)).over(by_slice).alias("_carry"))
     both = merge_top(k, [F.col("_carry"), F.col(name)])
-    out = local.join(carried, sliced.group, "left").withColumn(
+    out = null_safe(local, carried, sliced.group, "left").withColumn(
         name, F.when(F.col("_carry").isNull(), F.col(name)).otherwise(both)
     )
     return out.drop("_carry", *sliced.slices)

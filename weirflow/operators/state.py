@@ -100,15 +100,17 @@ def in_force(
     (per key, if keys are given) and the latest control row is carried along it.
     """
     group = list(keys) or ["_all"]
-    rows = data.withColumns({"_row": F.struct(*data.columns), "_at": ordinal(data, ts), "_side": F.lit(1)})
-    changes = control.withColumns({"_at": ordinal(control, control_ts), "_side": F.lit(0)})
+    # Rows of one instant are told apart by a hash, so that an instant with very many can be cut too.
+    tie = F.xxhash64(*[c for c, kind in data.dtypes if not kind.startswith("map")])
+    rows = data.withColumns({"_row": F.struct(*data.columns), "_at": ordinal(data, ts), "_side": F.lit(1), "_tie": tie})
+    changes = control.withColumns({"_at": ordinal(control, control_ts), "_side": F.lit(0), "_tie": F.lit(0).cast("bigint")})
     change = F.struct(F.col("_at"), ordinal(control, control_seq).alias("_seq"), F.col(setting).alias("_setting"))
     if not keys:
         rows, changes = rows.withColumn("_all", F.lit(0)), changes.withColumn("_all", F.lit(0))
-    line = rows.select(*group, "_at", "_side", "_row").unionByName(
-        changes.select(*group, "_at", "_side", change.alias("_change")), allowMissingColumns=True
+    line = rows.select(*group, "_at", "_side", "_tie", "_row").unionByName(
+        changes.select(*group, "_at", "_side", "_tie", change.alias("_change")), allowMissingColumns=True
     )
-    carried = running(line, group, ["_at", "_side"], [running_max("_latest", F.col("_change"))], slice_rows)
+    carried = running(line, group, ["_at", "_side", "_tie"], [running_max("_latest", F.col("_change"))], slice_rows)
     return carried.where(F.col("_side") == 1).select("_row.*", F.col("_latest._setting").alias(setting))
 
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import ordinal
+from weirflow.functions.times import ordinal, widened
 from weirflow.operators.partition import sorted_runs
 from weirflow.operators.rolling import row_numbers
 from weirflow.operators.running import (
@@ -53,7 +53,7 @@ def time_windows(
 def window_reduce(df: DataFrame, keys: Sequence[str], ts: str, size: str, order: Sequence[str], value: str):
     """Window reduce: the first record of the window with the sum of ``value``."""
     first = F.min(F.struct(*[ordinal(df, c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(ts)))
-    out = time_windows(df, keys, ts, size, _first=first, **{f"sum_{value}": F.sum(F.col(value).cast("bigint"))})
+    out = time_windows(df, keys, ts, size, _first=first, **{f"sum_{value}": F.sum(widened(df, value))})
     return out.withColumn(f"first_{ts}", F.col(f"_first.{ts}")).drop("_first")
 
 

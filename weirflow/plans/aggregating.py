@@ -267,11 +267,13 @@ def _spread(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in pieces:
         if head is None:
             head = {name: rows[name].array[:1] for name in ("id", "window_start", "window_end")}
-        values = rows["vc"].to_numpy()
-        lows.append(values.min())
-        highs.append(values.max())
-        count += len(values)
-    yield pd.DataFrame({**head, "spread": [int(max(highs) - min(lows))], "n": [count]})
+        values = rows["vc"].dropna().to_numpy()
+        if len(values):
+            lows.append(values.min())
+            highs.append(values.max())
+        count += len(rows)
+    spread = pd.array([int(max(highs) - min(lows)) if lows else None], dtype="Int64")
+    yield pd.DataFrame({**head, "spread": spread, "n": [count]})
 
 
 @query("window_process", _RANGE_SQL)

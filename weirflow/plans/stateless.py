@@ -10,7 +10,6 @@ from weirflow.operators import combine, partition, project, route
 from weirflow.plans.registry import query
 from weirflow.plans.views import SENSOR_SQL, of_kind, sensor, table
 from weirflow.sinks.files import with_hour_bucket
-from weirflow.sources.generate import numbers
 from weirflow.sources.records import DROP, QUARANTINE, parse_records
 
 PARTITIONS = 64
@@ -18,15 +17,6 @@ COPIES = 3
 ALERT_ABOVE = 10
 
 
-@query(
-    "generate_numbers",
-    "SELECT 'Number: ' || CAST(range AS VARCHAR) AS value FROM range((SELECT count(*) FROM events))",
-)
-def generate_numbers(spark, sf_dir):
-    """As many generated records as there are events."""
-    return numbers(spark, table(spark, sf_dir, "events").count())
-
-
 @query(
     "text_scan_wordcount",
     """WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),

@@ -1,25 +1,30 @@
-"""Streaming forms over whole tables; each must give the rows of its batch counterpart."""
+"""Streaming forms over whole tables; each must give the rows of its batch counterpart.
+
+However many files a table has: windows and joins have a watermark that trails by the time span of the
+table, so no row is late, and what follows the order of records replays the table in event-time order.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import to_ntz, to_utc_timestamp
+from weirflow.functions.times import ordinal, to_ntz, to_utc_timestamp
 from weirflow.operators import project, route
 from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
-from weirflow.plans.views import SENSOR_SQL, of_kind, table
+from weirflow.plans.views import of_kind, table
+from weirflow.session import use_keyed_state_store
 from weirflow.sinks.files import start_text_sink
-from weirflow.sinks.routed import start_routed_sink
-from weirflow.sources.lines import table_stream, text_table
+from weirflow.sinks.routed import routed_output, start_routed_sink
+from weirflow.sources.lines import ordered_stream, table_stream, text_table
 from weirflow.streaming import joins, runs, stateful, windows
 
 KEY, ORDER = ["id"], ["ts", "seq"]
 
 
-def sensor_stream(spark, sf_dir):
-    """The sensor view as a stream, with an instant as event time."""
-    return table_stream(spark, f"{sf_dir}/events.parquet").select(
+def _readings(events):
+    """The sensor view with an instant as event time."""
+    return events.select(
         F.col("user_id").alias("id"),
         to_utc_timestamp(F.col("ts")).alias("ts"),
         F.floor("value").cast("int").alias("vc"),
@@ -28,6 +33,26 @@ def sensor_stream(spark, sf_dir):
     )
 
 
+def sensor_stream(spark, sf_dir):
+    """The readings as a stream, in the order of the table's files."""
+    return _readings(table_stream(spark, f"{sf_dir}/events.parquet"))
+
+
+def sensor_replay(spark, sf_dir, slice_rows=1_000_000):
+    """The readings as a stream in event-time order, for keyed state that follows the order of records."""
+    use_keyed_state_store(spark)
+    readings = _readings(table(spark, sf_dir, "events"))
+    return ordered_stream(readings, "ts", f"{runs.run_folder(spark)}/replay", slice_rows)
+
+
+def table_span(spark, sf_dir):
+    """A watermark delay that makes no row of the events late, whatever file it is in."""
+    events = table(spark, sf_dir, "events")
+    at = ordinal(events, "ts")
+    micros = events.agg((F.max(at) - F.min(at)).alias("span")).first()["span"] or 0
+    return f"{micros // 1_000_000 + 1} seconds"
+
+
 def _zoneless(df, *names):
     return df.withColumns({name: to_ntz(F.col(name)) for name in names})
 
@@ -40,8 +65,10 @@ def result(stream, *ntz, mode="append"):
 def windowed(spark, sf_dir, build, *ntz):
     """Result of event-time windows over the whole sensor stream, the last ones included."""
 
+    delay = table_span(spark, sf_dir)
+
     def watermarked(stream):
-        return build(windows.monotonous(stream, "ts"))
+        return build(windows.out_of_order(stream, "ts", delay))
 
     return _zoneless(runs.run_to_end(sensor_stream(spark, sf_dir), "ts", watermarked).drop("batch_id"), *ntz)
 
@@ -56,7 +83,7 @@ def _n():
 @query("stream_word_count", SQL["text_scan_wordcount"])
 def stream_word_count(spark, sf_dir):
     lines = project.split_lines(table_stream(spark, f"{sf_dir}/documents.parquet"), "text")
-    return result(project.word_count(lines), mode="complete")
+    return runs.last_per_key(runs.run_available(project.word_count(lines), "update"), ["word"])
 
 
 @query("stream_tumbling_count", SQL["tumbling_count"])
@@ -99,6 +126,8 @@ def stream_session_dynamic(spark, sf_dir):
 
 @query("stream_top_of_windows", f"SELECT epoch_ms(window_end) AS window_end_ms, vc, n, rank FROM ({SQL['topn_two_stage']})")
 def stream_top_of_windows(spark, sf_dir):
+    use_keyed_state_store(spark)
+
     def top(stream):
         counts = windows.event_windows(stream, ["vc"], "ts", "2 hours", "1 hour", n=_n())
         return stateful.top_of_windows(counts.withColumn("window_end_ms", F.unix_millis("window_end")), 2)
@@ -112,7 +141,8 @@ def _sides(spark, sf_dir):
     right = of_kind(sensor_stream(spark, sf_dir), "purchase").select(
         "id", F.col("ts").alias("right_ts"), F.col("seq").alias("right_seq")
     )
-    return windows.monotonous(left, "left_ts"), windows.monotonous(right, "right_ts")
+    delay = table_span(spark, sf_dir)
+    return windows.out_of_order(left, "left_ts", delay), windows.out_of_order(right, "right_ts", delay)
 
 
 @query("stream_interval_join", SQL["interval_join"])
@@ -147,55 +177,50 @@ def stream_connect_join(spark, sf_dir):
 
 @query("stream_value_diff", SQL["state_value_diff"])
 def stream_value_diff(spark, sf_dir):
-    return result(stateful.jumps(sensor_stream(spark, sf_dir), KEY, ORDER, "vc", timing.JUMP))
+    return result(stateful.jumps(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", timing.JUMP))
 
 
 @query("stream_top3", SQL["state_top3"])
 def stream_top3(spark, sf_dir):
-    out = result(stateful.top_so_far(sensor_stream(spark, sf_dir), KEY, ORDER, "vc", 3))
+    out = result(stateful.top_so_far(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 3))
     return out.withColumn("top", F.concat_ws(",", F.transform("top", lambda v: v.cast("string"))))
 
 
-@query(
-    "stream_map_counts",
-    f"""WITH {SENSOR_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, seq) AS rn FROM sensor)
-    SELECT a.id, a.seq, b.vc, count(*) AS n FROM numbered a JOIN numbered b ON a.id = b.id AND b.rn <= a.rn GROUP BY ALL""",
-)
+@query("stream_map_counts", SQL["state_map_counts"])
 def stream_map_counts(spark, sf_dir):
-    """The whole value-to-count map of the key after each record, one row per entry."""
-    out = result(stateful.value_counts_so_far(sensor_stream(spark, sf_dir), KEY, ORDER, "vc"))
-    return out.select("id", "seq", F.explode("counts").alias("vc", "n"))
+    """The entry of the key's value-to-count map that each record changes."""
+    return result(stateful.value_counts_so_far(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
 
 
 @query("stream_running_sum", SQL["state_running_sum"])
 def stream_running_sum(spark, sf_dir):
-    return result(stateful.running_sum(sensor_stream(spark, sf_dir), KEY, ORDER, "vc"))
+    return result(stateful.running_sum(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
 
 
 @query("stream_running_avg", SQL["state_running_avg"])
 def stream_running_avg(spark, sf_dir):
-    return result(stateful.running_average(sensor_stream(spark, sf_dir), KEY, ORDER, "vc"))
+    return result(stateful.running_average(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
 
 
 @query("stream_record_counter", SQL["running_counter"])
 def stream_record_counter(spark, sf_dir):
-    return result(stateful.record_counter(sensor_stream(spark, sf_dir), KEY, ORDER))
+    return result(stateful.record_counter(sensor_replay(spark, sf_dir), KEY, ORDER))
 
 
 @query("stream_global_window", SQL["global_window_trigger"])
 def stream_global_window(spark, sf_dir):
-    return result(stateful.global_window(sensor_stream(spark, sf_dir), KEY, ORDER, "vc", lambda n: n % 3 == 0))
+    return result(stateful.global_window(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", lambda n: n % 3 == 0))
 
 
 @query("stream_count_window_tumbling", f"SELECT id, window_no, n, elements FROM ({SQL['count_window_tumbling']})")
 def stream_count_window_tumbling(spark, sf_dir):
-    out = result(stateful.count_windows(sensor_stream(spark, sf_dir), KEY, ORDER, "vc", 5))
+    out = result(stateful.count_windows(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 5))
     return out.withColumn("elements", F.concat_ws(",", F.transform("elements", lambda v: v.cast("string"))))
 
 
 @query("stream_count_window_sliding", f"SELECT id, window_no, n, elements FROM ({SQL['count_window_sliding']})")
 def stream_count_window_sliding(spark, sf_dir):
-    out = result(stateful.count_windows(sensor_stream(spark, sf_dir), KEY, ORDER, "vc", 5, 2))
+    out = result(stateful.count_windows(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 5, 2))
     return out.withColumn("elements", F.concat_ws(",", F.transform("elements", lambda v: v.cast("string"))))
 
 
@@ -205,13 +230,27 @@ def stream_routed_outputs(spark, sf_dir):
     folder = runs.run_folder(spark)
     tags = {"clicks": F.col("kind") == "click", "views": F.col("kind") == "view"}
     routed = route.route(sensor_stream(spark, sf_dir), tags).select("seq", "vc", "tag")
-    names = [*tags, route.MAIN]
-    start_routed_sink(routed, f"{folder}/out", f"{folder}/checkpoint", names).awaitTermination()
-    parts = [
-        spark.read.schema("seq bigint, vc int").parquet(f"{folder}/out/{name}").select("seq", "vc", F.lit(name).alias("tag"))
-        for name in names
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    start_routed_sink(routed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return routed_output(spark, routed, f"{folder}/out")
+
+
+ALERT = 400
+
+
+@query(
+    "stream_alert_outputs",
+    f"""WITH sensor AS (SELECT event_id AS seq, CAST(floor(value) AS INTEGER) AS vc FROM events)
+    SELECT seq, 'main' AS tag, NULL AS message FROM sensor
+    UNION ALL SELECT seq, 'alert', 'Current Vc=' || vc || ' ,is greater than {ALERT}' FROM sensor WHERE vc > {ALERT}""",
+)
+def stream_alert_outputs(spark, sf_dir):
+    """All readings in the main output, and an alert beside it for each one above the limit."""
+    folder = runs.run_folder(spark)
+    condition, message = route.above("vc", ALERT)
+    tagged = route.beside_main(sensor_stream(spark, sf_dir), {"alert": condition})
+    outputs = tagged.select("seq", F.when(F.col("tag") == "alert", message).alias("message"), "tag")
+    start_routed_sink(outputs, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return routed_output(spark, outputs, f"{folder}/out")
 
 
 @query("stream_text_sink", "SELECT event_id || ',' || event_type AS value FROM events")

@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import floor_to
 from weirflow.operators import eventtime, rolling, state
 from weirflow.plans.registry import query
 from weirflow.plans.views import (
-    ARRIVALS_SQL,
     DELAY_MS,
-    IDLE_BATCHES,
     LATENESS_MS,
     SENSOR_SQL,
     STATUS_SQL,
-    TRACE_SQL,
     WINDOW_MS,
     arrivals,
     of_kind,
@@ -32,32 +28,6 @@ def _trace(rows):
     return eventtime.watermark_trace(rows, "batch", "ts_ms", DELAY_MS)
 
 
-@query("watermark_trace", f"WITH {TRACE_SQL} SELECT batch, n, max_ts_ms, wm_in, wm_out FROM trace")
-def watermark_trace(spark, sf_dir):
-    return _trace(arrivals(spark, sf_dir))
-
-
-@query(
-    "source_watermarks",
-    f"""WITH {ARRIVALS_SQL}, per_source AS (
-      SELECT kind, batch, max(max(ts_ms)) OVER (PARTITION BY kind ORDER BY batch ROWS UNBOUNDED PRECEDING) AS top
-      FROM arrivals GROUP BY kind, batch
-    ), numbers AS (
-      SELECT unnest(range((SELECT min(batch) FROM arrivals), (SELECT max(batch) + {IDLE_BATCHES} FROM arrivals))) AS batch
-    ), latest AS (
-      SELECT n.batch, p.kind, max(p.batch) AS last_batch, max(p.top) AS top
-      FROM numbers n JOIN per_source p ON p.batch <= n.batch GROUP BY ALL
-    ), least_marks AS (
-      SELECT batch, count(*) AS active_sources, min(top) - {DELAY_MS} - 1 AS least_wm
-      FROM latest WHERE batch - last_batch < {IDLE_BATCHES} GROUP BY batch
-    )
-    SELECT batch, active_sources, max(least_wm) OVER (ORDER BY batch ROWS UNBOUNDED PRECEDING) AS wm FROM least_marks""",
-)
-def source_watermarks(spark, sf_dir):
-    """Each event type is one source."""
-    return eventtime.source_watermarks(arrivals(spark, sf_dir), "kind", "batch", "ts_ms", DELAY_MS, IDLE_BATCHES)
-
-
 @query("late_split", f"WITH {STATUS_SQL} SELECT id, seq, batch, window_end_ms, wm_in, status FROM tagged")
 def late_split(spark, sf_dir):
     rows = arrivals(spark, sf_dir)
@@ -84,21 +54,6 @@ def allowed_lateness(spark, sf_dir):
     return eventtime.allowed_lateness(rows, KEY, _trace(rows), "batch", "ts_ms", WINDOW_MS, LATENESS_MS, "vc")
 
 
-@query(
-    "event_timer_fire",
-    f"""WITH {TRACE_SQL}, timers AS (
-      SELECT DISTINCT id, ts_ms - ts_ms % {WINDOW_MS} + {WINDOW_MS} + 1 AS timer_ms FROM arrivals
-    ), times AS (SELECT DISTINCT timer_ms FROM timers), fired AS (
-      SELECT x.timer_ms, min(t.batch) AS fire_batch FROM times x LEFT JOIN trace t ON t.wm_out >= x.timer_ms GROUP BY 1
-    ) SELECT id, timers.timer_ms, fire_batch FROM timers JOIN fired ON timers.timer_ms = fired.timer_ms""",
-)
-def event_timer_fire(spark, sf_dir):
-    """A timer just after the end of each key's windows."""
-    rows = arrivals(spark, sf_dir)
-    timed = rows.withColumn("timer_ms", floor_to(F.col("ts_ms"), WINDOW_MS) + WINDOW_MS + 1)
-    return eventtime.event_timers(timed, KEY, "timer_ms", _trace(rows), "batch").select("id", "timer_ms", "fire_batch")
-
-
 @query(
     "state_value_diff",
     f"""WITH {SENSOR_SQL}, held AS (SELECT *, coalesce(lag(vc) OVER ({BY_KEY}), 0) AS prev_vc FROM sensor)

@@ -14,7 +14,6 @@ SPREAD_FACTOR, SPREAD_SECONDS, BATCH_SECONDS = 7919, 7200, 3600
 DELAY_MS = 10 * 60 * 1000
 WINDOW_MS = 30 * 60 * 1000
 LATENESS_MS = 15 * 60 * 1000
-IDLE_BATCHES = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

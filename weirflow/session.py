@@ -37,12 +37,15 @@ def use_keyed_state_store(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and written intermediate tables.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop) is a
-    local temporary folder chosen, once per session.
+    It is the folder set with ``setCheckpointDir``, else the cluster's ``spark.checkpoint.dir``. With
+    neither, a local master (tests, a laptop) gets a temporary folder, once per session; on a cluster
+    executors would not see it, so that is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     chosen = spark.conf.get("weirflow.checkpoint.dir", None)
     if not chosen:
         chosen = tempfile.mkdtemp(prefix="weirflow-")
@@ -58,12 +61,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(written: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Mark a narrow table for a broadcast join only after counting it.
+def broadcast_if_small(written: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark a table for a broadcast join only after its rows have been counted and measured.
 
     ``written`` should come from :func:`materialise`, so that counting it is cheap. Beyond
-    ``max_rows`` rows it is returned without a hint and Spark plans a shuffled join (with AQE
-    skew splitting).
+    ``max_rows`` rows, or ``max_bytes`` of text of all its columns, it is returned without a hint and
+    Spark plans a shuffled join (with AQE skew splitting).
     """
-    fits = written.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(written) if fits else written
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in written.columns]))
+    few = written.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(row)).alias("b")).first()
+    return F.broadcast(written) if few["n"] <= max_rows and (few["b"] or 0) <= max_bytes else written

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 
@@ -13,26 +12,18 @@ def start_routed_sink(
     routed: DataFrame,
     path: str,
     checkpoint: str,
-    tags: Iterable[str],
     column: str = "tag",
     format: str = "parquet",
     output_mode: str = "append",
 ) -> StreamingQuery:
-    """Write each tag's rows to its own directory ``path/<tag>/batch_id=<n>``.
+    """Write each tag's rows to its own directory ``path/batch_id=<n>/<column>=<tag>``.
 
-    The micro-batch is persisted, so its plan runs once for all tags. A replayed batch overwrites
-    its own directory, which makes the writes idempotent.
+    Every tag that turns up gets one, so no row is lost, and a micro-batch is written in one pass. A
+    replayed batch overwrites its own directory, which makes the writes idempotent.
     """
-    wanted = list(tags)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for tag in wanted:
-                rows = batch.where(F.col(column) == tag).drop(column)
-                rows.write.mode("overwrite").format(format).save(f"{path}/{tag}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        batch.write.mode("overwrite").partitionBy(column).format(format).save(f"{path}/batch_id={batch_id}")
 
     return (
         routed.writeStream.outputMode(output_mode)
@@ -41,3 +32,13 @@ def start_routed_sink(
         .foreachBatch(write)
         .start()
     )
+
+
+def routed_output(
+    spark: SparkSession, routed: DataFrame, path: str, tag: str | None = None, column: str = "tag", format: str = "parquet"
+) -> DataFrame:
+    """What :func:`start_routed_sink` has written of ``routed``: the rows of one tag, or all with their tags."""
+    rows = [f for f in routed.schema.fields if f.name != column]
+    places = [T.StructField("batch_id", T.LongType()), T.StructField(column, T.StringType())]
+    written = spark.read.schema(T.StructType(rows + places)).format(format).load(path).drop("batch_id")
+    return written if tag is None else written.where(F.col(column) == tag).drop(column)

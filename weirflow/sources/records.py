@@ -26,8 +26,11 @@ def parse_records(lines: DataFrame, schema: str = SENSOR, policy: str = FAILFAST
     fields = T.StructType.fromDDL(schema).fields
     parts = F.split(F.col(line), ",")
     if policy == FAILFAST:
+        # Fails whatever the session's ANSI setting is.
+        fail = F.raise_error(F.concat(F.lit("bad line: "), F.coalesce(line, F.lit("null"))))
+        tried = [F.try_element_at(parts, F.lit(i + 1)).try_cast(f.dataType) for i, f in enumerate(fields)]
         return lines.select(
-            *[F.element_at(parts, i + 1).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+            *[F.when(t.isNull(), fail.cast(f.dataType)).otherwise(t).alias(f.name) for t, f in zip(tried, fields)]
         )
     if policy not in (DROP, QUARANTINE):
         raise ValueError(f"unknown policy {policy}")

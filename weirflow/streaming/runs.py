@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +61,13 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
+def last_per_key(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The result of an ``update`` mode run: of each key the row of the last batch that has it."""
+    others = [c for c in written.columns if c not in {*keys, "batch_id"}]
+    last = written.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("_last"))
+    return last.select(*keys, "_last.*")
+
+
 def last_batch(written: DataFrame) -> DataFrame:
     """The result of a ``complete`` mode run."""
     last = written.agg(F.max("batch_id")).first()[0]

@@ -2,8 +2,11 @@
 
 State lives in Spark's checkpointed store, one entry per key. The rows of a key arrive in any
 order within a micro-batch, so each processor sorts them by the ``order`` columns first; how many
-there can be is set by the size of a micro-batch (``maxFilesPerTrigger`` and the like). Inputs
-have a ``seq`` column that names the record in the output.
+there can be is set by the size of a micro-batch (``maxBytesPerTrigger`` and the like). Results follow
+the order of micro-batches: replay a bounded table with
+:func:`weirflow.sources.lines.ordered_stream` for results in event-time order. Inputs have a ``seq``
+column that names the record in the output. State and outputs have the type of the value column; null
+values leave sums, averages, extremes and counts of values as they are.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from weirflow.session import use_keyed_state_store
+from weirflow.session import ROCKSDB_PROVIDER
 
 
 def _schema(ddl: str) -> T.StructType:
@@ -61,10 +64,10 @@ class ValueFold(_Keyed):
 class TopList(_Keyed):
     """The ``k`` largest values so far, emitted for each record."""
 
-    def __init__(self, order, value: str, k: int):
+    def __init__(self, order, value: str, k: int, kind: str):
         super().__init__(order)
         self.column, self.k = value, k
-        self.schema = _schema("v int")
+        self.schema = _schema(f"v {kind}")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.top = handle.getListState("top", self.schema)
@@ -72,41 +75,42 @@ class TopList(_Keyed):
     def handleInputRows(self, key, rows, timerValues):
         top = [entry[0] for entry in self.top.get()] if self.top.exists() else []
         for row in self.ordered(rows):
-            top = sorted([*top, row[self.column]], reverse=True)[: self.k]
+            if row[self.column] is not None:
+                top = sorted([*top, row[self.column]], reverse=True)[: self.k]
             yield self.out(*key, row["seq"], list(top))
         self.top.put([(v,) for v in top])
 
 
 class CountMap(_Keyed):
-    """Occurrences of each value so far; the whole map is emitted for each record."""
+    """Occurrences of each value so far; a record emits the entry that it changes."""
 
-    def __init__(self, order, value: str):
+    def __init__(self, order, value: str, kind: str):
         super().__init__(order)
         self.column = value
-        self.key_schema, self.count_schema = _schema("v int"), _schema("n bigint")
+        self.key_schema, self.count_schema = _schema(f"v {kind}"), _schema("n bigint")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", self.key_schema, self.count_schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        counts = {k[0]: n[0] for k, n in self.counts.iterator()} if self.counts.exists() else {}
-        touched = set()
+        held: dict = {}
         for row in self.ordered(rows):
             value = row[self.column]
-            counts[value] = counts.get(value, 0) + 1
-            touched.add(value)
-            yield self.out(*key, row["seq"], dict(counts))
-        for value in touched:
-            self.counts.updateValue((value,), (counts[value],))
+            if value not in held:
+                held[value] = self.counts.getValue((value,))[0] if self.counts.containsKey((value,)) else 0
+            held[value] += 1
+            yield self.out(*key, row["seq"], value, held[value])
+        for value, n in held.items():
+            self.counts.updateValue((value,), (n,))
 
 
 class CountWindow(_Keyed):
     """Fires at every ``slide``-th record of a key with its last ``size`` records or fewer."""
 
-    def __init__(self, order, value: str, size: int, slide: int | None = None):
+    def __init__(self, order, value: str, kind: str, size: int, slide: int | None = None):
         super().__init__(order)
         self.column, self.size, self.slide = value, size, slide or size
-        self.value_schema, self.count_schema = _schema("v int"), _schema("n bigint")
+        self.value_schema, self.count_schema = _schema(f"v {kind}"), _schema("n bigint")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getListState("recent", self.value_schema)
@@ -271,37 +275,56 @@ def _apply(
 
 
 def _transform(stream: DataFrame, keys, processor: _Keyed, schema: T.StructType, time_mode: str) -> DataFrame:
-    use_keyed_state_store(stream.sparkSession)
+    store = stream.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    if store != ROCKSDB_PROVIDER:
+        raise ValueError("keyed state needs the RocksDB state store: call weirflow.session.use_keyed_state_store first")
     processor.names = schema.fieldNames()
     return stream.groupBy(*keys).transformWithState(processor, schema, "append", time_mode)
 
 
+def _kind(stream: DataFrame, value: str) -> str:
+    return stream.schema[value].dataType.simpleString()
+
+
+def _sum_kind(stream: DataFrame, value: str) -> str:
+    """Whole numbers are summed as bigint, decimals in a wider decimal, floats as double."""
+    kind = stream.schema[value].dataType
+    if isinstance(kind, T.DecimalType):
+        return f"decimal({min(38, kind.precision + 10)},{kind.scale})"
+    return "double" if isinstance(kind, (T.FloatType, T.DoubleType)) else "bigint"
+
+
 def jumps(stream: DataFrame, keys, order, value: str, limit: int) -> DataFrame:
-    """Records that differ from the key's last one by more than ``limit`` (first: from 0)."""
+    """Records that differ from the key's last one by more than ``limit`` (first: from 0; null values from nothing)."""
 
     def step(held, row):
-        last, now = (held[0] if held else 0), row[value]
-        return (now,), ([(row["seq"], now, last)] if abs(now - last) > limit else [])
+        last, now = (held[0] if held and held[0] is not None else 0), row[value]
+        return (now,), ([(row["seq"], now, last)] if now is not None and abs(now - last) > limit else [])
 
-    return _apply(stream, keys, ValueFold(order, "last int", step), "seq bigint, vc int, prev_vc int", reads=[value])
+    kind = _kind(stream, value)
+    processor = ValueFold(order, f"last {kind}", step)
+    return _apply(stream, keys, processor, f"seq bigint, {value} {kind}, prev_{value} {kind}", reads=[value])
 
 
 def running_sum(stream: DataFrame, keys, order, value: str) -> DataFrame:
     def step(held, row):
-        total = (held[0] if held else 0) + row[value]
+        total, now = (held[0] if held else None), row[value]
+        total = now if total is None else total if now is None else total + now
         return (total,), [(row["seq"], total)]
 
-    return _apply(stream, keys, ValueFold(order, "total bigint", step), "seq bigint, sum_vc bigint", reads=[value])
+    kind = _sum_kind(stream, value)
+    processor = ValueFold(order, f"total {kind}", step)
+    return _apply(stream, keys, processor, f"seq bigint, sum_{value} {kind}", reads=[value])
 
 
 def running_average(stream: DataFrame, keys, order, value: str) -> DataFrame:
     def step(held, row):
-        total, n = held or (0, 0)
-        total, n = total + row[value], n + 1
-        return (total, n), [(row["seq"], total / n)]
+        (total, n), now = held or (0, 0), row[value]
+        total, n = (total, n) if now is None else (total + now, n + 1)
+        return (total, n), [(row["seq"], float(total) / n if n else None)]
 
-    processor = ValueFold(order, "total bigint, n bigint", step)
-    return _apply(stream, keys, processor, "seq bigint, avg_vc double", reads=[value])
+    processor = ValueFold(order, f"total {_sum_kind(stream, value)}, n bigint", step)
+    return _apply(stream, keys, processor, f"seq bigint, avg_{value} double", reads=[value])
 
 
 def reduced(stream: DataFrame, keys, order, schema: str, columns: str, step: Callable) -> DataFrame:
@@ -325,33 +348,39 @@ def last_with_ttl(stream: DataFrame, keys, order, value: str, ttl_ms: int) -> Da
     def step(held, row):
         return (row[value],), [(row["seq"], held[0] if held else 0)]
 
-    processor = ValueFold(order, "last int", step, ttl_ms)
-    return _apply(stream, keys, processor, "seq bigint, last_vc int", "ProcessingTime", [value])
+    kind = _kind(stream, value)
+    processor = ValueFold(order, f"last {kind}", step, ttl_ms)
+    return _apply(stream, keys, processor, f"seq bigint, last_{value} {kind}", "ProcessingTime", [value])
 
 
 def global_window(stream: DataFrame, keys, order, value: str, fire_when: Callable[[int], bool]) -> DataFrame:
     """One endless window per key; fires with its count and sum where ``fire_when(count)``."""
 
     def step(held, row):
-        n, total = held or (0, 0)
-        n, total = n + 1, total + row[value]
+        (n, total), now = held or (0, None), row[value]
+        n, total = n + 1, now if total is None else total if now is None else total + now
         return (n, total), ([(row["seq"], n, total)] if fire_when(n) else [])
 
-    processor = ValueFold(order, "n bigint, total bigint", step)
-    return _apply(stream, keys, processor, "seq bigint, n bigint, sum_vc bigint", reads=[value])
+    kind = _sum_kind(stream, value)
+    processor = ValueFold(order, f"n bigint, total {kind}", step)
+    return _apply(stream, keys, processor, f"seq bigint, n bigint, sum_{value} {kind}", reads=[value])
 
 
 def top_so_far(stream: DataFrame, keys, order, value: str, k: int = 3) -> DataFrame:
-    return _apply(stream, keys, TopList(order, value, k), "seq bigint, top array<int>", reads=[value])
+    kind = _kind(stream, value)
+    return _apply(stream, keys, TopList(order, value, k, kind), f"seq bigint, top array<{kind}>", reads=[value])
 
 
 def value_counts_so_far(stream: DataFrame, keys, order, value: str) -> DataFrame:
-    return _apply(stream, keys, CountMap(order, value), "seq bigint, counts map<int,bigint>", reads=[value])
+    """For each record the entry of its key's value-to-count map that it changes, after the change."""
+    kind = _kind(stream, value)
+    return _apply(stream, keys, CountMap(order, value, kind), f"seq bigint, {value} {kind}, n bigint", reads=[value])
 
 
 def count_windows(stream: DataFrame, keys, order, value: str, size: int, slide: int | None = None) -> DataFrame:
-    processor = CountWindow(order, value, size, slide)
-    return _apply(stream, keys, processor, "window_no bigint, n bigint, elements array<int>", reads=[value])
+    kind = _kind(stream, value)
+    processor = CountWindow(order, value, kind, size, slide)
+    return _apply(stream, keys, processor, f"window_no bigint, n bigint, elements array<{kind}>", reads=[value])
 
 
 def delay_timers(stream: DataFrame, keys, delay_ms: int) -> DataFrame:
