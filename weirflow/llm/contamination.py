@@ -224,9 +224,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_windo
     """The rows of ``docs`` that are not contaminated, with the same columns; a null text is kept."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     if _fits(items, max_windows):
-        found = F.col("_found")
-        marked = docs.withColumn("_found", _finder(items, n, False)("text"))
-        return marked.where(~is_contaminated(found["n_hit"], found["n_words"])).select(*[F.col(f"`{c}`") for c in docs.columns])
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    found = _scan_by_join(docs.select(whole, "text"), items, n)
+        marked = docs.select(F.struct("*").alias("doc"), _finder(items, n, False)("text").alias("found"))
+        return marked.where(~is_contaminated(F.col("found.n_hit"), F.col("found.n_words"))).select("doc.*")
+    found = _scan_by_join(docs.select(F.struct("*").alias("doc"), "text"), items, n)
     return found.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))).select("doc.*")

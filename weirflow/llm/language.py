@@ -209,7 +209,5 @@ def keep_recognised(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     prototypes = train(docs.where(~held_out(F.col("doc_id"))))
     if not prototypes:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    marked = docs.withColumn("_p", predictor(prototypes)("text"))
-    return marked.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= min_score)).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    marked = docs.select(F.struct("*").alias("doc"), predictor(prototypes)("text").alias("found"))
+    return marked.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= min_score)).select("doc.*")

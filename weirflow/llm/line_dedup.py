@@ -107,7 +107,7 @@ def _near_copies(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFr
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``, and two columns ``_n_lines`` and ``_n_removed``.
+    """``(doc, n_lines, n_removed)``: each row of ``docs`` as a struct, without the repeated lines in its ``text``.
 
     Occurrences are ordered by doc_id (a null one first), a hash of the text and the line's place. Blank
     lines are never repeated and stay. A null text stays null and has no lines; an empty text has one, blank
@@ -127,24 +127,25 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("_line").alias("_gone"))
     )
     # The lines come apart before the join, so that they are an array there and not split again for each line.
-    columns = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    apart = docs.select(*columns, F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_rest")
+    apart = docs.select(rest, F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_hash"))
+    same = F.col("_rest.doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
     left = F.expr("array_except(sequence(0, size(_lines) - 1), _gone)")
     kept = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.transform(left, lambda k: F.get("_lines", k)))
-    n_lines, n_removed = F.coalesce(F.size("_lines"), F.lit(0)), F.coalesce(F.size("_gone"), F.lit(0))
     return apart.join(gone, same, "left").select(
-        *[F.array_join(kept, "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("_lines").isNull(), 0).otherwise(n_lines).cast("bigint").alias("_n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(n_removed).cast("bigint").alias("_n_removed"),
+        F.struct(
+            *[F.array_join(kept, "\n").alias("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
+        ).alias("doc"),
+        F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("bigint").alias("n_lines"),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("bigint").alias("n_removed"),
     )
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated lines, with the same columns; ``n_chars``, if there, counts the new text."""
-    found = without_repeated_lines(docs)
+    found = without_repeated_lines(docs).select("doc.*", F.col("n_removed").alias("_removed_now"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = F.when(F.col("_n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
+        changed = F.when(F.col("_removed_now") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", changed)
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])

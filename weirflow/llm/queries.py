@@ -28,12 +28,7 @@ def _query(fn: Query) -> Query:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document, those taken out, and a digest of the text that is left."""
     found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
-        F.sha2("text", 256).alias("kept_sha256"),
-    )
+    return found.select("doc.doc_id", "n_lines", "n_removed", F.sha2("doc.text", 256).alias("kept_sha256"))
 
 
 SQL["op1_line_dedup"] = r"""

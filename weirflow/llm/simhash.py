@@ -162,13 +162,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     def print_of(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(x, shingle) for x in texts.cast(pa.binary()).to_pylist()], pa.int64())
 
-    names = [F.col(f"marked.`{n}`") for n in docs.columns]
-    marked = docs.withColumn("_of_row", print_of("text")).alias("marked")
-    same = F.col("marked.doc_id").eqNullSafe(F.col("_id")) & (F.col("_of_row") == F.col("_print"))
-    single = marked.join(best.where("_rows = 1"), same, "left_semi").select(*names)
+    marked = docs.select(F.struct("*").alias("doc"), print_of("text").alias("print"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
+    single = marked.join(best.where("_rows = 1"), same, "left_semi").select("doc.*")
     repeated = best.where("_rows > 1")
     if repeated.isEmpty():
         return single
-    first = Window.partitionBy("marked.doc_id", "_of_row").orderBy(F.to_json(F.struct(*names)))
-    several = marked.join(repeated, same, "left_semi").withColumn("_nth", F.row_number().over(first))
-    return single.unionByName(several.where("_nth = 1").select(*names))
+    first = Window.partitionBy("doc.doc_id", "print").orderBy(F.to_json("doc"))
+    several = marked.join(repeated, same, "left_semi").withColumn("nth", F.row_number().over(first))
+    return single.unionByName(several.where("nth = 1").select("doc.*"))
