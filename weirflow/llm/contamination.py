@@ -109,6 +109,11 @@ def _fits(items: DataFrame, max_windows: int) -> bool:
     return (items.agg(F.sum(F.size(F.split(spaced, " ")))).first()[0] or 0) <= max_windows
 
 
+def _few_at_once(texts: pa.Array) -> Iterator[bytes | None]:
+    for at in range(0, len(texts), 256):
+        yield from texts.slice(at, 256).cast(pa.binary()).to_pylist()
+
+
 def _finder(items: DataFrame, n: int, with_text: bool):
     """A function of the text column with the broadcast windows: ``struct(n_words, n_hit, items, clean_text)``."""
     wanted = WindowSet([(r["item_id"], (r["text"] or "").encode()) for r in items.collect()], n)
@@ -118,7 +123,7 @@ def _finder(items: DataFrame, n: int, with_text: bool):
     def find(texts: pa.Array) -> pa.Array:
         windows = shared.value
         n_words, n_hit, owners, cleaned = [], [], [], []
-        for text in texts.cast(pa.binary()).to_pylist():
+        for text in _few_at_once(texts):
             words = words_of(text)
             hit, found = windows.scan(words) if words else (np.zeros(0, bool), set())
             n_words.append(len(words))

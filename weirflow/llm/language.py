@@ -23,7 +23,7 @@ UNKNOWN = "und"
 MIN_SCORE = 0.1
 _TEXTS_AT_ONCE = 64
 _CHARS_AT_ONCE = 1 << 20
-_CACHED_TRIGRAMS = 1 << 16
+_CACHED_TRIGRAMS = 1 << 14
 
 
 class Profiles:
@@ -128,14 +128,16 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED, max_l
     """
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sums = profiles(dimensions, seed), {}
+        known, sums = Profiles(dimensions, seed), {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            names = sorted(set(langs))
-            at = {name: k for k, name in enumerate(names)}
-            total = known.bundles(texts, np.array([at[x] for x in langs], np.int64), len(names))
-            for name, row in zip(names, total, strict=True):
-                sums[name] = sums.get(name, 0) + row
+            for low in range(0, batch.num_rows, 1024):
+                some = batch.slice(low, 1024)
+                texts, langs = some.column(0).to_pylist(), some.column(1).to_pylist()
+                names = sorted(set(langs))
+                at = {name: k for k, name in enumerate(names)}
+                total = known.bundles(texts, np.array([at[x] for x in langs], np.int64), len(names))
+                for name, row in zip(names, total, strict=True):
+                    sums[name] = sums.get(name, 0) + row
         if sums:
             rows = [pa.array(np.rint(v).astype(np.int64)) for v in sums.values()]
             lists = pa.array([r.to_pylist() for r in rows], pa.list_(pa.int64()))
@@ -171,9 +173,8 @@ def predictor(prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS, s
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(texts: pa.Array) -> pa.Array:
         known, langs, scores = profiles(dimensions, seed), [], []
-        values = texts.to_pylist()
-        for at in range(0, len(values), _TEXTS_AT_ONCE):
-            some = [x or "" for x in values[at : at + _TEXTS_AT_ONCE]]
+        for at in range(0, len(texts), _TEXTS_AT_ONCE):
+            some = [x or "" for x in texts.slice(at, _TEXTS_AT_ONCE).to_pylist()]
             vectors = known.bundles(some, np.arange(len(some)), len(some))
             norms = np.linalg.norm(vectors, axis=1)
             if not names:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirflow.llm.common import components, stored, utf8, with_type
+from weirflow.llm.common import components, stored, with_type
 
 SEED = 42
 WORDS_AT_ONCE = 100_000
@@ -63,14 +63,19 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return _signed(int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big"))
 
 
+def _prints(texts: pa.Array, shingle: int) -> pa.Array:
+    """Fingerprints of a column, with few of its texts in Python at a time."""
+    parts = (texts.slice(at, 256).cast(pa.binary()).to_pylist() for at in range(0, len(texts), 256))
+    return pa.array([fingerprint(x, shingle) for part in parts for x in part], pa.int64())
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``(doc_id, fingerprint bigint)`` for each row of ``docs`` (``doc_id``, ``text``)."""
     schema = T.StructType([with_type(docs, "doc_id"), T.StructField("fingerprint", T.LongType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = pa.array([fingerprint(x, shingle) for x in utf8(batch, "text")], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _prints(batch.column(1), shingle)], ["doc_id", "fingerprint"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
@@ -160,7 +165,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
 
     @F.arrow_udf("bigint")
     def print_of(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(x, shingle) for x in texts.cast(pa.binary()).to_pylist()], pa.int64())
+        return _prints(texts, shingle)
 
     marked = docs.select(F.struct("*").alias("doc"), print_of("text").alias("print"))
     same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
