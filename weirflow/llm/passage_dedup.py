@@ -9,9 +9,11 @@ compared.
   First all paragraphs meet on four single MinHashes: pairs at 0.8 meet but for 0.2 %, and most paragraphs
   meet nobody, because unrelated texts share next to no five-word shingles. Those that met somebody meet
   again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
-* Of the paragraphs that meet on a band, the smallest is compared with the others by exact Jaccard. Those
-  that are not similar to it meet again without it, until no two are left that were not compared or joined:
-  a group is never expanded to all pairs, and no similar pair that meets is lost.
+* Of the paragraphs that meet on a band, up to ``CENTRES`` are compared with the others by exact Jaccard, chosen
+  by a hash that differs from band to band. While a band has paragraphs that are similar to none of its
+  centres so far, further ones of those become centres and are compared with all that are left. So the pairs
+  of small groups are all compared, and a large group is never expanded to all pairs: only a link between two
+  paragraphs that joined different centres on every band where they meet can be missed.
 * Components of similar paragraphs are classes, and equal paragraphs are one from the start. The first
   occurrence of a class stays. What goes are passages: neighbouring repeated paragraphs that have
   ``passage_words`` words or more together.
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from weirflow.llm.common import components, stored, utf8, with_type
 from weirflow.llm.contamination import _TO_WORDS
-from weirflow.llm.suffix_dedup import _powers, _sliding
+from weirflow.llm.suffix_dedup import _sliding
 
 SIMILARITY = 0.8
 SHINGLE = 5
@@ -39,6 +41,7 @@ REACH = 6
 PASSAGE_WORDS = 14
 GAP_WORDS = 8
 ROWS, BANDS = 6, 20
+CENTRES = 16
 _FIRST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -47,15 +50,25 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
+class _WordHashes(dict):
+    """Hashes of words, kept for the words that a process has met."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
+_HASHES = _WordHashes()
+
+
 def _words(plain: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where words start and stop in a text whose other bytes are spaces, and a hash of each."""
-    values = np.frombuffer(plain, np.uint8)
-    inside = np.concatenate(([False], values != 0x20, [False]))
+    inside = np.zeros(len(plain) + 2, bool)
+    inside[1:-1] = np.frombuffer(plain, np.uint8) != 0x20
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    start, stop = edges[::2], edges[1::2]
-    powers, inverse = _powers(len(values))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((values + np.uint64(1)) * powers, dtype=np.uint64)))
-    return start, stop, _mixed((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
+    return edges[::2], edges[1::2], np.array(list(map(_HASHES.__getitem__, plain.split())), np.uint64)
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -183,20 +196,27 @@ def _similar(docs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
     banded = contents.select("id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     meeting = stored(banded.join(shared, "band", "left_semi"))
+    meeting = meeting.withColumn("open", F.lit(True))
+    ours = contents.select("id", "shingles")
     theirs = contents.select(F.col("id").alias("centre"), F.col("shingles").alias("others"))
     edges = None
     while True:
-        centres = meeting.groupBy("band").agg(F.min("id").alias("centre"))
+        slot = F.expr(f"pmod(xxhash64(id, band), {CENTRES})")
+        centres = meeting.where("open").groupBy("band", slot.alias("slot")).agg(F.min("id").alias("centre")).drop("slot")
         compared = meeting.join(centres, "band").where("id != centre")
+        pairs = compared.select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
         common = F.size(F.array_intersect("shingles", "others"))
-        pairs = compared.select("id", "centre").distinct().join(contents, "id").join(theirs, "centre")
         jaccard = common / (F.size("shingles") + F.size("others") - common)
-        judged = stored(pairs.select("id", "centre", (jaccard >= similarity).alias("similar")))
-        found = judged.where("similar").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+        similar = pairs.join(ours, "id").join(theirs, "centre").where(jaccard >= similarity)
+        found = stored(similar.select(F.col("id").alias("a"), F.col("centre").alias("b")))
         edges = found if edges is None else edges.union(found)
-        # Those that were not similar to the centre of their band meet again without it.
-        left = compared.join(judged.where("not similar"), ["id", "centre"], "left_semi").select("band", "id")
-        meeting = stored(left.join(left.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band", "left_semi"))
+        # Who is not a centre yet stays, as long as somebody of the band is similar to none of them.
+        both = found.union(found.select("b", "a")).toDF("id", "centre")
+        joined = compared.join(both, ["id", "centre"], "left_semi").select("band", "id").distinct().withColumn("joined", F.lit(True))
+        rest = meeting.join(centres.withColumnRenamed("centre", "id"), ["band", "id"], "left_anti")
+        rest = rest.join(joined, ["band", "id"], "left").select("band", "id", (F.col("open") & F.col("joined").isNull()).alias("open"))
+        busy = rest.groupBy("band").agg(F.count("*").alias("n"), F.max("open").alias("any_open")).where("n > 1 and any_open")
+        meeting = stored(rest.join(busy, "band", "left_semi"))
         if meeting.isEmpty():
             return edges
 
