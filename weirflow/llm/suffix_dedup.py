@@ -5,8 +5,10 @@
   in about eighty-five bytes, with a hash of their context: the bytes that a string around them can reach.
 * Equal contexts repeat every string in them, so they are counted and need no sorting; an anchor that occurs
   once repeats nothing.
-* Suffix arrays. What is left are edges of repeated passages: contexts that occur once, at anchors that occur
-  more often. They are dealt to shards by anchor, and each shard sorts the suffixes of its contexts by
+* Halves. A string reaches half of the way or more to the left or to the right of its anchor. So contexts
+  that share neither their left nor their right half with another one repeat nothing.
+* Suffix arrays. What is left are edges of repeated passages: contexts that occur once, but share a half. They
+  are dealt to shards by anchor, and each shard sorts the suffixes of its contexts by
   Larsson-Sadakane refinement in numpy: groups of equal ranks are split by the rank of the suffix that starts
   where the known prefix ends, and suffixes alone in their group are left out of later rounds. Prefixes are
   only refined to ``length`` bytes, where a group is a set of equal strings. Kasai's pass over common
@@ -90,14 +92,16 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
 
 
 def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(doc_id, text_hash, start, stop, anchor, context, n)`` for each anchor, with the reach of its context.
+    """``(doc_id, text_hash, start, stop, anchor, context, left, right, n)`` for each anchor: the reach of its
+    context, and hashes of the anchor, the context and its halves (0 for a half that the text is too short for).
 
     A context that a text has several times is one row with its number; where those occurrences lie is told
     by rows without an anchor, merged.
     """
-    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "anchor", "context", "n")]
+    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "anchor", "context", "left", "right", "n")]
     schema = T.StructType([with_type(docs, "doc_id"), T.StructField("text_hash", T.IntegerType()), *longs])
     reach = length - gram
+    half = reach // 2
 
     def of(text: bytes) -> np.ndarray:
         places = anchors(text, length, gram)
@@ -105,13 +109,16 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
         digest = xxhash.xxh64_intdigest
         gram_hash = np.array([digest(text[p : p + gram]) for p in places.tolist()], np.uint64)
         around = [digest(text[a:b], p - a) for p, a, b in zip(places.tolist(), start.tolist(), stop.tolist(), strict=True)]
-        rows = np.column_stack([start, stop, gram_hash.view(np.int64), np.array(around, np.uint64).view(np.int64)])
-        _, first, which, n = np.unique(rows[:, 2:], axis=0, return_index=True, return_inverse=True, return_counts=True)
+        left = [digest(text[p - half : p + gram], 1) if p >= half else 0 for p in places.tolist()]
+        right = [digest(text[p : p + gram + half], 2) if p + gram + half <= len(text) else 0 for p in places.tolist()]
+        hashes = [np.array(h, np.uint64).view(np.int64) for h in (gram_hash, around, left, right)]
+        rows = np.column_stack([start, stop, *hashes])
+        _, first, which, n = np.unique(rows[:, 3], return_index=True, return_inverse=True, return_counts=True)
         out = [np.column_stack([rows[first], n])]
         if len(first) < len(rows):
             again = n[which.ravel()] > 1
             spans = _merged(start[again], stop[again])
-            out.append(np.column_stack([spans, np.zeros((len(spans), 3), np.int64)]))
+            out.append(np.column_stack([spans, np.zeros((len(spans), 5), np.int64)]))
         return np.concatenate(out)
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,10 +131,8 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     owner.append(np.full(len(rows[-1]), k))
             if rows:
                 table, row = np.concatenate(rows), pa.array(np.concatenate(owner))
-                none = pa.array(table[:, 4] == 0)
-                columns = [pa.array(table[:, k]) for k in range(5)]
-                columns[2] = pa.array(table[:, 2], mask=np.asarray(none))
-                columns[3] = pa.array(table[:, 3], mask=np.asarray(none))
+                columns = [pa.array(table[:, k]) for k in range(7)]
+                columns[2] = pa.array(table[:, 2], mask=table[:, 6] == 0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), *columns], schema.names)
 
     return docs.select("doc_id", "text", F.hash("text").alias("text_hash")).mapInArrow(list_anchors, schema)
@@ -205,16 +210,20 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     counts = listed.where("anchor is not null").groupBy("anchor").agg(F.sum("n").alias("total"))
     busy = stored(listed.join(counts.where("total > 1").select("anchor"), "anchor", "left_semi"))
     owner = F.struct("doc_id", "text_hash", "start", "stop")
-    by_context = busy.groupBy("anchor", "context").agg(F.sum("n").alias("n"), F.min(owner).alias("one"))
+    by_context = busy.groupBy("anchor", "context").agg(
+        F.sum("n").alias("n"), F.min(owner).alias("one"), F.min("left").alias("left"), F.min("right").alias("right")
+    )
     by_context = stored(by_context)
     equal = by_context.where("n > 1").select("anchor", "context")
     whole = busy.join(equal, ["anchor", "context"], "left_semi").select("doc_id", "text_hash", "start", "stop")
-    mixed = by_context.groupBy("anchor").agg(F.count("*").alias("contexts"), F.min("n").alias("least"))
-    mixed = mixed.where("contexts > 1 and least = 1").select("anchor", "contexts")
-    shards = F.ceil(F.col("contexts") / shard_contexts)
+    halves = by_context.select("anchor", "context", "n", F.explode(F.array("left", "right")).alias("half")).where("half != 0")
+    shared = halves.groupBy("half").agg(F.count("*").alias("contexts"), F.min("n").alias("least"))
+    edge = halves.join(shared.where("contexts > 1 and least = 1"), "half", "left_semi").select("anchor", "context").distinct()
+    edge = stored(by_context.join(edge, ["anchor", "context"], "left_semi").select("anchor", "context", "n", "one"))
+    crowds = edge.groupBy("anchor").agg(F.ceil(F.count("*") / shard_contexts).alias("shards"))
     edges = (
-        by_context.join(mixed, "anchor")
-        .select("one.*", "anchor", "n", (shards > 1).alias("dealt"), F.pmod("context", shards).alias("shard"))
+        edge.join(crowds, "anchor")
+        .select("one.*", "anchor", "n", (F.col("shards") > 1).alias("dealt"), F.expr("pmod(context, shards)").alias("shard"))
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("start", "stop", "anchor", "n", "dealt", "shard")).alias("edges"))
     )
