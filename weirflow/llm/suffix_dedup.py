@@ -8,14 +8,14 @@
 * Halves. A string reaches half of the way or more to the left or to the right of its anchor. So contexts
   that share neither their left nor their right half with another one repeat nothing.
 * Suffix arrays. What is left are edges of repeated passages: contexts that occur once, but share a half. They
-  are dealt to shards by anchor, and each shard sorts the suffixes of its contexts by
+  are dealt to shards by the halves they share, cut to the strings that reach over that half, and each shard sorts the suffixes of its contexts by
   Larsson-Sadakane refinement in numpy: groups of equal ranks are split by the rank of the suffix that starts
   where the known prefix ends, and suffixes alone in their group are left out of later rounds. Prefixes are
   only refined to ``length`` bytes, where a group is a set of equal strings. Kasai's pass over common
   prefixes can't be vectorised and would add nothing: the ranks say which neighbours have ``length`` bytes in
   common.
-* Hot anchors. The contexts of an anchor with very many are dealt to several shards. Suffixes that are alone
-  in their shard are merged across the anchor's shards by their sorted digests, as Spark rows: a merge by
+* Hot halves. The contexts of a half with very many are dealt to several shards. Suffixes that are alone in
+  their shard are merged across the shards of the half by their sorted digests, as Spark rows: a merge by
   binary search would need each shard's suffixes in every other shard.
 """
 
@@ -92,13 +92,13 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
 
 
 def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(doc_id, text_hash, start, stop, anchor, context, left, right, n)`` for each anchor: the reach of its
-    context, and hashes of the anchor, the context and its halves (0 for a half that the text is too short for).
+    """``(doc_id, text_hash, start, stop, anchor, context, left, right, n, place)`` for each anchor: the reach of
+    its context, its place, and hashes of the anchor, the context and its halves (0 for a half that the text is too short for).
 
     A context that a text has several times is one row with its number; where those occurrences lie is told
     by rows without an anchor, merged.
     """
-    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "anchor", "context", "left", "right", "n")]
+    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "anchor", "context", "left", "right", "n", "place")]
     schema = T.StructType([with_type(docs, "doc_id"), T.StructField("text_hash", T.IntegerType()), *longs])
     reach = length - gram
     half = reach // 2
@@ -114,11 +114,11 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
         hashes = [np.array(h, np.uint64).view(np.int64) for h in (gram_hash, around, left, right)]
         rows = np.column_stack([start, stop, *hashes])
         _, first, which, n = np.unique(rows[:, 3], return_index=True, return_inverse=True, return_counts=True)
-        out = [np.column_stack([rows[first], n])]
+        out = [np.column_stack([rows[first], n, places[first]])]
         if len(first) < len(rows):
             again = n[which.ravel()] > 1
             spans = _merged(start[again], stop[again])
-            out.append(np.column_stack([spans, np.zeros((len(spans), 5), np.int64)]))
+            out.append(np.column_stack([spans, np.zeros((len(spans), 6), np.int64)]))
         return np.concatenate(out)
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,7 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     owner.append(np.full(len(rows[-1]), k))
             if rows:
                 table, row = np.concatenate(rows), pa.array(np.concatenate(owner))
-                columns = [pa.array(table[:, k]) for k in range(7)]
+                columns = [pa.array(table[:, k]) for k in range(8)]
                 columns[2] = pa.array(table[:, 2], mask=table[:, 6] == 0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), *columns], schema.names)
 
@@ -197,11 +197,17 @@ def _ranked(keys: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """New ranks of suffixes by ``keys`` within their old rank ``base``, and whether a suffix is alone with its own."""
     if not len(keys):
         return base, np.zeros(0, bool)
-    _, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    before = np.cumsum(n) - n
-    old = base[first]
-    group = np.searchsorted(old, old)  # old ranks rise with the keys
-    return (old + before - before[group])[which], n[which] == 1
+    order = np.argsort(keys)
+    keys, base = keys[order], base[order]  # old ranks rise with the keys
+    first = np.concatenate(([True], keys[1:] != keys[:-1]))
+    starts = np.flatnonzero(first)
+    group = np.flatnonzero(np.concatenate(([True], base[1:] != base[:-1])))
+    before = starts - group[np.searchsorted(group, starts, side="right") - 1]
+    n = np.diff(np.concatenate((starts, [len(keys)])))
+    rank, alone = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    rank[order] = base + np.repeat(before, n)
+    alone[order] = np.repeat(n == 1, n)
+    return rank, alone
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
@@ -209,35 +215,43 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     listed = stored(_occurrences(docs, length, gram))
     counts = listed.where("anchor is not null").groupBy("anchor").agg(F.sum("n").alias("total"))
     busy = stored(listed.join(counts.where("total > 1").select("anchor"), "anchor", "left_semi"))
-    owner = F.struct("doc_id", "text_hash", "start", "stop")
+    owner = F.struct("doc_id", "text_hash", "start", "stop", "place")
     by_context = busy.groupBy("anchor", "context").agg(
         F.sum("n").alias("n"), F.min(owner).alias("one"), F.min("left").alias("left"), F.min("right").alias("right")
     )
     by_context = stored(by_context)
     equal = by_context.where("n > 1").select("anchor", "context")
     whole = busy.join(equal, ["anchor", "context"], "left_semi").select("doc_id", "text_hash", "start", "stop")
-    halves = by_context.select("anchor", "context", "n", F.explode(F.array("left", "right")).alias("half")).where("half != 0")
+    reach, half = length - gram, (length - gram) // 2
+    # The strings that reach over the left half start at least so far before the anchor, and the others not.
+    one = F.col("one")
+    left_end = F.least(one["stop"], one["place"] - half + length)
+    right_start = F.greatest(one["start"], one["place"] - (reach - half))
+    sides = F.array(
+        F.struct(F.col("left").alias("half"), one["start"].alias("start"), left_end.alias("stop")),
+        F.struct(F.col("right").alias("half"), right_start.alias("start"), one["stop"].alias("stop")),
+    )
+    halves = by_context.select("context", "n", "one.doc_id", "one.text_hash", F.explode(sides).alias("s"))
+    halves = halves.select("context", "n", "doc_id", "text_hash", "s.*").where(F.col("half") != 0)
     shared = halves.groupBy("half").agg(F.count("*").alias("contexts"), F.min("n").alias("least"))
-    edge = halves.join(shared.where("contexts > 1 and least = 1"), "half", "left_semi").select("anchor", "context").distinct()
-    edge = stored(by_context.join(edge, ["anchor", "context"], "left_semi").select("anchor", "context", "n", "one"))
-    crowds = edge.groupBy("anchor").agg(F.ceil(F.count("*") / shard_contexts).alias("shards"))
+    shared = shared.where("contexts > 1 and least = 1").select("half", F.ceil(F.col("contexts") / shard_contexts).alias("shards"))
     edges = (
-        edge.join(crowds, "anchor")
-        .select("one.*", "anchor", "n", (F.col("shards") > 1).alias("dealt"), F.expr("pmod(context, shards)").alias("shard"))
+        halves.join(shared, "half")
+        .select("doc_id", "text_hash", "start", "stop", "half", "n", (F.col("shards") > 1).alias("dealt"), F.expr("pmod(context, shards)").alias("shard"))
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start", "stop", "anchor", "n", "dealt", "shard")).alias("edges"))
+        .agg(F.collect_list(F.struct("start", "stop", "half", "n", "dealt", "shard")).alias("edges"))
     )
     found = stored(_sorted_shards(docs, edges, length))
-    alone = found.where("digest is not null").groupBy("anchor", "digest", "doc_id", "text_hash", "start", "stop").agg(F.max("n").alias("n"))
+    alone = found.where("digest is not null").groupBy("half", "digest", "doc_id", "text_hash", "start", "stop").agg(F.max("n").alias("n"))
     place = F.struct("doc_id", "text_hash", "start")
-    met = alone.groupBy("anchor", "digest").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.max("n").alias("n"))
-    met = met.where("low != high or n > 1").select("anchor", "digest")
+    met = alone.groupBy("half", "digest").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.max("n").alias("n"))
+    met = met.where("low != high or n > 1").select("half", "digest")
     ranges = ["doc_id", "text_hash", "start", "stop"]
     return (
         listed.where("anchor is null").select(ranges)
         .union(whole)
         .union(found.where("digest is null").select(ranges))
-        .union(alone.join(met, ["anchor", "digest"], "left_semi").select(ranges))
+        .union(alone.join(met, ["half", "digest"], "left_semi").select(ranges))
     )
 
 
@@ -245,7 +259,7 @@ def _sorted_shards(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
     """What the shards' suffix arrays say: ranges that repeat, and digests of suffixes to be met in other shards."""
     id_field = with_type(docs, "doc_id")
     fields = [id_field, T.StructField("text_hash", T.IntegerType())]
-    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "anchor", "n")]
+    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "half", "n")]
     schema = T.StructType(fields + longs + [T.StructField("digest", T.LongType())])
     cut = F.expr("transform(edges, e -> named_struct('e', e, 'bytes', substring(_bytes, cast(e.start + 1 as int), cast(e.stop - e.start as int))))")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.hash("d.text") == F.col("s.text_hash"))
@@ -255,8 +269,8 @@ def _sorted_shards(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
         .select("s.doc_id", "s.text_hash", "edges", F.col("d.text").cast("binary").alias("_bytes"))
         .select("doc_id", "text_hash", F.explode(cut).alias("c"))
         .select("doc_id", "text_hash", "c.e.*", "c.bytes")
-        .repartition("anchor", "shard")
-        .sortWithinPartitions("anchor", "shard")
+        .repartition("half", "shard")
+        .sortWithinPartitions("half", "shard")
     )
 
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +290,7 @@ def _sorted_shards(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
         if held:
             yield from _shard(held, schema, length)
 
-    names = ["doc_id", "text_hash", "start", "stop", "anchor", "n", "dealt", "shard", "bytes"]
+    names = ["doc_id", "text_hash", "start", "stop", "half", "n", "dealt", "shard", "bytes"]
     return contexts.select(*names).mapInArrow(sort_shards, schema)
 
 
