@@ -21,8 +21,8 @@ DIMENSIONS = 1024
 SEED = 7
 UNKNOWN = "und"
 MIN_SCORE = 0.1
-_TEXTS_AT_ONCE = 64
-_CHARS_AT_ONCE = 1 << 20
+_TEXTS_AT_ONCE = 32
+_CHARS_AT_ONCE = 1 << 17
 _CACHED_TRIGRAMS = 1 << 14
 
 
@@ -136,6 +136,7 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED, max_l
                 names = sorted(set(langs))
                 at = {name: k for k, name in enumerate(names)}
                 total = known.bundles(texts, np.array([at[x] for x in langs], np.int64), len(names))
+                del texts
                 for name, row in zip(names, total, strict=True):
                     sums[name] = sums.get(name, 0) + row
         if sums:

@@ -15,7 +15,7 @@ import os
 import numpy as np
 
 ID_BYTES = 4
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 
 
 class _Words(dict):
