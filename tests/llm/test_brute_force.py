@@ -256,6 +256,23 @@ def test_suffixes(spark, shard_contexts):
         assert bytes(out[k]["kept"]) == kept and out[k]["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
+def test_suffixes_repeat_within_one_shard_and_alone_in_another(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_SHARD_BYTES", 1)  # each shard is sorted apart
+    rng, length = random.Random(16), 60
+
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnop", k=n))
+
+    # Every letter before the passage stands there three times.
+    passage, texts = letters(70), []
+    for k in range(48):
+        texts.append(letters(80) + chr(0x41 + k // 3) + passage + letters(80))
+    counts = collections.Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
+    out = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(documents(spark, texts), length, 16, shard_contexts=16).collect()}
+    for k, t in enumerate(texts):
+        assert out[k] == len({x for p in range(len(t) - length + 1) if counts[t[p : p + length]] > 1 for x in range(p, p + length)})
+
+
 def test_passages_within_lines(spark):
     rng = random.Random(7)
 

@@ -15,8 +15,8 @@
   prefixes can't be vectorised and would add nothing: the ranks say which neighbours have ``length`` bytes in
   common.
 * Hot anchors. The contexts of an anchor with very many are dealt to several shards. Suffixes that are alone
-  in their shard are merged across the anchor's shards by their sorted digests, as Spark rows: a merge by
-  binary search would need each shard's suffixes in every other shard.
+  in their shard, and one of each string that repeats in it, are merged across the anchor's shards by their
+  sorted digests, as Spark rows: a merge by binary search would need each shard's suffixes in every other shard.
 """
 
 from __future__ import annotations
@@ -151,12 +151,13 @@ def _merged(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
 
 def repeated_suffixes(
     contexts: list[bytes], text: np.ndarray, start: np.ndarray, weight: np.ndarray, length: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(context, place in it, repeated)`` for each suffix of at least ``length`` bytes.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(context, place in it, repeated, group)`` for each suffix of at least ``length`` bytes.
 
     A suffix is repeated if its first ``length`` bytes occur at another place: in a context of another text,
     at another place of the same one, or in a context of ``weight`` above 1. ``text`` numbers the texts,
-    ``start`` is where a context starts in its text.
+    ``start`` is where a context starts in its text. Repeated suffixes with the same first ``length`` bytes have
+    the same ``group``.
     """
     size = np.array([len(c) for c in contexts], np.int64)
     values = np.frombuffer(b"".join(contexts), np.uint8)
@@ -190,7 +191,7 @@ def repeated_suffixes(
         heavy = np.maximum.reduceat(weight[owner[live]], first) > 1
         repeated[live] = np.repeat(several | heavy, sizes)
     long = left >= length
-    return owner[long], place[long], repeated[long]
+    return owner[long], place[long], repeated[long], rank[long]
 
 
 def _ranked(keys: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -287,7 +288,7 @@ def _shard(held: list[pa.RecordBatch], schema: T.StructType, length: int) -> Ite
     contexts = rows.column(8).to_pylist()
     named = pa.StructArray.from_arrays([rows.column(0), rows.column(1)], ["a", "b"])
     text = np.array(_numbered(named.to_pylist()), np.int64)
-    owner, place, repeated = repeated_suffixes(contexts, text, start, n, length)
+    owner, place, repeated, group = repeated_suffixes(contexts, text, start, n, length)
     # Runs of repeated suffixes of one context cover one range.
     hit = repeated & (n[owner] == 1)
     joined = hit[1:] & hit[:-1] & (owner[1:] == owner[:-1]) & (place[1:] == place[:-1] + 1)
@@ -295,20 +296,25 @@ def _shard(held: list[pa.RecordBatch], schema: T.StructType, length: int) -> Ite
     closes = np.flatnonzero(hit & ~np.concatenate((joined, [False])))
     base = start[owner]
     yield _rows(rows, schema, owner[opens], base[opens] + place[opens], base[closes] + place[closes] + length, None)
-    left = np.flatnonzero(dealt[owner] & ~hit)
+    # What other shards have to meet: each suffix that is not marked, and one of each string that is.
+    again = np.flatnonzero(dealt[owner] & hit)
+    _, anchor = np.unique(rows.column(4).to_numpy(), return_inverse=True)
+    _, first = np.unique(group[again] * np.int64(len(contexts)) + anchor.ravel()[owner[again]], return_index=True)
+    lone = np.flatnonzero(dealt[owner] & ~hit)
+    left = np.concatenate((lone, again[first]))
     if len(left):
         digests = [
             xxhash.xxh64_intdigest(contexts[k][p : p + length]) for k, p in zip(owner[left].tolist(), place[left].tolist(), strict=True)
         ]
         digest = np.array(digests, np.uint64).view(np.int64)
-        yield _rows(rows, schema, owner[left], base[left] + place[left], base[left] + place[left] + length, digest)
+        yield _rows(rows, schema, owner[left], base[left] + place[left], base[left] + place[left] + length, digest, np.concatenate((n[owner[lone]], np.full(len(first), 2))))
 
 
-def _rows(rows: pa.RecordBatch, schema: T.StructType, owner, start, stop, digest) -> pa.RecordBatch:
+def _rows(rows: pa.RecordBatch, schema: T.StructType, owner, start, stop, digest, n=None) -> pa.RecordBatch:
     take = pa.array(owner)
     last = pa.nulls(len(owner), pa.int64()) if digest is None else pa.array(digest)
     columns = [rows.column(0).take(take), rows.column(1).take(take), pa.array(start), pa.array(stop)]
-    columns += [rows.column(4).take(take), rows.column(5).take(take), last]
+    columns += [rows.column(4).take(take), rows.column(5).take(take) if n is None else pa.array(n), last]
     return pa.RecordBatch.from_arrays(columns, schema.names)
 
 
