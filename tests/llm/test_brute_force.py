@@ -208,6 +208,24 @@ def test_windows_have_the_mixture_of_the_corpus():
     assert (served == totals).all() and len(phases) < 40
 
 
+def test_rare_sources_keep_their_share_in_all_windows():
+    for totals in ([30_000_000, 4_500_000, 15_000, 10_000], [33_323_000, 10_000], [700, 5, 0, 2000], [128] * 40):
+        totals = np.array(totals)
+        phases, served, share = packing.plan(totals), np.zeros(len(totals), np.int64), totals / totals.sum()
+        bound = packing.QUANTUM * (1 + share * len(totals))  # the largest queue takes up what the others are rounded by
+        for phase in phases:
+            for _ in range(phase.repeats):
+                ideal = share * (served + phase.served).sum(axis=1)[:, None]
+                assert (np.abs(served + phase.served - ideal) <= bound).all()
+                served = served + phase.served[-1]
+            assert (np.diff(phase.served, axis=0) >= 0).all()
+        assert (served == totals).all()
+        for queue in np.flatnonzero(totals):
+            spans = [p for at in range(0, int(totals[queue]), 9999) for p in packing.pieces(phases, queue, at, min(9999, int(totals[queue]) - at))]
+            assert sum(n for _, n, _, _ in spans) == totals[queue] and all(0 <= o <= packing.LENGTH - n for _, n, _, o in spans)
+            assert all(w <= v for (_, _, w, _), (_, _, v, _) in zip(spans, spans[1:], strict=False))
+
+
 def test_more_sources_than_queues(spark):
     docs = documents(spark, ["some words"] * 40).withColumn("source", F.concat(F.lit("s"), F.col("doc_id").cast("string")))
     out = packing.pack(docs, TOKENS, max_queues=4)

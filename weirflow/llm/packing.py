@@ -1,13 +1,13 @@
 """Mixture-controlled packing of documents into fixed windows of tokens by deficit round-robin.
 
-Each source is a queue of its documents' token ids. A window is filled in quanta: every queue's deficit grows
-by its target share of the window, and the queues with the largest deficits are served a quantum each until
-the window is full. What a queue is owed or has had too much stays in its deficit, from window to window.
+Each source is a queue of its documents' token ids, served in quanta. A queue's deficit grows by its share of
+all tokens with each token that is packed, and its next quantum is due when the deficit reaches half a quantum.
+Quanta are served in the order in which they fall due, so what a queue is owed or has had too much is carried
+from window to window over the whole run, and also the rarest queue is served at its even places.
 
-Serving depends on the token counts of the queues alone, so it is planned once as a short list of phases.
-In a phase the targets are the shares of what is left in the queues; one cycle of windows is simulated and
-repeats until a queue can't fill its part of a cycle any more. Any task can then tell, for any position of a
-queue, the window and the offset in it: deficits carry across partitions without a pass over the windows.
+A quantum falls due when as great a part of the run is over as its queue has tokens before the quantum's
+middle, whatever the other queues do. So any task can count the quanta before any window without a pass over
+the windows before it, and plans only the blocks of windows that its own documents lie in.
 
 Documents are encoded once, into a written table with each document's place in its queue within its
 partition; sums per partition and queue give the places in the whole queue.
@@ -16,7 +16,7 @@ partition; sums per partition and queue give the places in the whole queue.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,76 +32,109 @@ from weirflow.llm.tokens import ID_BYTES, encoder
 LENGTH = 2048
 QUANTUM = 128
 CYCLE = 64
+KNOWN_BLOCKS = 64
 MAX_QUEUES = 512
 BROADCAST_ROWS = 100_000
 
 
 @dataclass
 class Phase:
-    """``repeats`` equal cycles. ``served[w, k]``: tokens of queue k in the cycle's windows before w."""
+    """A block of windows. ``served[w, k]``: tokens of queue k in the block's windows before w."""
 
     first_window: int
-    repeats: int
     before: np.ndarray
     served: np.ndarray
+    repeats: int = 1
+
+
+class Plan(Sequence):
+    """The phases that serve queues of ``totals`` tokens whole, in blocks of ``cycle`` windows, each planned when asked for."""
+
+    def __init__(self, totals: np.ndarray, length: int, quantum: int, cycle: int):
+        self.totals, self.length, self.quantum, self.cycle = totals.astype(np.int64), length, quantum, cycle
+        self.quanta = -(-self.totals // quantum)
+        self.tokens = int(self.totals.sum())
+        self.windows = -(-self.tokens // length)
+        self._known: dict[int, Phase] = {}
+
+    def __len__(self) -> int:
+        return -(-self.windows // self.cycle)
+
+    def __getitem__(self, n):
+        if isinstance(n, slice):
+            return [self[k] for k in range(*n.indices(len(self)))]
+        if not 0 <= n < len(self):
+            raise IndexError(n)
+        if n not in self._known:
+            if len(self._known) >= KNOWN_BLOCKS:
+                del self._known[next(iter(self._known))]
+            self._known[n] = self._block(n)
+        return self._known[n]
+
+    def holding(self, queue: int, at: int) -> int:
+        """The number of the phase that serves position ``at`` of ``queue``."""
+        n = min(int(at / int(self.totals[queue]) * self.windows) // self.cycle, len(self) - 1)
+        while at < self[n].before[queue]:
+            n -= 1
+        while at >= self[n].before[queue] + self[n].served[-1, queue]:
+            n += 1
+        return n
+
+    def _due(self, nth: np.ndarray, queue: np.ndarray) -> np.ndarray:
+        at, total = nth * self.quantum, self.totals[queue]
+        return (at + np.minimum(at + self.quantum, total)) / (2 * np.maximum(total, 1))
+
+    def _before(self, time: float) -> np.ndarray:
+        """How many quanta of each queue are due before ``time``."""
+        each = np.arange(len(self.quanta))
+        n = np.clip(np.floor(time * self.totals / self.quantum + 0.5).astype(np.int64), 0, self.quanta)
+        n -= (n > 0) & (self._due(n - 1, each) >= time)
+        return n + ((n < self.quanta) & (self._due(n, each) < time))
+
+    def _block(self, n: int) -> Phase:
+        size = self.cycle * self.length
+        start, stop = n * size, min((n + 1) * size, self.tokens)
+        bounds = np.minimum(np.arange(start, stop + self.length, self.length), stop)
+        # Of what is due before a time, each queue has less than two quanta more or less than its share.
+        margin = 2 * self.quantum * len(self.totals)
+        low, high = self._before((start - margin) / self.tokens), self._before((stop + margin) / self.tokens)
+        owner = np.repeat(np.arange(len(low)), high - low)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(high - low) - high, high - low)
+        order = np.lexsort((owner, self._due(nth, owner)))
+        owner, nth = owner[order], nth[order]
+        sizes = np.minimum(self.quantum, self.totals[owner] - nth * self.quantum)
+        earlier = np.minimum(low * self.quantum, self.totals)
+        ends = int(earlier.sum()) + np.cumsum(sizes)
+        served = np.zeros((len(bounds) + 1, len(low)), np.int64)
+        np.add.at(served, (np.searchsorted(bounds, ends), owner), sizes)
+        served = earlier + np.cumsum(served[:-1], axis=0)
+        cut = np.searchsorted(ends, bounds, side="right")
+        some = np.flatnonzero(cut < len(ends))
+        cut = cut[some]
+        served[some, owner[cut]] += bounds[some] - ends[cut] + sizes[cut]
+        return Phase(n * self.cycle, served[0], served - served[0])
+
+
+def plan(totals: np.ndarray, length: int = LENGTH, quantum: int = QUANTUM, cycle: int = CYCLE) -> Plan:
+    """Phases that serve queues of ``totals`` tokens whole; every window but the last is full."""
+    return Plan(totals, length, quantum, cycle)
 
 
-def plan(totals: np.ndarray, length: int = LENGTH, quantum: int = QUANTUM, cycle: int = CYCLE) -> list[Phase]:
-    """Phases that serve queues of ``totals`` tokens whole; every window but the last is full."""
-    left = totals.astype(np.int64).copy()
-    phases: list[Phase] = []
-    window = 0
-    while left.sum():
-        grants = _serve(left, length, quantum, cycle)
-        taken = grants.sum(axis=0)
-        some = taken > 0
-        repeats = max(1, int((left[some] // taken[some]).min()))
-        served = np.vstack([np.zeros_like(taken), np.cumsum(grants, axis=0)])
-        phases.append(Phase(window, repeats, totals - left, served))
-        left -= repeats * taken
-        window += repeats * len(grants)
-    return phases
-
-
-def _serve(left: np.ndarray, length: int, quantum: int, cycle: int) -> np.ndarray:
-    """Grants of up to ``cycle`` windows, with the queues' shares of ``left`` as targets."""
-    rest, share = left.copy(), left / left.sum()
-    deficit = np.zeros(len(left))
-    grants = []
-    for _ in range(cycle):
-        grant, space = np.zeros_like(rest), length
-        deficit += share * length
-        while space and rest.any():
-            k = int(np.argmax(np.where(rest > 0, deficit, -np.inf)))
-            n = min(quantum, space, int(rest[k]))
-            grant[k] += n
-            deficit[k] -= n
-            rest[k] -= n
-            space -= n
-        if not grant.any():
-            break
-        grants.append(grant)
-    return np.array(grants)
-
-
-def pieces(phases: list[Phase], queue: int, start: int, n: int) -> Iterator[tuple[int, int, int, int]]:
+def pieces(phases: Plan, queue: int, start: int, n: int) -> Iterator[tuple[int, int, int, int]]:
     """``(position, length, window, offset)`` of the pieces of ``n`` tokens from ``start`` on in a queue."""
     at, end = start, start + n
-    for k, phase in enumerate(phases):
-        base = int(phase.before[queue])
-        a_cycle = int(phase.served[-1, queue])
-        stop = base + phase.repeats * a_cycle
-        steps = phase.served[:, queue]
-        while at < min(end, stop):
-            turn, within = divmod(at - base, a_cycle)
+    k = phases.holding(queue, at) if n else 0
+    while at < end:
+        phase = phases[k]
+        base, steps = int(phase.before[queue]), phase.served[:, queue]
+        while at < min(end, base + int(steps[-1])):
+            within = at - base
             w = int(np.searchsorted(steps, within, side="right")) - 1
             take = min(end - at, int(steps[w + 1]) - within)
             earlier = int((phase.served[w + 1, :queue] - phase.served[w, :queue]).sum())
-            window = phase.first_window + turn * (len(steps) - 1) + w
-            yield at, take, window, earlier + within - int(steps[w])
+            yield at, take, phase.first_window + w, earlier + within - int(steps[w])
             at += take
-        if at == end:
-            return
+        k += 1
 
 
 def encoded(docs: DataFrame, path: str, end_id: int, queue_of: dict | None, queues: int) -> DataFrame:
@@ -203,7 +236,7 @@ def pack(
     return placed.mapInArrow(cut, schema)
 
 
-def _cut(batch: pa.RecordBatch, phases: list[Phase], names: list[str], with_ids: bool) -> pa.RecordBatch:
+def _cut(batch: pa.RecordBatch, phases: Plan, names: list[str], with_ids: bool) -> pa.RecordBatch:
     row, numbers, parts = [], [], []
     columns = [batch.column(k).to_pylist() for k in range(1, 5)]
     for k, (queue, at, n, ids) in enumerate(zip(*columns, strict=True)):
