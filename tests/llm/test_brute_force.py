@@ -322,6 +322,15 @@ def test_similar_paragraphs_meet(spark):
     assert out[1]["first_doc_ids"] in ([0], []) and out[0]["n_removed_words"] == 0
 
 
+def test_links_between_members_of_different_centres(spark):
+    # Neighbours have Jaccard 90 / 110, others less; all meet on the one band.
+    rows = [(k, list(range(10 * k, 10 * k + 100)), [7]) for k in range(1, 121)]
+    contents = stored(spark.createDataFrame(rows, "id bigint, shingles array<bigint>, bands array<bigint>"))
+    found = passage_dedup._linked(contents, 0.8).collect()
+    assert all(abs(r["a"] - r["b"]) == 1 for r in found)
+    assert set(union_find(range(1, 121), [(r["a"], r["b"]) for r in found]).values()) == {1}
+
+
 def test_quality_keeps_the_usual(spark):
     rng = random.Random(2)
     usual = [" ".join(rng.choices(LETTERS, k=80)) for _ in range(300)]

@@ -11,9 +11,10 @@ compared.
   again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
 * Of the paragraphs that meet on a band, up to ``CENTRES`` are compared with the others by exact Jaccard, chosen
   by a hash that differs from band to band. While a band has paragraphs that are similar to none of its
-  centres so far, further ones of those become centres and are compared with all that are left. So the pairs
-  of small groups are all compared, and a large group is never expanded to all pairs: only a link between two
-  paragraphs that joined different centres on every band where they meet can be missed.
+  centres so far, further ones of those become centres and are compared with all that are left. What is left
+  then are pairs of paragraphs of different classes on a band. Similar ones have one of their first shingles
+  in common (by hash, as many as similarity leaves open), and those that have are compared too: no link on a
+  band is missed, and a class is never expanded to its own pairs.
 * Components of similar paragraphs are classes, and equal paragraphs are one from the start. The first
   occurrence of a class stays. What goes are passages: neighbouring repeated paragraphs that have
   ``passage_words`` words or more together.
@@ -192,23 +193,55 @@ def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame
 
 def _similar(docs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: similar paragraphs that connect each class."""
-    contents = stored(_contents(docs, units, _meeting(docs)))
+    return _linked(stored(_contents(docs, units, _meeting(docs))), similarity)
+
+
+def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: the ``pairs`` (``id``, ``centre``) whose exact Jaccard similarity is high enough."""
+    ours = contents.select("id", "shingles")
+    theirs = contents.select(F.col("id").alias("centre"), F.col("shingles").alias("others"))
+    common = F.size(F.array_intersect("shingles", "others"))
+    jaccard = common / (F.size("shingles") + F.size("others") - common)
+    similar = pairs.join(ours, "id").join(theirs, "centre").where(jaccard >= similarity)
+    return stored(similar.select(F.col("id").alias("a"), F.col("centre").alias("b")))
+
+
+def _across(contents: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: the similar paragraphs on a band that ``edges`` leave in different classes."""
+    labels = components(edges)
+    size = F.size("shingles")
+    first = size - F.ceil(size * similarity - 1e-9).cast("int") + 1
+    listed = contents.join(labels, contents["id"] == labels["node"], "left").select(
+        "id", F.coalesce("label", "id").alias("class"), size.alias("size"), F.slice("shingles", 1, first).alias("firsts"), F.explode("bands").alias("band")
+    )
+    keyed = stored(_of_several_classes(listed, ["band"]).select("band", "class", "id", "size", F.explode("firsts").alias("shingle")))
+    keyed = stored(_of_several_classes(keyed, ["band", "shingle"]))
+    classes = keyed.select("band", "shingle", "class").distinct()
+    couples = classes.join(classes.withColumnRenamed("class", "other"), ["band", "shingle"]).where("class < other")
+    theirs = keyed.select("band", "shingle", F.col("class").alias("other"), F.col("id").alias("centre"), F.col("size").alias("others"))
+    long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
+    pairs = couples.join(keyed, ["band", "shingle", "class"]).join(theirs, ["band", "shingle", "other"]).where(long_enough)
+    return _verified(pairs.select("id", "centre").distinct(), contents, similarity)
+
+
+def _of_several_classes(rows: DataFrame, keys: list[str]) -> DataFrame:
+    mixed = rows.groupBy(keys).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
+    return rows.join(mixed.select(keys), keys, "left_semi")
+
+
+def _linked(contents: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: similar rows of ``contents`` (``id``, ``shingles`` in order, ``bands``) that connect each class."""
     banded = contents.select("id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     meeting = stored(banded.join(shared, "band", "left_semi"))
     meeting = meeting.withColumn("open", F.lit(True))
-    ours = contents.select("id", "shingles")
-    theirs = contents.select(F.col("id").alias("centre"), F.col("shingles").alias("others"))
     edges = None
     while True:
         slot = F.expr(f"pmod(xxhash64(id, band), {CENTRES})")
         centres = meeting.where("open").groupBy("band", slot.alias("slot")).agg(F.min("id").alias("centre")).drop("slot")
         compared = meeting.join(centres, "band").where("id != centre")
         pairs = compared.select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
-        common = F.size(F.array_intersect("shingles", "others"))
-        jaccard = common / (F.size("shingles") + F.size("others") - common)
-        similar = pairs.join(ours, "id").join(theirs, "centre").where(jaccard >= similarity)
-        found = stored(similar.select(F.col("id").alias("a"), F.col("centre").alias("b")))
+        found = _verified(pairs, contents, similarity)
         edges = found if edges is None else edges.union(found)
         # Who is not a centre yet stays, as long as somebody of the band is similar to none of them.
         both = found.union(found.select("b", "a")).toDF("id", "centre")
@@ -218,7 +251,7 @@ def _similar(docs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
         busy = rest.groupBy("band").agg(F.count("*").alias("n"), F.max("open").alias("any_open")).where("n > 1 and any_open")
         meeting = stored(rest.join(busy, "band", "left_semi"))
         if meeting.isEmpty():
-            return edges
+            return edges.union(_across(contents, edges, similarity))
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
