@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, line_dedup, packing, passage_dedup, quality, simhash, suffix_dedup, token_files, url_rules
+from weirflow.llm import contamination, language, line_dedup, packing, passage_dedup, quality, sharding, simhash, suffix_dedup, token_files, url_rules
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,3 +252,47 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+SHARDS = 24
+
+
+@_query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of each document."""
+    found = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    return found.select(
+        "doc.doc_id",
+        "size",
+        F.crc32(F.coalesce("doc.text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# The step of CRC-32 for each byte, from the digests of single bytes.
+_CRC_TABLE = ", ".join(str(zlib.crc32(bytes([255 - k])) ^ 0xFF000000) for k in range(256))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes."""
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    step = f"xor(c >> 8, ([{_CRC_TABLE}])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+SQL["op13_sharding"] = f"""
+WITH placed AS (
+  SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+         sum(octet_length(encode(coalesce(text, ''))) + 8) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS up_to,
+         sum(octet_length(encode(coalesce(text, ''))) + 8) OVER () AS total
+  FROM documents
+), dealt AS (
+  SELECT *, CAST(least((2 * up_to - size) * {SHARDS} // (2 * total), {SHARDS - 1}) AS INTEGER) AS shard FROM placed
+)
+SELECT doc_id, size, {_crc32_sql("text")} AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt
+"""
