@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, language, line_dedup, packing, passage_dedup, quality, sharding, simhash, suffix_dedup, token_files, url_rules
+from weirflow.llm import contamination, divergence, language, line_dedup, packing, passage_dedup, quality, sharding, simhash, suffix_dedup, token_files, url_rules
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +254,56 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@_query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each source of a language differs from the others, and in which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def _share_sql(count: str, total: str, terms: str) -> str:
+    return f"1 + ({divergence.SCALE}::HUGEINT * ({count} + {divergence.SMOOTH})) // ({total} + {divergence.SMOOTH} * {terms})"
+
+
+SQL["op11_divergence"] = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER.replace("text", "coalesce(text, '')", 1)}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), word AS (
+  SELECT lang, source, r, term, count(*) AS n FROM (SELECT lang, source, r, unnest(w) AS term FROM doc) GROUP BY ALL
+), kept AS (
+  SELECT lang, term FROM word GROUP BY lang, term HAVING count(*) >= {divergence.MIN_DOCS}
+), term_count AS (
+  SELECT lang, source, term, sum(n) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), grp AS (
+  SELECT DISTINCT lang, source FROM doc
+), sized AS (
+  SELECT lang, source, coalesce(n, 0) AS total, coalesce(v, 0) AS v
+  FROM grp LEFT JOIN (SELECT lang, source, sum(n) AS n FROM term_count GROUP BY ALL) USING (lang, source)
+  LEFT JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY ALL) USING (lang)
+), share AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, {_share_sql("coalesce(c.n, 0)", "total", "v")} AS p
+  FROM sized s JOIN kept k USING (lang) LEFT JOIN term_count c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), language AS (
+  SELECT lang, term, {_share_sql("n", "total", "v")} AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM term_count GROUP BY ALL)
+  JOIN (SELECT lang, sum(total) AS total, max(v) AS v FROM sized GROUP BY lang) USING (lang)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM share JOIN language USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
 SHARDS = 24
 
 
