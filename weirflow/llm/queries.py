@@ -5,10 +5,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import contamination, divergence, language, line_dedup, packing, passage_dedup, quality, sharding, simhash, suffix_dedup, token_files, url_rules
+from weirflow.llm import contamination, divergence, language, line_dedup, packing, passage_dedup, periodic, quality, sharding, simhash, suffix_dedup, token_files, url_rules
 from weirflow.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,6 +305,38 @@ FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP}
 """
 
 
+def _made_periodic(doc_ids: list[int | None], numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The contract's repeats: a tenth of the documents goes on with a period from some word on."""
+    numbers = numbers.copy()
+    for doc_id, start, end in zip(doc_ids, starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        g, chosen = divmod(zlib.crc32(str(doc_id).encode()), 10)
+        if doc_id is not None and chosen == 0 and end > start:
+            n = end - start
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            numbers[start + a : end] = numbers[start + a + np.arange(n - a) % p]
+    return numbers
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words with a period in each document, and what is left with one period of each."""
+    found = periodic.collapse(table(spark, sf_dir, "documents"), rewrite=_made_periodic)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 SHARDS = 24
 
 
