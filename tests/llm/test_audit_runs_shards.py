@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -163,7 +164,8 @@ def mixed(spark):
 def test_audit_matches_brute_force(mixed, settings, monkeypatch):
     rows, docs = mixed
     if settings:
-        monkeypatch.setattr(divergence, "PAGE_BYTES", 40)
+        for name, small in (("PAGE_ENTRIES", 2), ("OPENED", 2), ("HELD", 3), ("CELLS", 8)):
+            monkeypatch.setattr(divergence, name, small)
     expected = plain_audit([(lang, source, text) for _, text, lang, source, _ in rows], 4, 3)
     assert audited(docs, min_docs=4, top=3, **settings) == expected
     assert any(r[:2] == ("en", "") for r in expected) and any(r[2] == "term" for r in expected)
@@ -176,18 +178,19 @@ def test_pieces_of_a_long_text_are_whole(monkeypatch):
     assert [w for part in divergence._pieces(text) for w in part] == whole and len(whole) == 2000
 
 
-def test_merge_takes_every_key_once():
+def test_merge_takes_every_term_once(monkeypatch):
+    monkeypatch.setattr(divergence, "OPENED", 3)
     rng = random.Random(3)
     total, pages = collections.Counter(), []
-    for run in range(7):
-        keys = sorted(rng.sample([b"%03d" % k for k in range(60)], 25))
+    for _ in range(7):
+        terms = sorted(rng.sample([b"%03d" % k for k in range(60)], 25))
         for at in range(0, 25, 4):
-            part = keys[at : at + 4]
+            part = terms[at : at + 4]
             counts = [rng.randrange(1, 9) for _ in part]
             total.update(dict(zip(part, counts)))
-            pages.append({"first": part[0], "run": run, "keys": part, "docs": [1] * len(part), "places": [1] * len(part), "sources": ["s"] * len(part), "counts": counts})
-    merged = list(divergence.merged(sorted(pages, key=lambda p: p["first"])))
-    assert [k for k, _, _ in merged] == sorted(total) and {k: of["s"] for k, _, of in merged} == dict(total)
+            pages.append(pa.table([part, [b"en"] * len(part), ["s"] * len(part), counts], schema=divergence.ENTRY))
+    merged = [row for t in divergence.merged(sorted(pages, key=lambda p: p["term"][0].as_py())) for row in t.to_pylist()]
+    assert len(merged) == len(total) and {r["term"]: r["n"] for r in merged} == dict(total)
 
 
 # Shards

@@ -4,7 +4,7 @@ Which words make a source differ from the others of its language, and by how muc
 postings, for a language and term the occurrences in each source and the language's documents, in a block in
 memory. When the block is full it is spilled as a run: its postings in the order of the terms, dealt to hash
 shards, in pages. A shard then merges the pages of all its runs with a heap, opening a page only when the merge
-has come to its first term, so that it holds one page of each run. Beyond ``FAN_IN`` runs they are merged in
+has come near its first term, so that it holds about one page of each run. Beyond ``FAN_IN`` runs they are merged in
 rounds. What comes out are the frequencies of each term, complete and once.
 
 Smoothed shares follow from the frequencies. The distance of two sources is a sum over all terms of their
@@ -15,12 +15,14 @@ term occurred, and the postings are streamed once more to correct it for the ter
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -35,9 +37,11 @@ MIN_DOCS = 30
 TOP = 50
 
 SHARDS = 512
-BLOCK_ENTRIES = 300_000
-PAGE_BYTES = 1 << 12
+BLOCK_ENTRIES = 400_000
+PAGE_ENTRIES = 512
 FAN_IN = 4096
+# Pages that a merge opens before it settles what lies before the next one, and rows that it holds unsummed.
+OPENED, HELD = 64, 1 << 17
 # Cells of shares that are compared at once, and of sums that a task holds before it passes them on.
 CELLS = 1 << 21
 
@@ -47,10 +51,9 @@ _TERM_BYTES = bytes(
 )
 _PIECE = 1 << 20
 
-PAGES = "shard int, run bigint, first binary, keys array<binary>, docs array<bigint>, places array<int>, sources array<string>, counts array<bigint>"
-
-# (key, documents, {source: occurrences}); the key is the term, a zero byte (which no term has) and the language.
-Posting = tuple[bytes, int, dict[str, int]]
+PAGES = "shard int, run bigint, first binary, terms array<binary>, langs array<binary>, sources array<string>, counts array<bigint>"
+# Entries: occurrences of a term in a source of a language, or, without a source, the language's documents that have it.
+ENTRY = pa.schema([("term", pa.binary()), ("lang", pa.binary()), ("source", pa.string()), ("n", pa.int64())])
 
 
 def _pieces(text: bytes) -> Iterator[list[bytes]]:
@@ -70,7 +73,7 @@ class Block:
     def __init__(self) -> None:
         self.counts: dict[tuple[bytes, str], Counter] = defaultdict(Counter)
         self.docs: dict[bytes, Counter] = defaultdict(Counter)
-        self.entries = 0
+        self.size = 0
 
     def add(self, lang: bytes, source: str, text: bytes) -> None:
         counts, docs = self.counts[lang, source], self.docs[lang]
@@ -82,77 +85,50 @@ class Block:
             counts.update(terms)
             seen.update(terms)
         docs.update(seen)
-        self.entries += len(counts) - before
-
-    def postings(self) -> Iterator[Posting]:
-        """In the order of their keys."""
-        by_key: dict[bytes, dict[str, int]] = defaultdict(dict)
-        for (lang, source), counts in self.counts.items():
-            end = b"\0" + lang
-            for term, n in counts.items():
-                by_key[term + end][source] = n
-        for key in sorted(by_key):
-            term, lang = key.split(b"\0", 1)
-            yield key, self.docs[lang][term], by_key[key]
-
-
-class _Pages:
-    """Collects postings of a shard and run in pages of bounded size."""
-
-    def __init__(self, shard: int, run: int):
-        self.shard, self.run = shard, run
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys, self.docs, self.places, self.sources, self.counts, self.bytes = [], [], [], [], [], 0
-
-    def add(self, posting: Posting) -> Iterator[tuple]:
-        key, docs, of = posting
-        for at, (source, n) in enumerate(of.items()):
-            if at % 1024 == 0:  # a posting with very many sources goes on under the same key
-                if self.bytes > PAGE_BYTES:
-                    yield from self.page()
-                self.keys.append(key)
-                self.docs.append(docs if at == 0 else 0)
-                self.places.append(min(len(of) - at, 1024))
-                self.bytes += len(key) + 12
-            self.sources.append(source)
-            self.counts.append(n)
-            self.bytes += len(source) + 8
-
-    def page(self) -> Iterator[tuple]:
-        if self.keys:
-            yield self.shard, self.run, self.keys[0], self.keys, self.docs, self.places, self.sources, self.counts
-            self.clear()
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64())]
-    names = ["shard", "run", "first", "keys", "docs", "places", "sources", "counts"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
-
-
-def _batches(rows: Iterable[tuple], at_once: int = 256) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= at_once:
-            yield _batch(held)
-            held = []
-    if held:
-        yield _batch(held)
-
-
-def _spilled(block: Block, run: int, shards: int) -> Iterator[tuple]:
-    """The block's postings as pages of a run, each shard's in the order of the terms."""
-    open_pages = {}
-    for posting in block.postings():
-        shard = xxhash.xxh32_intdigest(posting[0]) % shards
-        if shard not in open_pages:
-            open_pages[shard] = _Pages(shard, run)
-        yield from open_pages[shard].add(posting)
-    for pages in open_pages.values():
-        yield from pages.page()
+        self.size += len(counts) - before
+
+    def entries(self) -> pa.Table:
+        of = [*((lang, None, terms) for lang, terms in self.docs.items()), *((*key, terms) for key, terms in self.counts.items())]
+        sizes = [len(terms) for _, _, terms in of]
+        each = pa.array(np.repeat(np.arange(len(of)), sizes))
+        columns = [
+            pa.chunked_array([pa.array(terms.keys(), pa.binary()) for _, _, terms in of], pa.binary()).combine_chunks(),
+            pa.array([lang for lang, _, _ in of], pa.binary()).take(each),
+            pa.array([source for _, source, _ in of], pa.string()).take(each),
+            pa.chunked_array([pa.array(terms.values(), pa.int64()) for _, _, terms in of], pa.int64()).combine_chunks(),
+        ]
+        return pa.table(columns, schema=ENTRY)
+
+
+def _paged(entries: pa.Table, run: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """The entries as pages of a run: dealt to shards by their term, each shard's in the order of the terms."""
+    if not entries.num_rows:
+        return
+    entries = entries.combine_chunks()
+    coded = entries["term"].combine_chunks().dictionary_encode()
+    terms = coded.dictionary.to_pylist()
+    order = sorted(range(len(terms)), key=terms.__getitem__)
+    rank = np.empty(len(terms), np.int64)
+    rank[order] = np.arange(len(terms))
+    shard_of = np.array([xxhash.xxh32_intdigest(term) % shards for term in terms], np.int64)
+    codes = np.asarray(coded.indices)
+    sort = np.argsort(shard_of[codes] * len(terms) + rank[codes], kind="stable")
+    entries, shard = entries.take(sort), shard_of[codes[sort]]
+    new = np.concatenate([[True], shard[1:] != shard[:-1]])
+    place = np.arange(len(shard))
+    new |= (place - place[new][np.cumsum(new) - 1]) % PAGE_ENTRIES == 0
+    starts = place[new]
+    offsets = pa.array(np.append(starts, len(shard)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, entries[name].combine_chunks()) for name in ENTRY.names]
+    columns = [
+        pa.array(shard[starts].astype(np.int32)),
+        pa.array(np.full(len(starts), run)),
+        entries["term"].combine_chunks().take(pa.array(starts)),
+        *lists,
+    ]
+    pages = pa.RecordBatch.from_arrays(columns, ["shard", "run", "first", "terms", "langs", "sources", "counts"])
+    for at in range(0, pages.num_rows, 256):
+        yield pages.slice(at, 256)
 
 
 def runs(docs: DataFrame, block_entries: int = BLOCK_ENTRIES, shards: int = SHARDS) -> DataFrame:
@@ -166,75 +142,72 @@ def runs(docs: DataFrame, block_entries: int = BLOCK_ENTRIES, shards: int = SHAR
                 rows = zip(langs.cast(pa.binary()).to_pylist(), sources.to_pylist(), texts.cast(pa.binary()).to_pylist(), strict=True)
                 for lang, source, text in rows:
                     block.add(lang, source, text)
-                    if block.entries >= block_entries:
-                        yield from _batches(_spilled(block, task << 24 | n_runs, shards))
+                    if block.size >= block_entries:
+                        yield from _paged(block.entries(), task << 24 | n_runs, shards)
                         block, n_runs = Block(), n_runs + 1
-        yield from _batches(_spilled(block, task << 24 | n_runs, shards))
+        yield from _paged(block.entries(), task << 24 | n_runs, shards)
 
     return docs.select("lang", "source", "text").mapInArrow(index, PAGES)
 
 
-def _opened(page: dict) -> Iterator[Posting]:
-    at = 0
-    for key, docs, n in zip(page["keys"], page["docs"], page["places"], strict=True):
-        yield key, docs, dict(zip(page["sources"][at : at + n], page["counts"][at : at + n], strict=True))
-        at += n
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by(["term", "lang", "source"]).aggregate([("n", "sum")]).rename_columns(ENTRY.names)
 
 
-def merged(pages: Iterable[dict]) -> Iterator[Posting]:
-    """Postings of all pages (in the order of their first keys) merged with a heap; every key comes once."""
-    heap: list[tuple] = []
-    opened, key, docs, of = 0, None, 0, {}
+def merged(pages: Iterable[pa.Table]) -> Iterator[pa.Table]:
+    """The summed entries of all pages, which come in the order of their first terms; each term is in one table only.
 
-    def settle(bound: bytes | None) -> Iterator[Posting]:
-        """Take from the heap what comes before ``bound``."""
-        nonlocal key, docs, of
+    A heap has the open pages by the first term that has not been taken from them. What lies before the next page
+    is complete, and is cut off the pages at the top.
+    """
+    heap: list[tuple[bytes, int, pa.Table]] = []
+
+    def settle(bound: bytes | None) -> Iterator[pa.Table]:
+        taken, held = [], 0
         while heap and (bound is None or heap[0][0] < bound):
-            now, number, more, sources, rest = heap[0]
-            if now != key:
-                if key is not None:
-                    yield key, docs, of
-                key, docs, of = now, 0, {}
-            docs += more
-            for source, n in sources.items():
-                of[source] = of.get(source, 0) + n
-            following = next(rest, None)
-            if following is None:
-                heapq.heappop(heap)
+            _, number, page = heap[0]
+            terms = page["term"].chunk(0)
+            cut = page.num_rows if bound is None else bisect_left(range(page.num_rows), bound, key=lambda k: terms[k].as_py())
+            taken.append(page.slice(0, cut))
+            held += cut
+            if cut < page.num_rows:
+                heapq.heapreplace(heap, (terms[cut].as_py(), number, page.slice(cut)))
             else:
-                heapq.heapreplace(heap, (following[0], number, following[1], following[2], rest))
-
-    for page in pages:
-        yield from settle(page["first"])
-        rest = _opened(page)
-        first = next(rest)
-        opened += 1
-        heapq.heappush(heap, (first[0], opened, first[1], first[2], rest))
+                heapq.heappop(heap)
+            if held > HELD:
+                taken = [_summed(taken)]
+                held = 0
+        if taken:
+            yield _summed(taken)
+
+    for number, page in enumerate(pages):
+        first = page["term"][0].as_py()
+        if number % OPENED == OPENED - 1:
+            yield from settle(first)
+        heapq.heappush(heap, (first, number, page))
     yield from settle(None)
-    if key is not None:
-        yield key, docs, of
 
 
-def _page_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def _page_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Table]]:
+    """``(shard, run, entries)`` of each page."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 16):
-            yield from batch.slice(at, 16).to_pylist()
+        shards, page_runs = (batch.column(k).to_pylist() for k in (0, 1))
+        lists = batch.columns[3:]
+        offsets = lists[0].offsets.to_pylist()
+        entries = pa.table([column.values for column in lists], schema=ENTRY)
+        for k in range(batch.num_rows):
+            yield shards[k], page_runs[k], entries.slice(offsets[k], offsets[k + 1] - offsets[k])
 
 
-def merged_runs(pages: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+def merged_runs(pages: DataFrame, fan_in: int = FAN_IN, shards: int = SHARDS) -> DataFrame:
     """Runs merged in rounds until no shard has more than ``fan_in`` of them."""
     while (n := pages.agg(F.count_distinct("run")).first()[0]) > fan_in:
         groups = -(-n // fan_in)
 
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def rows():
-                for (shard, run), of_shard in groupby(_page_rows(batches), key=lambda page: (page["shard"], page["run"])):
-                    out = _Pages(shard, run)
-                    for posting in merged(of_shard):
-                        yield from out.add(posting)
-                    yield from out.page()
-
-            yield from _batches(rows())
+            for (_, run), of_shard in groupby(_page_tables(batches), key=lambda page: page[:2]):
+                for entries in merged(page for _, _, page in of_shard):
+                    yield from _paged(entries, run, shards)
 
         grouped = pages.withColumn("run", F.pmod(F.xxhash64("run"), F.lit(groups)))
         dealt = grouped.repartition("shard", "run").sortWithinPartitions("shard", "run", "first")
@@ -242,29 +215,25 @@ def merged_runs(pages: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     return pages
 
 
+def _kept(entries: pa.Table, min_docs: int) -> pa.RecordBatch:
+    """Occurrences of the terms that enough documents of their language have."""
+    key = pc.binary_join_element_wise(entries["term"], entries["lang"], b"\0")
+    in_docs = pc.is_null(entries["source"])
+    often = key.filter(pc.and_(in_docs, pc.greater_equal(entries["n"], min_docs)))
+    chosen = entries.filter(pc.and_(pc.invert(in_docs), pc.is_in(key, often))).combine_chunks()
+    columns = [chosen["lang"].cast(pa.string()), chosen["term"].cast(pa.string()), chosen["source"], chosen["n"]]
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in columns], ["lang", "term", "source", "n"])
+
+
 def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, block_entries: int = BLOCK_ENTRIES, shards: int = SHARDS, fan_in: int = FAN_IN) -> DataFrame:
     """``(lang, term, source, n)``: occurrences, of terms that are in at least ``min_docs`` documents of the language."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch(rows):
-            kinds = [pa.binary(), pa.binary(), pa.string(), pa.int64()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)]
-            columns[:2] = [c.cast(pa.string()) for c in columns[:2]]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "term", "source", "n"])
-
-        held: list[tuple] = []
-        for _, of_shard in groupby(_page_rows(batches), key=lambda page: page["shard"]):
-            for key, in_docs, of in merged(of_shard):
-                if in_docs >= min_docs:
-                    term, lang = key.split(b"\0", 1)
-                    held += [(lang, term, source, n) for source, n in of.items()]
-                    if len(held) > 10_000:
-                        yield batch(held)
-                        held = []
-        if held:
-            yield batch(held)
-
-    pages = merged_runs(stored(runs(docs, block_entries, shards)), fan_in)
+        for _, of_shard in groupby(_page_tables(batches), key=lambda page: page[0]):
+            for entries in merged(page for _, _, page in of_shard):
+                yield _kept(entries, min_docs)
+
+    pages = merged_runs(stored(runs(docs, block_entries, shards)), fan_in, shards)
     dealt = pages.repartition("shard").sortWithinPartitions("shard", "first")
     return dealt.mapInArrow(merge, "lang string, term string, source string, n bigint")
 
