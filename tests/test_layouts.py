@@ -10,7 +10,7 @@ from weirflow import session
 from weirflow.operators import project, rolling, route, windows
 from weirflow.plans import streams
 from weirflow.plans.registry import QUERIES, SQL
-from weirflow.sources.lines import ordered_stream
+from weirflow.sources.replay import ordered_stream
 from weirflow.sources.records import parse_records
 from weirflow.streaming import runs, stateful
 

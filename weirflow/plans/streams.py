@@ -16,8 +16,9 @@ from weirflow.plans.views import of_kind, table
 from weirflow.session import use_keyed_state_store
 from weirflow.sinks.files import start_text_sink
 from weirflow.sinks.routed import routed_output, start_routed_sink
-from weirflow.sources.lines import ordered_stream, table_stream, text_table
-from weirflow.streaming import joins, runs, stateful, windows
+from weirflow.sources.lines import table_stream, text_table
+from weirflow.sources.replay import ordered_stream
+from weirflow.streaming import carried, joins, runs, stateful, windows
 
 KEY, ORDER = ["id"], ["ts", "seq"]
 
@@ -40,7 +41,6 @@ def sensor_stream(spark, sf_dir):
 
 def sensor_replay(spark, sf_dir, slice_rows=1_000_000):
     """The readings as a stream in event-time order, for keyed state that follows the order of records."""
-    use_keyed_state_store(spark)
     readings = _readings(table(spark, sf_dir, "events"))
     return ordered_stream(readings, "ts", f"{runs.run_folder(spark)}/replay", slice_rows)
 
@@ -62,6 +62,10 @@ def result(stream, *ntz, mode="append"):
     return _zoneless(runs.last_batch(out) if mode == "complete" else out.drop("batch_id"), *ntz)
 
 
+def carried_result(keyed):
+    return carried.run_available(keyed).drop("batch_id")
+
+
 def windowed(spark, sf_dir, build, *ntz):
     """Result of event-time windows over the whole sensor stream, the last ones included."""
 
@@ -177,50 +181,50 @@ def stream_connect_join(spark, sf_dir):
 
 @query("stream_value_diff", SQL["state_value_diff"])
 def stream_value_diff(spark, sf_dir):
-    return result(stateful.jumps(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", timing.JUMP))
+    return carried_result(carried.jumps(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", timing.JUMP))
 
 
 @query("stream_top3", SQL["state_top3"])
 def stream_top3(spark, sf_dir):
-    out = result(stateful.top_so_far(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 3))
+    out = carried_result(carried.top_so_far(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 3))
     return out.withColumn("top", F.concat_ws(",", F.transform("top", lambda v: v.cast("string"))))
 
 
 @query("stream_map_counts", SQL["state_map_counts"])
 def stream_map_counts(spark, sf_dir):
     """The entry of the key's value-to-count map that each record changes."""
-    return result(stateful.value_counts_so_far(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
+    return carried_result(carried.value_counts_so_far(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
 
 
 @query("stream_running_sum", SQL["state_running_sum"])
 def stream_running_sum(spark, sf_dir):
-    return result(stateful.running_sum(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
+    return carried_result(carried.running_sums(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
 
 
 @query("stream_running_avg", SQL["state_running_avg"])
 def stream_running_avg(spark, sf_dir):
-    return result(stateful.running_average(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
+    return carried_result(carried.running_averages(sensor_replay(spark, sf_dir), KEY, ORDER, "vc"))
 
 
 @query("stream_record_counter", SQL["running_counter"])
 def stream_record_counter(spark, sf_dir):
-    return result(stateful.record_counter(sensor_replay(spark, sf_dir), KEY, ORDER))
+    return carried_result(carried.record_counters(sensor_replay(spark, sf_dir), KEY, ORDER))
 
 
 @query("stream_global_window", SQL["global_window_trigger"])
 def stream_global_window(spark, sf_dir):
-    return result(stateful.global_window(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", lambda n: n % 3 == 0))
+    return carried_result(carried.global_window(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", lambda n: n % 3 == 0))
 
 
 @query("stream_count_window_tumbling", f"SELECT id, window_no, n, elements FROM ({SQL['count_window_tumbling']})")
 def stream_count_window_tumbling(spark, sf_dir):
-    out = result(stateful.count_windows(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 5))
+    out = carried_result(carried.count_windows(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 5))
     return out.withColumn("elements", F.concat_ws(",", F.transform("elements", lambda v: v.cast("string"))))
 
 
 @query("stream_count_window_sliding", f"SELECT id, window_no, n, elements FROM ({SQL['count_window_sliding']})")
 def stream_count_window_sliding(spark, sf_dir):
-    out = result(stateful.count_windows(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 5, 2))
+    out = carried_result(carried.count_windows(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", 5, 2))
     return out.withColumn("elements", F.concat_ws(",", F.transform("elements", lambda v: v.cast("string"))))
 
 

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from weirflow.functions.times import ordinal
 
 
 def text_table(spark: SparkSession, path: str) -> DataFrame:
@@ -36,20 +31,3 @@ def table_stream(spark: SparkSession, path: str, max_bytes: int = 1 << 30) -> Da
     reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes)
     # A glob is taken for a file as well as for a directory.
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
-
-
-def ordered_stream(df: DataFrame, ts: str, folder: str, slice_rows: int = 1_000_000) -> DataFrame:
-    """A bounded table as a stream in event-time order, however its own files are laid out.
-
-    The rows are written to ``folder`` in consecutive slices of time of about ``slice_rows`` rows, one
-    file and one micro-batch each. Rows of one instant are never parted; rows without a time come first.
-    """
-    spark, at = df.sparkSession, ordinal(df, ts)
-    slices = math.ceil(df.count() / slice_rows)
-    steps = [k / slices for k in range(1, slices)]
-    cuts = sorted(set(df.select(at.alias("_at")).approxQuantile("_at", steps, 0.1 / slices))) if steps else []
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        above = F.lit(True) if low is None else at > int(low)
-        below = F.lit(True) if high is None else F.coalesce(at <= int(high), F.lit(True))
-        df.where(above & below).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)

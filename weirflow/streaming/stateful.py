@@ -4,7 +4,7 @@ State lives in Spark's checkpointed store, one entry per key. The rows of a key
 order within a micro-batch, so each processor sorts them by the ``order`` columns first; how many
 there can be is set by the size of a micro-batch (``maxBytesPerTrigger`` and the like). Results follow
 the order of micro-batches: replay a bounded table with
-:func:`weirflow.sources.lines.ordered_stream` for results in event-time order. Inputs have a ``seq``
+:func:`weirflow.sources.replay.ordered_stream` for results in event-time order. Inputs have a ``seq``
 column that names the record in the output. State and outputs have the type of the value column; null
 values leave sums, averages, extremes and counts of values as they are.
 """
@@ -37,7 +37,8 @@ class _Keyed(StatefulProcessor):
         return Row(**dict(zip(self.names, values)))
 
     def ordered(self, rows: Iterable[Row]) -> list[Row]:
-        return sorted(rows, key=lambda row: tuple(row[c] for c in self.order))
+        """Rows without a value in an order column come first."""
+        return sorted(rows, key=lambda row: tuple((row[c] is not None, row[c]) for c in self.order))
 
     def close(self) -> None:
         pass
