@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import ordinal, to_ntz, to_utc_timestamp
+from weirflow.functions.times import ordinal, to_ntz, to_utc_timestamp, widened
 from weirflow.operators import project, route
+from weirflow.operators.running import running_sum
 from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
-from weirflow.plans.views import of_kind, table
+from weirflow.plans.views import DELAY_MS, LATENESS_MS, WINDOW_MS, arrivals, of_kind, table
 from weirflow.session import use_keyed_state_store
 from weirflow.sinks.files import start_text_sink
 from weirflow.sinks.routed import routed_output, start_routed_sink
 from weirflow.sources.lines import table_stream, text_table
 from weirflow.sources.replay import ordered_stream
-from weirflow.streaming import carried, joins, runs, stateful, windows
+from weirflow.streaming import carried, joins, late, runs, stateful, windows
 
 KEY, ORDER = ["id"], ["ts", "seq"]
 
@@ -264,3 +265,50 @@ def stream_text_sink(spark, sf_dir):
     lines = sensor_stream(spark, sf_dir).select(F.concat_ws(",", F.col("seq").cast("string"), "kind").alias("value"))
     start_text_sink(lines, f"{folder}/out", f"{folder}/checkpoint", None, max_records=2000).awaitTermination()
     return text_table(spark, f"{folder}/out").select("value")
+
+
+def arrival_replay(spark, sf_dir, slice_rows=1_000_000):
+    """The disordered arrivals as a stream, in the order of their arrival batches."""
+    rows = arrivals(spark, sf_dir).drop("ts", "kind")
+    return ordered_stream(rows, "batch", f"{runs.run_folder(spark)}/arrivals", slice_rows)
+
+
+@query("stream_late_split", SQL["late_split"])
+def stream_late_split(spark, sf_dir):
+    """Rows on time, within the allowed lateness, and beyond it, by a watermark ten minutes behind."""
+    out = carried_result(late.late_split(arrival_replay(spark, sf_dir), "ts_ms", DELAY_MS, WINDOW_MS, LATENESS_MS, "batch"))
+    return out.select("id", "seq", "batch", "window_end_ms", "wm_in", "status")
+
+
+@query("stream_allowed_lateness", SQL["allowed_lateness"])
+def stream_allowed_lateness(spark, sf_dir):
+    """Window results and their revisions; what is open when the table ends fires last."""
+    stream = arrival_replay(spark, sf_dir)
+    keyed = late.allowed_lateness(
+        stream, KEY, "ts_ms", DELAY_MS, WINDOW_MS, LATENESS_MS, lambda df: [running_sum("sum_vc", widened(df, "vc"))], "batch"
+    )
+    folder = runs.run_folder(spark)
+    out = carried.run_available(keyed, folder)
+    batches = out.agg(F.max("batch_id")).first()[0]
+    states = carried.states_after(keyed, folder, 0 if batches is None else batches + 1)
+    return out.drop("batch_id").unionByName(late.close_windows(states))
+
+
+@query(
+    "stream_interval_join_with_late",
+    f"""SELECT 'pair' AS output, id, left_seq, right_seq, CAST(NULL AS BIGINT) AS ts_ms, CAST(NULL AS BIGINT) AS wm_in FROM ({SQL['interval_join_on_time']})
+    UNION ALL SELECT 'left', id, left_seq, NULL, ts_ms, wm_in FROM ({SQL['interval_join_late_left']})
+    UNION ALL SELECT 'right', id, NULL, right_seq, ts_ms, wm_in FROM ({SQL['interval_join_late_right']})""",
+)
+def stream_interval_join_with_late(spark, sf_dir):
+    """The interval join and the late rows of both its sides, from one pass."""
+    rows = arrivals(spark, sf_dir)
+    left, right = joining._sides(rows, "batch", "ts_ms")
+    both = ordered_stream(
+        late.tagged(left, right, KEY, "ts_ms", "batch"), "batch", f"{runs.run_folder(spark)}/arrivals"
+    )
+    joined = late.interval_join_with_late(
+        both, KEY, "left_ts", "right_ts", joining.BOUND_SECONDS, joining.BOUND_SECONDS, "ts_ms", DELAY_MS, "batch"
+    )
+    out = carried_result(joined)
+    return out.select("output", "id", F.col("left.left_seq").alias("left_seq"), F.col("right.right_seq").alias("right_seq"), "ts_ms", "wm_in")

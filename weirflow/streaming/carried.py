@@ -39,12 +39,14 @@ States = dict[str, DataFrame]
 class Carried:
     """``step(batch, states)`` gives ``(rows, changed states)``; ``states`` names each state's key and other columns.
 
-    The changed rows of a state have its columns, and may have ``gone``.
+    The changed rows of a state have its columns, and may have ``gone``. A state without key is a log: its changed
+    rows are added, and ``prune(states)`` takes out what is no longer needed before a snapshot is written.
     """
 
     stream: DataFrame
     step: Callable[[DataFrame, States], tuple[DataFrame, States]]
     states: dict[str, tuple[tuple[str, ...], T.StructType]]
+    prune: Callable[[States], States] = lambda states: states
 
     def empty(self) -> tuple[DataFrame, States]:
         spark = self.stream.sparkSession
@@ -70,6 +72,9 @@ def _latest(keyed: Carried, folder: str, base: int, before: int) -> States:
             changes = _folder(folder, name, "changes")
             paths = [f"{changes}/version={k}" for k in range(base, before)]
             versions = versions.union(spark.read.schema(T.StructType([*stored.fields, T.StructField("version", T.IntegerType())])).option("basePath", changes).parquet(*paths))
+        if not keys:
+            out[name] = versions.select(*schema.names)
+            continue
         others = [c for c in stored.names if c not in keys]
         last = versions.groupBy(*keys).agg(F.max_by(F.struct(*others), "version").alias("_last"))
         out[name] = last.select(*keys, "_last.*").where(~F.coalesce(GONE, F.lit(False))).select(*schema.names)
@@ -78,14 +83,14 @@ def _latest(keyed: Carried, folder: str, base: int, before: int) -> States:
 
 def states_after(keyed: Carried, folder: str, batches: int, every: int = SNAPSHOT_EVERY) -> States:
     """The states that the first ``batches`` micro-batches of the run in ``folder`` have left."""
-    return _latest(keyed, folder, max(0, batches - 1) // every * every, batches)
+    return keyed.prune(_latest(keyed, folder, max(0, batches - 1) // every * every, batches))
 
 
 def process(keyed: Carried, batch: DataFrame, number: int, folder: str, every: int = SNAPSHOT_EVERY) -> None:
     """One micro-batch: write its rows and state changes. Repeated with the same number it writes the same again."""
     base = number // every * every
     if number and number == base:
-        for name, whole in _latest(keyed, folder, base - every, number).items():
+        for name, whole in keyed.prune(_latest(keyed, folder, base - every, number)).items():
             place = _folder(folder, name, "whole")
             whole.withColumn(GONE, F.lit(False)).write.mode("overwrite").parquet(f"{place}/version={base}")
             for old in range(max(0, base - 2 * every), base - every):
