@@ -3,7 +3,7 @@
 import os
 from pathlib import Path
 
-import pandas as pd
+import pyarrow.parquet as pq
 
 
 def replay(spark, folder: Path, schema: str, batches: list[list[tuple]]):
@@ -15,9 +15,9 @@ def replay(spark, folder: Path, schema: str, batches: list[list[tuple]]):
 
 
 def add_batch(spark, folder: Path, schema: str, rows: list[tuple], number: int) -> None:
-    frame = spark.createDataFrame(rows, schema).toPandas()
+    table = spark.createDataFrame(rows, schema).toArrow()
     path = folder / f"batch-{number:04d}.parquet"
-    pd.DataFrame(frame).to_parquet(path, index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
+    pq.write_table(table, path, coerce_timestamps="us", allow_truncated_timestamps=True)
     os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
 
 

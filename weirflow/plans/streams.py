@@ -1,19 +1,19 @@
 """Streaming forms over whole tables; each must give the rows of its batch counterpart.
 
-However many files a table has: windows and joins have a watermark that trails by the time span of the
-table, so no row is late, and what follows the order of records replays the table in event-time order.
+However many files a table has: windows and joins replay it in the order of arrival, with a watermark that trails
+by no more than records are late, and what follows the order of records replays the table in event-time order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import ordinal, to_ntz, to_utc_timestamp, widened
+from weirflow.functions.times import to_ntz, to_utc_timestamp, widened
 from weirflow.operators import project, route
 from weirflow.operators.running import running_sum
 from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
-from weirflow.plans.views import DELAY_MS, LATENESS_MS, WINDOW_MS, arrivals, of_kind, table
+from weirflow.plans.views import DELAY_MS, LATENESS_MS, SPREAD_FACTOR, SPREAD_SECONDS, WINDOW_MS, arrivals, of_kind, table
 from weirflow.session import use_keyed_state_store
 from weirflow.sinks.files import start_text_sink
 from weirflow.sinks.routed import routed_output, start_routed_sink
@@ -46,12 +46,16 @@ def sensor_replay(spark, sf_dir, slice_rows=1_000_000):
     return ordered_stream(readings, "ts", f"{runs.run_folder(spark)}/replay", slice_rows)
 
 
-def table_span(spark, sf_dir):
-    """A watermark delay that makes no row of the events late, whatever file it is in."""
-    events = table(spark, sf_dir, "events")
-    at = ordinal(events, "ts")
-    micros = events.agg((F.max(at) - F.min(at)).alias("span")).first()["span"] or 0
-    return f"{micros // 1_000_000 + 1} seconds"
+def sensor_arrivals(spark, sf_dir, slice_rows=1_000_000):
+    """The readings as a stream in the order in which they came in, up to ``DISORDER`` after their event time."""
+    readings = _readings(table(spark, sf_dir, "events"))
+    came = F.unix_seconds("ts") + F.pmod(F.col("seq") * SPREAD_FACTOR, F.lit(SPREAD_SECONDS))
+    stream = ordered_stream(readings.withColumn("came", came), "came", f"{runs.run_folder(spark)}/arrivals", slice_rows)
+    return stream.drop("came")
+
+
+# The watermark delay that leaves no row late.
+DISORDER = f"{SPREAD_SECONDS} seconds"
 
 
 def _zoneless(df, *names):
@@ -68,14 +72,15 @@ def carried_result(keyed):
 
 
 def windowed(spark, sf_dir, build, *ntz):
-    """Result of event-time windows over the whole sensor stream, the last ones included."""
+    """Result of event-time windows over the whole sensor stream, the last ones included.
 
-    delay = table_span(spark, sf_dir)
+    Windows close, and leave the state, ``DISORDER`` after their end.
+    """
 
     def watermarked(stream):
-        return build(windows.out_of_order(stream, "ts", delay))
+        return build(windows.out_of_order(stream, "ts", DISORDER))
 
-    return _zoneless(runs.run_to_end(sensor_stream(spark, sf_dir), "ts", watermarked).drop("batch_id"), *ntz)
+    return _zoneless(runs.run_to_end(sensor_arrivals(spark, sf_dir), "ts", watermarked).drop("batch_id"), *ntz)
 
 
 BOUNDS = ("window_start", "window_end")
@@ -141,13 +146,11 @@ def stream_top_of_windows(spark, sf_dir):
 
 
 def _sides(spark, sf_dir):
-    readings = sensor_stream(spark, sf_dir)
-    left = of_kind(readings, "click").select("id", F.col("ts").alias("left_ts"), F.col("seq").alias("left_seq"))
-    right = of_kind(sensor_stream(spark, sf_dir), "purchase").select(
+    left = of_kind(sensor_arrivals(spark, sf_dir), "click").select("id", F.col("ts").alias("left_ts"), F.col("seq").alias("left_seq"))
+    right = of_kind(sensor_arrivals(spark, sf_dir), "purchase").select(
         "id", F.col("ts").alias("right_ts"), F.col("seq").alias("right_seq")
     )
-    delay = table_span(spark, sf_dir)
-    return windows.out_of_order(left, "left_ts", delay), windows.out_of_order(right, "right_ts", delay)
+    return windows.out_of_order(left, "left_ts", DISORDER), windows.out_of_order(right, "right_ts", DISORDER)
 
 
 @query("stream_interval_join", SQL["interval_join"])

@@ -129,6 +129,13 @@ def run_available(keyed: Carried, folder: str | None = None, every: int = SNAPSH
     return written(keyed, folder)
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere, as a table that is read again has it."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind])
+    return T.ArrayType(_nullable(kind.elementType)) if isinstance(kind, T.ArrayType) else kind
+
+
 def _empty(stream: DataFrame) -> DataFrame:
     return stream.sparkSession.createDataFrame([], stream.schema)
 
@@ -167,7 +174,7 @@ def folded(
         cut = slice_hot_keys(batch, keys, order, **({"slice_rows": slice_rows} if slice_rows else {}))
         return finish(merged(fold(cut, chosen).plain(), state)), {"folds": merged(totals(batch), state)}
 
-    return Carried(stream, step, {"folds": (tuple(keys), totals(_empty(stream)).schema)})
+    return Carried(stream, step, {"folds": (tuple(keys), _nullable(totals(_empty(stream)).schema))})
 
 
 def running_sums(stream: DataFrame, keys, order, value: str, **options) -> Carried:
@@ -293,13 +300,16 @@ def count_windows(
         state = materialise(null_safe(states["recent"], batch.select(*keys).distinct(), keys, "left_semi"))
         cut = slice_hot_keys(batch, keys, order, **({"slice_rows": slice_rows} if slice_rows else {}))
         local = fold(cut, [running_sum("rn", F.lit(1).cast("bigint"))]).plain()
-        numbered = _with_state(local, state, keys).select(*keys, (rn + F.coalesce("_held_seen", F.lit(0))).alias("rn"), value)
-        every = numbered.unionByName(state.select(*keys, F.explode("recent").alias("_r")).select(*keys, "_r.*"))
+        before = F.coalesce("_held_seen", F.lit(0))
+        numbered = _with_state(local, state, keys).select(*keys, (rn + before).alias("rn"), value, before.alias("_before"))
+        recent = state.select(*keys, F.explode("recent").alias("_r"), F.col("seen").alias("_before")).select(*keys, "_r.*", "_before")
+        every = numbered.unionByName(recent)
         counted = _with_state(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")), state, keys)
         seen = materialise(counted.select(*keys, (F.col("seen") + F.coalesce("_held_seen", F.lit(0))).alias("seen")))
         first, last = F.ceil(rn / step_by).cast("bigint"), F.floor((rn + size - 1) / step_by).cast("bigint")
-        windows = F.when(first <= last, F.sequence(first, last)) if slide else F.array(first)
-        placed = every.withColumn("window_no", F.explode(windows))
+        # Windows that have not fired yet.
+        unfired = F.greatest(first, F.floor(F.col("_before") / step_by).cast("bigint") + 1)
+        placed = every.withColumn("window_no", F.explode(F.when(unfired <= last, F.sequence(unfired, last))))
         fired = placed.groupBy(*keys, "window_no").agg(
             F.max("rn").alias("_last"), F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("rn", value))).alias("_list")
         )
@@ -308,8 +318,8 @@ def count_windows(
         )
         # Of the records only those that the next window, or a later one, still has.
         needed = null_safe(every, seen, keys).where(last > F.floor(F.col("seen") / step_by))
-        recent = needed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rn", value))).alias("recent"))
-        kept = null_safe(seen, recent, keys, "left")
+        left = needed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rn", value))).alias("recent"))
+        kept = null_safe(seen, left, keys, "left")
         return rows, {"recent": kept.withColumn("recent", F.coalesce("recent", F.array().cast(schema["recent"].dataType)))}
 
     return Carried(stream, step, {"recent": (tuple(keys), schema)})

@@ -24,7 +24,7 @@ from weirflow.operators import eventtime
 from weirflow.operators.joins import interval_join
 from weirflow.operators.running import Fold, null_safe, running_sum
 from weirflow.session import materialise
-from weirflow.streaming.carried import GONE, Carried, States, _empty, _with_state
+from weirflow.streaming.carried import GONE, Carried, States, _empty, _nullable, _with_state
 
 CLOCK = T.StructType(
     [T.StructField("one", T.IntegerType()), T.StructField("arrival", T.LongType()), *(T.StructField(c, T.LongType()) for c in ("left_ms", "right_ms"))]
@@ -112,7 +112,7 @@ def allowed_lateness(
 
     names = [f.name for f in chosen]
     timed = _empty(stream).withColumn("window_end_ms", F.lit(0).cast("bigint"))
-    schema = T.StructType([*partial(timed).schema.fields, T.StructField("fired", T.LongType())])
+    schema = T.StructType([*_nullable(partial(timed).schema).fields, T.StructField("fired", T.LongType())])
 
     def step(batch: DataFrame, states: States) -> tuple[DataFrame, States]:
         rows, trace, clock = _arrived(batch, states, arrival, ts_ms, delay_ms, None)
@@ -185,7 +185,7 @@ def interval_join_with_late(
     the rows on time that a row still to come may meet; those behind watermark and bound leave it.
     """
     on = list(on)
-    buffer = T.StructType([*(both.schema[c] for c in (*on, "side", ts_ms)), both.schema[LEFT], both.schema[RIGHT]])
+    buffer = _nullable(T.StructType([*(both.schema[c] for c in (*on, "side", ts_ms)), both.schema[LEFT], both.schema[RIGHT]]))
     reach_ms = {LEFT: round(after_seconds * 1000) + 1, RIGHT: round(before_seconds * 1000) + 1}
 
     def needed(rows: DataFrame, watermark: int | None) -> DataFrame:
