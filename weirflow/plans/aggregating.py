@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import bound_text
-from weirflow.operators import rolling, topn, windows
+from weirflow.operators import reducing, rolling, topn, windows
 from weirflow.operators.running import running_sum
 from weirflow.plans.registry import query
 from weirflow.plans.views import SENSOR_SQL, bucket_sql, sensor, window_sql
@@ -230,6 +230,44 @@ def window_reduce(spark, sf_dir):
     return windows.window_reduce(sensor(spark, sf_dir), KEY, "ts", "1 day", ORDER, "vc")
 
 
+# The last eight kinds of events of a key, each by its first letter: an order that a sum would not see.
+TAIL = 8
+
+
+def joined_tail(a, b):
+    """Joins two pieces of text in their order and keeps the end."""
+    return ((a[0] + b[0])[-TAIL:],)
+
+
+def joined(a, b):
+    return (a[0] + b[0],)
+
+
+def lettered(readings):
+    return readings.select("id", "ts", "seq", F.substring("kind", 1, 1).alias("kinds"))
+
+
+@query(
+    "rolling_reduce_by",
+    f"""WITH {SENSOR_SQL} SELECT id, seq, string_agg(kind[1:1], '') OVER (
+      PARTITION BY id ORDER BY ts, seq ROWS BETWEEN {TAIL - 1} PRECEDING AND CURRENT ROW) AS reduced_kinds FROM sensor""",
+)
+def rolling_reduce_by(spark, sf_dir):
+    """Running reduce with a function that no aggregate has and whose order matters."""
+    out = reducing.running_reduce(lettered(sensor(spark, sf_dir)), KEY, ORDER, ["kinds"], joined_tail)
+    return out.select("id", "seq", "reduced_kinds")
+
+
+@query(
+    "window_reduce_by",
+    f"""WITH {SENSOR_SQL} SELECT id, {window_sql(bucket_sql("ts", DAY), DAY)}, string_agg(kind[1:1], '' ORDER BY ts, seq) AS kinds
+    FROM sensor GROUP BY ALL""",
+)
+def window_reduce_by(spark, sf_dir):
+    """Tumbling windows reduced with such a function."""
+    return reducing.window_reduce(lettered(sensor(spark, sf_dir)), KEY, "ts", "1 day", ORDER, ["kinds"], joined)
+
+
 @query(
     "window_aggregate",
     f"WITH {SENSOR_SQL} SELECT id, {window_sql(bucket_sql('ts', DAY), DAY)}, CAST(sum(vc) AS BIGINT) AS sum_vc FROM sensor GROUP BY ALL",

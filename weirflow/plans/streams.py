@@ -215,6 +215,14 @@ def stream_record_counter(spark, sf_dir):
     return carried_result(carried.record_counters(sensor_replay(spark, sf_dir), KEY, ORDER))
 
 
+@query("stream_reduce_by", SQL["rolling_reduce_by"])
+def stream_reduce_by(spark, sf_dir):
+    """Running reduce with any function, over micro-batches."""
+    lettered = sensor_replay(spark, sf_dir).withColumn("kinds", F.substring("kind", 1, 1))
+    out = carried_result(carried.reduced_by(lettered, KEY, ORDER, ["kinds"], aggregating.joined_tail))
+    return out.select("id", "seq", "reduced_kinds")
+
+
 @query("stream_global_window", SQL["global_window_trigger"])
 def stream_global_window(spark, sf_dir):
     return carried_result(carried.global_window(sensor_replay(spark, sf_dir), KEY, ORDER, "vc", lambda n: n % 3 == 0))

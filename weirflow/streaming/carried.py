@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from weirflow.functions.times import ordinal, widened
-from weirflow.operators.running import Fold, fold, merge_top, null_safe, running_max, running_sum, running_top, slice_hot_keys
+from weirflow.operators import reducing
+from weirflow.operators.running import SLICE_ROWS, Fold, fold, merge_top, null_safe, running_max, running_sum, running_top, slice_hot_keys
 from weirflow.session import materialise
 from weirflow.sources.replay import delete_folder
 from weirflow.streaming.runs import run_folder
@@ -323,3 +324,24 @@ def count_windows(
         return rows, {"recent": kept.withColumn("recent", F.coalesce("recent", F.array().cast(schema["recent"].dataType)))}
 
     return Carried(stream, step, {"recent": (tuple(keys), schema)})
+
+
+def reduced_by(
+    stream: DataFrame, keys, order, values: Sequence[str], combine: Callable[[tuple, tuple], tuple], slice_rows: int = SLICE_ROWS
+) -> Carried:
+    """Running reduce with any associative function of two tuples (:mod:`weirflow.operators.reducing`).
+
+    ``reduced_<value>`` is added to each record. State: for each key what its records have come to.
+    """
+    keys, values = list(keys), list(values)
+    schema = T.StructType([*(stream.schema[c] for c in keys), *(stream.schema[v] for v in values)])
+
+    def step(batch: DataFrame, states: States) -> tuple[DataFrame, States]:
+        state = materialise(null_safe(states["held"], batch.select(*keys).distinct(), keys, "left_semi"))
+        rows = reducing.running_reduce(batch, keys, order, values, combine, initial=state, slice_rows=slice_rows)
+        # The state goes before the batch's own result, as an earlier part.
+        own = reducing.reduce_groups(batch, keys, order, values, combine, slice_rows)
+        parts = state.withColumn("_part", F.lit(0)).unionByName(own.withColumn("_part", F.lit(1)))
+        return rows, {"held": reducing.reduce_groups(parts, keys, ["_part"], values, combine, slice_rows)}
+
+    return Carried(stream, step, {"held": (tuple(keys), _nullable(schema))})
