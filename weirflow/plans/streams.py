@@ -13,13 +13,13 @@ from weirflow.operators import project, route
 from weirflow.operators.running import running_sum
 from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
-from weirflow.plans.views import DELAY_MS, LATENESS_MS, SPREAD_FACTOR, SPREAD_SECONDS, WINDOW_MS, arrivals, of_kind, table
+from weirflow.plans.views import DELAY_MS, LATENESS_MS, SENSOR_SQL, SPREAD_FACTOR, SPREAD_SECONDS, WINDOW_MS, arrivals, of_kind, table
 from weirflow.session import use_keyed_state_store
 from weirflow.sinks.files import start_text_sink
 from weirflow.sinks.routed import routed_output, start_routed_sink
 from weirflow.sources.lines import table_stream, text_table
 from weirflow.sources.replay import ordered_stream
-from weirflow.streaming import carried, joins, late, runs, stateful, windows
+from weirflow.streaming import carried, joins, late, runs, sessions, stateful, windows
 
 KEY, ORDER = ["id"], ["ts", "seq"]
 
@@ -115,23 +115,57 @@ def _session_sql(name: str) -> str:
 
 @query("stream_session_fixed", _session_sql("session_fixed"))
 def stream_session_fixed(spark, sf_dir):
-    def sessions(stream):
+    def hourly(stream):
         return windows.event_sessions(stream, KEY, "ts", "1 hour", n=_n(), sum_vc=F.sum("vc"))
 
-    return windowed(spark, sf_dir, sessions, *BOUNDS)
+    return windowed(spark, sf_dir, hourly, *BOUNDS)
 
 
-# A stream ignores a record with an empty gap, which covers no time.
-@query(
-    "stream_session_dynamic",
-    _session_sql("session_dynamic").replace("vc * 60", "greatest(vc, 1) * 60"),
-)
+def _count_and_sum(df):
+    return [running_sum("n", F.lit(1).cast("bigint")), running_sum("sum_vc", widened(df, "vc"))]
+
+
+def _ended(keyed, folder):
+    """All sessions of a stream that has ended, those that are still open included."""
+    out = carried.run_available(keyed, folder)
+    batches = out.agg(F.max("batch_id")).first()[0]
+    states = carried.states_after(keyed, folder, 0 if batches is None else batches + 1)
+    return out.drop("batch_id").unionByName(sessions.open_sessions(states))
+
+
+@query("stream_session_dynamic", _session_sql("session_dynamic"))
 def stream_session_dynamic(spark, sf_dir):
-    def sessions(stream):
-        gap = windows.gap_seconds(F.greatest(F.coalesce("vc", F.lit(1)), F.lit(1)) * 60)
-        return windows.event_sessions(stream, KEY, "ts", gap, n=_n(), sum_vc=F.sum("vc"))
+    """Sessions with a gap of each record's own, an empty one included."""
+    keyed = sessions.event_sessions(sensor_arrivals(spark, sf_dir), KEY, "ts", F.col("vc") * 60, _count_and_sum, SPREAD_SECONDS)
+    out = _ended(keyed, runs.run_folder(spark))
+    bounds = [to_ntz(F.timestamp_micros(c)).alias(n) for c, n in zip(("start_us", "end_us"), BOUNDS)]
+    return out.select("id", *bounds, "n", "sum_vc")
+
+
+SILENT_SECONDS = 6 * 3600
+
 
-    return windowed(spark, sf_dir, sessions, *BOUNDS)
+@query(
+    "stream_inactive_keys",
+    f"""WITH {SENSOR_SQL}, following AS (SELECT id, ts, lead(ts) OVER (PARTITION BY id ORDER BY ts, seq) AS later FROM sensor)
+    SELECT id, ts AS last_ts, ts + INTERVAL {SILENT_SECONDS} SECOND AS at_ts FROM following
+    WHERE later IS NULL OR later > ts + INTERVAL {SILENT_SECONDS} SECOND""",
+)
+def stream_inactive_keys(spark, sf_dir):
+    """An alert for each time that a key has been silent for six hours; a record before that puts it off."""
+    keyed = sessions.event_sessions(sensor_arrivals(spark, sf_dir), KEY, "ts", SILENT_SECONDS, _count_and_sum, SPREAD_SECONDS)
+    out = _ended(keyed, runs.run_folder(spark))
+    return out.select("id", *[to_ntz(F.timestamp_micros(c)).alias(n) for c, n in (("last_us", "last_ts"), ("end_us", "at_ts"))])
+
+
+@query("stream_broadcast_threshold", SQL["broadcast_threshold"])
+def stream_broadcast_threshold(spark, sf_dir):
+    """Each signup sets the threshold that all later readings are compared with, by event time."""
+    threshold = sessions.in_force(
+        sensor_arrivals(spark, sf_dir), F.lit(True), F.col("kind") == "signup", "ts", "seq", F.col("vc"), "threshold", SPREAD_SECONDS
+    )
+    out = carried_result(threshold).withColumn("threshold", F.coalesce("threshold", F.lit(0)))
+    return out.where("vc > threshold").select("id", "seq", "vc", "threshold")
 
 
 @query("stream_top_of_windows", f"SELECT epoch_ms(window_end) AS window_end_ms, vc, n, rank FROM ({SQL['topn_two_stage']})")
