@@ -36,9 +36,9 @@ SMOOTH = 5
 MIN_DOCS = 30
 TOP = 50
 
-SHARDS = 512
+SHARDS = 256
 BLOCK_ENTRIES = 400_000
-PAGE_ENTRIES = 512
+PAGE_ENTRIES = 1024
 FAN_IN = 4096
 # Pages that a merge opens before it settles what lies before the next one, and rows that it holds unsummed.
 OPENED, HELD = 64, 1 << 17
@@ -51,7 +51,10 @@ _TERM_BYTES = bytes(
 )
 _PIECE = 1 << 20
 
-PAGES = "shard int, run bigint, first binary, terms array<binary>, langs array<binary>, sources array<string>, counts array<bigint>"
+PAGES = (
+    "shard int, run bigint, first binary, terms array<binary>, places array<int>, "
+    "langs array<binary>, sources array<string>, groups array<int>, counts array<bigint>"
+)
 # Entries: occurrences of a term in a source of a language, or, without a source, the language's documents that have it.
 ENTRY = pa.schema([("term", pa.binary()), ("lang", pa.binary()), ("source", pa.string()), ("n", pa.int64())])
 
@@ -100,35 +103,54 @@ class Block:
         return pa.table(columns, schema=ENTRY)
 
 
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
 def _paged(entries: pa.Table, run: int, shards: int) -> Iterator[pa.RecordBatch]:
-    """The entries as pages of a run: dealt to shards by their term, each shard's in the order of the terms."""
-    if not entries.num_rows:
+    """The entries as pages of a run: dealt to shards by their term, each shard's in the order of the terms.
+
+    A page has every term and every group of it once, and its entries name both by number.
+    """
+    n = entries.num_rows
+    if not n:
         return
-    entries = entries.combine_chunks()
-    coded = entries["term"].combine_chunks().dictionary_encode()
+    coded, lang, source = (entries[c].combine_chunks().dictionary_encode() for c in ("term", "lang", "source"))
     terms = coded.dictionary.to_pylist()
-    order = sorted(range(len(terms)), key=terms.__getitem__)
     rank = np.empty(len(terms), np.int64)
-    rank[order] = np.arange(len(terms))
+    rank[sorted(range(len(terms)), key=terms.__getitem__)] = np.arange(len(terms))
     shard_of = np.array([xxhash.xxh32_intdigest(term) % shards for term in terms], np.int64)
     codes = np.asarray(coded.indices)
-    sort = np.argsort(shard_of[codes] * len(terms) + rank[codes], kind="stable")
-    entries, shard = entries.take(sort), shard_of[codes[sort]]
-    new = np.concatenate([[True], shard[1:] != shard[:-1]])
-    place = np.arange(len(shard))
+    sort = np.argsort(shard_of[codes] * len(terms) + rank[codes])
+    codes, counts = codes[sort], entries["n"].combine_chunks().take(pa.array(sort))
+    # Groups without a source have number 0 of their language.
+    width = len(source.dictionary) + 1
+    group = (np.asarray(lang.indices, np.int64) * width + np.asarray(source.indices.fill_null(-1)) + 1)[sort]
+
+    place, shard = np.arange(n), shard_of[codes]
+    new = np.append(True, shard[1:] != shard[:-1])
     new |= (place - place[new][np.cumsum(new) - 1]) % PAGE_ENTRIES == 0
-    starts = place[new]
-    offsets = pa.array(np.append(starts, len(shard)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, entries[name].combine_chunks()) for name in ENTRY.names]
+    starts, page = place[new], np.cumsum(new) - 1
+    first = np.flatnonzero(new | np.append(True, codes[1:] != codes[:-1]))
+    own, number = np.unique(page * (len(lang.dictionary) * width) + group, return_inverse=True)
+    own_page, own_group = np.divmod(own, len(lang.dictionary) * width)
+    pages = np.arange(len(starts) + 1)
+    own_starts, term_starts = np.searchsorted(own_page, pages), np.append(np.searchsorted(first, starts), len(first))
+    own_source = own_group % width - 1
     columns = [
         pa.array(shard[starts].astype(np.int32)),
         pa.array(np.full(len(starts), run)),
-        entries["term"].combine_chunks().take(pa.array(starts)),
-        *lists,
+        coded.dictionary.take(pa.array(codes[starts])),
+        _lists(term_starts, coded.dictionary.take(pa.array(codes[first]))),
+        _lists(term_starts, pa.array(np.diff(np.append(first, n)).astype(np.int32))),
+        _lists(own_starts, lang.dictionary.take(pa.array(own_group // width))),
+        _lists(own_starts, source.dictionary.take(pa.array(own_source, mask=own_source < 0))),
+        _lists(np.append(starts, n), pa.array((number - own_starts[page]).astype(np.int32))),
+        _lists(np.append(starts, n), counts),
     ]
-    pages = pa.RecordBatch.from_arrays(columns, ["shard", "run", "first", "terms", "langs", "sources", "counts"])
-    for at in range(0, pages.num_rows, 256):
-        yield pages.slice(at, 256)
+    out = pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PAGES.split(", ")])
+    for at in range(0, len(starts), 256):
+        yield out.slice(at, 256)
 
 
 def runs(docs: DataFrame, block_entries: int = BLOCK_ENTRIES, shards: int = SHARDS) -> DataFrame:
@@ -189,14 +211,19 @@ def merged(pages: Iterable[pa.Table]) -> Iterator[pa.Table]:
 
 
 def _page_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Table]]:
-    """``(shard, run, entries)`` of each page."""
+    """``(shard, run, entries)`` of each page, few of them unpacked at a time."""
     for batch in batches:
-        shards, page_runs = (batch.column(k).to_pylist() for k in (0, 1))
-        lists = batch.columns[3:]
-        offsets = lists[0].offsets.to_pylist()
-        entries = pa.table([column.values for column in lists], schema=ENTRY)
-        for k in range(batch.num_rows):
-            yield shards[k], page_runs[k], entries.slice(offsets[k], offsets[k + 1] - offsets[k])
+        for at in range(0, batch.num_rows, OPENED):
+            part = batch.slice(at, OPENED)
+            shards, page_runs, _ = (column.to_pylist() for column in part.columns[:3])
+            terms, places, langs, sources, groups, counts = (column.flatten() for column in part.columns[3:])
+            sizes = part.column(7).value_lengths().to_numpy()
+            before = np.append(0, np.cumsum(part.column(5).value_lengths().to_numpy()))[:-1]
+            group = pa.array(np.asarray(groups) + np.repeat(before, sizes))
+            term = pa.array(np.repeat(np.arange(len(terms)), np.asarray(places)))
+            entries = pa.table([terms.take(term), langs.take(group), sources.take(group), counts], schema=ENTRY)
+            for shard, run, start, size in zip(shards, page_runs, np.cumsum(sizes) - sizes, sizes, strict=True):
+                yield shard, run, entries.slice(start, size)
 
 
 def merged_runs(pages: DataFrame, fan_in: int = FAN_IN, shards: int = SHARDS) -> DataFrame:
