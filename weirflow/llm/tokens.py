@@ -15,18 +15,27 @@ import os
 import numpy as np
 
 ID_BYTES = 4
-CACHED_WORDS = 250_000
+#: Bytes that a generation of cached words may take, and what a word takes beside its text and ids. There are two generations.
+GENERATION_BYTES, WORD_BYTES = 48 << 20, 200
 
 
 class _Words(dict):
-    """The ids of words that stand behind ``before``, learned as they are asked for."""
+    """The ids of words that stand behind ``before``, learned as they are asked for, or known from the older generation."""
 
     def __init__(self, of: Encoder, before: str):
         self.of, self.before, self.prefix = of, before, of.written(before)
+        self.older: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        """This generation becomes the older one, which is forgotten."""
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
         of = self.of
-        if word[:1] == "\n":  # a piece of its own, and the word behind it has no space before it
+        if (ids := self.older.get(word)) is not None:
+            pass
+        elif word[:1] == "\n":  # a piece of its own, and the word behind it has no space before it
             ids = of.line_end + of.first[word[1:]]
         elif word.isalpha():  # one piece: the model takes it without a search for pieces
             ids = of.piece(self.prefix + word if word.isascii() else of.written(self.before + word))
@@ -35,6 +44,7 @@ class _Words(dict):
         else:
             ids = of.plain([self.before + word])[0]
         self[word] = ids
+        of.held += len(word) + len(ids) + WORD_BYTES
         return ids
 
 
@@ -55,13 +65,14 @@ class Encoder:
         self.id_bytes = [k.to_bytes(ID_BYTES, "little") for k in range(self.tokenizer.get_vocab_size())]
         self.line_end, *marks = self.plain(["\n", ".", ","])
         self.marks = dict(zip(".,", marks, strict=True))
-        self.first, self.later = _Words(self, ""), _Words(self, " ")
+        self.first, self.later, self.held = _Words(self, ""), _Words(self, " "), 0
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a null or empty text."""
-        if len(self.first) + len(self.later) > CACHED_WORDS:
-            self.first.clear()
-            self.later.clear()
+        if self.held > GENERATION_BYTES:
+            self.first.age()
+            self.later.age()
+            self.held = 0
         return [self._encode(text) if text else b"" for text in texts]
 
     def _encode(self, text: str) -> bytes:
