@@ -352,3 +352,15 @@ def test_automaton_equals_regex(globs, texts):
     raw = [t.encode() for t in texts]
     expected = [[bool(r.fullmatch(t)) for r in rules] for t in raw]
     assert Automaton(globs).match(raw).tolist() == expected
+
+
+def test_generations_of_cached_words_change_no_ids(monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(LETTERS + ["été", "x,", "a.b"], k=30)) + "\nend" for _ in range(40)]
+    whole = Encoder(TOKENS).encode(texts)
+    from weirflow.llm import tokens
+
+    monkeypatch.setattr(tokens, "GENERATION_BYTES", 900)
+    small = Encoder(TOKENS)
+    assert [small.encode([t])[0] for t in texts] == whole
+    assert small.later.older and small.held < 900 + 60 * 300
