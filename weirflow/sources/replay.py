@@ -25,6 +25,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(as_path(path), True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, as_path = _files(spark, path)
+    return files.exists(as_path(path))
+
+
 def publish_in_order(spark: SparkSession, staged: str, folder: str) -> int:
     """Move the part files of ``staged`` to ``folder`` so that a file stream reads them in the order of their numbers.
 

@@ -27,7 +27,7 @@ from weirflow.functions.times import ordinal, widened
 from weirflow.operators import reducing
 from weirflow.operators.running import SLICE_ROWS, Fold, fold, merge_top, null_safe, running_max, running_sum, running_top, slice_hot_keys
 from weirflow.session import materialise
-from weirflow.sources.replay import delete_folder
+from weirflow.sources.replay import delete_folder, folder_exists
 from weirflow.streaming.runs import run_folder
 
 SNAPSHOT_EVERY = 20
@@ -64,6 +64,9 @@ def _latest(keyed: Carried, folder: str, base: int, before: int) -> States:
     spark = keyed.stream.sparkSession
     out = {}
     for name, (keys, schema) in keyed.states.items():
+        if not before:
+            out[name] = spark.createDataFrame([], schema)
+            continue
         stored = T.StructType([*schema.fields, T.StructField(GONE, T.BooleanType())])
         versions = spark.createDataFrame([], stored).withColumn("version", F.lit(-1))
         if base:
@@ -118,9 +121,10 @@ def start(keyed: Carried, folder: str, every: int = SNAPSHOT_EVERY, **trigger) -
 
 def written(keyed: Carried, folder: str) -> DataFrame:
     """The rows of all micro-batches so far, with ``batch_id``."""
-    rows = keyed.step(*keyed.empty())[0].schema
-    schema = T.StructType([*rows.fields, T.StructField("batch_id", T.LongType())])
-    return keyed.stream.sparkSession.read.schema(schema).parquet(f"{folder}/rows")
+    spark = keyed.stream.sparkSession
+    if not folder_exists(spark, f"{folder}/rows"):
+        return keyed.step(*keyed.empty())[0].withColumn("batch_id", F.lit(None).cast("bigint"))
+    return spark.read.parquet(f"{folder}/rows").withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def run_available(keyed: Carried, folder: str | None = None, every: int = SNAPSHOT_EVERY) -> DataFrame:
@@ -141,9 +145,19 @@ def _empty(stream: DataFrame) -> DataFrame:
     return stream.sparkSession.createDataFrame([], stream.schema)
 
 
+def _of_batch(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The state of the keys that the micro-batch has."""
+    if state.isEmpty():
+        return _empty(state)
+    return materialise(null_safe(state, batch.select(*keys).distinct(), keys, "left_semi"))
+
+
 def _with_state(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows`` with the state of their key in ``_held_<column>`` (null where there is none)."""
-    renamed = state.withColumnsRenamed({c: f"_held_{c}" for c in state.columns if c not in keys})
+    others = [f for f in state.schema if f.name not in keys]
+    if state.isEmpty():
+        return rows.withColumns({f"_held_{f.name}": F.lit(None).cast(f.dataType) for f in others})
+    renamed = state.withColumnsRenamed({f.name: f"_held_{f.name}" for f in others})
     return null_safe(rows, renamed, list(keys), "left")
 
 
@@ -171,7 +185,7 @@ def folded(
         return out.drop(*[f"_held_{f.name}" for f in chosen])
 
     def step(batch: DataFrame, states: States) -> tuple[DataFrame, States]:
-        state = materialise(null_safe(states["folds"], batch.select(*keys).distinct(), keys, "left_semi"))
+        state = _of_batch(states["folds"], batch, keys)
         cut = slice_hot_keys(batch, keys, order, **({"slice_rows": slice_rows} if slice_rows else {}))
         return finish(merged(fold(cut, chosen).plain(), state)), {"folds": merged(totals(batch), state)}
 
@@ -274,7 +288,7 @@ def top_so_far(stream: DataFrame, keys, order, value: str, k: int = 3, slice_row
         return both.withColumn("top", held).drop("_held_top")
 
     def step(batch: DataFrame, states: States) -> tuple[DataFrame, States]:
-        state = materialise(null_safe(states["top"], batch.select(*keys).distinct(), keys, "left_semi"))
+        state = _of_batch(states["top"], batch, keys)
         local = running_top(batch, keys, order, value, k, "top", **({"slice_rows": slice_rows} if slice_rows else {}))
         # Ranks above k leave in the tasks before the shuffle.
         ranked = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value))
@@ -298,13 +312,14 @@ def count_windows(
     rn = F.col("rn")
 
     def step(batch: DataFrame, states: States) -> tuple[DataFrame, States]:
-        state = materialise(null_safe(states["recent"], batch.select(*keys).distinct(), keys, "left_semi"))
+        state = _of_batch(states["recent"], batch, keys)
         cut = slice_hot_keys(batch, keys, order, **({"slice_rows": slice_rows} if slice_rows else {}))
         local = fold(cut, [running_sum("rn", F.lit(1).cast("bigint"))]).plain()
         before = F.coalesce("_held_seen", F.lit(0))
         numbered = _with_state(local, state, keys).select(*keys, (rn + before).alias("rn"), value, before.alias("_before"))
         recent = state.select(*keys, F.explode("recent").alias("_r"), F.col("seen").alias("_before")).select(*keys, "_r.*", "_before")
-        every = numbered.unionByName(recent)
+        # Written once: windows and what is left are both made of it.
+        every = materialise(numbered.unionByName(recent))
         counted = _with_state(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")), state, keys)
         seen = materialise(counted.select(*keys, (F.col("seen") + F.coalesce("_held_seen", F.lit(0))).alias("seen")))
         first, last = F.ceil(rn / step_by).cast("bigint"), F.floor((rn + size - 1) / step_by).cast("bigint")
@@ -337,7 +352,7 @@ def reduced_by(
     schema = T.StructType([*(stream.schema[c] for c in keys), *(stream.schema[v] for v in values)])
 
     def step(batch: DataFrame, states: States) -> tuple[DataFrame, States]:
-        state = materialise(null_safe(states["held"], batch.select(*keys).distinct(), keys, "left_semi"))
+        state = _of_batch(states["held"], batch, keys)
         rows = reducing.running_reduce(batch, keys, order, values, combine, initial=state, slice_rows=slice_rows)
         # The state goes before the batch's own result, as an earlier part.
         own = reducing.reduce_groups(batch, keys, order, values, combine, slice_rows)
