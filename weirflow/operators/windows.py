@@ -10,7 +10,7 @@ from dataclasses import replace
 from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import ordinal, widened
@@ -20,6 +20,7 @@ from weirflow.operators.running import (
     SLICE_ROWS,
     Fold,
     fold,
+    null_safe,
     running,
     running_max,
     running_sum,
@@ -70,21 +71,26 @@ def window_elements(
     """Full-window view: key, bounds, element count, and the ordered element list in pages.
 
     A list holds at most ``page_rows`` elements; a larger window continues on further pages, so
-    nothing is lost and no task holds a whole hot window.
+    nothing is lost and no task holds a whole hot window. Null keys have windows like others.
     """
     window = F.window(ts, size)
     placed = df.withColumns({"window_start": window["start"], "window_end": window["end"], "_element": element})
     group = [*keys, "window_start", "window_end"]
-    numbered = row_numbers(placed, group, order, "_rn", slice_rows)
+    sliced = slice_hot_keys(placed, group, order, slice_rows)
+    numbered = fold(sliced, [running_sum("_rn", F.lit(1).cast("bigint"))]).plain()
     paged = (
         numbered.withColumn("page", F.floor((F.col("_rn") - 1) / page_rows).cast("int"))
         .groupBy(*group, "page")
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", "_element"))).alias("_list"))
+        .agg(F.array_sort(F.collect_list(F.struct("_rn", "_element"))).alias("_list"), F.max("_rn").alias("n"))
         .withColumn("elements", F.transform("_list", lambda x: x["_element"]))
         .drop("_list")
     )
+    if not sliced.slices:
+        # The rows are dealt by window already: its last page knows how many there are.
+        return paged.withColumn("n", F.max("n").over(Window.partitionBy(*group)))
+    # The pages of a hot window stay in different tasks, and rows are counted before they are shuffled.
     counts = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return paged.join(counts, group, "inner")
+    return null_safe(paged.drop("n"), counts, group)
 
 
 def _one_by_one(

@@ -19,7 +19,7 @@ from weirflow.sinks.files import start_text_sink
 from weirflow.sinks.routed import routed_output, start_routed_sink
 from weirflow.sources.lines import table_stream, text_table
 from weirflow.sources.replay import ordered_stream
-from weirflow.streaming import carried, joins, late, runs, sessions, stateful, windows
+from weirflow.streaming import carried, elements, joins, late, runs, sessions, stateful, windows
 
 KEY, ORDER = ["id"], ["ts", "seq"]
 
@@ -142,6 +142,19 @@ def stream_session_dynamic(spark, sf_dir):
     return out.select("id", *bounds, "n", "sum_vc")
 
 
+@query("stream_window_full", SQL["window_full"])
+def stream_window_full(spark, sf_dir):
+    """All elements of each window in pages, as it closes; those that are open at the end come last."""
+    day, page, folder = aggregating.DAY, aggregating.PAGE, runs.run_folder(spark)
+    stream = sensor_arrivals(spark, sf_dir)
+    keyed = elements.window_elements(stream, KEY, "ts", day, ORDER, F.col("vc").cast("string"), SPREAD_SECONDS, page)
+    out = carried.run_available(keyed, folder)
+    batches = out.agg(F.max("batch_id")).first()[0]
+    states = carried.states_after(keyed, folder, 0 if batches is None else batches + 1)
+    every = out.drop("batch_id").unionByName(elements.open_windows(keyed, states, KEY, "ts", day, ORDER, page))
+    return _zoneless(every, *BOUNDS).withColumn("elements", F.concat_ws(",", "elements"))
+
+
 SILENT_SECONDS = 6 * 3600
 
 
