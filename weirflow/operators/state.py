@@ -101,7 +101,7 @@ def in_force(
     """
     group = list(keys) or ["_all"]
     # Rows of one instant are told apart by a hash, so that an instant with very many can be cut too.
-    tie = F.xxhash64(*[c for c, kind in data.dtypes if not kind.startswith("map")])
+    tie = F.xxhash64(*[c for c, kind in data.dtypes if "map<" not in kind])
     rows = data.withColumns({"_row": F.struct(*data.columns), "_at": ordinal(data, ts), "_side": F.lit(1), "_tie": tie})
     changes = control.withColumns({"_at": ordinal(control, control_ts), "_side": F.lit(0), "_tie": F.lit(0).cast("bigint")})
     change = F.struct(F.col("_at"), ordinal(control, control_seq).alias("_seq"), F.col(setting).alias("_setting"))

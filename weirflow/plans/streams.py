@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.functions.times import to_ntz, to_utc_timestamp, widened
+from weirflow.functions.times import bound_text, to_ntz, to_utc_timestamp, widened
 from weirflow.operators import project, route
 from weirflow.operators.running import running_sum
 from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
-from weirflow.plans.views import DELAY_MS, LATENESS_MS, SENSOR_SQL, SPREAD_FACTOR, SPREAD_SECONDS, WINDOW_MS, arrivals, of_kind, table
+from weirflow.plans.views import DELAY_MS, LATENESS_MS, SENSOR_SQL, SPREAD_FACTOR, SPREAD_SECONDS, WINDOW_MS, arrivals, bucket_sql, of_kind, table, window_sql
 from weirflow.session import use_keyed_state_store
-from weirflow.sinks.files import start_text_sink
+from weirflow.sinks.files import start_text_sink, write_rolled
 from weirflow.sinks.routed import routed_output, start_routed_sink
-from weirflow.sources.lines import table_stream, text_table
-from weirflow.sources.replay import ordered_stream
+from weirflow.sources.lines import line_stream, table_stream, text_table
+from weirflow.sources.records import DROP, RIGHT_EVENT, parse_records
+from weirflow.sources.replay import ordered_stream, paced_stream
 from weirflow.streaming import carried, elements, joins, late, runs, sessions, stateful, windows
 
 KEY, ORDER = ["id"], ["ts", "seq"]
@@ -370,3 +371,99 @@ def stream_interval_join_with_late(spark, sf_dir):
     )
     out = carried_result(joined)
     return out.select("output", "id", F.col("left.left_seq").alias("left_seq"), F.col("right.right_seq").alias("right_seq"), "ts_ms", "wm_in")
+
+
+# Readings that come in per second of the clock of processing time.
+PACE = 20
+_PACED_SQL = f"""WITH {SENSOR_SQL}, paced AS (
+  SELECT *, make_timestamp(((row_number() OVER (ORDER BY ts, seq) - 1) // {PACE}) * 1000000) AS pt FROM sensor
+)"""
+
+
+def _processing(spark, sf_dir, size, slide=None):
+    paced = paced_stream(_readings(table(spark, sf_dir, "events")), ORDER, f"{runs.run_folder(spark)}/paced", PACE)
+
+    def counted(stream):
+        return windows.processing_windows(stream, KEY, size, slide, F.col("pt"), n=_n(), sum_vc=F.sum("vc"))
+
+    return _zoneless(runs.run_to_end(paced, "pt", counted).drop("batch_id"), *BOUNDS)
+
+
+@query(
+    "stream_processing_tumbling",
+    f"""{_PACED_SQL} SELECT id, {window_sql(bucket_sql("pt", 10), 10)}, count(*) AS n, CAST(sum(vc) AS BIGINT) AS sum_vc FROM paced GROUP BY ALL""",
+)
+def stream_processing_tumbling(spark, sf_dir):
+    """Windows of ten seconds by the time of processing, by the clock of a replay at a fixed rate."""
+    return _processing(spark, sf_dir, "10 seconds")
+
+
+@query(
+    "stream_processing_sliding",
+    f"""{_PACED_SQL}, slid AS (
+      SELECT id, vc, {bucket_sql("pt", 2)} - INTERVAL 2 SECOND * k AS ws FROM paced, (SELECT unnest(range(5)) AS k)
+    ) SELECT id, {window_sql("ws", 10)}, count(*) AS n, CAST(sum(vc) AS BIGINT) AS sum_vc FROM slid GROUP BY ALL""",
+)
+def stream_processing_sliding(spark, sf_dir):
+    """Windows of ten seconds, one every two."""
+    return _processing(spark, sf_dir, "10 seconds", "2 seconds")
+
+
+@query("stream_parse_lines", SQL["parse_sensor_lines"])
+def stream_parse_lines(spark, sf_dir):
+    """Comma-separated lines in text files, read as a stream of lines and parsed to records; bad lines are left out."""
+    folder = f"{runs.run_folder(spark)}/lines"
+    stateless._reading_lines(spark, sf_dir).write.text(folder)
+    lines = line_stream(spark, "text", folder, maxBytesPerTrigger=1 << 30, pathGlobFilter="part-*")
+    return result(parse_records(lines, policy=DROP))
+
+
+@query(
+    "stream_parse_tuples",
+    f"WITH {SENSOR_SQL} SELECT kind AS key, CAST(epoch_us(ts) // 1000000 AS INTEGER) AS sec, vc AS n FROM sensor",
+)
+def stream_parse_tuples(spark, sf_dir):
+    """Lines parsed to tuples of key, second and number; a bad one would end the stream."""
+    folder = f"{runs.run_folder(spark)}/lines"
+    readings = _readings(table(spark, sf_dir, "events"))
+    fields = ["kind", F.unix_seconds("ts").cast("string"), F.col("vc").cast("string")]
+    readings.select(F.concat_ws(",", *fields).alias("value")).write.text(folder)
+    return result(parse_records(line_stream(spark, "text", folder, maxBytesPerTrigger=1 << 30), RIGHT_EVENT))
+
+
+ROLL = 16384
+
+
+@query(
+    "text_sink_rolled",
+    f"""WITH lines AS (SELECT event_id AS seq, event_id || ',' || event_type AS value FROM events), placed AS (
+      SELECT *, coalesce(sum(strlen(value) + 1) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {ROLL} AS file_no
+      FROM lines
+    ) SELECT min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS n, CAST(sum(strlen(value) + 1) AS BIGINT) AS n_bytes
+    FROM placed GROUP BY file_no""",
+)
+def text_sink_rolled(spark, sf_dir):
+    """Lines in files that roll at a number of bytes: what each written file holds."""
+    folder = f"{runs.run_folder(spark)}/rolled"
+    readings = _readings(table(spark, sf_dir, "events"))
+    lines = readings.select("seq", F.concat_ws(",", F.col("seq").cast("string"), "kind").alias("value"))
+    write_rolled(lines, folder, ["seq"], ROLL)
+    seq = F.split_part("value", F.lit(","), F.lit(1)).cast("bigint")
+    read = spark.read.text(folder).withColumn("_file", F.col("_metadata.file_path"))
+    held = [F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"), _n().alias("n")]
+    return read.groupBy("_file").agg(*held, F.sum(F.octet_length("value") + 1).alias("n_bytes")).drop("_file")
+
+
+@query(
+    "stream_count_window_bounds",
+    f"""WITH {SENSOR_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, seq) AS rn FROM sensor)
+    SELECT id, (rn - 1) // 5 + 1 AS window_no, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%g') AS first_text,
+           strftime(max(ts), '%Y-%m-%d %H:%M:%S.%g') AS last_text
+    FROM numbered GROUP BY 1, 2 HAVING count(*) = 5""",
+)
+def stream_count_window_bounds(spark, sf_dir):
+    """Count windows with the times of their first and last records, as text."""
+    timed = sensor_replay(spark, sf_dir).withColumn("at", to_ntz(F.col("ts")))
+    out = carried_result(carried.count_windows(timed, KEY, ORDER, "at", 5))
+    bounds = {"first_text": bound_text(F.array_min("elements")), "last_text": bound_text(F.array_max("elements"))}
+    return out.withColumns(bounds).drop("elements")

@@ -1,4 +1,4 @@
-"""A bounded table replayed as a stream in the order of one of its columns."""
+"""A bounded table replayed as a stream in the order of its columns, or at a fixed rate by a clock of its own."""
 
 from __future__ import annotations
 
@@ -6,10 +6,13 @@ import math
 import re
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weirflow.functions.times import ordinal
+from weirflow.operators.running import SLICE_ROWS, running, running_sum
 
 
 def _files(spark: SparkSession, path: str):
@@ -63,3 +66,24 @@ def ordered_stream(df: DataFrame, by: str, folder: str, slice_rows: int = 1_000_
     publish_in_order(spark, staged, folder)
     delete_folder(spark, staged)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def paced_stream(
+    df: DataFrame,
+    order: Sequence[str],
+    folder: str,
+    rows_per_second: int,
+    started: int = 0,
+    clock: str = "pt",
+    slice_rows: int = 1_000_000,
+    cut_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """A bounded table as a stream that comes in at ``rows_per_second`` along ``order``, with that time in ``clock``.
+
+    The clock starts at ``started`` (epoch seconds) and is told by a row's number, not by the machine, so windows of
+    processing time over it have the same result in every run, whatever micro-batches, restarts and
+    machines do. Rows are numbered in slices by many tasks. Ties of ``order`` may come in any order: give one without ties.
+    """
+    counted = running(df.withColumn("_all", F.lit(0)), ["_all"], order, [running_sum("_rn", F.lit(1).cast("bigint"))], cut_rows)
+    second = F.floor((F.col("_rn") - 1) / rows_per_second) + started
+    return ordered_stream(counted.withColumn(clock, F.timestamp_seconds(second)).drop("_all", "_rn"), clock, folder, slice_rows)

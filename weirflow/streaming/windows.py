@@ -45,19 +45,22 @@ def gap_seconds(seconds: Column) -> Column:
     return F.concat(seconds.cast("string"), F.lit(" seconds"))
 
 
-def with_processing_time(stream: DataFrame, name: str = "pt") -> DataFrame:
+def with_processing_time(stream: DataFrame, name: str = "pt", clock: Column | None = None) -> DataFrame:
     """Stamp each row with its time of processing and use that as the watermark column.
 
-    The stream must not have another watermark.
+    ``clock`` takes the place of the machine's (:func:`weirflow.sources.replay.paced_stream` has one that is the same in every
+    run). The stream must not have another watermark.
     """
-    return stream.withColumn(name, F.current_timestamp()).withWatermark(name, "0 seconds")
+    return stream.withColumn(name, F.current_timestamp() if clock is None else clock).withWatermark(name, "0 seconds")
 
 
 def processing_windows(
-    stream: DataFrame, keys: Sequence[str], size: str, slide: str | None = None, **aggregates: Column
+    stream: DataFrame, keys: Sequence[str], size: str, slide: str | None = None, clock: Column | None = None, **aggregates: Column
 ) -> DataFrame:
-    return event_windows(with_processing_time(stream), keys, "pt", size, slide, **aggregates)
+    return event_windows(with_processing_time(stream, clock=clock), keys, "pt", size, slide, **aggregates)
 
 
-def processing_sessions(stream: DataFrame, keys: Sequence[str], gap: str | Column, **aggregates: Column) -> DataFrame:
-    return event_sessions(with_processing_time(stream), keys, "pt", gap, **aggregates)
+def processing_sessions(
+    stream: DataFrame, keys: Sequence[str], gap: str | Column, clock: Column | None = None, **aggregates: Column
+) -> DataFrame:
+    return event_sessions(with_processing_time(stream, clock=clock), keys, "pt", gap, **aggregates)
