@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +27,32 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: dict[tuple, Any] = {}
+
+
+def held(owner: tuple, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in this Python process from task to task, made by ``make`` when first asked for.
+
+    Spark uses its Python workers again for other operators. So a process holds one owner's things at a time: another
+    owner's are let go first, and their memory is given back to the system.
+    """
+    if owner not in _held:
+        release()
+        _held[owner] = make()
+    return _held[owner]
+
+
+def release() -> None:
+    """Let go of whatever :func:`held` has kept in this Python process."""
+    if not _held:
+        return
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # not every C library has it
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,6 @@ text gets the language whose prototype has the largest cosine with it.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.llm.common import held
+
 DIMENSIONS = 1024
 SEED = 7
 UNKNOWN = "und"
@@ -24,6 +25,7 @@ MIN_SCORE = 0.1
 _TEXTS_AT_ONCE = 32
 _CHARS_AT_ONCE = 1 << 17
 _CACHED_TRIGRAMS = 1 << 14
+_TRIGRAMS_AT_ONCE = 1 << 11
 
 
 class Profiles:
@@ -104,15 +106,18 @@ class Profiles:
         if not len(known):
             return np.zeros((groups, self.dimensions))
         counts = np.bincount(group[1:-1][use] * len(known) + which, minlength=groups * len(known))
-        rows = self._rows(known)
-        # Exact: the sums are whole numbers far below 2 ** 24.
-        return counts.reshape(groups, -1).astype(np.float32) @ self.vectors[rows].astype(np.float32)
+        rows, counts = self._rows(known), counts.reshape(groups, -1).astype(np.float32)
+        total = np.zeros((groups, self.dimensions))
+        for low in range(0, len(rows), _TRIGRAMS_AT_ONCE):
+            some = slice(low, low + _TRIGRAMS_AT_ONCE)
+            # Exact: the sums are whole numbers far below 2 ** 24.
+            total += counts[:, some] @ self.vectors[rows[some]].astype(np.float32)
+        return total
 
 
-@functools.cache
 def profiles(dimensions: int, seed: int) -> Profiles:
     """The profiles of this Python process."""
-    return Profiles(dimensions, seed)
+    return held((Profiles, dimensions, seed), lambda: Profiles(dimensions, seed))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -9,11 +9,12 @@ tokenizer is not byte-level.
 
 from __future__ import annotations
 
-import functools
 import os
 
 import numpy as np
 
+from weirflow.llm.common import held
+
 ID_BYTES = 4
 #: Bytes that a generation of cached words may take, and what a word takes beside its text and ids. There are two generations.
 GENERATION_BYTES, WORD_BYTES = 48 << 20, 200
@@ -104,7 +105,6 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-@functools.cache
 def encoder(path: str) -> Encoder:
     """The encoder of this Python process."""
-    return Encoder(path)
+    return held((Encoder, path), lambda: Encoder(path))
