@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tests.llm.helpers import BENCHMARK, documents
+from tests.llm.helpers import BENCHMARK, DOCUMENTS, documents
 from tests.oracle import compare, database
 from weirflow.llm import contamination, language, line_dedup, packing, passage_dedup, quality, simhash, suffix_dedup, token_files
 from weirflow.llm.common import components, stored
@@ -336,11 +336,50 @@ def test_quality_keeps_the_usual(spark):
     usual = [" ".join(rng.choices(LETTERS, k=80)) for _ in range(300)]
     odd = [" ".join(w + "###" for w in rng.choices(LETTERS, k=80)), "short"]
     docs = documents(spark, usual + odd)
-    out = {r["doc_id"]: r for r in quality.judge(docs, min_rows=50).collect()}
+    out = {r["doc_id"]: r for r in quality.judge(docs).collect()}
     assert not out[300]["kept"] and not out[300]["base_failed"] and out[301]["base_failed"]
     assert sum(out[k]["kept"] or out[k]["base_failed"] for k in range(300)) == 300
 
 
+def test_source_decides_the_verdict(spark):
+    rng = random.Random(12)
+
+    def text(symbols):
+        return " ".join(f"w{rng.randrange(10**6)}" + "#" * (k < symbols) for k in range(80))
+
+    plain = [text(rng.randrange(2)) for _ in range(400)]
+    signs = [text(20 + rng.randrange(20)) for _ in range(60)]
+    same = text(30)
+    rows = [(k, t, "en", s, 0) for k, (t, s) in enumerate([*((t, "a") for t in [*plain, same]), *((t, "b") for t in [*signs, same])])]
+    rows += [(1000 + k, t, "en", "few", 0) for k, t in enumerate([text(0), text(1), same])]
+    out = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert not out[400] and out[461]
+    assert all(out[k] for k in [*range(400), *range(401, 461), 1000, 1001])
+    # Three texts say next to nothing: they follow their language, in which an eighth of all texts has such signs.
+    assert out[1002]
+
+
+def test_one_event_is_never_too_much(spark):
+    rng = random.Random(13)
+    words = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(300)]
+    texts = [" ".join(w) for w in words]
+    texts += [texts[0] + " #", texts[1] + "\nsame\nsame", texts[2] + " " + " ".join(words[2][:3]), texts[3] + " # #"]
+    out = {r["doc_id"]: r for r in quality.judge(documents(spark, texts)).collect()}
+    assert [out[k]["kept"] for k in range(300, 304)] == [True, True, True, False]
+    assert [out[302]["n_repeat_words"], out[301]["n_dup_lines"], out[303]["n_symbols"]] == [6, 1, 2]
+
+
+@pytest.mark.parametrize("alphabet", [2, 5, 40])
+def test_repeated_windows_are_exact(spark, alphabet):
+    rng = random.Random(alphabet)
+    texts = [" ".join(rng.choices([f"x{k}" for k in range(alphabet)], k=rng.randrange(120))) for _ in range(60)]
+    out = {r["doc_id"]: r["n_repeat_words"] for r in quality.measures(documents(spark, texts)).collect()}
+    for k, t in enumerate(texts):
+        w = t.split()
+        seen = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        assert out[k] == len({x for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for x in range(i, i + 3)})
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.lists(st.sampled_from(["a", "b", "/", "*", "**", "?", "é"]), max_size=30).map("".join), min_size=1, max_size=9),

@@ -133,19 +133,25 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
-_SLACK_SQL = " ".join(f"WHEN '{rate}' THEN {slack}" for rate, slack in quality.SLACK.items())
+def _mixed_sql(keys: str, prior: str) -> str:
+    """Sketches merged over all but ``keys``, mixed with the shares of what is above."""
+    same = " AND ".join(["g.rate = p.rate"] + ["g.lang IS NOT DISTINCT FROM p.lang"] * ("source" in keys))
+    named = ", ".join(f"g.{k}" for k in keys.split(", "))
+    return f"""SELECT *, sum(weight) OVER (PARTITION BY {keys}, rate) AS total FROM (
+      SELECT {keys}, rate, bucket, sum(weight) AS weight FROM (
+        SELECT {keys}, rate, bucket, {quality.UNIT} * n AS weight FROM sketch
+        UNION ALL
+        SELECT {named}, g.rate, p.bucket, {quality.PRIOR_ROWS} * p.share
+        FROM (SELECT DISTINCT {keys}, rate FROM sketch) g JOIN {prior} p ON {same})
+      GROUP BY ALL)"""
 
 
-def _fences_sql(keys: str) -> str:
-    """Quartile fences of the sketches merged over all but ``keys``."""
-    return f"""(SELECT {keys} rate, rows, q1 - far AS low, q3 + far AS high FROM (
-      SELECT *, greatest({quality.SPREAD} * (q3 - q1), CASE rate {_SLACK_SQL} END) AS far FROM (
-        SELECT {keys} rate, max(rows) AS rows, min(bucket) FILTER (4 * up_to >= rows) AS q1,
-               min(bucket) FILTER (4 * up_to >= 3 * rows) AS q3
-        FROM (SELECT {keys} rate, bucket, sum(n) OVER (PARTITION BY {keys} rate ORDER BY bucket) AS up_to,
-                     sum(n) OVER (PARTITION BY {keys} rate) AS rows
-              FROM (SELECT {keys} rate, bucket, sum(n) AS n FROM sketch GROUP BY {keys} rate, bucket))
-        GROUP BY {keys} rate)))"""
+_SHARE_SQL = f"weight // (total // {quality.UNIT}) AS share"
+_RATE_SQL = "symbols, dup_lines, repeats, word_length"
+
+
+def _end_sql(bucket: str) -> str:
+    return f"({bucket} + (1::BIGINT << greatest(length(bin({bucket})) - 6, 0)) - 1)"
 
 
 SQL["op5_quality"] = rf"""
@@ -170,20 +176,30 @@ WITH doc AS (
          n_repeat_words * 10000 // nullif(n_words, 0) AS repeats, word_chars * 100 // nullif(n_words, 0) AS word_length
   FROM measured
 ), value AS (
-  SELECT lang, source, rate, v FROM rated UNPIVOT (v FOR rate IN (symbols, dup_lines, repeats, word_length)) WHERE NOT base_failed
+  SELECT lang, source, rate, v FROM rated UNPIVOT (v FOR rate IN ({_RATE_SQL})) WHERE NOT base_failed
 ), sketch AS (
   SELECT lang, source, rate, (v >> drop) << drop AS bucket, count(*) AS n
   FROM (SELECT *, greatest(length(bin(v)) - 6, 0) AS drop FROM value) GROUP BY ALL
+), of_all AS (
+  SELECT rate, bucket, {_SHARE_SQL} FROM (
+    SELECT *, sum(weight) OVER (PARTITION BY rate) AS total
+    FROM (SELECT rate, bucket, sum({quality.UNIT} * n) AS weight FROM sketch GROUP BY ALL))
+), of_lang AS (
+  SELECT lang, rate, bucket, {_SHARE_SQL} FROM ({_mixed_sql("lang", "of_all")})
+), own AS (
+  SELECT *, sum(weight) OVER (PARTITION BY lang, source, rate ORDER BY bucket) AS up_to FROM ({_mixed_sql("lang, source", "of_lang")})
 ), fence AS (
-  SELECT own.lang, own.source, own.rate,
-         CASE WHEN own.rows >= {quality.MIN_ROWS} THEN own.low WHEN l.rows >= {quality.MIN_ROWS} THEN l.low ELSE a.low END AS low,
-         CASE WHEN own.rows >= {quality.MIN_ROWS} THEN own.high WHEN l.rows >= {quality.MIN_ROWS} THEN l.high ELSE a.high END AS high
-  FROM {_fences_sql("lang, source,")} own
-  JOIN {_fences_sql("lang,")} l ON own.lang IS NOT DISTINCT FROM l.lang AND own.rate = l.rate
-  JOIN {_fences_sql("")} a ON own.rate = a.rate
+  SELECT lang, source, rate, greatest(2 * bottom - {_end_sql("middle")}, 0) AS low, 2 * {_end_sql("top")} - middle AS high FROM (
+    SELECT lang, source, rate, min(bucket) FILTER (up_to >= total // {quality.TAIL}) AS bottom, min(bucket) FILTER (up_to >= total // 2) AS middle,
+           min(bucket) FILTER (up_to >= total - total // {quality.TAIL}) AS top
+    FROM own GROUP BY ALL)
 ), outside AS (
-  SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, rate, v FROM rated
-      UNPIVOT (v FOR rate IN (symbols, dup_lines, repeats, word_length)) WHERE NOT base_failed) r
+  SELECT DISTINCT doc_id FROM (
+    SELECT doc_id, lang, source, rate, v FROM (
+      SELECT doc_id, lang, source, greatest(n_symbols - {quality.EVENT["symbols"]}, 0) * 10000 // nullif(word_chars, 0) AS symbols,
+             greatest(n_dup_lines - {quality.EVENT["dup_lines"]}, 0) * 10000 // nullif(n_lines, 0) AS dup_lines,
+             greatest(n_repeat_words - {quality.EVENT["repeats"]}, 0) * 10000 // nullif(n_words, 0) AS repeats, word_length
+      FROM rated WHERE NOT base_failed) UNPIVOT (v FOR rate IN ({_RATE_SQL}))) r
   JOIN fence f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source AND r.rate = f.rate
   WHERE v > high OR (r.rate = 'word_length' AND v < low)
 )
