@@ -1,23 +1,25 @@
-"""Removal of repeated passages by MinHash banding of paragraphs.
+"""Removal of repeated paragraphs and passages, by MinHash banding of paragraphs.
 
-A paragraph is a line, cut further where a line is long: before every word whose three-word hash is the
-least within ``reach`` words on both sides in its line. Such places move with the text, so a passage is cut
-alike wherever it stands, also in the middle of a line. Paragraphs of fewer than ``MIN_WORDS`` words are not
-compared.
+A paragraph is a line of ``MIN_WORDS`` words or more. A passage may also stand within a line, so lines are cut
+into pieces too: before every word whose three-word hash is the least within ``reach`` words on both sides (the
+last one of equal ones). Such places move with the text, so a passage is cut alike wherever it stands. Paragraphs
+are compared by similarity, pieces only for having the same words.
 
 * Bands. Two paragraphs share a MinHash with the chance of their Jaccard similarity over five-word shingles.
-  First all paragraphs meet on four single MinHashes: pairs at 0.8 meet but for 0.2 %, and most paragraphs
-  meet nobody, because unrelated texts share next to no five-word shingles. Those that met somebody meet
-  again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
+  First all different paragraphs meet on four single MinHashes: pairs at 0.8 meet but for 0.2 %, and most
+  paragraphs meet nobody, because unrelated texts share next to no five-word shingles. Those that met somebody
+  meet again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
 * Of the paragraphs that meet on a band, up to ``CENTRES`` are compared with the others by exact Jaccard, chosen
   by a hash that differs from band to band. While a band has paragraphs that are similar to none of its
-  centres so far, further ones of those become centres and are compared with all that are left. What is left
-  then are pairs of paragraphs of different classes on a band. Similar ones have one of their first shingles
-  in common (by hash, as many as similarity leaves open), and those that have are compared too: no link on a
-  band is missed, and a class is never expanded to its own pairs.
-* Components of similar paragraphs are classes, and equal paragraphs are one from the start. The first
-  occurrence of a class stays. What goes are passages: neighbouring repeated paragraphs that have
-  ``passage_words`` words or more together.
+  centres so far, further ones of those become centres and are compared with all that are left. So a large
+  group of near copies is compared with few of its members.
+* What is left then are paragraphs of different classes on a band. Of two similar ones, one of the rarest shingles
+  of each stands among the rarest of the other (as many as similarity leaves open), so only those that have
+  such a rare shingle in common are compared: first one of each class, then those whose classes are still
+  apart. No link on a band is missed, and a class is never expanded to its own pairs.
+* Components of similar paragraphs are classes, and equal paragraphs and pieces are one from the start, by 128
+  bits of a hash of their words. The first occurrence of a class stays. What goes are passages: neighbouring
+  repeated paragraphs and pieces that have ``passage_words`` words or more together.
 """
 
 from __future__ import annotations
@@ -40,10 +42,10 @@ SHINGLE = 5
 MIN_WORDS = 8
 REACH = 6
 PASSAGE_WORDS = 14
-GAP_WORDS = 8
 ROWS, BANDS = 6, 20
 CENTRES = 16
 _FIRST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+_TEXT = ("doc_id", "text_hash")
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -79,15 +81,8 @@ def _grams(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def paragraphs(text: bytes, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
-    """``(rows of first word, words, first byte, end byte, MinHashes), plain text``; only paragraphs of MIN_WORDS words."""
-    plain = text.translate(_TO_WORDS)
-    start, stop, words = _words(plain)
-    empty = np.zeros((0, 4 + len(_FIRST)), np.int64), plain
-    if len(words) < MIN_WORDS:
-        return empty
-    breaks = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x0A)
-    line = np.searchsorted(breaks, start)
+def _cuts(words: np.ndarray, line: np.ndarray, reach: int) -> np.ndarray:
+    """Whether a piece starts at a word: at the first of a line, and at the last least three-word hash of its surroundings."""
     # Three-word hashes at their places, lines kept apart by more than the reach; the last two words of a line have none.
     rank = np.concatenate((_grams(words, 3), np.zeros(2, np.uint64))) >> np.uint64(1)
     same_line = np.concatenate((line[2:] == line[:-2], [False, False]))
@@ -95,66 +90,81 @@ def paragraphs(text: bytes, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]
     worst = np.uint64(0xFFFFFFFFFFFFFFFF)
     padded = np.full(int(place[-1]) + 1 + 2 * reach, worst)
     padded[place + reach] = np.where(same_line, rank, worst)
-    least = _sliding(np.minimum, padded, 2 * reach + 1)[place]
-    cut = (same_line & (rank == least)) | np.concatenate(([True], line[1:] != line[:-1]))
-    first = np.flatnonzero(cut)
+    before = _sliding(np.minimum, padded, reach + 1)[place]
+    after = _sliding(np.minimum, padded, reach)[place + reach + 1]
+    return (same_line & (rank == before) & (rank < after)) | np.concatenate(([True], line[1:] != line[:-1]))
+
+
+def paragraphs(text: bytes, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``(is a line, first word, words, first byte, end byte)``, 128-bit hashes, and MinHashes of the lines.
+
+    Lines of ``MIN_WORDS`` words come first, then the pieces of lines that have several, of ``reach + 1`` words or more.
+    """
+    plain = text.translate(_TO_WORDS)
+    start, stop, words = _words(plain)
+    if len(words) < MIN_WORDS:
+        return np.zeros((0, 5), np.int64), np.zeros((0, 2), np.int64), np.zeros((0, len(_FIRST)), np.int64)
+    breaks = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x0A)
+    line = np.searchsorted(breaks, start)
+    head = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+    tail = np.concatenate((head[1:], [len(words)]))
+    first = np.flatnonzero(_cuts(words, line, reach))
     end = np.concatenate((first[1:], [len(words)]))
-    long = end - first >= MIN_WORDS
-    first, end = first[long], end[long]
-    if not len(first):
-        return empty
-    shingles = _grams(words, SHINGLE)
-    spans = np.column_stack([first, end - SHINGLE + 1]).ravel()
-    spans = spans[:-1] if spans[-1] >= len(shingles) else spans
-    bands = [np.minimum.reduceat(_mixed(shingles ^ b), spans)[::2] for b in _FIRST]
-    columns = [first, end - first, start[first], stop[end - 1], *[b.view(np.int64) for b in bands]]
-    return np.column_stack(columns), plain
-
-
-def _listed(docs: DataFrame, with_bands: bool) -> DataFrame:
-    """A row per paragraph: its ``id`` (a hash of its words), with its MinHashes or with its place."""
-    places = [with_type(docs, "doc_id"), T.StructField("text_hash", T.IntegerType())]
-    places += [T.StructField(x, T.LongType()) for x in ("id", "first", "words", "start", "stop")]
-    schema = T.StructType(
-        [T.StructField("id", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))] if with_bands else places
-    )
+    part = (end - first > reach) & ~(np.isin(first, head) & np.isin(end, tail))
+    whole = tail - head >= MIN_WORDS
+    head, tail, first, end = head[whole], tail[whole], first[part], end[part]
+    bands = np.zeros((0, len(_FIRST)), np.int64)
+    if len(head):
+        shingles = _grams(words, SHINGLE)
+        spans = np.column_stack([head, tail - SHINGLE + 1]).ravel()
+        spans = spans[:-1] if spans[-1] >= len(shingles) else spans
+        bands = np.column_stack([np.minimum.reduceat(_mixed(shingles ^ b), spans)[::2] for b in _FIRST]).view(np.int64)
+    is_line = np.concatenate((np.ones(len(head), np.int64), np.zeros(len(first), np.int64)))
+    a, b = np.concatenate((head, first)), np.concatenate((tail, end))
+    raw = words.tobytes()
+    digests = b"".join(map(xxhash.xxh3_128_digest, (raw[8 * i : 8 * k] for i, k in zip(a.tolist(), b.tolist(), strict=True))))
+    return np.column_stack([is_line, a, b - a, start[a], stop[b - 1]]), np.frombuffer(digests, np.int64).reshape(-1, 2), bands
+
+
+def _listed(docs: DataFrame) -> DataFrame:
+    """A row per line and piece: ``id`` and ``id2`` (a hash of its words), its place, and the MinHashes of a line."""
+    places = [with_type(docs, "doc_id"), T.StructField("text_hash", T.LongType())]
+    places += [T.StructField(x, T.LongType()) for x in ("id", "id2", "first", "words", "start", "stop")]
+    schema = T.StructType([*places, T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tables, owner = [], [], []
-            for k, text in enumerate(utf8(batch, "text")):
-                rows, plain = paragraphs(text) if text else (np.zeros((0, 4 + len(_FIRST)), np.int64), b"")
-                ids += [xxhash.xxh64_intdigest(plain[a:b]) for a, b in rows[:, 2:4].tolist()]
-                tables.append(rows)
-                owner.append(np.full(len(rows), k))
-            table, who = np.concatenate(tables), np.concatenate(owner)
-            named = pa.array(np.array(ids, np.uint64).view(np.int64))
-            if with_bands:
-                bands = np.ascontiguousarray(table[:, 4:])
-                lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, len(_FIRST), dtype=np.int32), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([named, lists], schema.names)
-            else:
-                take = pa.array(who)
-                columns = [batch.column(0).take(take), batch.column(2).take(take), named]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(table[:, k]) for k in range(4)], schema.names)
-
-    return docs.select("doc_id", "text", F.hash("text").alias("text_hash")).mapInArrow(cut, schema)
-
-
-def _meeting(docs: DataFrame) -> DataFrame:
-    """The ids of all paragraphs that meet a different one on a single MinHash."""
-    keyed = _listed(docs, True).select("id", F.posexplode("bands").alias("k", "h")).select("id", F.xxhash64("h", "k").alias("band"))
-    group = Window.partitionBy("band")
-    both = keyed.select("id", F.min("id").over(group).alias("low"), F.max("id").over(group).alias("high"))
-    return stored(both.where("low != high").select("id").distinct())
+            found = [paragraphs(text or b"") for text in utf8(batch, "text")]
+            rows, ids, bands = (np.concatenate([f[k] for f in found]) for k in range(3))
+            take = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            ends = np.concatenate(([0], np.cumsum(rows[:, 0]))).astype(np.int32) * len(_FIRST)
+            # Pieces have no bands.
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.ascontiguousarray(bands).ravel()))
+            columns = [batch.column(0).take(take), batch.column(2).take(take), *[pa.array(np.ascontiguousarray(ids[:, k])) for k in (0, 1)]]
+            columns += [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(1, 5)]
+            yield pa.RecordBatch.from_arrays([*columns, lists], schema.names)
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, schema)
+
+
+def _meeting(units: DataFrame) -> DataFrame:
+    """The ids of all lines that meet a different one on a single MinHash."""
+    lines = units.where("size(bands) > 0").select("id", "bands").distinct()
+    keyed = lines.select("id", F.posexplode("bands").alias("k", "h")).select("id", F.xxhash64("h", "k").alias("band"))
+    shared = keyed.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("band")
+    return stored(keyed.join(shared, "band", "left_semi").select("id").distinct())
 
 
 _ROW_SEEDS = _mixed(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64))
+_SHINGLES_AT_ONCE = 4096
 
 
 def _banded(shingles: np.ndarray) -> np.ndarray:
     """The bands of a set of shingles, each a hash of its MinHashes."""
-    least = np.min(_mixed(shingles[None, :] ^ _ROW_SEEDS[:, None]), axis=1).reshape(BANDS, ROWS)
+    least = np.full(len(_ROW_SEEDS), 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for at in range(0, len(shingles), _SHINGLES_AT_ONCE):
+        np.minimum(least, np.min(_mixed(shingles[None, at : at + _SHINGLES_AT_ONCE] ^ _ROW_SEEDS[:, None]), axis=1), out=least)
+    least = least.reshape(BANDS, ROWS)
     out = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
         out = _mixed(out * np.uint64(0x2545F4914F6CDD1D) + least[:, k])
@@ -162,10 +172,10 @@ def _banded(shingles: np.ndarray) -> np.ndarray:
 
 
 def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(id, shingles, bands)``: hashes of the five-word shingles of the wanted paragraphs, and their bands."""
-    one = units.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "text_hash", "start", "stop")).alias("o"))
+    """``(id, shingles, bands)``: hashes of the five-word shingles of the wanted lines, and their bands."""
+    one = units.where("size(bands) > 0").join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "text_hash", "start", "stop")).alias("o"))
     per_text = one.groupBy("o.doc_id", "o.text_hash").agg(F.collect_list(F.struct("id", "o.start", "o.stop")).alias("spans"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.hash("d.text") == F.col("s.text_hash"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.xxhash64("d.text") == F.col("s.text_hash"))
     cut = F.expr("transform(spans, e -> named_struct('id', e.id, 'bytes', substring(_bytes, cast(e.start + 1 as int), cast(e.stop - e.start as int))))")
     cuts = (
         docs.select("doc_id", "text").alias("d")
@@ -193,7 +203,7 @@ def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame
 
 def _similar(docs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: similar paragraphs that connect each class."""
-    return _linked(stored(_contents(docs, units, _meeting(docs))), similarity)
+    return _linked(stored(_contents(docs, units, _meeting(units))), similarity)
 
 
 def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
@@ -206,22 +216,35 @@ def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataF
     return stored(similar.select(F.col("id").alias("a"), F.col("centre").alias("b")))
 
 
+def _classed(contents: DataFrame, edges: DataFrame) -> DataFrame:
+    """``contents`` with the ``class`` that ``edges`` give each row so far."""
+    labels = components(edges)
+    return contents.join(labels, contents["id"] == labels["node"], "left").withColumn("class", F.coalesce("label", "id")).drop("node", "label")
+
+
 def _across(contents: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: the similar paragraphs on a band that ``edges`` leave in different classes."""
-    labels = components(edges)
-    size = F.size("shingles")
-    first = size - F.ceil(size * similarity - 1e-9).cast("int") + 1
-    listed = contents.join(labels, contents["id"] == labels["node"], "left").select(
-        "id", F.coalesce("label", "id").alias("class"), size.alias("size"), F.slice("shingles", 1, first).alias("firsts"), F.explode("bands").alias("band")
+    classed = _classed(contents, edges)
+    apart = _of_several_classes(classed.select("id", "class", F.explode("bands").alias("band")), ["band"]).select("id").distinct()
+    rows = stored(classed.join(apart, "id", "left_semi").select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")))
+    times = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    # A shingle that occurs once is the rarest, and takes part in the count of places but in no pair.
+    ranked = rows.join(times, "shingle", "left").withColumn(
+        "nth", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("times", F.lit(1)), "shingle"))
     )
-    keyed = stored(_of_several_classes(listed, ["band"]).select("band", "class", "id", "size", F.explode("firsts").alias("shingle")))
-    keyed = stored(_of_several_classes(keyed, ["band", "shingle"]))
-    classes = keyed.select("band", "shingle", "class").distinct()
-    couples = classes.join(classes.withColumnRenamed("class", "other"), ["band", "shingle"]).where("class < other")
-    theirs = keyed.select("band", "shingle", F.col("class").alias("other"), F.col("id").alias("centre"), F.col("size").alias("others"))
-    long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
-    pairs = couples.join(keyed, ["band", "shingle", "class"]).join(theirs, ["band", "shingle", "other"]).where(long_enough)
-    return _verified(pairs.select("id", "centre").distinct(), contents, similarity)
+    open_places = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9).cast("int") + 1
+    rare = stored(ranked.where(F.col("nth") <= open_places).where("times > 1").select("id", "size", "shingle"))
+    found = edges
+    for one_of_each_class in (True, False):
+        keyed = _of_several_classes(_classed(rare, found).select("shingle", "class", "id", "size"), ["shingle"])
+        if one_of_each_class:
+            least = F.min(F.struct("id", "size")).alias("o")
+            keyed = keyed.groupBy("shingle", "class").agg(least).select("shingle", "class", "o.id", "o.size")
+        theirs = keyed.toDF("shingle", "other", "centre", "others")
+        long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
+        pairs = keyed.join(theirs, "shingle").where("class < other").where(long_enough)
+        found = stored(found.union(_verified(pairs.select("id", "centre").distinct(), contents, similarity)))
+    return found
 
 
 def _of_several_classes(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -251,65 +274,61 @@ def _linked(contents: DataFrame, similarity: float) -> DataFrame:
         busy = rest.groupBy("band").agg(F.count("*").alias("n"), F.max("open").alias("any_open")).where("n > 1 and any_open")
         meeting = stored(rest.join(busy, "band", "left_semi"))
         if meeting.isEmpty():
-            return edges.union(_across(contents, edges, similarity))
+            return _across(contents, edges, similarity)
 
 
-def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, text_hash, id, first, words, start, stop, one, occurrences)`` of each paragraph.
+def repeated_paragraphs(docs: DataFrame, units: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(doc_id, text_hash, first, words, start, stop, one)`` of each line and piece whose class occurs twice or more.
 
-    ``one`` is the first occurrence of its class as a struct of doc_id, text_hash and first word;
-    ``occurrences`` counts the class. ``start`` and ``stop`` are bytes of the text.
+    ``units`` are the written rows of :func:`_listed`. ``one`` is the first occurrence of the class as a struct of
+    doc_id, text_hash and first word; ``start`` and ``stop`` are bytes of the text.
     """
-    units = stored(_listed(docs, False))
     labels = components(_similar(docs, units, similarity))
-    by_id = units.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "first")).alias("one"))
-    classed = by_id.join(labels, by_id["id"] == labels["node"], "left").select("id", "n", "one", F.coalesce("label", "id").alias("class"))
-    classed = stored(classed.where("n > 1 or class != id").union(classed.where("n = 1 and class = id").join(labels, F.col("class") == F.col("label"), "left_semi")))
-    whole = classed.groupBy("class").agg(F.sum("n").alias("occurrences"), F.min("one").alias("one"))
-    named = classed.select("id", "class").join(whole, "class").select("id", "occurrences", "one")
-    return units.join(named, "id", "left")
+    labels = stored(labels.union(labels.select("label", "label").distinct()))
+    key = ["id", "id2"]
+    by_id = units.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*_TEXT, "first")).alias("one"))
+    classed = stored(by_id.join(labels, by_id["id"] == labels["node"], "left").where("n > 1 or label is not null").select(*key, "n", "one", "label"))
+    similar = classed.where("label is not null")
+    firsts = similar.groupBy("label").agg(F.min("one").alias("one"))
+    named = classed.where("label is null").select(*key, "one").union(similar.drop("one").join(firsts, "label").select(*key, "one"))
+    return units.join(named, key).select(*_TEXT, "first", "words", "start", "stop", "one")
 
 
 def remove_passages(docs: DataFrame, similarity: float = SIMILARITY, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """``(doc_id, n_paragraphs, n_repeated_words, n_removed_words, removed, first_doc_ids)`` for each row of ``docs``.
 
-    ``n_repeated_words`` counts the words in passages that occur elsewhere too, ``n_removed_words`` those in
-    passages that occur earlier, by doc_id (a null one first). ``removed`` are the byte ranges of the latter,
-    ``first_doc_ids`` the documents where their paragraphs occur first. A null, empty or short text has no
-    paragraphs. Rows that repeat doc_id and text are one document here, and have equal rows. Other columns
-    are not read.
+    ``n_paragraphs`` counts the lines of ``MIN_WORDS`` words or more. ``n_repeated_words`` counts the words in
+    passages that occur elsewhere too, ``n_removed_words`` those in passages that occur earlier, by doc_id (a
+    null one first). ``removed`` are the byte ranges of the latter, ``first_doc_ids`` the documents where their
+    paragraphs and pieces occur first. A null, empty or short text has no paragraphs. Rows that repeat doc_id
+    and text are one document here, and have equal rows. Other columns are not read.
     """
-    marked = repeated_paragraphs(docs, similarity).select(
-        "doc_id", "text_hash", "first", "words", "start", "stop", "one",
-        (F.coalesce("occurrences", F.lit(0)) > 1).alias("repeated"),
-    ).distinct()
-    own = F.struct("doc_id", "text_hash", "first")
-    marked = marked.withColumn("late", F.col("repeated") & (F.col("one") < own))
-    text = Window.partitionBy("doc_id", "text_hash").orderBy("first")
-
-    def run(flag: str) -> Column:
-        gap = F.col("first") - F.lag(F.col("first") + F.col("words")).over(text) > GAP_WORDS
-        return F.coalesce(gap | (F.lag(flag).over(text) != F.col(flag)), F.lit(True)).cast("int")
-
-    numbered = marked.withColumns({"_r": run("repeated"), "_l": run("late")})
-    runs = numbered.withColumns({"_r": F.sum("_r").over(text), "_l": F.sum("_l").over(text)})
-    by_run = runs.withColumns(
-        {
-            "_in_r": F.sum("words").over(Window.partitionBy("doc_id", "text_hash", "_r")),
-            "_in_l": F.sum("words").over(Window.partitionBy("doc_id", "text_hash", "_l")),
-        }
-    )
-    passage, gone = F.col("repeated") & (F.col("_in_r") >= passage_words), F.col("late") & (F.col("_in_l") >= passage_words)
-    per_text = by_run.groupBy("doc_id", "text_hash").agg(
-        F.count("*").alias("n_paragraphs"),
-        F.sum(F.when(passage, F.col("words")).otherwise(0)).alias("n_repeated_words"),
-        F.sum(F.when(gone, F.col("words")).otherwise(0)).alias("n_removed_words"),
-        F.array_sort(F.collect_list(F.when(gone, F.struct("start", "stop")))).alias("removed"),
-        F.array_sort(F.collect_set(F.when(gone, F.col("one.doc_id")))).alias("first_doc_ids"),
+    units = stored(_listed(docs))
+    late = F.col("one") < F.struct(*_TEXT, "first")
+    marked = repeated_paragraphs(docs, units, similarity).distinct().withColumn("late", late)
+    # A line comes before its pieces, which add no words to it.
+    text = Window.partitionBy(*_TEXT).orderBy("first", F.col("words").desc())
+    end = F.col("first") + F.col("words")
+    kinds = {"r": F.lit(True), "l": F.col("late")}
+    earlier = text.rowsBetween(Window.unboundedPreceding, -1)
+    runs = marked.withColumns({f"_end_{k}": F.max(F.when(flag, end)).over(earlier) for k, flag in kinds.items()})
+    new = {k: F.when(flag, F.greatest(end - F.greatest("first", F.coalesce(f"_end_{k}", F.lit(0))), F.lit(0))).otherwise(0) for k, flag in kinds.items()}
+    gap = {k: flag & F.coalesce(F.col("first") - F.col(f"_end_{k}") >= MIN_WORDS, F.lit(True)) for k, flag in kinds.items()}
+    runs = runs.withColumns({f"_new_{k}": new[k] for k in kinds} | {f"_run_{k}": F.sum(gap[k].cast("int")).over(text) for k in kinds})
+    runs = runs.withColumns({f"_in_{k}": F.sum(f"_new_{k}").over(Window.partitionBy(*_TEXT, f"_run_{k}")) for k in kinds})
+    passage = {k: (F.col(f"_new_{k}") > 0) & (F.col(f"_in_{k}") >= passage_words) for k in kinds}
+    per_text = runs.groupBy(*_TEXT).agg(
+        F.sum(F.when(passage["r"], F.col("_new_r"))).alias("n_repeated_words"),
+        F.sum(F.when(passage["l"], F.col("_new_l"))).alias("n_removed_words"),
+        F.array_sort(F.collect_list(F.when(passage["l"], F.struct("start", "stop")))).alias("removed"),
+        F.array_sort(F.collect_set(F.when(passage["l"], F.col("one.doc_id")))).alias("first_doc_ids"),
     )
-    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_hash") == F.col("s.text_hash"))
-    rows = docs.select("doc_id", F.hash("text").alias("text_hash")).alias("d").join(per_text.alias("s"), same, "left")
-    zero = [F.coalesce(f"s.{c}", F.lit(0)).alias(c) for c in ("n_paragraphs", "n_repeated_words", "n_removed_words")]
+    lines = units.where("size(bands) > 0").select(*_TEXT, "first").distinct().groupBy(*_TEXT).agg(F.count("*").alias("n_paragraphs"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash")).alias("d")
+    for side, found in (("s", per_text), ("n", lines)):
+        same = F.col("d.doc_id").eqNullSafe(F.col(f"{side}.doc_id")) & (F.col("d.text_hash") == F.col(f"{side}.text_hash"))
+        rows = rows.join(found.alias(side), same, "left")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_paragraphs", "n_repeated_words", "n_removed_words")]
     none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
     ids = F.array().cast(T.ArrayType(docs.schema["doc_id"].dataType))
     return rows.select("d.doc_id", *zero, F.coalesce("s.removed", none).alias("removed"), F.coalesce("s.first_doc_ids", ids).alias("first_doc_ids"))
