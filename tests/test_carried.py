@@ -12,6 +12,7 @@ from weirflow.operators.running import running_sum
 from weirflow.plans import joining, streams
 from weirflow.plans.registry import SQL
 from weirflow.plans.views import DELAY_MS, LATENESS_MS, WINDOW_MS, arrivals
+from weirflow.session import materialise
 from weirflow.sources.replay import ordered_stream
 from weirflow.streaming import carried, late
 
@@ -99,6 +100,21 @@ def test_one_key_with_very_many_rows(spark, tmp_path):
     assert out.select("batch_id").distinct().count() == 2
 
 
+@pytest.mark.parametrize("form", [carried.value_counts_so_far, carried.top_so_far, carried.count_windows, "reduced_by"])
+def test_states_do_not_pass_through_the_driver(spark, readings, form):
+    batch = spark.createDataFrame(readings, ROW)
+    if form == "reduced_by":
+        keyed = carried.reduced_by(batch, KEY, ORDER, ["vc"], lambda a, b: b)
+    else:
+        keyed = form(batch, KEY, ORDER, "vc", 5) if form is carried.count_windows else form(batch, KEY, ORDER, "vc")
+    _, changed = keyed.step(*keyed.empty())
+    states = {name: materialise(keyed.step(batch, changed)[1][name]) for name in keyed.states}
+    rows, after = keyed.step(batch, states)
+    for df in (rows, *after.values()):
+        assert df.count()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_states_of_old_snapshots_are_deleted(spark, tmp_path, readings):
     stream = replay(spark, tmp_path / "in", ROW, [readings[at : at + 43] for at in range(0, 300, 43)])
     keyed = carried.running_sums(stream, KEY, ORDER, "vc")

@@ -117,19 +117,19 @@ def running_reduce(
     if initial is not None:
         initial = initial.select(*keys, F.lit(True).alias("_has_carry"), *[F.col(v).alias(f"_carry_{v}") for v in values])
     if not sliced.slices:
-        rows = sliced.df if initial is None else null_safe(sliced.df, initial, list(keys), "left")
+        rows = sliced.df if initial is None else null_safe(sliced.df, initial, list(keys), "left", shuffled=True)
         return _scanned(rows, list(keys), order, values, combine, prefix).drop(*_carry(values))
     # What the slices of each key come to, and from that what each of them starts with.
     totals = materialise(_reduced(sliced.hot(), sliced.group, order, values, combine))
     if initial is not None:
-        totals = null_safe(totals, initial, list(keys), "left")
+        totals = null_safe(totals, initial, list(keys), "left", shuffled=True)
     up_to = _scanned(totals, list(keys), sliced.slices, values, combine, "_up_to_").drop(*_carry(values))
     starts = _shifted(up_to, list(keys), sliced.slices, values)
     if initial is not None:
         whole = {c: F.lit(0) for c in sliced.slices}
-        first = null_safe(up_to.groupBy(*keys).agg(F.min(F.struct(*sliced.slices)).alias("_s")).select(*keys, "_s.*"), initial, list(keys))
+        first = null_safe(up_to.groupBy(*keys).agg(F.min(F.struct(*sliced.slices)).alias("_s")).select(*keys, "_s.*"), initial, list(keys), shuffled=True)
         starts = starts.unionByName(first).unionByName(initial.withColumns(whole))
-    rows = null_safe(sliced.df, materialise(starts), sliced.group, "left")
+    rows = null_safe(sliced.df, materialise(starts), sliced.group, "left", shuffled=initial is not None)
     return _scanned(rows, sliced.group, order, values, combine, prefix).drop(*_carry(values), *sliced.slices)
 
 

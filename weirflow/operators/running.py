@@ -95,11 +95,16 @@ def _standing_out(df: DataFrame, keys: Sequence[str], slice_rows: int) -> DataFr
     return counts.where(F.col("_sampled") > slice_rows * fraction / 2).drop("_sampled")
 
 
-def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi join in which a null key meets a null key; the right side's keys are dropped."""
+def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", shuffled: bool = False) -> DataFrame:
+    """Equi join in which a null key meets a null key; the right side's keys are dropped.
+
+    ``shuffled`` keeps the right side among the executors: for tables that each micro-batch of a stream joins anew,
+    of which even small ones would come to much in the driver.
+    """
     renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
     same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
-    return left.join(broadcast_if_small(renamed), same, how).drop(*[f"_on_{c}" for c in on])
+    placed = renamed.hint("merge") if shuffled else broadcast_if_small(renamed)
+    return left.join(placed, same, how).drop(*[f"_on_{c}" for c in on])
 
 
 def _cuts(rows: DataFrame, group: Sequence[str], places: Sequence[Column], slice_rows: int) -> DataFrame:

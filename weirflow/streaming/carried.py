@@ -149,7 +149,7 @@ def _of_batch(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     """The state of the keys that the micro-batch has."""
     if state.isEmpty():
         return _empty(state)
-    return materialise(null_safe(state, batch.select(*keys).distinct(), keys, "left_semi"))
+    return materialise(null_safe(state, batch.select(*keys).distinct(), keys, "left_semi", shuffled=True))
 
 
 def _with_state(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -158,7 +158,7 @@ def _with_state(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataF
     if state.isEmpty():
         return rows.withColumns({f"_held_{f.name}": F.lit(None).cast(f.dataType) for f in others})
     renamed = state.withColumnsRenamed({f.name: f"_held_{f.name}" for f in others})
-    return null_safe(rows, renamed, list(keys), "left")
+    return null_safe(rows, renamed, list(keys), "left", shuffled=True)
 
 
 def folded(
@@ -333,9 +333,9 @@ def count_windows(
             *keys, "window_no", "n", F.transform("_list", lambda x: x[value]).alias("elements")
         )
         # Of the records only those that the next window, or a later one, still has.
-        needed = null_safe(every, seen, keys).where(last > F.floor(F.col("seen") / step_by))
+        needed = null_safe(every, seen, keys, shuffled=True).where(last > F.floor(F.col("seen") / step_by))
         left = needed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rn", value))).alias("recent"))
-        kept = null_safe(seen, left, keys, "left")
+        kept = null_safe(seen, left, keys, "left", shuffled=True)
         return rows, {"recent": kept.withColumn("recent", F.coalesce("recent", F.array().cast(schema["recent"].dataType)))}
 
     return Carried(stream, step, {"recent": (tuple(keys), schema)})

@@ -136,7 +136,7 @@ def allowed_lateness(
         out = firings.select(*place, "firing_batch", (F.col("fired") - 1).cast("int").alias("revision"), *names)
         after = firings.groupBy(*place).agg(F.max_by(F.struct(*names, "fired"), "fired").alias("_s")).select(*place, "_s.*")
         open_still = due.where("fire_batch is null").select(*place, *names, F.lit(0).cast("bigint").alias("fired"))
-        untouched = null_safe(held.where("fired > 0"), after.select(*place), place, "left_anti")
+        untouched = null_safe(held.where("fired > 0"), after.select(*place), place, "left_anti", shuffled=True)
         watermark = _watermark(clock, delay_ms)
         past = F.lit(False) if watermark is None else F.col("window_end_ms") - 1 + lateness_ms <= watermark
         # Windows that nothing changes are written again only to be deleted.
