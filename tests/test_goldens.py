@@ -7,6 +7,7 @@ from weirflow.functions.scalars import by_id, is_even, is_odd, parse_int, value_
 from weirflow.functions.times import bound_text, event_time, to_ntz, to_utc_timestamp
 from weirflow.operators import combine, eventtime, joins, partition, project, rolling, route, state, topn, windows
 from weirflow.operators.running import running_sum
+from weirflow.plans import aggregating
 from weirflow.sinks.files import records_per_file, with_hour_bucket
 from weirflow.sources.generate import numbers
 from weirflow.sources.lines import text_table
@@ -240,6 +241,41 @@ def test_process_windows_sees_each_window_once_in_order(spark):
     assert got == {k: ",".join(v) for k, v in expected.items()}
 
 
+def test_rows_of_windows_from_arrow_batches(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    big = (1 << 53) + 1  # no double
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(hours=5 * i), None if i % 3 == 0 else big + i % 2, "view", None if i % 7 == 0 else float(i)) for i in range(60)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {(r["id"], r["window_start"]): (r["spread"], r["n"]) for r in aggregating.window_process(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    windows_of = {}
+    for _, ts, user, _, value in rows:
+        windows_of.setdefault((user, datetime(ts.year, ts.month, ts.day)), []).append(value)
+    expected = {}
+    for key, values in windows_of.items():
+        known = [int(v) for v in values if v is not None]
+        expected[key] = (max(known) - min(known) if known else None, len(values))
+    assert got == expected
+
+
+def test_runs_of_rows_are_told_apart():
+    import pyarrow as pa
+
+    nan = float("nan")
+    columns = [pa.array([None, None, nan, nan, 0.0, 0.0, 1.0, None]), pa.array([1, 1, 1, 1, 1, 2, 2, 2])]
+    assert windows._run_starts(columns) == [0, 2, 4, 5, 6, 7]
+    batches = [pa.RecordBatch.from_arrays([c.slice(k, 1) for c in columns], ["a", "b"]) for k in range(8)]
+    schema = pa.schema([("a", pa.float64()), ("b", pa.int64()), ("n", pa.int64())])
+    out = windows._rows_one_by_one(iter(batches), ["a", "b"], lambda pieces: iter([(sum(p.num_rows for p in pieces),)]), ["a", "b"], schema)
+    assert [n for batch in out for n in batch.column(2).to_pylist()] == [2, 2, 1, 1, 1, 1]
+
+
 def test_sessions_that_touch_merge(spark):
     rows = [("k", 0, 1), ("k", 5, 1), ("k", 11, 1)]
     df = sensors(spark, rows).withColumn("ts", event_time(F.col("ts")))

@@ -9,9 +9,14 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from weirflow.functions.times import ordinal, widened
 from weirflow.operators.partition import sorted_runs
@@ -115,14 +120,82 @@ def _one_by_one(
         yield pd.concat(held, ignore_index=True)
 
 
+def _run_starts(columns: Sequence[pa.Array]) -> list[int]:
+    """Where a row differs from the one before it in any of the columns (null like null, NaN like NaN); 0 included."""
+    differs = np.zeros(len(columns[0]), bool)
+    differs[:1] = True
+    for column in columns:
+        here, before = column.slice(1), column.slice(0, len(column) - 1)
+        other = pc.fill_null(pc.not_equal(here, before), False).to_numpy(zero_copy_only=False)
+        if pa.types.is_floating(column.type):
+            nan = pc.fill_null(pc.is_nan(column), False).to_numpy(zero_copy_only=False)
+            other &= ~(nan[1:] & nan[:-1])
+        null = column.is_null().to_numpy(zero_copy_only=False)
+        differs[1:] |= other | (null[1:] != null[:-1])
+    return np.flatnonzero(differs).tolist()
+
+
+def _rows_one_by_one(
+    batches: Iterator[pa.RecordBatch], group: Sequence[str], fn: Callable, names: Sequence[str], schema: pa.Schema, rows_out: int = 10_000
+) -> Iterator[pa.RecordBatch]:
+    """Call ``fn`` with slices of sorted Arrow batches for each group; give its rows out behind the group's columns."""
+    place = [names.index(c) for c in group]
+
+    def pieces():
+        number, last = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k) for k in place]
+            if last is not None:  # a group may go on in the next batch
+                edges = [pa.concat_arrays([a, b.slice(0, 1)]) for a, b in zip(last, columns, strict=True)]
+                number += len(_run_starts(edges)) - 1
+            starts = _run_starts(columns)
+            for at, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                yield number, batch, at, end
+                number += 1
+            number -= 1
+            last = [column.slice(batch.num_rows - 1) for column in columns]
+
+    def rows_of(first, run):
+        yield first[1].slice(first[2], first[3] - first[2])
+        for _, batch, at, end in run:
+            yield batch.slice(at, end - at)
+
+    held, heads, values = None, [], []
+
+    def made() -> pa.RecordBatch:
+        take = pa.array(heads, pa.int64())
+        columns = [held.column(k).take(take) for k in place]
+        fields = [schema.field(k) for k in range(len(place), len(schema))]
+        columns += [pa.array(v, f.type) for v, f in zip(zip(*values, strict=True), fields, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema.names)
+
+    for _, run in groupby(pieces(), key=lambda piece: piece[0]):
+        first = next(run)
+        if heads and (first[1] is not held or len(heads) >= rows_out):
+            yield made()
+            heads, values = [], []
+        held = first[1]
+        for row in fn(rows_of(first, run)):
+            heads.append(first[2])
+            values.append(row)
+            if len(heads) >= rows_out:
+                yield made()
+                heads, values = [], []
+    if heads:
+        yield made()
+
+
 def process_windows(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     size: str,
-    fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    fn: Callable[[Iterator[pd.DataFrame | pa.RecordBatch]], Iterator[pd.DataFrame | tuple]],
     schema: str,
     order: Sequence[str] = (),
+    as_rows: bool = False,
 ) -> DataFrame:
     """Opaque logic per key and window, for what no aggregate can express.
 
@@ -131,10 +204,17 @@ def process_windows(
     frames, so a large window passes through in bounded memory. One window of one key is still
     read by one task: prefer :func:`time_windows` or
     :func:`weirflow.operators.rolling.user_aggregate` where a key may be hot.
+
+    A frame for each window is slow where there are many small ones. With ``as_rows`` the pieces are slices of
+    Arrow batches, with columns by name, and ``fn`` yields tuples; ``schema`` has the keys,
+    ``window_start``, ``window_end``, and then what is in a tuple.
     """
     window = F.window(ts, size)
     placed = df.withColumns({"window_start": window["start"], "window_end": window["end"]})
     group = [*keys, "window_start", "window_end"]
+    if as_rows:
+        names, made = placed.columns, to_arrow_schema(T.StructType.fromDDL(schema))
+        return sorted_runs(placed, group, order).mapInArrow(lambda batches: _rows_one_by_one(batches, group, fn, names, made), schema)
     return sorted_runs(placed, group, order).mapInPandas(lambda batches: _one_by_one(batches, group, fn), schema)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from weirflow.functions.times import bound_text
@@ -299,19 +300,16 @@ _RANGE_SQL = f"""WITH {SENSOR_SQL} SELECT id, {window_sql(bucket_sql('ts', DAY),
     count(*) AS n FROM sensor GROUP BY ALL"""
 
 
-def _spread(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _spread(pieces: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Spread and count of one window, read piece by piece."""
-    head, lows, highs, count = None, [], [], 0
+    low, high, count = None, None, 0
     for rows in pieces:
-        if head is None:
-            head = {name: rows[name].array[:1] for name in ("id", "window_start", "window_end")}
-        values = rows["vc"].dropna().to_numpy()
-        if len(values):
-            lows.append(values.min())
-            highs.append(values.max())
-        count += len(rows)
-    spread = pd.array([int(max(highs) - min(lows)) if lows else None], dtype="Int64")
-    yield pd.DataFrame({**head, "spread": spread, "n": [count]})
+        least, most = pc.min_max(rows.column("vc")).values()
+        if least.is_valid:
+            least, most = least.as_py(), most.as_py()
+            low, high = (least, most) if low is None else (min(low, least), max(high, most))
+        count += rows.num_rows
+    yield None if low is None else high - low, count
 
 
 @query("window_process", _RANGE_SQL)
@@ -319,7 +317,7 @@ def window_process(spark, sf_dir):
     """Opaque Python logic per key and window."""
     schema = "id bigint, window_start timestamp_ntz, window_end timestamp_ntz, spread int, n bigint"
     readings = sensor(spark, sf_dir).select("id", "ts", "vc")
-    return windows.process_windows(readings, KEY, "ts", "1 day", _spread, schema)
+    return windows.process_windows(readings, KEY, "ts", "1 day", _spread, schema, as_rows=True)
 
 
 @query(
