@@ -1,6 +1,8 @@
 """Keyed state and late data as state tables: many micro-batches, repeated ones, hot and null keys, what is left in the states."""
 
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from weirflow.operators.running import running_sum
 from weirflow.plans import joining, streams
 from weirflow.plans.registry import SQL
 from weirflow.plans.views import DELAY_MS, LATENESS_MS, WINDOW_MS, arrivals
-from weirflow.session import materialise
+from weirflow.session import materialise, shared_dir
 from weirflow.sources.replay import ordered_stream
 from weirflow.streaming import carried, late
 
@@ -214,3 +216,12 @@ def test_join_with_late_rows_does_not_depend_on_micro_batches(spark, tmp_path):
     watermark = min(clock["left_ms"], clock["right_ms"]) - DELAY_MS - 1
     assert states["rows"].where(F.col("ts_ms") + 3_600_001 < watermark).count() == 0
     assert 0 < states["rows"].count() < 60
+
+
+def test_a_stream_join_has_one_store_for_each_partition(spark):
+    folder = Path(urlparse(shared_dir(spark)).path)
+    before = set(folder.glob("run-*"))
+    assert streams.stream_window_join(spark, SF).columns
+    joined = [run for run in set(folder.glob("run-*")) - before if (run / "checkpoint").exists()]
+    stores = [place.name for run in joined for place in (run / "checkpoint/state/0/0").iterdir()]
+    assert stores and not [name for name in stores if name.startswith(("left-", "right-"))]

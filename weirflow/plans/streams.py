@@ -14,7 +14,7 @@ from weirflow.operators.running import running_sum
 from weirflow.plans import aggregating, joining, stateless, timing  # noqa: F401  (shared SQL)
 from weirflow.plans.registry import SQL, query
 from weirflow.plans.views import DELAY_MS, LATENESS_MS, SENSOR_SQL, SPREAD_FACTOR, SPREAD_SECONDS, WINDOW_MS, arrivals, bucket_sql, of_kind, table, window_sql
-from weirflow.session import use_keyed_state_store
+from weirflow.session import use_joint_state_store, use_keyed_state_store
 from weirflow.sinks.files import start_text_sink, write_rolled
 from weirflow.sinks.routed import routed_output, start_routed_sink
 from weirflow.sources.lines import line_stream, table_stream, text_table
@@ -194,8 +194,11 @@ def stream_top_of_windows(spark, sf_dir):
 
 
 def _sides(spark, sf_dir):
-    left = of_kind(sensor_arrivals(spark, sf_dir), "click").select("id", F.col("ts").alias("left_ts"), F.col("seq").alias("left_seq"))
-    right = of_kind(sensor_arrivals(spark, sf_dir), "purchase").select(
+    """Both sides of a join, of one replay, so that a micro-batch has the same hours of both."""
+    use_joint_state_store(spark)
+    arrived = sensor_arrivals(spark, sf_dir)
+    left = of_kind(arrived, "click").select("id", F.col("ts").alias("left_ts"), F.col("seq").alias("left_seq"))
+    right = of_kind(arrived, "purchase").select(
         "id", F.col("ts").alias("right_ts"), F.col("seq").alias("right_seq")
     )
     return windows.out_of_order(left, "left_ts", DISORDER), windows.out_of_order(right, "right_ts", DISORDER)

@@ -34,6 +34,15 @@ def use_keyed_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def use_joint_state_store(spark: SparkSession) -> None:
+    """Keep the state of a stream join in one keyed store for each partition (before a query starts).
+
+    By default it is in four, and each of them writes files in every micro-batch, however few its rows are.
+    """
+    use_keyed_state_store(spark)
+    spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and written intermediate tables.
 
