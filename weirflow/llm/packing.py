@@ -22,12 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirflow.llm.common import stored, with_type
-from weirflow.llm.tokens import ID_BYTES, encoder
+from weirflow.llm.common import release, stored, with_type
+from weirflow.llm.tokens import GENERATION_BYTES, ID_BYTES, encoder
 
 LENGTH = 2048
 QUANTUM = 128
@@ -122,22 +122,37 @@ def plan(totals: np.ndarray, length: int = LENGTH, quantum: int = QUANTUM, cycle
 
 def pieces(phases: Plan, queue: int, start: int, n: int) -> Iterator[tuple[int, int, int, int]]:
     """``(position, length, window, offset)`` of the pieces of ``n`` tokens from ``start`` on in a queue."""
-    at, end = start, start + n
-    k = phases.holding(queue, at) if n else 0
-    while at < end:
+    for some in _pieces(phases, queue, np.array([start]), np.array([start + n])) if n else ():
+        yield from zip(*(column.tolist() for column in some[1:]), strict=True)
+
+
+def _pieces(phases: Plan, queue: int, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """``(document, position, length, window, offset)`` of the pieces of a queue's documents, a phase at a time.
+
+    Documents lie from ``start`` to ``end``, in order and none in another's place.
+    """
+    done = k = 0
+    while done < len(start):
+        if not k or start[done] >= upto:  # documents between may lie elsewhere
+            k = phases.holding(queue, int(start[done]))
         phase = phases[k]
-        base, steps = int(phase.before[queue]), phase.served[:, queue]
-        while at < min(end, base + int(steps[-1])):
-            within = at - base
-            w = int(np.searchsorted(steps, within, side="right")) - 1
-            take = min(end - at, int(steps[w + 1]) - within)
-            earlier = int((phase.served[w + 1, :queue] - phase.served[w, :queue]).sum())
-            yield at, take, phase.first_window + w, earlier + within - int(steps[w])
-            at += take
-        k += 1
-
-
-def encoded(docs: DataFrame, path: str, end_id: int, queue_of: dict | None, queues: int) -> DataFrame:
+        edges = phase.before[queue] + phase.served[:, queue]
+        upto = edges[-1]
+        last = int(start.searchsorted(upto))
+        points = np.concatenate((edges, start[done:last], end[done:last]))
+        points = np.unique(points[(points >= max(start[done], edges[0])) & (points <= upto)])
+        lead = phase.served[1:, :queue].sum(axis=1) - phase.served[:-1, :queue].sum(axis=1) - edges[:-1]
+        at = points[:-1]
+        owner = start.searchsorted(at, "right") - 1
+        some = np.flatnonzero(at < end[owner])
+        at, window = at[some], edges.searchsorted(at[some], "right") - 1
+        yield owner[some], at, points[some + 1] - at, phase.first_window + window, lead[window] + at
+        done, k = int(end.searchsorted(upto, "right")), k + 1
+
+
+def encoded(
+    docs: DataFrame, path: str, end_id: int, queue_of: dict | None, queues: int, word_bytes: int = GENERATION_BYTES
+) -> DataFrame:
     """``(doc_id, part, queue, at, n, ids)``: each document's ids and place in its queue within its partition.
 
     ``queue_of`` maps sources to queues; sources that it lacks are dealt to ``queues`` queues by a hash.
@@ -155,7 +170,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, queue_of: dict | None, queu
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, known, filled = TaskContext.get().partitionId(), encoder(path), [0] * queues
+        part, known, filled = TaskContext.get().partitionId(), encoder(path, word_bytes), [0] * queues
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 some = batch.slice(low, 256)
@@ -198,7 +213,7 @@ def _queues(docs: DataFrame, max_queues: int) -> tuple[dict | None, int]:
 
 def pack(
     docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, quantum: int = QUANTUM,
-    max_queues: int = MAX_QUEUES, with_ids: bool = False,
+    max_queues: int = MAX_QUEUES, with_ids: bool = False, word_bytes: int = GENERATION_BYTES,
 ) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue)``, one row per piece.
 
@@ -207,10 +222,11 @@ def pack(
     piece's ids as little-endian unsigned 32-bit integers. Targets are the queues' shares of all tokens, so
     that every window has the mixture of the corpus. Null sources are a queue of their own; beyond
     ``max_queues`` sources, queues hold several sources each. Repeated rows are packed as often as they
-    occur. Other columns are not read.
+    occur. A Python worker keeps words of two generations of ``word_bytes`` while it encodes. Other columns are
+    not read.
     """
     queue_of, queues = _queues(docs, max_queues)
-    tokens = stored(encoded(docs, tokenizer, end_id, queue_of, queues))
+    tokens = stored(encoded(docs, tokenizer, end_id, queue_of, queues, word_bytes))
     sums = stored(tokens.groupBy("part", "queue").agg(F.sum("n").alias("n")))
     totals = np.zeros(queues, np.int64)
     for row in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect():  # one row per queue
@@ -220,34 +236,33 @@ def pack(
     bases = sums.select("part", "queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     if sums.count() <= BROADCAST_ROWS:
         bases = F.broadcast(bases)
-    schema = T.StructType(
-        [with_type(docs, "doc_id")]
-        + [T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
-        + [T.StructField("queue", T.IntegerType())]
-        + [T.StructField("ids", T.BinaryType())] * with_ids
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                yield _cut(batch.slice(low, 512), phases, schema.names, with_ids)
-
     placed = tokens.join(bases, ["part", "queue"]).select("doc_id", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "ids")
-    return placed.mapInArrow(cut, schema)
-
-
-def _cut(batch: pa.RecordBatch, phases: Plan, names: list[str], with_ids: bool) -> pa.RecordBatch:
-    row, numbers, parts = [], [], []
-    columns = [batch.column(k).to_pylist() for k in range(1, 5)]
-    for k, (queue, at, n, ids) in enumerate(zip(*columns, strict=True)):
-        for position, size, window, offset in pieces(phases, queue, at, n):
-            start = position - at
-            part = ids[start * ID_BYTES : (start + size) * ID_BYTES]
-            row.append(k)
-            numbers.append((start, size, zlib.crc32(part), n, window, offset, queue))
-            if with_ids:
-                parts.append(part)
-    out = [batch.column(0).take(pa.array(row, pa.int64()))]
-    values = np.array(numbers, np.int64).reshape(-1, 7)
-    out += [pa.array(values[:, k]) for k in range(6)] + [pa.array(values[:, 6].astype(np.int32))]
-    return pa.RecordBatch.from_arrays(out + [pa.array(parts, pa.binary())] * with_ids, names)
+
+    @F.arrow_udf("array<struct<start:bigint,length:bigint,sequence_id:bigint,offset:bigint>>")
+    def cut(queue: pa.Array, at: pa.Array, n: pa.Array) -> pa.Array:
+        release()
+        return _cut(phases, queue.to_numpy(), at.to_numpy(), n.to_numpy())
+
+    def with_part(p: Column) -> Column:
+        part = F.col("ids").substr((p["start"] * ID_BYTES + 1).cast("int"), (p["length"] * ID_BYTES).cast("int"))
+        columns = [p[x].alias(x) for x in ("start", "length", "sequence_id", "offset")] + [F.crc32(part).alias("ids_crc32")]
+        return F.struct(*columns, *[part.alias("ids")] * with_ids)
+
+    cuts = placed.withColumn("pieces", cut("queue", "at", "n")).select("doc_id", "n", "queue", F.explode(F.transform("pieces", with_part)).alias("p"))
+    names = ["p.start", "p.length", "p.ids_crc32", F.col("n").alias("doc_tokens"), "p.sequence_id", "p.offset", "queue"]
+    return cuts.select("doc_id", *names, *["p.ids"] * with_ids)
+
+
+def _cut(phases: Plan, queue: np.ndarray, at: np.ndarray, n: np.ndarray) -> pa.Array:
+    """A list for each document: its pieces, without their ids. ``start`` counts from the document's first token."""
+    found = [np.zeros((5, 0), np.int64)]
+    for one in np.unique(queue).tolist():
+        rows = np.flatnonzero(queue == one)
+        rows = rows[np.argsort(at[rows])]
+        for owner, *columns in _pieces(phases, one, at[rows], at[rows] + n[rows]):
+            found.append(np.stack([rows[owner], *columns]))
+    row, position, *others = np.concatenate(found, axis=1)
+    order = np.lexsort((position, row))
+    ends = np.searchsorted(row[order], np.arange(len(n) + 1)).astype(np.int32)
+    columns = [pa.array(column[order]) for column in (position - at[row], *others)]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, ["start", "length", "sequence_id", "offset"]))

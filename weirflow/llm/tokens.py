@@ -10,6 +10,7 @@ tokenizer is not byte-level.
 from __future__ import annotations
 
 import os
+import string
 
 import numpy as np
 
@@ -17,7 +18,7 @@ from weirflow.llm.common import held
 
 ID_BYTES = 4
 #: Bytes that a generation of cached words may take, and what a word takes beside its text and ids. There are two generations.
-GENERATION_BYTES, WORD_BYTES = 48 << 20, 200
+GENERATION_BYTES, WORD_BYTES = 96 << 20, 200
 
 
 class _Words(dict):
@@ -40,8 +41,8 @@ class _Words(dict):
             ids = of.line_end + of.first[word[1:]]
         elif word.isalpha():  # one piece: the model takes it without a search for pieces
             ids = of.piece(self.prefix + word if word.isascii() else of.written(self.before + word))
-        elif word[-1:] in of.marks and word[-2:-1].isalpha():  # a mark between a letter and white space
-            ids = self[word[:-1]] + of.marks[word[-1]]
+        elif (head := word.rstrip(string.punctuation)).isalpha():  # marks between a letter and white space are one piece
+            ids = self[head] + of.first[word[len(head) :]]
         else:
             ids = of.plain([self.before + word])[0]
         self[word] = ids
@@ -52,7 +53,7 @@ class _Words(dict):
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, generation_bytes: int = GENERATION_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -64,13 +65,13 @@ class Encoder:
         self.model = self.tokenizer.model
         self.character = _byte_characters()
         self.id_bytes = [k.to_bytes(ID_BYTES, "little") for k in range(self.tokenizer.get_vocab_size())]
-        self.line_end, *marks = self.plain(["\n", ".", ","])
-        self.marks = dict(zip(".,", marks, strict=True))
+        self.line_end = self.plain(["\n"])[0]
         self.first, self.later, self.held = _Words(self, ""), _Words(self, " "), 0
+        self.generation_bytes = generation_bytes
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a null or empty text."""
-        if self.held > GENERATION_BYTES:
+        if self.held > self.generation_bytes:
             self.first.age()
             self.later.age()
             self.held = 0
@@ -105,6 +106,6 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, generation_bytes: int = GENERATION_BYTES) -> Encoder:
     """The encoder of this Python process."""
-    return held((Encoder, path), lambda: Encoder(path))
+    return held((Encoder, path, generation_bytes), lambda: Encoder(path, generation_bytes))
