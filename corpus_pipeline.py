@@ -12,6 +12,9 @@ from weirflow.llm import contamination, language, line_dedup, packing, simhash
 from weirflow.llm.common import stored, table
 from weirflow.llm.queries import tokenizer_path
 
+#: What a Python worker keeps of words here, where executors still hold what the stages before have left.
+WORD_BYTES = 32 << 20
+
 
 def recognise_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language."""
@@ -35,7 +38,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of tokens."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), word_bytes=WORD_BYTES)
 
 
 STAGES = [
