@@ -39,6 +39,7 @@ SHARD_CONTEXTS = 4096
 _BASE = 0x5851F42D4C957F2D
 _CHUNK = 1 << 20
 _SHARD_BYTES = 1 << 21
+_RANKED_AT_ONCE = 1 << 16
 
 
 def _powers_of(base: int, n: int) -> np.ndarray:
@@ -156,53 +157,54 @@ def repeated_suffixes(
 
     A suffix is repeated if its first ``length`` bytes occur at another place: in a context of another text,
     at another place of the same one, or in a context of ``weight`` above 1. ``text`` numbers the texts,
-    ``start`` is where a context starts in its text. Repeated suffixes with the same first ``length`` bytes have
-    the same ``group``.
+    ``start`` is where a context starts in its text. Suffixes with the same first ``length`` bytes have the same
+    ``group``, in all calls. Suffixes are refined by prefix doubling, with hashes of 64 bits as ranks, so that only
+    the last round has to be sorted; the array is in the order of these ranks, with equal strings side by side.
     """
     size = np.array([len(c) for c in contexts], np.int64)
-    values = np.frombuffer(b"".join(contexts), np.uint8)
-    owner = np.repeat(np.arange(len(contexts)), size)
-    place = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
-    left = size[owner] - place
-    depth = min(8, length)
-    key = np.zeros(max(0, len(values) - depth + 1), np.uint64)
-    for k in range(depth):
-        key = key << np.uint64(8) | values[k : k + len(key)]
-    live = np.flatnonzero(left >= depth)
-    rank = np.full(len(values), -1, np.int64)
-    rank[live], alone = _ranked(key[live], np.zeros(len(live), np.int64))
-    live = live[~alone]
-    while depth < length:
-        step = min(depth, length - depth)
-        live = live[left[live] >= depth + step]
-        keys = rank[live] * np.int64(len(values)) + rank[live + step]
-        fresh, alone = _ranked(keys, rank[live])
-        rank[live] = fresh
-        live, depth = live[~alone], depth + step
-    # Groups of equal strings; a place that several contexts show is one place.
-    where = (text[owner[live]] << np.int64(40)) | (start[owner[live]] + place[live])
-    order = np.argsort(rank[live], kind="stable")
-    live, where = live[order], where[order]
-    repeated = np.zeros(len(values), bool)
-    if len(live):
-        first = np.flatnonzero(np.concatenate(([True], rank[live][1:] != rank[live][:-1])))
-        sizes = np.diff(np.concatenate((first, [len(live)])))
+    count = np.maximum(size - length + 1, 0)
+    owner = np.repeat(np.arange(len(contexts)), count)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    rank = _prefix_ranks(np.frombuffer(b"".join(contexts), np.uint8), length)[(np.cumsum(size) - size)[owner] + place]
+    repeated = np.zeros(len(rank), bool)
+    if len(rank):
+        array = np.argsort(rank)
+        ranks = rank[array]
+        turns = np.concatenate(([True], ranks[1:] != ranks[:-1], [True]))
+        array = array[~(turns[1:] & turns[:-1])]  # without those that are alone with their rank
+    if len(rank) and len(array):
+        # Groups of equal strings; a place that several contexts show is one place.
+        ranks, who = rank[array], owner[array]
+        where = (text[who] << np.int64(40)) | (start[who] + place[array])
+        first = np.flatnonzero(np.concatenate(([True], ranks[1:] != ranks[:-1])))
         several = np.minimum.reduceat(where, first) != np.maximum.reduceat(where, first)
-        heavy = np.maximum.reduceat(weight[owner[live]], first) > 1
-        repeated[live] = np.repeat(several | heavy, sizes)
-    long = left >= length
-    return owner[long], place[long], repeated[long], rank[long]
-
-
-def _ranked(keys: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """New ranks of suffixes by ``keys`` within their old rank ``base``, and whether a suffix is alone with its own."""
-    if not len(keys):
-        return base, np.zeros(0, bool)
-    _, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    before = np.cumsum(n) - n
-    old = base[first]
-    group = np.searchsorted(old, old)  # old ranks rise with the keys
-    return (old + before - before[group])[which], n[which] == 1
+        heavy = np.maximum.reduceat(weight[who], first) > 1
+        repeated[array] = np.repeat(several | heavy, np.diff(np.concatenate((first, [len(array)]))))
+    return owner, place, repeated, rank.view(np.int64)
+
+
+def _prefix_ranks(values: np.ndarray, length: int) -> np.ndarray:
+    """A rank of the ``length`` bytes from each place on: of the first 8, then of twice as many in each round."""
+    out = np.zeros(max(0, len(values) - length + 1), np.uint64)
+    for at in range(0, len(out), _RANKED_AT_ONCE):
+        some = values[at : at + _RANKED_AT_ONCE + length - 1]
+        depth = min(8, length)
+        rank = np.zeros(len(some) - depth + 1, np.uint64)
+        for k in range(depth):
+            rank = rank << np.uint64(8) | some[k : k + len(rank)]
+        while depth < length:
+            step = min(depth, length - depth)
+            further = rank[step:]
+            rank = rank[: len(further)] * np.uint64(0x9E3779B97F4A7C15)
+            rank ^= rank >> np.uint64(31)
+            rank *= np.uint64(0xBF58476D1CE4E5B9)
+            rank ^= rank >> np.uint64(27)
+            rank += further
+            rank *= np.uint64(0x94D049BB133111EB)
+            rank ^= rank >> np.uint64(32)
+            depth += step
+        out[at : at + len(rank)] = rank
+    return out
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
@@ -298,16 +300,11 @@ def _shard(held: list[pa.RecordBatch], schema: T.StructType, length: int) -> Ite
     yield _rows(rows, schema, owner[opens], base[opens] + place[opens], base[closes] + place[closes] + length, None)
     # What other shards have to meet: each suffix that is not marked, and one of each string that is.
     again = np.flatnonzero(dealt[owner] & hit)
-    _, anchor = np.unique(rows.column(4).to_numpy(), return_inverse=True)
-    _, first = np.unique(group[again] * np.int64(len(contexts)) + anchor.ravel()[owner[again]], return_index=True)
+    _, first = np.unique(group[again] * np.int64(0x5851F42D4C957F2D) + rows.column(4).to_numpy()[owner[again]], return_index=True)
     lone = np.flatnonzero(dealt[owner] & ~hit)
     left = np.concatenate((lone, again[first]))
     if len(left):
-        digests = [
-            xxhash.xxh64_intdigest(contexts[k][p : p + length]) for k, p in zip(owner[left].tolist(), place[left].tolist(), strict=True)
-        ]
-        digest = np.array(digests, np.uint64).view(np.int64)
-        yield _rows(rows, schema, owner[left], base[left] + place[left], base[left] + place[left] + length, digest, np.concatenate((n[owner[lone]], np.full(len(first), 2))))
+        yield _rows(rows, schema, owner[left], base[left] + place[left], base[left] + place[left] + length, group[left], np.concatenate((n[owner[lone]], np.full(len(first), 2))))
 
 
 def _rows(rows: pa.RecordBatch, schema: T.StructType, owner, start, stop, digest, n=None) -> pa.RecordBatch:
