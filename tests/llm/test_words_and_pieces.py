@@ -42,3 +42,13 @@ def test_pieces_go_on_from_phase_to_phase():
     each = [(k, *p) for k, (a, b) in enumerate(zip(start, end)) for p in packing.pieces(phases, 0, int(a), int(b - a))]
     assert found.T.tolist() == [list(p) for p in each]
     assert found[2].sum() == 300_000 and (found[4] >= 0).all() and (found[4] + found[2] <= packing.LENGTH).all()
+
+
+def test_a_word_with_marks_costs_no_search_in_token_files(spark):
+    from weirflow.llm import token_files
+
+    texts = [f"some{chr(97 + k % 26)}{chr(97 + k // 26)}$$$ others%%%, (no) it's" for k in range(200)]
+    files = token_files.segments(documents(spark, texts), tokenizer_path())
+    read = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_files.read(files, with_ids=True).collect()}
+    plain = tokens.Encoder(tokenizer_path()).plain(texts)
+    assert read == {k: [*np.frombuffer(x, "<u4").tolist(), 0] for k, x in enumerate(plain)}
