@@ -44,11 +44,11 @@ def test_trigram_products_come_in_slices(monkeypatch):
     assert (language.Profiles(64, 1).bundles(texts, np.arange(4), 4) == whole).all() and whole[0].any()
 
 
-def test_packing_holds_few_words_and_lets_go_of_them(spark):
-    from weirflow.llm import common, tokens
+def test_packing_holds_few_words_and_lets_go_of_them():
+    from weirflow.llm import packing, tokens
 
     assert corpus_pipeline.WORD_BYTES < tokens.GENERATION_BYTES
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
-    pieces = corpus_pipeline.pack(spark, docs, SF).select("doc_id").distinct().coalesce(1)
-    left = pieces.mapInPandas(lambda frames: (f.assign(n=len(common._held)) for f in frames), "doc_id bigint, n int")
-    assert {r["n"] for r in left.collect()} == {0}
+    common.held(("words",), dict)
+    lists = packing._cut(packing.plan(np.array([5])), np.array([0]), np.array([0]), np.array([5]))
+    assert not common._held
+    assert lists.to_pylist() == [[{"start": 0, "length": 5, "sequence_id": 0, "offset": 0}]]

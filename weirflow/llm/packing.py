@@ -240,7 +240,6 @@ def pack(
 
     @F.arrow_udf("array<struct<start:bigint,length:bigint,sequence_id:bigint,offset:bigint>>")
     def cut(queue: pa.Array, at: pa.Array, n: pa.Array) -> pa.Array:
-        release()
         return _cut(phases, queue.to_numpy(), at.to_numpy(), n.to_numpy())
 
     def with_part(p: Column) -> Column:
@@ -254,7 +253,11 @@ def pack(
 
 
 def _cut(phases: Plan, queue: np.ndarray, at: np.ndarray, n: np.ndarray) -> pa.Array:
-    """A list for each document: its pieces, without their ids. ``start`` counts from the document's first token."""
+    """A list for each document: its pieces, without their ids. ``start`` counts from the document's first token.
+
+    What the process has kept for encoding is let go.
+    """
+    release()
     found = [np.zeros((5, 0), np.int64)]
     for one in np.unique(queue).tolist():
         rows = np.flatnonzero(queue == one)
