@@ -331,6 +331,23 @@ def test_links_between_members_of_different_centres(spark):
     assert set(union_find(range(1, 121), [(r["a"], r["b"]) for r in found]).values()) == {1}
 
 
+def test_paragraphs_with_words_of_their_own_are_not_compared_in_pairs(spark, monkeypatch):
+    # All meet on all bands, by shingles that all have; each has as many of its own that similarity rules out. The last two are similar.
+    rows = [(k, [*range(60), *range(100 * k, 100 * k + 40)], list(range(20))) for k in range(1, 61)]
+    rows.append((61, [*range(60), *range(6000, 6036), *range(9000, 9004)], list(range(20))))
+    contents = stored(spark.createDataFrame(rows, "id bigint, shingles array<bigint>, bands array<bigint>"))
+    compared, verified = [], passage_dedup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(passage_dedup, "_verified", counted)
+    found = passage_dedup._linked(contents, 0.8).collect()
+    assert {(min(r), max(r)) for r in map(tuple, found)} == {(60, 61)}
+    assert sum(compared) < 3 * len(rows)
+
+
 def test_quality_keeps_the_usual(spark):
     rng = random.Random(2)
     usual = [" ".join(rng.choices(LETTERS, k=80)) for _ in range(300)]

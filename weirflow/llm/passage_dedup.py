@@ -9,12 +9,12 @@ compared.
   First all paragraphs meet on four single MinHashes: pairs at 0.8 meet but for 0.2 %, and most paragraphs
   meet nobody, because unrelated texts share next to no five-word shingles. Those that met somebody meet
   again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
-* Of the paragraphs that meet on a band, up to ``CENTRES`` are compared with the others by exact Jaccard, chosen
-  by a hash that differs from band to band. While a band has paragraphs that are similar to none of its
-  centres so far, further ones of those become centres and are compared with all that are left. What is left
-  then are pairs of paragraphs of different classes on a band. Similar ones have one of their first shingles
-  in common (by hash, as many as similarity leaves open), and those that have are compared too: no link on a
-  band is missed, and a class is never expanded to its own pairs.
+* Of the paragraphs that meet on a band, each is compared with one of them by exact Jaccard, the same for as many
+  bands as can be. What is left are pairs of paragraphs of different classes on a band. Similar ones have one of
+  their rarest shingles in common (as many as similarity leaves open, by a count of those paragraphs), and those that
+  have are compared too: no link on a band is missed, and a class is never expanded to its own pairs. Before that,
+  such groups are compared with one member of one of their classes, in ``ROUNDS`` rounds, so that classes which belong
+  together are not expanded to their pairs either.
 * Components of similar paragraphs are classes, and equal paragraphs are one from the start. The first
   occurrence of a class stays. What goes are passages: neighbouring repeated paragraphs that have
   ``passage_words`` words or more together.
@@ -23,6 +23,7 @@ compared.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ REACH = 6
 PASSAGE_WORDS = 14
 GAP_WORDS = 8
 ROWS, BANDS = 6, 20
-CENTRES = 16
+ROUNDS = 1
 _FIRST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -111,13 +112,11 @@ def paragraphs(text: bytes, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]
     return np.column_stack(columns), plain
 
 
-def _listed(docs: DataFrame, with_bands: bool) -> DataFrame:
-    """A row per paragraph: its ``id`` (a hash of its words), with its MinHashes or with its place."""
+def _listed(docs: DataFrame) -> DataFrame:
+    """A row per paragraph: its place, its ``id`` (a hash of its words) and its MinHashes."""
     places = [with_type(docs, "doc_id"), T.StructField("text_hash", T.IntegerType())]
     places += [T.StructField(x, T.LongType()) for x in ("id", "first", "words", "start", "stop")]
-    schema = T.StructType(
-        [T.StructField("id", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))] if with_bands else places
-    )
+    schema = T.StructType(places + [T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,21 +128,18 @@ def _listed(docs: DataFrame, with_bands: bool) -> DataFrame:
                 owner.append(np.full(len(rows), k))
             table, who = np.concatenate(tables), np.concatenate(owner)
             named = pa.array(np.array(ids, np.uint64).view(np.int64))
-            if with_bands:
-                bands = np.ascontiguousarray(table[:, 4:])
-                lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, len(_FIRST), dtype=np.int32), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([named, lists], schema.names)
-            else:
-                take = pa.array(who)
-                columns = [batch.column(0).take(take), batch.column(2).take(take), named]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(table[:, k]) for k in range(4)], schema.names)
+            bands = np.ascontiguousarray(table[:, 4:])
+            lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, len(_FIRST), dtype=np.int32), pa.array(bands.ravel()))
+            take = pa.array(who)
+            columns = [batch.column(0).take(take), batch.column(2).take(take), named, *[pa.array(table[:, k]) for k in range(4)], lists]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.select("doc_id", "text", F.hash("text").alias("text_hash")).mapInArrow(cut, schema)
 
 
-def _meeting(docs: DataFrame) -> DataFrame:
+def _meeting(units: DataFrame) -> DataFrame:
     """The ids of all paragraphs that meet a different one on a single MinHash."""
-    keyed = _listed(docs, True).select("id", F.posexplode("bands").alias("k", "h")).select("id", F.xxhash64("h", "k").alias("band"))
+    keyed = units.select("id", F.posexplode("bands").alias("k", "h")).select("id", F.xxhash64("h", "k").alias("band"))
     group = Window.partitionBy("band")
     both = keyed.select("id", F.min("id").over(group).alias("low"), F.max("id").over(group).alias("high"))
     return stored(both.where("low != high").select("id").distinct())
@@ -152,15 +148,30 @@ def _meeting(docs: DataFrame) -> DataFrame:
 _ROW_SEEDS = _mixed(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64))
 
 
-def _banded(shingles: np.ndarray) -> np.ndarray:
-    """The bands of a set of shingles, each a hash of its MinHashes."""
-    least = np.min(_mixed(shingles[None, :] ^ _ROW_SEEDS[:, None]), axis=1).reshape(BANDS, ROWS)
-    out = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        out = _mixed(out * np.uint64(0x2545F4914F6CDD1D) + least[:, k])
+def _banded(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The bands of each set of shingles (sets start at ``starts``, none is empty), each a hash of its MinHashes."""
+    out = np.tile(np.arange(BANDS, dtype=np.uint64), (len(starts), 1))
+    for k, seed in enumerate(_ROW_SEEDS):
+        least = np.minimum.reduceat(_mixed(shingles ^ seed), starts)
+        band = out[:, k // ROWS]
+        band[:] = _mixed(band * np.uint64(0x2545F4914F6CDD1D) + least)
     return out.view(np.int64)
 
 
+def _shingle_sets(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each piece in order, side by side, and where each piece's start."""
+    words = [x.translate(_TO_WORDS).split() for x in pieces]
+    owner = np.repeat(np.arange(len(words)), list(map(len, words)))
+    shingles = _grams(np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(words)), np.uint64, len(owner)), SHINGLE)
+    inside = owner[: len(shingles)] == owner[SHINGLE - 1 :]
+    shingles, owner = shingles[inside], owner[: len(shingles)][inside]
+    order = np.lexsort((shingles, owner))
+    shingles, owner = shingles[order], owner[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
+    return shingles[new], np.searchsorted(owner[new], np.arange(len(words)))
+
+
 def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(id, shingles, bands)``: hashes of the five-word shingles of the wanted paragraphs, and their bands."""
     one = units.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "text_hash", "start", "stop")).alias("o"))
@@ -177,12 +188,10 @@ def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame
 
     @F.arrow_udf("struct<shingles:array<bigint>,bands:array<bigint>>")
     def signed(pieces: pa.Array) -> pa.Array:
-        sets = [np.unique(_grams(_words(x.translate(_TO_WORDS))[2], SHINGLE)) for x in pieces.to_pylist()]
-        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        bands = np.concatenate([_banded(x) for x in sets]) if sets else np.zeros(0, np.int64)
+        flat, starts = _shingle_sets(pieces.to_pylist())
+        bands = _banded(flat, starts).ravel()
         lists = [
-            pa.ListArray.from_arrays(ends, pa.array(flat)),
+            pa.ListArray.from_arrays(np.append(starts, len(flat)).astype(np.int32), pa.array(flat.view(np.int64))),
             pa.ListArray.from_arrays(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32), pa.array(bands)),
         ]
         return pa.StructArray.from_arrays(lists, ["shingles", "bands"])
@@ -193,7 +202,7 @@ def _contents(docs: DataFrame, units: DataFrame, wanted: DataFrame) -> DataFrame
 
 def _similar(docs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: similar paragraphs that connect each class."""
-    return _linked(stored(_contents(docs, units, _meeting(docs))), similarity)
+    return _linked(stored(_contents(docs, units, _meeting(units))), similarity)
 
 
 def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
@@ -206,52 +215,59 @@ def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataF
     return stored(similar.select(F.col("id").alias("a"), F.col("centre").alias("b")))
 
 
-def _across(contents: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: the similar paragraphs on a band that ``edges`` leave in different classes."""
-    labels = components(edges)
-    size = F.size("shingles")
-    first = size - F.ceil(size * similarity - 1e-9).cast("int") + 1
-    listed = contents.join(labels, contents["id"] == labels["node"], "left").select(
-        "id", F.coalesce("label", "id").alias("class"), size.alias("size"), F.slice("shingles", 1, first).alias("firsts"), F.explode("bands").alias("band")
-    )
-    keyed = stored(_of_several_classes(listed, ["band"]).select("band", "class", "id", "size", F.explode("firsts").alias("shingle")))
-    keyed = stored(_of_several_classes(keyed, ["band", "shingle"]))
-    classes = keyed.select("band", "shingle", "class").distinct()
-    couples = classes.join(classes.withColumnRenamed("class", "other"), ["band", "shingle"]).where("class < other")
-    theirs = keyed.select("band", "shingle", F.col("class").alias("other"), F.col("id").alias("centre"), F.col("size").alias("others"))
-    long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
-    pairs = couples.join(keyed, ["band", "shingle", "class"]).join(theirs, ["band", "shingle", "other"]).where(long_enough)
-    return _verified(pairs.select("id", "centre").distinct(), contents, similarity)
+def _of_several_classes(rows: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` with their ``class``, where the ``keys`` have more than one."""
+    rows = rows.join(labels, rows["id"] == labels["node"], "left").withColumn("class", F.coalesce("label", "id")).drop("node", "label")
+    mixed = rows.groupBy(keys).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
+    return stored(rows.join(mixed.select(keys), keys, "left_semi"))
 
 
-def _of_several_classes(rows: DataFrame, keys: list[str]) -> DataFrame:
-    mixed = rows.groupBy(keys).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
-    return rows.join(mixed.select(keys), keys, "left_semi")
+def _rarest(contents: DataFrame, similarity: float) -> DataFrame:
+    """``(id, size, shingle)``: as many of the rarest shingles of each row as similar rows can't all differ in.
+
+    Shingles that only one row has are left out after they have been counted.
+    """
+    terms = contents.select("id", F.explode("shingles").alias("shingle"))
+    counted = terms.join(terms.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
+    ranked = counted.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
+    size = F.size("ranked")
+    first = F.slice("ranked", 1, size - F.ceil(size * similarity - 1e-9).cast("int") + 1)
+    return ranked.select("id", size.alias("size"), F.explode(first).alias("s")).where("s.n > 1").select("id", "size", "s.shingle")
+
+
+def _across(meeting: DataFrame, contents: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
+    """``edges`` and the similar paragraphs on a band that they leave in different classes."""
+    labels = components(edges)
+    meeting = _of_several_classes(meeting, labels, ["band"]).select("id", "band")
+    rarest = _rarest(contents.join(meeting.select("id").distinct(), "id", "left_semi"), similarity)
+    keyed, keys = meeting.join(rarest, "id"), ["band", "shingle"]
+    for k in range(ROUNDS + 1):
+        keyed = _of_several_classes(keyed.select("id", "size", *keys), labels, keys)
+        if keyed.isEmpty():
+            return edges
+        if k < ROUNDS:  # one member of the least class of a group with all others
+            theirs = keyed.groupBy(keys).agg(F.min(F.struct("class", "id", "size")).alias("c"))
+            theirs = theirs.select(*keys, F.col("c.class").alias("other"), F.col("c.id").alias("centre"), F.col("c.size").alias("others"))
+        else:
+            theirs = keyed.select(*keys, F.col("class").alias("other"), F.col("id").alias("centre"), F.col("size").alias("others"))
+        long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
+        pairs = keyed.join(theirs, keys).where((F.col("other") < F.col("class")) & long_enough)
+        edges = edges.union(_verified(pairs.select("id", "centre").distinct(), contents, similarity))
+        if k < ROUNDS:
+            labels = components(edges)
+    return edges
 
 
 def _linked(contents: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: similar rows of ``contents`` (``id``, ``shingles`` in order, ``bands``) that connect each class."""
-    banded = contents.select("id", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    meeting = stored(banded.join(shared, "band", "left_semi"))
-    meeting = meeting.withColumn("open", F.lit(True))
-    edges = None
-    while True:
-        slot = F.expr(f"pmod(xxhash64(id, band), {CENTRES})")
-        centres = meeting.where("open").groupBy("band", slot.alias("slot")).agg(F.min("id").alias("centre")).drop("slot")
-        compared = meeting.join(centres, "band").where("id != centre")
-        pairs = compared.select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
-        found = _verified(pairs, contents, similarity)
-        edges = found if edges is None else edges.union(found)
-        # Who is not a centre yet stays, as long as somebody of the band is similar to none of them.
-        both = found.union(found.select("b", "a")).toDF("id", "centre")
-        joined = compared.join(both, ["id", "centre"], "left_semi").select("band", "id").distinct().withColumn("joined", F.lit(True))
-        rest = meeting.join(centres.withColumnRenamed("centre", "id"), ["band", "id"], "left_anti")
-        rest = rest.join(joined, ["band", "id"], "left").select("band", "id", (F.col("open") & F.col("joined").isNull()).alias("open"))
-        busy = rest.groupBy("band").agg(F.count("*").alias("n"), F.max("open").alias("any_open")).where("n > 1 and any_open")
-        meeting = stored(rest.join(busy, "band", "left_semi"))
-        if meeting.isEmpty():
-            return edges.union(_across(contents, edges, similarity))
+    band = Window.partitionBy("band")
+    met = contents.select("id", F.explode("bands").alias("band")).select(
+        "id", "band", F.min("id").over(band).alias("low"), F.max("id").over(band).alias("high")
+    )
+    meeting = stored(met.where("low != high").select("id", "band", "low"))
+    sets = stored(contents.join(meeting.select("id").distinct(), "id", "left_semi").select("id", "shingles"))
+    edges = _verified(meeting.where("id != low").select("id", F.col("low").alias("centre")).distinct(), sets, similarity)
+    return _across(meeting, sets, edges, similarity)
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -260,14 +276,16 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> Data
     ``one`` is the first occurrence of its class as a struct of doc_id, text_hash and first word;
     ``occurrences`` counts the class. ``start`` and ``stop`` are bytes of the text.
     """
-    units = stored(_listed(docs, False))
+    units = stored(_listed(docs))
     labels = components(_similar(docs, units, similarity))
     by_id = units.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "first")).alias("one"))
-    classed = by_id.join(labels, by_id["id"] == labels["node"], "left").select("id", "n", "one", F.coalesce("label", "id").alias("class"))
-    classed = stored(classed.where("n > 1 or class != id").union(classed.where("n = 1 and class = id").join(labels, F.col("class") == F.col("label"), "left_semi")))
+    # The least paragraph of a class is no node of its own.
+    labels = labels.union(labels.select("label", "label").distinct())
+    classed = by_id.join(labels, by_id["id"] == labels["node"], "left").where("n > 1 or label is not null")
+    classed = stored(classed.select("id", "n", "one", F.coalesce("label", "id").alias("class")))
     whole = classed.groupBy("class").agg(F.sum("n").alias("occurrences"), F.min("one").alias("one"))
     named = classed.select("id", "class").join(whole, "class").select("id", "occurrences", "one")
-    return units.join(named, "id", "left")
+    return units.drop("bands").join(named, "id", "left")
 
 
 def remove_passages(docs: DataFrame, similarity: float = SIMILARITY, passage_words: int = PASSAGE_WORDS) -> DataFrame:
