@@ -291,6 +291,27 @@ def test_suffixes_repeat_within_one_shard_and_alone_in_another(spark, monkeypatc
         assert out[k] == len({x for p in range(len(t) - length + 1) if counts[t[p : p + length]] > 1 for x in range(p, p + length)})
 
 
+def test_suffixes_of_hot_halves_are_not_rows(spark, monkeypatch):
+    rng, length, made, sort = random.Random(26), 60, [], suffix_dedup._sorted_shards
+
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnop", k=n))
+
+    def counted(*args):
+        made.append(sort(*args))
+        return made[-1]
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_shards", counted)
+    passage = letters(50)  # too short to go, but for the last two texts
+    texts = [letters(70) + passage + letters(70) for _ in range(40)]
+    texts.append(letters(70) + texts[39][60:130] + letters(70))
+    counts = collections.Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
+    out = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(documents(spark, texts), length, 16, shard_contexts=8).collect()}
+    for k, t in enumerate(texts):
+        assert out[k] == len({x for p in range(len(t) - length + 1) if counts[t[p : p + length]] > 1 for x in range(p, p + length)})
+    assert made[0].count() < len(texts)
+
+
 def test_passages_within_lines(spark):
     rng = random.Random(7)
 

@@ -8,15 +8,17 @@
 * Halves. A string reaches half of the way or more to the left or to the right of its anchor. So contexts
   that share neither their left nor their right half with another one repeat nothing.
 * Suffix arrays. What is left are edges of repeated passages: contexts that occur once, but share a half. They
-  are dealt to shards by anchor, and each shard sorts the suffixes of its contexts by
+  are dealt to shards by the half they share, with what strings around that half can reach, and each shard sorts the suffixes of its contexts by
   Larsson-Sadakane refinement in numpy: groups of equal ranks are split by the rank of the suffix that starts
   where the known prefix ends, and suffixes alone in their group are left out of later rounds. Prefixes are
   only refined to ``length`` bytes, where a group is a set of equal strings. Kasai's pass over common
   prefixes can't be vectorised and would add nothing: the ranks say which neighbours have ``length`` bytes in
   common.
-* Hot anchors. The contexts of an anchor with very many are dealt to several shards. Suffixes that are alone
-  in their shard, and one of each string that repeats in it, are merged across the anchor's shards by their
-  sorted digests, as Spark rows: a merge by binary search would need each shard's suffixes in every other shard.
+* Hot halves. Equal strings have their anchor at the same place, so contexts of a half that very many share are dealt
+  again by narrower ranges of that place, and by the bytes that all strings of such a range have in common. Contexts with
+  all bytes of a range in common repeat every string in it, and only one of them goes on. So shards are as small as
+  wanted, and nothing has to be merged across them: a merge by binary search would need each shard's suffixes in every
+  other shard.
 """
 
 from __future__ import annotations
@@ -95,6 +97,7 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
 def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """``(doc_id, text_hash, start, stop, anchor, context, left, right, n)`` for each anchor: the reach of its
     context, and hashes of the anchor, the context and its halves (0 for a half that the text is too short for).
+    ``start`` is always as far before the anchor, so it may lie before the text.
 
     A context that a text has several times is one row with its number; where those occurrences lie is told
     by rows without an anchor, merged.
@@ -113,7 +116,7 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
         left = [digest(text[p - half : p + gram], 1) if p >= half else 0 for p in places.tolist()]
         right = [digest(text[p : p + gram + half], 2) if p + gram + half <= len(text) else 0 for p in places.tolist()]
         hashes = [np.array(h, np.uint64).view(np.int64) for h in (gram_hash, around, left, right)]
-        rows = np.column_stack([start, stop, *hashes])
+        rows = np.column_stack([places - reach, stop, *hashes])
         _, first, which, n = np.unique(rows[:, 3], return_index=True, return_inverse=True, return_counts=True)
         out = [np.column_stack([rows[first], n])]
         if len(first) < len(rows):
@@ -218,100 +221,126 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     )
     by_context = stored(by_context)
     equal = by_context.where("n > 1").select("anchor", "context")
-    whole = busy.join(equal, ["anchor", "context"], "left_semi").select("doc_id", "text_hash", "start", "stop")
-    halves = by_context.select("anchor", "context", "n", F.explode(F.array("left", "right")).alias("half")).where("half != 0")
-    shared = halves.groupBy("half").agg(F.count("*").alias("contexts"), F.min("n").alias("least"))
-    edge = halves.join(shared.where("contexts > 1 and least = 1"), "half", "left_semi").select("anchor", "context").distinct()
-    edge = stored(by_context.join(edge, ["anchor", "context"], "left_semi").select("anchor", "context", "n", "one"))
-    crowds = edge.groupBy("anchor").agg(F.ceil(F.count("*") / shard_contexts).alias("shards"))
+    in_text = F.greatest("start", F.lit(0)).alias("start")
+    whole = busy.join(equal, ["anchor", "context"], "left_semi").select("doc_id", "text_hash", in_text, "stop")
+    halves = by_context.select("anchor", "context", "n", F.posexplode(F.array("left", "right")).alias("side", "shard")).where("shard != 0")
+    shared = halves.groupBy("shard").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1")
+    edge = halves.join(shared, "shard").select("anchor", "context", "side", "shard", (F.col("contexts") > shard_contexts).alias("hot"))
+    # A string's anchor is ``low`` to ``high`` bytes behind its start: in the left half or in the right one.
+    reach = length - gram
+    low, high = F.when(F.col("side") == 0, reach // 2).otherwise(0), F.when(F.col("side") == 0, reach).otherwise(reach // 2)
+    place = F.col("one.start") + reach
     edges = (
-        edge.join(crowds, "anchor")
-        .select("one.*", "anchor", "n", (F.col("shards") > 1).alias("dealt"), F.expr("pmod(context, shards)").alias("shard"))
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start", "stop", "anchor", "n", "dealt", "shard")).alias("edges"))
+        by_context.join(edge, ["anchor", "context"])
+        .select("one", "n", "anchor", "shard", "hot", place.alias("place"), low.cast("bigint").alias("low"), high.cast("bigint").alias("high"))
+        .withColumn("start", F.greatest(F.col("place") - F.col("high"), F.lit(0)))
+        .withColumn("stop", F.least(F.col("place") - F.col("low") + length, "one.stop"))
+        .groupBy("one.doc_id", "one.text_hash")
+        .agg(F.collect_list(F.struct("start", "stop", "anchor", "n", "shard", "hot", (F.col("place") - F.col("start")).alias("at"), "low", "high")).alias("edges"))
     )
-    found = stored(_sorted_shards(docs, edges, length))
-    alone = found.where("digest is not null").groupBy("anchor", "digest", "doc_id", "text_hash", "start", "stop").agg(F.max("n").alias("n"))
-    place = F.struct("doc_id", "text_hash", "start")
-    met = alone.groupBy("anchor", "digest").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.max("n").alias("n"))
-    met = met.where("low != high or n > 1").select("anchor", "digest")
+    contexts = stored(_cut(docs, edges))
+    met, few = _narrowed(contexts.where("hot").drop("hot", "stop"), length, shard_contexts)
+    names = ["doc_id", "text_hash", "start", "stop", "anchor", "n", "shard", "bytes"]
+    found = _sorted_shards(contexts.where("not hot").select(names).union(few.select(names)), length)
     ranges = ["doc_id", "text_hash", "start", "stop"]
-    return (
-        listed.where("anchor is null").select(ranges)
-        .union(whole)
-        .union(found.where("digest is null").select(ranges))
-        .union(alone.join(met, ["anchor", "digest"], "left_semi").select(ranges))
-    )
+    return listed.where("anchor is null").select(ranges).union(whole).union(met.select(ranges)).union(found)
 
 
-def _sorted_shards(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
-    """What the shards' suffix arrays say: ranges that repeat, and digests of suffixes to be met in other shards."""
-    id_field = with_type(docs, "doc_id")
-    fields = [id_field, T.StructField("text_hash", T.IntegerType())]
-    longs = [T.StructField(x, T.LongType()) for x in ("start", "stop", "anchor", "n")]
-    schema = T.StructType(fields + longs + [T.StructField("digest", T.LongType())])
+def _cut(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The ``edges`` of each text as rows, with their ``bytes``."""
     cut = F.expr("transform(edges, e -> named_struct('e', e, 'bytes', substring(_bytes, cast(e.start + 1 as int), cast(e.stop - e.start as int))))")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.hash("d.text") == F.col("s.text_hash"))
-    contexts = (
+    return (
         docs.select("doc_id", "text").alias("d")
         .join(edges.alias("s"), same)
         .select("s.doc_id", "s.text_hash", "edges", F.col("d.text").cast("binary").alias("_bytes"))
         .select("doc_id", "text_hash", F.explode(cut).alias("c"))
         .select("doc_id", "text_hash", "c.e.*", "c.bytes")
-        .repartition("anchor", "shard")
-        .sortWithinPartitions("anchor", "shard")
     )
 
+
+def _narrowed(hot: DataFrame, length: int, shard_contexts: int) -> tuple[DataFrame, DataFrame]:
+    """Ranges that contexts of hot shards have in common, and the contexts in shards small enough to be sorted.
+
+    Rows hold ``bytes`` from ``start`` on, the anchor ``at`` a place in them, and stand for the strings whose anchor is
+    ``low`` to ``high`` bytes behind their start. All rows of a ``shard`` have the bytes that all these strings show.
+    """
+    columns = ["doc_id", "text_hash", "start", "anchor", "n", "shard", "at", "low", "high", "bytes"]
+    stop = (F.col("start") + F.length("bytes")).alias("stop")
+    met = few = None
+    while True:
+        hot = hot.select(columns).withColumn("around", F.xxhash64("bytes"))
+        equal = ["shard", "low", "at", "around"]
+        rest = [c for c in columns if c not in equal]
+        groups = stored(hot.groupBy(equal).agg(F.sum("n").alias("total"), F.min(F.struct(rest)).alias("one")))
+        several = groups.where("total > 1").select(equal)
+        all_met = hot.where("n = 1").join(several, equal, "left_semi").select("doc_id", "text_hash", "start", stop)
+        one = groups.select("shard", "low", "at", "total", "one.*").withColumn("n", F.least("total", F.lit(2).cast("bigint")))
+        crowds = one.groupBy("shard").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1")
+        left = stored(one.join(crowds.select("shard", "contexts"), "shard").select(*columns, "contexts"))
+        small = left.where(F.col("contexts") <= shard_contexts).select(*columns, stop)
+        met, few = (all_met, small) if met is None else (met.union(all_met), few.union(small))
+        large = left.where(F.col("contexts") > shard_contexts)
+        if large.isEmpty():
+            return met, few
+        hot = stored(_split(large, length))
+
+
+def _split(rows: DataFrame, length: int) -> DataFrame:
+    """The rows for each half of their range of places, dealt by the bytes that all strings of it have in common."""
+    parts = F.expr("array(named_struct('l', low, 'h', (low + high) div 2), named_struct('l', (low + high) div 2 + 1, 'h', high))")
+    size = F.length("bytes")
+    begin, end = F.greatest(F.col("at") - F.col("p.h"), F.lit(0)), F.least(F.col("at") - F.col("p.l") + length, size)
+    core = F.substring("bytes", (F.col("at") - F.col("p.l") + 1).cast("int"), (F.col("p.l") - F.col("p.h") + length).cast("int"))
+    return (
+        rows.withColumn("p", F.explode(parts))
+        .where((F.col("at") >= F.col("p.l")) & (F.col("at") - F.col("p.h") + length <= size))
+        .select(
+            "doc_id", "text_hash", (F.col("start") + begin).alias("start"), "anchor", "n", F.xxhash64("p.l", "p.h", core).alias("shard"),
+            (F.col("at") - begin).alias("at"), F.col("p.l").alias("low"), F.col("p.h").alias("high"),
+            F.substring("bytes", (begin + 1).cast("int"), (end - begin).cast("int")).alias("bytes"),
+        )
+    )
+
+
+def _sorted_shards(contexts: DataFrame, length: int) -> DataFrame:
+    """The ranges that repeat by the shards' suffix arrays."""
+    schema = T.StructType([contexts.schema[x] for x in ("doc_id", "text_hash", "start", "stop")])
+
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size, last = 0, None
         for batch in batches:
-            keys = np.column_stack([batch.column(k).to_numpy() for k in (4, 7)])
-            turns = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            keys = batch.column(6).to_numpy()
+            turns = np.flatnonzero(keys[1:] != keys[:-1]) + 1
             for a, b in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows], strict=True):
-                key = tuple(keys[a].tolist()) if b > a else last
+                key = keys[a] if b > a else last
                 if key != last and size >= _SHARD_BYTES:
-                    yield from _shard(held, schema, length)
+                    yield _shard(held, schema, length)
                     held, size = [], 0
                 held.append(batch.slice(a, b - a))
                 size += int(np.sum(held[-1].column(3).to_numpy() - held[-1].column(2).to_numpy()))
                 last = key
         if held:
-            yield from _shard(held, schema, length)
+            yield _shard(held, schema, length)
 
-    names = ["doc_id", "text_hash", "start", "stop", "anchor", "n", "dealt", "shard", "bytes"]
-    return contexts.select(*names).mapInArrow(sort_shards, schema)
+    return contexts.repartition("shard").sortWithinPartitions("shard").mapInArrow(sort_shards, schema)
 
 
-def _shard(held: list[pa.RecordBatch], schema: T.StructType, length: int) -> Iterator[pa.RecordBatch]:
+def _shard(held: list[pa.RecordBatch], schema: T.StructType, length: int) -> pa.RecordBatch:
     rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
     start, n = rows.column(2).to_numpy(), rows.column(5).to_numpy()
-    dealt = rows.column(6).to_numpy(zero_copy_only=False)
-    contexts = rows.column(8).to_pylist()
+    contexts = rows.column(7).to_pylist()
     named = pa.StructArray.from_arrays([rows.column(0), rows.column(1)], ["a", "b"])
     text = np.array(_numbered(named.to_pylist()), np.int64)
-    owner, place, repeated, group = repeated_suffixes(contexts, text, start, n, length)
+    owner, place, repeated, _ = repeated_suffixes(contexts, text, start, n, length)
     # Runs of repeated suffixes of one context cover one range.
     hit = repeated & (n[owner] == 1)
     joined = hit[1:] & hit[:-1] & (owner[1:] == owner[:-1]) & (place[1:] == place[:-1] + 1)
     opens = np.flatnonzero(hit & ~np.concatenate(([False], joined)))
     closes = np.flatnonzero(hit & ~np.concatenate((joined, [False])))
-    base = start[owner]
-    yield _rows(rows, schema, owner[opens], base[opens] + place[opens], base[closes] + place[closes] + length, None)
-    # What other shards have to meet: each suffix that is not marked, and one of each string that is.
-    again = np.flatnonzero(dealt[owner] & hit)
-    _, first = np.unique(group[again] * np.int64(0x5851F42D4C957F2D) + rows.column(4).to_numpy()[owner[again]], return_index=True)
-    lone = np.flatnonzero(dealt[owner] & ~hit)
-    left = np.concatenate((lone, again[first]))
-    if len(left):
-        yield _rows(rows, schema, owner[left], base[left] + place[left], base[left] + place[left] + length, group[left], np.concatenate((n[owner[lone]], np.full(len(first), 2))))
-
-
-def _rows(rows: pa.RecordBatch, schema: T.StructType, owner, start, stop, digest, n=None) -> pa.RecordBatch:
-    take = pa.array(owner)
-    last = pa.nulls(len(owner), pa.int64()) if digest is None else pa.array(digest)
-    columns = [rows.column(0).take(take), rows.column(1).take(take), pa.array(start), pa.array(stop)]
-    columns += [rows.column(4).take(take), rows.column(5).take(take) if n is None else pa.array(n), last]
+    base, take = start[owner], pa.array(owner[opens])
+    columns = [rows.column(0).take(take), rows.column(1).take(take), pa.array(base[opens] + place[opens]), pa.array(base[closes] + place[closes] + length)]
     return pa.RecordBatch.from_arrays(columns, schema.names)
 
 
