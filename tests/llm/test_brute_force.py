@@ -369,6 +369,46 @@ def test_paragraphs_with_words_of_their_own_are_not_compared_in_pairs(spark, mon
     assert sum(compared) < 3 * len(rows)
 
 
+def test_near_copies_that_are_not_similar_are_not_compared_in_pairs(spark, monkeypatch):
+    # Sets of eight with one of their own have 7 of 9 in common; sets of 21 lack one of three shared ones and have two of their own.
+    rows = [(k, [*range(7), 1000 + k], [7]) for k in range(1, 121)]
+    rows += [(k, [*sorted({2001, 2002, 2003} - {2001 + k % 3}), *range(2004, 2020), *range(10 * k, 10 * k + 3)], [8]) for k in range(301, 421)]
+    contents = stored(spark.createDataFrame(rows, "id bigint, shingles array<bigint>, bands array<bigint>"))
+    compared, verified = [], passage_dedup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(passage_dedup, "_verified", counted)
+    assert passage_dedup._linked(contents, 0.8).collect() == []
+    assert sum(compared) < 3 * len(rows)
+
+
+@pytest.mark.parametrize("rounds", [0, passage_dedup.ROUNDS])
+def test_classes_of_similar_paragraphs_are_those_of_brute_force(spark, monkeypatch, rounds):
+    rng, sets = random.Random(21), []
+    for size in [1, 2, 4, 5, 6, 8, 9, 10, 11, 13, 16, 21, 28, 31, 32, 33, 40, 63, 70, 130]:
+        family = [set(rng.sample(range(10**6), size))]
+        for _ in range(11):
+            last, changes = rng.choice(family), rng.randrange(1, 2 + size // 6)
+            gone = rng.sample(sorted(last), min(len(last) - 1, rng.randrange(changes + 1)))
+            family.append(last - set(gone) | set(rng.sample(range(10**6), rng.randrange(changes + 1))))
+        sets += family
+    rows = [(k, sorted(x), sorted(rng.sample(range(4), 2))) for k, x in enumerate(sets)]
+    contents = stored(spark.createDataFrame(rows, "id bigint, shingles array<bigint>, bands array<bigint>"))
+    monkeypatch.setattr(passage_dedup, "ROUNDS", rounds)
+    found = [tuple(r) for r in passage_dedup._linked(contents, 0.8).collect()]
+    links = []
+    for a, x, mine in rows:
+        for b, y, theirs in rows[:a]:
+            common = len(sets[a] & sets[b])
+            if common / (len(x) + len(y) - common) >= 0.8 and set(mine) & set(theirs):
+                links.append((a, b))
+    assert {(max(p), min(p)) for p in found} <= set(links)
+    assert union_find(range(len(rows)), found) == union_find(range(len(rows)), links)
+
+
 def test_quality_keeps_the_usual(spark):
     rng = random.Random(2)
     usual = [" ".join(rng.choices(LETTERS, k=80)) for _ in range(300)]

@@ -10,11 +10,12 @@ compared.
   meet nobody, because unrelated texts share next to no five-word shingles. Those that met somebody meet
   again on ``BANDS`` bands of ``ROWS`` MinHashes: pairs at 0.8 meet but for 0.2 %, pairs at 0.3 hardly ever.
 * Of the paragraphs that meet on a band, each is compared with one of them by exact Jaccard, the same for as many
-  bands as can be. What is left are pairs of paragraphs of different classes on a band. Similar ones have one of
-  their rarest shingles in common (as many as similarity leaves open, by a count of those paragraphs), and those that
-  have are compared too: no link on a band is missed, and a class is never expanded to its own pairs. Before that,
-  such groups are compared with one member of one of their classes, in ``ROUNDS`` rounds, so that classes which belong
-  together are not expanded to their pairs either.
+  bands as can be. What is left are pairs of paragraphs of different classes on a band. Similar ones must have so many
+  shingles in common, by their two sizes, that the first of these are among the first few of both, rarest first. Each
+  choice of such shingles is a key, for each size that a similar paragraph can have, so similar ones meet on a key and no
+  link on a band is missed. On a key, each paragraph is compared with one of the other size. Keys that still have several
+  classes are keyed again, now rarest first among those of the key: paragraphs with words of their own drop out. Only what
+  is left after ``ROUNDS`` rounds is compared in pairs.
 * Components of similar paragraphs are classes, and equal paragraphs are one from the start. The first
   occurrence of a class stays. What goes are passages: neighbouring repeated paragraphs that have
   ``passage_words`` words or more together.
@@ -22,8 +23,10 @@ compared.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,9 @@ REACH = 6
 PASSAGE_WORDS = 14
 GAP_WORDS = 8
 ROWS, BANDS = 6, 20
-ROUNDS = 1
+ROUNDS = 2
+#: At most so many keys of more than one shingle for each size of partners.
+KEYS = 16
 _FIRST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -215,46 +220,116 @@ def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataF
     return stored(similar.select(F.col("id").alias("a"), F.col("centre").alias("b")))
 
 
-def _of_several_classes(rows: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
-    """The ``rows`` with their ``class``, where the ``keys`` have more than one."""
+def _of_several_classes(rows: DataFrame, labels: DataFrame, key: str, such: Column | bool = True) -> DataFrame:
+    """The ``rows`` with their ``class``, where the ``key`` has more than one and ``such`` rows."""
     rows = rows.join(labels, rows["id"] == labels["node"], "left").withColumn("class", F.coalesce("label", "id")).drop("node", "label")
-    mixed = rows.groupBy(keys).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
-    return stored(rows.join(mixed.select(keys), keys, "left_semi"))
+    several = (F.min("class") != F.max("class")) & F.lit(such)
+    return stored(rows.join(rows.groupBy(key).agg(several.alias("several")).where("several"), key, "left_semi"))
 
 
-def _rarest(contents: DataFrame, similarity: float) -> DataFrame:
-    """``(id, size, shingle)``: as many of the rarest shingles of each row as similar rows can't all differ in.
+def _bucket(size: int) -> int:
+    """The least of the sizes that are taken together with ``size``: exact below 32, within a sixteenth above."""
+    width = 1 << max(0, size.bit_length() - 5)
+    return size // width * width
 
-    Shingles that only one row has are left out after they have been counted.
+
+def _partners(size: int, similarity: float) -> list[int]:
+    """The buckets of sizes that a set similar to one of ``size`` can have."""
+    found, most = [_bucket(max(1, math.ceil(size * similarity - 1e-9)))], size / similarity + 1e-9
+    while (after := found[-1] + (1 << max(0, found[-1].bit_length() - 5))) <= most:
+        found.append(after)
+    return found
+
+
+def _in_common(size: int, other: int, similarity: float) -> int:
+    """How many shingles similar sets of ``size`` and of ``other`` or more have in common at least."""
+    return max(1, math.ceil((size + other) * similarity / (1 + similarity) - 1e-9))
+
+
+@cache
+def _taken(low: int, high: int, similarity: float) -> int:
+    """How many shingles a key takes between two buckets of sizes: as many as leave ``KEYS`` keys or fewer, at least one."""
+    common = _in_common(low, high, similarity)
+    taken = 1
+    while taken < common and math.comb(high - common + taken + 1, taken + 1) <= KEYS:
+        taken += 1
+    return taken
+
+
+def _keys(rare: list[int], lone: int, size: int, partner: int, key: int, similarity: float) -> Iterator[int]:
+    """The keys of a set for similar ones of a bucket: each choice of shingles that can be the first they have in common.
+
+    ``rare`` are its shingles that others have too, in the order that all have; ``lone`` go before them.
     """
-    terms = contents.select("id", F.explode("shingles").alias("shingle"))
-    counted = terms.join(terms.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
-    ranked = counted.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
-    size = F.size("ranked")
-    first = F.slice("ranked", 1, size - F.ceil(size * similarity - 1e-9).cast("int") + 1)
-    return ranked.select("id", size.alias("size"), F.explode(first).alias("s")).where("s.n > 1").select("id", "size", "s.shingle")
+    low, high = sorted((_bucket(size), partner))
+    common, taken = _in_common(size, partner, similarity), _taken(low, high, similarity)
+    first = rare[: max(0, size - common + taken - lone)]
+    for chosen in combinations(first, taken):
+        yield xxhash.xxh64_intdigest(np.array([key, low, high, *chosen], np.int64).tobytes())
+
+
+def _keyed(rows: DataFrame, similarity: float) -> DataFrame:
+    """``(id, size, own, partner, key)``: keys that similar rows of a ``key`` of ``rows`` have in common.
+
+    ``rows`` are ``(key, partner, id, shingles)``; a null ``partner`` is every bucket of sizes. Shingles are taken in the
+    order of how many rows of the key have them, and similar rows have their first common ones early in it. Those that
+    only one row has are in no key: they use up what may differ.
+    """
+
+    @F.arrow_udf("array<struct<own:int,partner:int,key:bigint>>")
+    def keys(rare: pa.Array, lone: pa.Array, size: pa.Array, partner: pa.Array, key: pa.Array) -> pa.Array:
+        sides, made, ends = [], [], [0]
+        for r, n, s, one, k in zip(*(x.to_pylist() for x in (rare, lone, size, partner, key)), strict=True):
+            for p in _partners(s, similarity) if one is None else [one]:
+                found = list(_keys(r, n, s, p, k, similarity))
+                made += found
+                sides += [(_bucket(s), p)] * len(found)
+            ends.append(len(made))
+        own, others = np.array(sides, np.int32).reshape(-1, 2).T
+        columns = [pa.array(own), pa.array(others), pa.array(np.array(made, np.uint64).view(np.int64))]
+        return pa.ListArray.from_arrays(np.array(ends, np.int32), pa.StructArray.from_arrays(columns, ["own", "partner", "key"]))
+
+    terms = rows.select("key", "partner", "id", F.explode("shingles").alias("shingle"))
+    counted = terms.join(terms.groupBy("key", "shingle").agg(F.count("*").alias("n")), ["key", "shingle"])
+    ranked = counted.groupBy("key", "partner", "id").agg(
+        F.count("*").cast("int").alias("size"),
+        F.count_if(F.col("n") == 1).cast("int").alias("lone"),
+        F.array_sort(F.collect_list(F.when(F.col("n") > 1, F.struct("n", "shingle")))).alias("rare"),
+    )
+    found = ranked.select("id", "size", F.explode(keys("rare.shingle", "lone", "size", "partner", "key")).alias("k"))
+    return found.select("id", "size", "k.own", "k.partner", "k.key")
 
 
 def _across(meeting: DataFrame, contents: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
     """``edges`` and the similar paragraphs on a band that they leave in different classes."""
     labels = components(edges)
-    meeting = _of_several_classes(meeting, labels, ["band"]).select("id", "band")
-    rarest = _rarest(contents.join(meeting.select("id").distinct(), "id", "left_semi"), similarity)
-    keyed, keys = meeting.join(rarest, "id"), ["band", "shingle"]
+    meeting = _of_several_classes(meeting, labels, "band").select("id", "band")
+    every = [F.lit(0).cast("bigint").alias("key"), F.lit(None).cast("int").alias("partner")]
+    rows = contents.join(meeting.select("id").distinct(), "id", "left_semi").select(*every, "id", "shingles")
+    both_sides = (F.min("own") != F.max("own")) | (F.min("own") == F.min("partner"))
+    keyed = _of_several_classes(_keyed(rows, similarity), labels, "key", both_sides)
+    theirs = ["key", F.col("own").alias("partner"), F.col("class").alias("other"), F.col("id").alias("centre"), F.col("size").alias("others")]
+    long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
     for k in range(ROUNDS + 1):
-        keyed = _of_several_classes(keyed.select("id", "size", *keys), labels, keys)
         if keyed.isEmpty():
-            return edges
-        if k < ROUNDS:  # one member of the least class of a group with all others
-            theirs = keyed.groupBy(keys).agg(F.min(F.struct("class", "id", "size")).alias("c"))
-            theirs = theirs.select(*keys, F.col("c.class").alias("other"), F.col("c.id").alias("centre"), F.col("c.size").alias("others"))
+            break
+        if k < ROUNDS:  # one member of the least class on the other side with all on this one
+            centres = keyed.groupBy("key", "own").agg(F.min(F.struct("class", "id", "size")).alias("c"))
+            met = keyed.join(centres.select("key", "own", "c.*").select(theirs), ["key", "partner"])
         else:
-            theirs = keyed.select(*keys, F.col("class").alias("other"), F.col("id").alias("centre"), F.col("size").alias("others"))
-        long_enough = F.least("size", "others") >= similarity * F.greatest("size", "others") - 1e-9
-        pairs = keyed.join(theirs, keys).where((F.col("other") < F.col("class")) & long_enough)
-        edges = edges.union(_verified(pairs.select("id", "centre").distinct(), contents, similarity))
+            met = keyed.join(keyed.select(theirs), ["key", "partner"]).where("own < partner or id < centre")
+        pairs = met.where((F.col("other") != F.col("class")) & long_enough)
+        pairs = pairs.select(F.least("id", "centre").alias("id"), F.greatest("id", "centre").alias("centre")).distinct()
+        found = _verified(pairs, contents, similarity)
+        bands = found.join(meeting.withColumnRenamed("id", "a"), "a")
+        on_a_band = bands.join(meeting.withColumnRenamed("id", "b"), ["b", "band"], "left_semi")
+        edges = edges.union(on_a_band.select("a", "b").distinct())
         if k < ROUNDS:
             labels = components(edges)
+            keyed = _of_several_classes(keyed.drop("class"), labels, "key", both_sides)
+            if not keyed.isEmpty():
+                rows = keyed.select("key", "partner", "id").join(contents.select("id", "shingles"), "id")
+                keyed = _of_several_classes(_keyed(rows, similarity), labels, "key", both_sides)
     return edges
 
 
